@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import text_queries  # noqa: F401  (registers)
+from . import row_queries, text_queries, window_queries  # noqa: F401  (registers)
 from .registry import REGISTRY, Query, query
 
 
