@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import devicelog_queries, row_queries, text_queries, window_queries  # noqa: F401  (registers)
+from . import devicelog_queries, row_queries, sink_queries, text_queries, window_queries  # noqa: F401  (registers)
 from .registry import REGISTRY, Query, query
 
 
