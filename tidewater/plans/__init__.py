@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import devicelog_queries, row_queries, sink_queries, text_queries, window_queries  # noqa: F401  (registers)
+from . import (devicelog_queries, row_queries, sink_queries, stream_queries,  # noqa: F401
+               text_queries, window_queries)
 from .registry import REGISTRY, Query, query
 
 
