@@ -7,6 +7,8 @@ Rows are compared per key in batch order (order inside a batch is free).
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidewater.streaming import jobs
@@ -31,10 +33,10 @@ def _run(spark, tmp, batches, schema, build):
     return spark.read.parquet(out)
 
 
-def _panes(spark, tmp, batches):
+def _panes(spark, tmp, batches, per_group=60):
     rows = [[{"ts": DAY + t, "value": v} for t, v in b] for b in batches]
     got = _run(spark, tmp, rows, "ts timestamp, value double",
-               lambda s: pane_sums(s, "ts", "value", 1, 5))
+               lambda s: pane_sums(s, "ts", "value", 1, 5, windows_per_group=per_group))
     per_key = {}
     ordered = sorted(got.collect(), key=lambda r: (r.batch_id, RANK[r.dollar_timing]))
     for r in ordered:
@@ -43,10 +45,11 @@ def _panes(spark, tmp, batches):
     return per_key
 
 
-def test_panes_g1(spark, tmp_dir):
+@pytest.mark.parametrize("per_group", [1, 60])
+def test_panes_g1(spark, tmp_dir, per_group):
     g1 = [[("00:00:10", 1)], [("00:03:00", 3)], [("00:00:20", 2)], [("00:10:00", 10)],
           [("00:10:01", 1)], [("00:00:30", 5)]]
-    assert _panes(spark, tmp_dir, g1) == {
+    assert _panes(spark, tmp_dir, g1, per_group) == {
         "00:00": [(1, "EARLY"), (1, "ON_TIME"), (3, "LATE")],
         "00:03": [(3, "EARLY"), (3, "ON_TIME")],
         "00:10": [(10, "EARLY"), (11, "EARLY")],

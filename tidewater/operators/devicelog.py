@@ -51,6 +51,27 @@ def section(docs: DataFrame, name: str, keep: Sequence[str] = (), out: str = "ro
     return docs.select(*keep, F.explode(F.col(f"doc.{name}")).alias(out))
 
 
+def sections_long(parsed: DataFrame, keep: Sequence[str] = (), rejected: str = "_rejected") -> DataFrame:
+    """All outputs of the split in one pass: (section, row) for every element of
+    every array section plus the ``info`` object; a document missing a section
+    gives one ``rejected`` row (row = null) instead.
+
+    One generator over one parse; each output is ``where(section == ..)``.
+    """
+    def tag(name, c):
+        return F.struct(F.lit(name).alias("section"), c.alias("row"))
+
+    def tagger(name):  # one-argument lambda: transform() reads two as (element, index)
+        return lambda e: tag(name, e)
+
+    parts = [F.array(tag(DEVICE_LOG_OBJECT_SECTION, F.col(f"doc.{DEVICE_LOG_OBJECT_SECTION}")))]
+    parts += [F.transform(F.coalesce(F.col(f"doc.{s}"), F.array().cast(f"array<{ELEMENT}>")),
+                          tagger(s)) for s in DEVICE_LOG_ARRAY_SECTIONS]
+    reject = F.array(tag(rejected, F.lit(None).cast(ELEMENT)))
+    items = F.when(F.size("_missing") == 0, F.concat(*parts)).otherwise(reject)
+    return parsed.select(*keep, F.inline(items))
+
+
 def field(name: str, row: str = "row") -> Column:
     return F.col(row)[name]
 

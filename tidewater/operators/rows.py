@@ -114,6 +114,16 @@ def route_by_presence(df: DataFrame, map_col: str = ROW, both: Sequence[str] = (
     return df.withColumn(out, kind)
 
 
+def route_with_rejects(parsed: DataFrame, map_col: str = ROW, both: Sequence[str] = ("id", "id2"),
+                       out: str = "kind", rejected: str = "_rejected") -> DataFrame:
+    """Routing of a :func:`parse_json` result in one pass: undecodable rows get the
+    ``rejected`` kind instead of a second scan for the reject output.
+    """
+    routed_rows = route_by_presence(parsed, map_col, both, out=out)
+    return routed_rows.withColumn(out, F.when(F.col(CORRUPT).isNotNull(), F.lit(rejected))
+                                        .otherwise(F.col(out)))
+
+
 def routed(df: DataFrame, kind: str, out: str = "kind") -> DataFrame:
     return df.where(F.col(out) == kind)
 

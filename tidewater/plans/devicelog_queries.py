@@ -70,15 +70,7 @@ SELECT section, n::BIGINT AS n FROM (
 """)
 def explode_sections(spark, sf_dir):
     parsed = D.parse_documents(_documents(spark, sf_dir), keep=["conv_id", "turn"])
-    good = D.valid_documents(parsed)
-    parts = [D.section(good, "info").select(F.lit("info").alias("section"))]
-    for s in ("events", "monitors", "testsuites", "useractions", "campaign"):
-        parts.append(D.section(good, s).select(F.lit(s).alias("section")))
-    parts.append(D.rejected_documents(parsed).select(F.lit("_rejected").alias("section")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return D.group_sizes(u, "section")
+    return D.group_sizes(D.sections_long(parsed), "section")
 
 
 def _pairs(spark, sf_dir):

@@ -68,10 +68,9 @@ GROUP BY kind
 """)
 def route_kinds(spark, sf_dir):
     parsed = R.parse_json(_route_rows(spark, sf_dir), "value")
-    good = R.route_by_presence(R.good_rows(parsed))
-    bad = R.rejected_rows(parsed).select(F.lit("_rejected").alias("kind"), F.lit(None).cast("bigint").alias("idv"))
-    rows = good.select("kind", F.col("row")["id"].cast("bigint").alias("idv")).unionByName(bad)
-    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("idv"), F.lit(0)).cast("bigint").alias("sum_id"))
+    rows = R.route_with_rejects(parsed).select("kind", F.col("row")["id"].cast("bigint").alias("idv"))
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"),
+                                    F.coalesce(F.sum("idv"), F.lit(0)).cast("bigint").alias("sum_id"))
 
 
 @query("cogroup2", "JON1", sql=r"""

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import sinks
+from ..session import conf_override
 from ..functions.constants import (RIDE_MESSAGE_DDL, RIDE_TABLE_DDL, SESSION_GAP_MINUTES,
                                    TURNOVER_LATENESS_MINUTES)
 from ..operators import rows as R
@@ -108,12 +109,19 @@ def start_positions(messages: DataFrame, json_path: str, table_path: str, checkp
 
 
 def run_available(df: DataFrame, out_path: str, checkpoint: str, mode: str = "update",
-                  fmt: str = "parquet") -> None:
+                  fmt: str = "parquet", json_payload: bool = False,
+                  state_partitions: int | None = None) -> None:
     """Run a streaming DataFrame over everything available now, batch by batch,
     writing each micro-batch under ``out_path/batch_id=<id>``; wait for the end.
+
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    checkpoint (by default the session's shuffle partitions).
     """
-    q = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-           .foreachBatch(sinks.batch_writer(out_path, fmt)).trigger(availableNow=True).start())
+    w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+           .foreachBatch(sinks.batch_writer(out_path, fmt, json_payload)).trigger(availableNow=True))
+    conf = {"spark.sql.shuffle.partitions": state_partitions} if state_partitions else {}
+    with conf_override(df.sparkSession, conf):
+        q = w.start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -28,40 +28,56 @@ from ..functions.constants import EARLY, LATE, ON_TIME
 warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 
 PANE_OUT = "window_start_ms long, dollar_turnover double, dollar_timing string"
-PANE_STATE = "total double, fired boolean"
+PANE_STATE = "windows string"
 
 
 def _pane_fn(size_ms: int, lateness_ms: int):
+    """State per group of windows: {start_ms: [total, fired, timer]}.
+
+    Every window keeps its own timer; the group's timer is the earliest one, and
+    a window is handled on a call only when it has data or its own timer is due
+    (``timer < watermark``), so the output equals one state per window.
+    """
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        start = int(key[0])
-        end = start + size_ms
         wm = state.getCurrentWatermarkMs()
-        passed = wm + lateness_ms >= end
+        wins = json.loads(state.get[0]) if state.exists else {}
+        data: dict[str, float] = {}
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                if pdf.empty:
+                    continue
+                for st, v in pdf.groupby("start_ms")["value"].sum().items():
+                    data[str(int(st))] = data.get(str(int(st)), 0.0) + float(v)
         out = []
-        if state.exists:
-            total, fired = state.get
-        else:
-            total, fired = 0.0, False
-        if state.exists and passed and not fired:
-            out.append((start, total, ON_TIME))
-            fired = True
-        if state.hasTimedOut:
-            if wm >= end:
-                state.remove()
-            else:
-                state.update((total, fired))
-                state.setTimeoutTimestamp(max(end, wm + 1))
-        else:
-            batch = sum(float(p["value"].sum()) for p in pdfs)
+        for st in sorted(set(wins) | set(data), key=int):
+            start = int(st)
+            end = start + size_ms
+            passed = wm + lateness_ms >= end
+            had = st in wins
+            total, fired, timer = wins.get(st, (0.0, False, None))
+            due = had and timer is not None and timer < wm
+            if st not in data and not due:
+                continue
+            if had and passed and not fired:
+                out.append((start, total, ON_TIME))
+                fired = True
             if wm >= end:
-                # Too late: past the allowed lateness.
-                state.remove()
-            else:
-                total += batch
+                # Dead window (past the allowed lateness): forget it; its late data is dropped.
+                wins.pop(st, None)
+                continue
+            if st in data:
+                total += data[st]
                 fired = fired or passed
-                state.update((total, fired))
-                state.setTimeoutTimestamp(max(end if fired else end - lateness_ms, wm + 1))
+                timer = max(end if fired else end - lateness_ms, wm + 1)
                 out.append((start, total, LATE if passed else EARLY))
+            else:
+                timer = max(end, wm + 1)
+            wins[st] = [total, fired, timer]
+        if wins:
+            state.update((json.dumps(wins),))
+            state.setTimeoutTimestamp(max(min(v[2] for v in wins.values()), wm + 1))
+        elif state.exists:
+            state.remove()
         if out:
             yield pd.DataFrame(out, columns=["window_start_ms", "dollar_turnover", "dollar_timing"])
     return fn
@@ -80,12 +96,14 @@ def _partial_sums(size_ms: int):
 
 
 def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minutes: int = 1,
-              lateness_minutes: int = 5, combine: bool = True) -> DataFrame:
+              lateness_minutes: int = 5, combine: bool = True, windows_per_group: int = 60) -> DataFrame:
     """Per tumbling window, an accumulating sum with a pane label per firing.
 
     Output (update mode): window_start_ms, dollar_turnover, dollar_timing. With
     ``combine`` a stateless map-side partial sum runs first, so one window's
-    rows do not all travel to one Python group.
+    rows do not all travel to one Python group. State is kept per group of
+    ``windows_per_group`` consecutive windows (one Python call per group, not per
+    window); each window still has its own total, fired flag and timer.
     """
     size_ms = size_minutes * 60_000
     lat_ms = lateness_minutes * 60_000
@@ -96,8 +114,10 @@ def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minu
     wm = src.withWatermark("ts", f"{lateness_minutes} minutes")
     # Only the window (not ts) goes into the state function: late-row filtering
     # then uses the window's end, which is the lateness rule wanted.
+    start = F.unix_millis(F.col("w.start"))
     keyed = wm.select(F.window("ts", f"{size_minutes} minutes").alias("w"), "value") \
-              .select(F.unix_millis(F.col("w.start")).alias("k"), "w", "value")
+              .select(F.floor(start / F.lit(size_ms * windows_per_group)).alias("k"),
+                      start.alias("start_ms"), "w", "value")
     return keyed.groupBy("k").applyInPandasWithState(
         _pane_fn(size_ms, lat_ms), PANE_OUT, PANE_STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
