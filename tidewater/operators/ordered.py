@@ -93,17 +93,14 @@ def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_ms: int,
         F.count(F.lit(1)).alias("n_events"), F.max_by(pstruct, order).alias("latest"),
         F.max(order).alias("__lorder"))
     # Root of each local session: itself unless it continues (lsid 0); then the
-    # root of the previous bucket's last session, i.e. the last local session of
-    # the latest earlier bucket that had a fresh start.
-    per_bucket = parts.groupBy(key, _BKT).agg(F.max("__lsid").alias("__last_lsid"))
-    kw = Window.partitionBy(key).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
-    fresh_last = F.when(F.col("__last_lsid") >= 1, F.struct(F.col(_BKT).alias("b"), F.col("__last_lsid").alias("l")))
-    roots = per_bucket.withColumn("__root_prev", F.last(fresh_last, ignorenulls=True).over(kw)) \
-                      .select(key, _BKT, "__root_prev")
-    tagged = parts.join(roots, [key, _BKT], "inner")
-    root = F.when(F.col("__lsid") >= 1, F.struct(F.col(_BKT).alias("b"), F.col("__lsid").alias("l"))) \
-            .otherwise(F.col("__root_prev"))
-    merged = tagged.withColumn("__root", root).groupBy(key, "__root").agg(
+    # last fresh local session (lsid >= 1) before it in (bucket, lsid) order.
+    # Sessions of a key are >= one gap apart, so a key has at most
+    # span/gap + span/bucket local sessions: this window is bounded by event
+    # time, not by the key's data volume, and it is the only consumer of `parts`.
+    fresh = F.when(F.col("__lsid") >= 1, F.struct(F.col(_BKT).alias("b"), F.col("__lsid").alias("l")))
+    kw = Window.partitionBy(key).orderBy(_BKT, "__lsid").rowsBetween(Window.unboundedPreceding, 0)
+    rooted = parts.withColumn("__root", F.last(fresh, ignorenulls=True).over(kw))
+    merged = rooted.groupBy(key, "__root").agg(
         F.min("session_start").alias("session_start"), F.max("last_ts").alias("last_ts"),
         F.sum("n_events").alias("n_events"), F.max_by("latest", "__lorder").alias("latest"))
     return merged.select(key, "session_start", "last_ts",
