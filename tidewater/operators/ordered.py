@@ -18,7 +18,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_MS = 3_600_000  # one hour of event time per (key, bucket) group
+# Event time per (key, bucket) group. Lead is used on low-cardinality keys (event
+# names, types), where a fine bucket bounds a hot key's groups at small cost:
+# the sentinel table has one row per non-empty (key, bucket). Sessions are keyed
+# by rides/users (many keys), where a coarse bucket keeps that table small.
+DEFAULT_BUCKET_MS = 300_000
+SESSION_BUCKET_MS = 3_600_000
 _SENT = "__sentinel"
 _BKT = "__bucket"
 
@@ -63,7 +68,7 @@ def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_ms: int,
     ``point`` columns of the last event by (ts, tiebreak); on equal ts the
     earlier tiebreak wins, so equal-time points keep the first one.
     """
-    bucket_ms = bucket_ms or max(gap_ms, DEFAULT_BUCKET_MS)
+    bucket_ms = bucket_ms or max(gap_ms, SESSION_BUCKET_MS)
     gap_us = gap_ms * 1000
     rows = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
         F.col(key), F.col(ts), F.col(tiebreak), *[F.col(p) for p in point if p not in (key, ts, tiebreak)])

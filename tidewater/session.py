@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -84,3 +86,24 @@ def conf_override(spark: SparkSession, conf: dict):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers (like ``--py-files``).
+
+    Needed by operators that run Python in tasks (pandas state functions,
+    ``mapInPandas``). Zipped once per process and added once per application.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="tidewater-pyfiles-")
+    archive = shutil.make_archive(os.path.join(staging, "tidewater"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

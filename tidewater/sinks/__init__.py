@@ -46,10 +46,10 @@ def write_per_window(df: DataFrame, path: str, window: str = "window", value: st
     """One set of text files per event-time window (and shard when fixed)."""
     files = with_window_files(df, window, num_shards, value)
     parts = ["day", "window_label"] + (["shard"] if num_shards else [])
-    # Cluster rows of one output directory into few tasks: one shuffle on the
-    # directory columns (plus shard, which spreads a large window).
+    # Cluster rows of one output directory into few tasks; REBALANCE lets AQE
+    # split a window that is much larger than the advisory partition size.
     files.select(*parts, F.col(value).cast("string").alias("value")) \
-         .repartition(*[F.col(p) for p in parts]) \
+         .hint("rebalance", *parts) \
          .write.mode(mode).partitionBy(*parts).text(path)
 
 
@@ -113,7 +113,8 @@ def append_day_partitioned(df: DataFrame, path: str, schema: T.StructType,
     spark = df.sparkSession
     ensure_table_schema(spark, path, schema, (part,))
     rows = conform(df, schema).withColumn(part, F.date_format(F.col(time_col), "yyyyMMdd"))
-    rows.repartition(F.col(part)).write.mode("append").partitionBy(part).parquet(path)
+    # Few files per day, and a day holding most rows is split by AQE (REBALANCE).
+    rows.hint("rebalance", part).write.mode("append").partitionBy(part).parquet(path)
 
 
 def json_lines(df: DataFrame, cols=None) -> DataFrame:

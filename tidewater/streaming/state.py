@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.constants import EARLY, LATE, ON_TIME
+from ..session import ship_package
 
 # Arrow -> pandas concat of empty group batches warns on every call in workers.
 warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
@@ -105,6 +106,7 @@ def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minu
     ``windows_per_group`` consecutive windows (one Python call per group, not per
     window); each window still has its own total, fired flag and timer.
     """
+    ship_package(stream.sparkSession)
     size_ms = size_minutes * 60_000
     lat_ms = lateness_minutes * 60_000
     src = stream.select(F.col(ts).alias("ts"), F.col(value).cast("double").alias("value"))
@@ -211,6 +213,7 @@ def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str, point:
 
     Output: key, session_start_ms, session_end_ms, last_ms, n_events, <point>, timing.
     """
+    ship_package(stream.sparkSession)
     gap_ms = gap_minutes * 60_000
     cols = [key, "session_start_ms", "session_end_ms", "last_ms", "n_events", *point, "timing"]
     key_type = dict(stream.dtypes)[key]
