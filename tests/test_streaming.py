@@ -120,3 +120,23 @@ def test_ride_jobs_end_to_end(spark, tmp_dir):
     table = spark.read.parquet(f"{tmp_dir}/table")
     assert set(table.columns) >= {"ride_id", "latitude", "timestamp", "meter_reading", "day"}
     assert table.where(F.col("meter_reading").isNotNull()).count() == 0
+
+
+def test_stream_sessions_chunked_equals_batch(spark, tmp_dir):
+    from tidewater.operators import ordered
+    from tidewater.session import conf_override
+    sf = "/root/testdata/sf0.001"
+    ev = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    batch = ordered.sessionize(ev, "user_id", "ts", "event_id", 3_600_000, ["event_id"])
+    want = sorted((r.user_id, r.n_events, r.latest.event_id) for r in batch.collect())
+    from tidewater.streaming.sources import file_stream, table_files
+    stream = file_stream(spark, table_files(sf, "events"),
+                         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                         "value double, props string").withColumn("ts", F.col("ts").cast("timestamp"))
+    upd = session_updates(stream, "user_id", "ts", "event_id", ["event_id"], ["long"], 60)
+    out = os.path.join(tmp_dir, "s")
+    with conf_override(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": 3}):
+        jobs.run_available(upd, out, os.path.join(tmp_dir, "ck"))
+    final = jobs.latest_by_batch(spark, out, ["user_id", "session_start_ms"])
+    got = sorted((r.user_id, r.n_events, r.event_id) for r in final.collect())
+    assert got == want

@@ -157,8 +157,10 @@ def _session_fn(key_name: str, gap_ms: int, point: Sequence[str], tiebreak: str,
             s["changed"] = False
         out = []
         if not state.hasTimedOut:
-            sessions += _local_sessions(pdfs, wm, gap_ms, point, tiebreak)
-            sessions = _merge(sessions)
+            # Chunk by chunk: sessions of a key merge as a union of intervals, so
+            # memory is one Arrow chunk plus the key's open sessions.
+            for pdf in pdfs:
+                sessions = _merge(sessions + _local_sessions(pdf, wm, gap_ms, point, tiebreak))
             out += [emit(k, s, EARLY) for s in sessions if s["changed"]]
         done = [s for s in sessions if wm >= s["last"]]
         out += [emit(k, s, ON_TIME) for s in done]
@@ -175,12 +177,11 @@ def _session_fn(key_name: str, gap_ms: int, point: Sequence[str], tiebreak: str,
     return fn
 
 
-def _local_sessions(pdfs, wm: int, gap_ms: int, point: Sequence[str], tiebreak: str) -> list[dict]:
-    """Sessions of this key's new rows alone (vectorized); rows with ts <= wm are late."""
-    frames = [p for p in pdfs if not p.empty]
-    if not frames:
+def _local_sessions(pdf: pd.DataFrame, wm: int, gap_ms: int, point: Sequence[str],
+                    tiebreak: str) -> list[dict]:
+    """Sessions of one chunk of this key's new rows (vectorized); rows with ts <= wm are late."""
+    if pdf.empty:
         return []
-    pdf = pd.concat(frames, ignore_index=True)
     ms = pdf["ts"].astype("datetime64[us]").astype("int64") // 1000
     pdf = pdf.assign(evt_ms=ms)
     pdf = pdf[pdf["evt_ms"] > wm]
