@@ -71,14 +71,15 @@ def _hm(ms):
     return f"{s // 3600 % 24:02d}:{s // 60 % 60:02d}" + (f":{s % 60:02d}" if s % 60 else "")
 
 
-def test_sessions_g3(spark, tmp_dir):
+@pytest.mark.parametrize("buckets", [1, 1024])
+def test_sessions_g3(spark, tmp_dir, buckets):
     g3 = [[("00:00", "x", 1)], [("00:30", "x", 2), ("00:10", "y", 5)], [("00:20", "x", 9)],
           [("01:30", "x", 3)], [("02:00", "z", 1)], [("02:00:01", "z", 2)], [("00:45", "y", 6)],
           [("01:10", "y", 7)]]
     rows = [[{"ts": DAY + (t if t.count(":") == 2 else t + ":00"), "ride": k, "v": v, "seq": 100 * i + j}
              for j, (t, k, v) in enumerate(b)] for i, b in enumerate(g3)]
     got = _run(spark, tmp_dir, rows, "ts timestamp, ride string, v long, seq long",
-               lambda s: session_updates(s, "ride", "ts", "seq", ["v"], ["long"], 60))
+               lambda s: session_updates(s, "ride", "ts", "seq", ["v"], ["long"], 60, key_buckets=buckets))
     per_key = {}
     for r in sorted(got.collect(), key=lambda r: (r.batch_id, RANK[r.timing], r.session_start_ms)):
         per_key.setdefault(r.ride, []).append((_hm(r.session_start_ms), _hm(r.session_end_ms), r.v, r.timing))

@@ -139,37 +139,54 @@ def _merge(sessions: list[dict]) -> list[dict]:
                 m["last"], m["tb"], m["point"] = s["last"], s["tb"], s["point"]
             m["end"] = max(m["end"], s["end"])
             m["n"] += s["n"]
-            m["changed"] = m["changed"] or s["changed"]
+            m["changed"] = m.get("changed", False) or s.get("changed", False)
         else:
             merged.append(dict(s))
     return merged
 
 
 def _session_fn(key_name: str, gap_ms: int, point: Sequence[str], tiebreak: str, out_cols: list[str]):
+    """State per bucket of keys: {json(key): {"k": key, "s": [open sessions], "t": timer}}.
+
+    A key is handled on a call only when it has rows or its own timer is due
+    (``timer < watermark``), so the output equals one state per key.
+    """
     def emit(key, s, timing):
         return [key, s["start"], s["end"], s["last"], s["n"], *s["point"], timing]
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        k = key[0]
+    def fn(gkey, pdfs: Iterator[pd.DataFrame], state):
         wm = state.getCurrentWatermarkMs()
-        sessions = json.loads(state.get[0]) if state.exists else []
-        for s in sessions:
-            s["changed"] = False
-        out = []
+        keys = json.loads(state.get[0]) if state.exists else {}
+        touched = set()
         if not state.hasTimedOut:
             # Chunk by chunk: sessions of a key merge as a union of intervals, so
-            # memory is one Arrow chunk plus the key's open sessions.
+            # memory is one Arrow chunk plus the open sessions.
             for pdf in pdfs:
-                sessions = _merge(sessions + _local_sessions(pdf, wm, gap_ms, point, tiebreak))
-            out += [emit(k, s, EARLY) for s in sessions if s["changed"]]
-        done = [s for s in sessions if wm >= s["last"]]
-        out += [emit(k, s, ON_TIME) for s in done]
-        sessions = [s for s in sessions if wm < s["last"]]
-        if sessions:
-            for s in sessions:
+                for k, local in _local_sessions(pdf, key_name, wm, gap_ms, point, tiebreak).items():
+                    ks = json.dumps(k)
+                    entry = keys.get(ks) or {"k": k, "s": [], "t": None}
+                    entry["s"] = _merge(entry["s"] + local)
+                    keys[ks] = entry
+                    touched.add(ks)
+        out = []
+        for ks in list(keys):
+            entry = keys[ks]
+            due = entry["t"] is not None and entry["t"] < wm
+            if ks not in touched and not due:
+                continue
+            k = entry["k"]
+            out += [emit(k, s, EARLY) for s in entry["s"] if s.get("changed")]
+            out += [emit(k, s, ON_TIME) for s in entry["s"] if wm >= s["last"]]
+            rest = [s for s in entry["s"] if wm < s["last"]]
+            for s in rest:
                 s.pop("changed", None)
-            state.update((json.dumps(sessions),))
-            state.setTimeoutTimestamp(max(min(s["last"] for s in sessions), wm + 1))
+            if rest:
+                entry["s"], entry["t"] = rest, max(min(s["last"] for s in rest), wm + 1)
+            else:
+                del keys[ks]
+        if keys:
+            state.update((json.dumps(keys),))
+            state.setTimeoutTimestamp(max(min(e["t"] for e in keys.values()), wm + 1))
         elif state.exists:
             state.remove()
         if out:
@@ -177,28 +194,34 @@ def _session_fn(key_name: str, gap_ms: int, point: Sequence[str], tiebreak: str,
     return fn
 
 
-def _local_sessions(pdf: pd.DataFrame, wm: int, gap_ms: int, point: Sequence[str],
-                    tiebreak: str) -> list[dict]:
-    """Sessions of one chunk of this key's new rows (vectorized); rows with ts <= wm are late."""
+def _local_sessions(pdf: pd.DataFrame, key: str, wm: int, gap_ms: int, point: Sequence[str],
+                    tiebreak: str) -> dict:
+    """Sessions of one chunk of new rows, per key (vectorized over all keys of the
+    chunk); rows with ts <= wm are late and dropped.
+    """
     if pdf.empty:
-        return []
+        return {}
     ms = pdf["ts"].astype("datetime64[us]").astype("int64") // 1000
     pdf = pdf.assign(evt_ms=ms)
     pdf = pdf[pdf["evt_ms"] > wm]
     if pdf.empty:
-        return []
-    # Time ascending; on equal time the smaller tiebreak last, so the last row of
-    # a session is its latest point with first-seen priority on ties.
-    pdf = pdf.sort_values(["evt_ms", tiebreak], ascending=[True, False], kind="stable")
-    t = pdf["evt_ms"].to_numpy()
-    sid = (np.r_[True, np.diff(t) >= gap_ms]).cumsum()
-    g = pdf.assign(sid=sid).groupby("sid", sort=True)
+        return {}
+    # Per key, time ascending; on equal time the smaller tiebreak last, so the
+    # last row of a session is its latest point with first-seen priority on ties.
+    pdf = pdf.sort_values([key, "evt_ms", tiebreak], ascending=[True, True, False], kind="stable")
+    k, t = pdf[key].to_numpy(), pdf["evt_ms"].to_numpy()
+    brk = np.r_[True, (k[1:] != k[:-1]) | (np.diff(t) >= gap_ms)]
+    g = pdf.assign(sid=brk.cumsum()).groupby("sid", sort=True)
     starts, sizes, last = g["evt_ms"].min().to_numpy(), g.size().to_numpy(), g.tail(1)
-    lt, ltb = last["evt_ms"].to_numpy(), last[tiebreak].to_numpy()
+    lk, lt, ltb = last[key].to_numpy(), last["evt_ms"].to_numpy(), last[tiebreak].to_numpy()
     pts = [last[p].to_numpy() for p in point]
-    return [{"start": int(starts[j]), "end": int(lt[j]) + gap_ms, "last": int(lt[j]),
+    out: dict = {}
+    for j in range(len(lt)):
+        out.setdefault(_plain(lk[j]), []).append(
+            {"start": int(starts[j]), "end": int(lt[j]) + gap_ms, "last": int(lt[j]),
              "tb": int(ltb[j]), "n": int(sizes[j]), "point": [_plain(c[j]) for c in pts],
-             "changed": True} for j in range(len(lt))]
+             "changed": True})
+    return out
 
 
 def _plain(v):
@@ -208,11 +231,13 @@ def _plain(v):
 
 
 def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str, point: Sequence[str],
-                    point_ddl: Sequence[str], gap_minutes: int = 60) -> DataFrame:
+                    point_ddl: Sequence[str], gap_minutes: int = 60, key_buckets: int = 1024) -> DataFrame:
     """Per key, gap sessions with early rows: every changed session as EARLY,
     every completed one as ON_TIME (then forgotten). Zero allowed lateness.
 
     Output: key, session_start_ms, session_end_ms, last_ms, n_events, <point>, timing.
+    State is grouped into ``key_buckets`` buckets of keys (hash of the key): one
+    Python call per active bucket and micro-batch instead of one per key.
     """
     ship_package(stream.sparkSession)
     gap_ms = gap_minutes * 60_000
@@ -224,6 +249,7 @@ def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str, point:
     src = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()) \
                 .select(key, ts, tiebreak, *[p for p in point if p not in (key, ts, tiebreak)]) \
                 .withWatermark(ts, f"{gap_minutes} minutes")
-    return src.groupBy(key).applyInPandasWithState(
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(key_buckets)).alias("__kb")
+    return src.select(bucket, "*").groupBy("__kb").applyInPandasWithState(
         _session_fn(key, gap_ms, point, tiebreak, cols), out_ddl, SESSION_STATE, "update",
         GroupStateTimeout.EventTimeTimeout)
