@@ -37,8 +37,11 @@ def tagged_union(inputs: Mapping[str, DataFrame], key: str | Mapping[str, str],
 
 
 def cogroup(inputs: Mapping[str, DataFrame], key, values=None, out_key: str = "key") -> DataFrame:
-    """Tagged long form clustered by key (one shuffle); groups stay flat rows."""
-    return tagged_union(inputs, key, values, out_key).repartition(F.col(out_key))
+    """Tagged long form; groups stay flat rows. No shuffle here: the keyed
+    consumer (aggregate, window, join) clusters by key in its own exchange, with
+    partial aggregation or AQE splitting where it applies.
+    """
+    return tagged_union(inputs, key, values, out_key)
 
 
 def cogroup_lists(inputs: Mapping[str, DataFrame], key, values=None, out_key: str = "key",
@@ -85,5 +88,11 @@ def singleton(side: DataFrame, what: str = "side input") -> DataFrame:
 
 
 def with_singleton(df: DataFrame, side: DataFrame, what: str = "side input") -> DataFrame:
-    """Attach the one row of ``side`` to every row of ``df`` (broadcast of one row)."""
-    return df.crossJoin(F.broadcast(singleton(side, what)))
+    """Attach the one row of ``side`` to every row of ``df``.
+
+    The checked one-row side becomes a scalar subquery: evaluated once, its
+    value is inlined into the projection (no join, nothing shuffled).
+    """
+    one = singleton(side, what)
+    packed = one.select(F.struct(*[F.col(c) for c in one.columns]).alias("__one")).scalar()
+    return df.withColumn("__one", packed).select(*df.columns, "__one.*")
