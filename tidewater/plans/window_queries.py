@@ -8,6 +8,7 @@ from .. import sources
 from ..operators import ordered
 from ..operators import rows as R
 from ..operators import windows as Wn
+from ..functions.time import epoch_minutes
 from ..session import ensure_utc
 from .registry import query
 
@@ -26,9 +27,8 @@ FROM events GROUP BY date_trunc('minute', ts)
 def tumbling_sum(spark, sf_dir):
     ev = _events(spark, sf_dir).select("ts", R.extract_double("value").alias("amount"))
     agg = Wn.windowed_sum(ev, "amount", "ts", "1 minute")
-    return agg.select(F.unix_millis(F.col("window.start")) / F.lit(1000.0) / F.lit(60.0),
-                      F.round("total", 2).alias("dollar_turnover"), "n") \
-              .toDF("dollar_window", "dollar_turnover", "n")
+    return agg.select(epoch_minutes(F.col("window.start")).alias("dollar_window"),
+                      F.round("total", 2).alias("dollar_turnover"), "n")
 
 
 @query("latest_point_batch", "AGG4 PRJ9 PRJ10 FLT2 UDF3", sql=r"""
@@ -39,14 +39,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_
 WHERE rn = 1 AND event_type IS NOT NULL
 """)
 def latest_point_batch(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    lp = Wn.latest_point(ev, "user_id", "ts", "event_id", ["ts", "event_id", "event_type", "value"])
-    flat = lp.select("user_id", F.unix_millis("latest.ts").alias("ts_ms"), "latest.event_id",
-                     "latest.event_type", "latest.value", F.col("n_points").cast("bigint"))
-    return flat.where(F.col("event_type").isNotNull())
+    # Key rows by user (rows without a key would go to R.null_keys), take the
+    # latest point per key, drop the key wrapper, keep points that carry a type.
+    keyed = R.with_key(R.key_by(_events(spark, sf_dir), "user_id"))
+    lp = Wn.latest_point(keyed, "key", "ts", "event_id", ["user_id", "ts", "event_id", "event_type", "value"])
+    flat = R.drop_key(lp.select("key", "latest.*", F.col("n_points").cast("bigint")))
+    points = R.keep_with_field(flat, "event_type")
+    return points.select("user_id", F.unix_millis("ts").alias("ts_ms"), "event_id", "event_type",
+                         "value", "n_points")
 
 
-@query("session_latest", "STR3 AGG4 PRJ13", sql=r"""
+@query("session_latest", "STR3 AGG4", sql=r"""
 WITH e AS (
   SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts FROM events
 ), f AS (
