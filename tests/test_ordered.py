@@ -96,3 +96,26 @@ def test_lead_plan_has_one_data_shuffle_per_side(spark):
     df = _frame(spark, _rows(50, ["a"], 100, seed=1))
     plan = ordered.lead_within(df, "k", "ts", "id", "id", "nxt")._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan
+
+
+def _partition_shares(df, used="nxt"):
+    # Aggregating a computed column keeps the ordering work in the plan.
+    rows = df.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(used).alias("m")).collect()
+    counts = [r.n for r in rows]
+    return max(counts) / sum(counts), len(counts)
+
+
+def test_single_hot_key_spreads_over_tasks(spark):
+    from tidewater.session import conf_override
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet") \
+              .select(F.lit("hot").alias("k"), F.col("ts").cast("timestamp").alias("ts"),
+                      F.col("event_id").alias("id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    with conf_override(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": 8}):
+        led = ordered.lead_within(ev, "k", "ts", "id", "ms", "nxt")
+        share, parts = _partition_shares(led)
+        assert parts == 8 and share < 0.25
+        from pyspark.sql import Window
+        naive = ev.withColumn("nxt", F.lead("ms").over(Window.partitionBy("k").orderBy("ts", "id")))
+        assert _partition_shares(naive)[0] == 1.0
+        assert sorted(r.nxt or 0 for r in led.collect()) == sorted(r.nxt or 0 for r in naive.collect())
