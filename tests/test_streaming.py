@@ -141,3 +141,24 @@ def test_stream_sessions_chunked_equals_batch(spark, tmp_dir):
     final = jobs.latest_by_batch(spark, out, ["user_id", "session_start_ms"])
     got = sorted((r.user_id, r.n_events, r.event_id) for r in final.collect())
     assert got == want
+
+
+def test_windowed_word_count_job(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "lines")
+    os.makedirs(src)
+    batches = [[("00:01:00", "hi there"), ("00:02:00", "hi")], [("00:12:00", "hi sue bob")],
+               [("00:25:00", "bob hi")]]
+    for i, b in enumerate(batches):
+        p = os.path.join(src, f"b{i}.json")
+        with open(p, "w") as f:
+            f.write("\n".join(json.dumps({"ts": DAY + t, "value": v}) for t, v in b) + "\n")
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    lines = spark.readStream.schema("ts timestamp, value string").option("maxFilesPerTrigger", 1).json(src)
+    q = jobs.start_windowed_word_count(lines, f"{tmp_dir}/out", f"{tmp_dir}/ck", 10, 0, 2,
+                                       {"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.text(f"{tmp_dir}/out")
+    rows = sorted((r.window_label, r.value) for r in got.collect())
+    # Windows 00:00 and 00:10 are closed by later data; 00:20 is still open.
+    assert rows == [("00:00-00:10", "hi: 2"), ("00:00-00:10", "there: 1"),
+                    ("00:10-00:20", "bob: 1"), ("00:10-00:20", "hi: 1"), ("00:10-00:20", "sue: 1")]

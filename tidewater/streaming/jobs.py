@@ -20,8 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import sinks
 from ..session import conf_override
 from ..functions.constants import (RIDE_MESSAGE_DDL, RIDE_TABLE_DDL, SESSION_GAP_MINUTES,
-                                   TURNOVER_LATENESS_MINUTES)
+                                   TURNOVER_LATENESS_MINUTES, WORD_WINDOW_MINUTES)
+from ..functions.text import format_count
 from ..operators import rows as R
+from ..operators.words import count_words
 from .state import pane_sums, session_updates
 
 
@@ -108,6 +110,26 @@ def start_positions(messages: DataFrame, json_path: str, table_path: str, checkp
     return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 
+def start_windowed_word_count(lines: DataFrame, out_path: str, checkpoint: str,
+                              window_minutes: int = WORD_WINDOW_MINUTES, lateness_minutes: int = 0,
+                              num_shards: int | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Windowed word count on a stream of (ts, value) lines, written as one set of
+    ``word: n`` files per window (per micro-batch directory).
+
+    Append mode: a window is written once, when the watermark passes its end.
+    """
+    counts = count_words(lines.withWatermark("ts", f"{lateness_minutes} minutes"), "value",
+                         extra_keys=[F.window("ts", f"{window_minutes} minutes").alias("window")])
+    rows = counts.select("window", format_count("word", "n").alias("value"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_per_window(batch, f"{out_path.rstrip('/')}/batch_id={batch_id}", "window", "value",
+                               num_shards)
+
+    w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
 def run_available(df: DataFrame, out_path: str, checkpoint: str, mode: str = "update",
                   fmt: str = "parquet", json_payload: bool = False,
                   state_partitions: int | None = None) -> None:
