@@ -92,11 +92,13 @@ def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_ms: int,
     # Local sessions per (key, bucket, lsid): same clustering, no new shuffle.
     # lsid 0 = the bucket's first events continue the previous bucket's session.
     pstruct = F.struct(*[F.col(p).alias(p) for p in point])
-    order = F.struct(F.col(ts), (-F.col(tiebreak)) if _numeric(df, tiebreak) else F.col(tiebreak))
+    # Latest first, then the smaller tiebreak: the minimum of (-time, tiebreak),
+    # which works for a tiebreak of any orderable type.
+    order = F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("t"), F.col(tiebreak).alias("tb"))
     parts = local.groupBy(key, _BKT, "__lsid").agg(
         F.min(ts).alias("session_start"), F.max(ts).alias("last_ts"),
-        F.count(F.lit(1)).alias("n_events"), F.max_by(pstruct, order).alias("latest"),
-        F.max(order).alias("__lorder"))
+        F.count(F.lit(1)).alias("n_events"), F.min_by(pstruct, order).alias("latest"),
+        F.min(order).alias("__lorder"))
     # Root of each local session: itself unless it continues (lsid 0); then the
     # last fresh local session (lsid >= 1) before it in (bucket, lsid) order.
     # Sessions of a key are >= one gap apart, so a key has at most
@@ -107,13 +109,9 @@ def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_ms: int,
     rooted = parts.withColumn("__root", F.last(fresh, ignorenulls=True).over(kw))
     merged = rooted.groupBy(key, "__root").agg(
         F.min("session_start").alias("session_start"), F.max("last_ts").alias("last_ts"),
-        F.sum("n_events").alias("n_events"), F.max_by("latest", "__lorder").alias("latest"))
+        F.sum("n_events").alias("n_events"), F.min_by("latest", "__lorder").alias("latest"))
     return merged.select(key, "session_start", "last_ts",
                          F.timestamp_micros(F.unix_micros(F.col("last_ts").cast("timestamp")) + F.lit(gap_us))
                           .alias("session_end"),
                          "n_events", "latest")
 
-
-def _numeric(df: DataFrame, col: str) -> bool:
-    from pyspark.sql import types as T
-    return isinstance(df.schema[col].dataType, T.NumericType)

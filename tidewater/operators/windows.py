@@ -80,14 +80,14 @@ def latest_point(df: DataFrame, key: str, ts: str, tiebreak: str, point: Sequenc
                  extra_keys: Sequence[Column | str] = ()) -> DataFrame:
     """Latest point per key (arg-max by ts); on equal ts the smaller tiebreak stays.
 
-    ``max_by`` is a mergeable aggregate: partial per map task, then final, so a
+    ``min_by`` over (-time, tiebreak) is a mergeable aggregate: partial per map task, then final, so a
     hot key ships one row per map task.
     """
-    order = F.struct(F.col(ts), -F.col(tiebreak))
+    order = F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("t"), F.col(tiebreak).alias("tb"))
     pstruct = F.struct(*[F.col(p).alias(p) for p in point])
     return (df.where(F.col(key).isNotNull())
               .groupBy(key, *extra_keys)
-              .agg(F.max_by(pstruct, order).alias("latest"), F.count(F.lit(1)).alias("n_points")))
+              .agg(F.min_by(pstruct, order).alias("latest"), F.count(F.lit(1)).alias("n_points")))
 
 
 def sessions_latest(df: DataFrame, key: str, ts: str, tiebreak: str, point: Sequence[str],
