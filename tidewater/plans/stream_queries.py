@@ -19,6 +19,11 @@ from .registry import query
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+def _state_partitions(spark) -> int:
+    """One state-store task per core: the cluster's default parallelism."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _event_stream(spark, path, max_files=None):
     return S.file_stream(spark, path, EVENTS_DDL, "parquet", max_files) \
             .withColumn("ts", F.col("ts").cast("timestamp"))
@@ -37,7 +42,7 @@ def stream_tumbling(spark, sf_dir):
              .agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n"))
              .select(F.unix_millis("window.start").alias("start_ms"), "total", "n"))
     out, ckpt = scratch_path(spark, "stream_tumbling"), scratch_path(spark, "ckpt")
-    jobs.run_available(agg, out, ckpt, "update")
+    jobs.run_available(agg, out, ckpt, "update", state_partitions=_state_partitions(spark))
     final = jobs.latest_by_batch(spark, out, ["start_ms"])
     return final.select((F.col("start_ms") / F.lit(1000.0) / F.lit(60.0)).alias("dollar_window"),
                         F.round("total", 2).alias("dollar_turnover"), F.col("n").cast("bigint"))
@@ -66,7 +71,7 @@ def stream_sessions(spark, sf_dir):
     ev = _event_stream(spark, S.table_files(sf_dir, "events"))
     upd = session_updates(ev, "user_id", "ts", "event_id", ["event_id", "value"], ["long", "double"], 60)
     out, ckpt = scratch_path(spark, "stream_sessions"), scratch_path(spark, "ckpt")
-    jobs.run_available(upd, out, ckpt, "update")
+    jobs.run_available(upd, out, ckpt, "update", state_partitions=_state_partitions(spark))
     final = jobs.latest_by_batch(spark, out, ["user_id", "session_start_ms"])
     return final.select("user_id", "session_start_ms", "last_ms", "session_end_ms",
                         F.col("n_events").cast("bigint"),
