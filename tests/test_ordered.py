@@ -119,3 +119,15 @@ def test_single_hot_key_spreads_over_tasks(spark):
         naive = ev.withColumn("nxt", F.lead("ms").over(Window.partitionBy("k").orderBy("ts", "id")))
         assert _partition_shares(naive)[0] == 1.0
         assert sorted(r.nxt or 0 for r in led.collect()) == sorted(r.nxt or 0 for r in naive.collect())
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["p", "q", "r"]), st.integers(0, 300)), min_size=1, max_size=50),
+       st.sampled_from([60_000, 300_000, 3_600_000]))
+def test_lead_property(spark, evs, bucket_ms):
+    rows = [(k, BASE + dt.timedelta(minutes=m), i, float(i)) for i, (k, m) in enumerate(evs)]
+    got = ordered.lead_within(_frame(spark, rows), "k", "ts", "id", "id", "nxt", bucket_ms)
+    pdf = pd.DataFrame(rows, columns=["k", "ts", "id", "v"]).sort_values(["k", "ts", "id"])
+    pdf["nxt"] = pdf.groupby("k")["id"].shift(-1)
+    want = {int(r.id): (None if pd.isna(r.nxt) else int(r.nxt)) for r in pdf.itertuples()}
+    assert {r.id: r.nxt for r in got.collect()} == want
