@@ -99,6 +99,14 @@ def test_ride_jobs_end_to_end(spark, tmp_dir):
                    "meter_reading": 10.0 + i, "meter_increment": inc, "ride_status": status, "passenger_count": 1}
         msgs.append([{"ts": DAY + t, "payload": json.dumps(payload)}])
     msgs.append([{"ts": DAY + "00:02:00", "payload": "{not json"}])
+    # No ride id (no position), no meter value (no turnover), and two points of
+    # one ride at the same millisecond: the first one seen stays.
+    msgs.append([{"ts": DAY + "00:02:10", "payload": json.dumps({"latitude": 1.0, "longitude": 2.0,
+                  "timestamp": DAY + "00:02:10Z", "meter_increment": 9.0, "ride_status": "x"})},
+                 {"ts": DAY + "00:02:20", "payload": json.dumps({"ride_id": "r3", "latitude": 5.0, "longitude": 6.0,
+                  "timestamp": DAY + "00:02:20Z", "ride_status": "first"})},
+                 {"ts": DAY + "00:02:20", "payload": json.dumps({"ride_id": "r3", "latitude": 7.0, "longitude": 8.0,
+                  "timestamp": DAY + "00:02:20Z", "ride_status": "second"})}])
     src = os.path.join(tmp_dir, "msgs")
     os.makedirs(src)
     for i, b in enumerate(msgs):
@@ -114,10 +122,12 @@ def test_ride_jobs_end_to_end(spark, tmp_dir):
     q2.awaitTermination()
     turnover = spark.read.json(f"{tmp_dir}/turnover")
     final = turnover.groupBy("dollar_window").agg(F.max("dollar_turnover").alias("t")).collect()
-    assert sorted((r.dollar_window % 1440, r.t) for r in final) == [(0.0, 1.75), (1.0, 0.5)]
+    assert sorted((r.dollar_window % 1440, r.t) for r in final) == [(0.0, 1.75), (1.0, 0.5), (2.0, 9.0)]
     pos = spark.read.json(f"{tmp_dir}/pos")
     last = {r.ride_id: r for r in pos.collect() if r.ride_id == "r1" and r.timestamp.endswith("01:20.123Z")}
     assert last["r1"].ride_status == "dropoff"
+    assert pos.where(F.col("ride_id").isNull()).count() == 0
+    assert [r.ride_status for r in pos.where(F.col("ride_id") == "r3").collect()] == ["first"]
     table = spark.read.parquet(f"{tmp_dir}/table")
     assert set(table.columns) >= {"ride_id", "latitude", "timestamp", "meter_reading", "day"}
     assert table.where(F.col("meter_reading").isNotNull()).count() == 0

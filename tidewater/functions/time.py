@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,7 +63,15 @@ def hashed_event_time(min_ms: int, max_ms: int, *cols) -> Column:
     return F.timestamp_millis(F.lit(min_ms) + F.pmod(F.xxhash64(*[_col(c) for c in cols]), F.lit(span)))
 
 
-def random_event_time(min_ms: int, max_ms: int, seed: int | None = None) -> Column:
-    """Event time drawn uniformly from [min_ms, max_ms) (per row, random)."""
+def random_event_time(min_ms: int | None = None, max_ms: int | None = None,
+                      seed: int | None = None) -> Column:
+    """Event time drawn uniformly from [min_ms, max_ms) (per row, random).
+
+    Defaults: from now to one hour later.
+    """
+    if min_ms is None:
+        min_ms = int(time.time() * 1000)
+    if max_ms is None:
+        max_ms = min_ms + 3_600_000
     span = max_ms - min_ms
     return F.timestamp_millis(F.lit(min_ms) + F.floor(F.rand(seed) * F.lit(span)).cast("bigint"))

@@ -206,9 +206,11 @@ def _local_sessions(pdf: pd.DataFrame, key: str, wm: int, gap_ms: int, point: Se
     pdf = pdf[pdf["evt_ms"] > wm]
     if pdf.empty:
         return {}
-    # Per key, time ascending; on equal time the smaller tiebreak last, so the
-    # last row of a session is its latest point with first-seen priority on ties.
-    pdf = pdf.sort_values([key, "evt_ms", tiebreak], ascending=[True, True, False], kind="stable")
+    # Per key, time ascending; on equal time the smaller tiebreak, then the
+    # earlier-seen row, sorts last: the last row of a session is its latest
+    # point with first-seen priority on ties.
+    pdf = pdf.assign(seen=np.arange(len(pdf)))
+    pdf = pdf.sort_values([key, "evt_ms", tiebreak, "seen"], ascending=[True, True, False, False])
     k, t = pdf[key].to_numpy(), pdf["evt_ms"].to_numpy()
     brk = np.r_[True, (k[1:] != k[:-1]) | (np.diff(t) >= gap_ms)]
     g = pdf.assign(sid=brk.cumsum()).groupby("sid", sort=True)
