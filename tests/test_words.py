@@ -84,3 +84,18 @@ def test_windowed_count_keys(spark):
     c = W.count_words(df, extra_keys=[F.window("ts", "10 minutes").alias("window")])
     got = sorted((r.window.start.minute, r.word, r.n) for r in c.collect())
     assert got == [(0, "a", 1), (0, "b", 1), (10, "a", 1)]
+
+
+def test_event_time_assignment(spark):
+    from tidewater.functions.time import hashed_event_time, random_event_time
+    from tidewater.operators.windows import assign_event_time
+    df = sources.from_strings(spark, [f"line {i}" for i in range(200)])
+    lo, hi = 1_704_067_200_000, 1_704_067_200_000 + 3_600_000
+    r = assign_event_time(df, random_event_time(lo, hi, seed=1)).agg(
+        F.min(F.unix_millis("ts")).alias("a"), F.max(F.unix_millis("ts")).alias("b")).first()
+    assert lo <= r.a and r.b < hi
+    h1 = [x.ts for x in assign_event_time(df, hashed_event_time(lo, hi, "value")).collect()]
+    h2 = [x.ts for x in assign_event_time(df, hashed_event_time(lo, hi, "value")).collect()]
+    assert h1 == h2 and len(set(h1)) > 150
+    d = assign_event_time(df, random_event_time()).agg(F.count("ts").alias("n")).first()
+    assert d.n == 200
