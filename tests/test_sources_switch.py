@@ -63,3 +63,29 @@ def test_observed_metrics(spark):
     assert df.count() == 6
     m = metrics("lines_seen")
     assert m["rows"] == 6 and m["chars"] == sum(len(w) for w in WORDS)
+
+
+def test_shared_dir_when_unset():
+    from tidewater.session import shared_dir
+
+    class Conf:
+        def get(self, k, default=None):
+            return default
+
+    class Ctx:
+        def __init__(self):
+            self.d = None
+
+        def getCheckpointDir(self):
+            return self.d
+
+        def setCheckpointDir(self, d):
+            self.d = d
+
+    class Sess:
+        conf, sparkContext = Conf(), Ctx()
+
+    s = Sess()
+    d = shared_dir(s)
+    assert os.path.isdir(d) and s.sparkContext.d == d
+    assert shared_dir(s) == d

@@ -48,19 +48,18 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
-    unset (local tests) do we create one of our own and register it.
+    Read from ``spark.checkpoint.dir`` (the cluster names it) or the context's
+    checkpoint directory. Only when neither is set (local tests) do we create
+    one of our own and register it with ``setCheckpointDir``.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
         return d
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
+    sc.setCheckpointDir(d)
     return d
 
 
