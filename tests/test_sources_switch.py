@@ -89,3 +89,17 @@ def test_shared_dir_when_unset():
     d = shared_dir(s)
     assert os.path.isdir(d) and s.sparkContext.d == d
     assert shared_dir(s) == d
+
+
+def test_string_passthrough_job_counts(spark, tmp_dir):
+    from tidewater.streaming import jobs
+    src = os.path.join(tmp_dir, "topic")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(WORDS) + "\n")
+    q = jobs.start_string_passthrough(spark, subscription=src, trigger={"availableNow": True},
+                                      checkpoint=os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    seen = [p["observedMetrics"]["strings_seen"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["strings"] for m in seen) == 6
+    assert sum(m["chars"] for m in seen) == sum(len(w) for w in WORDS)
