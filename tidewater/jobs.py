@@ -81,6 +81,15 @@ def contact_lines(named_inputs: dict[str, DataFrame], key: str = "name", value:
     return g.select(F.concat(*parts).alias("value"))
 
 
+def lines_with_side_record(spark: SparkSession, lines: DataFrame, record_glob: str) -> DataFrame:
+    """Attach the one JSON record in ``record_glob`` (a side input that must hold
+    exactly one row) to every line; rejects undecodable records."""
+    from .operators import rows
+    parsed = sources.read_lines(spark, record_glob)
+    record = rows.good_rows(rows.parse_json(parsed, "value")).select(F.col("row").alias("side"))
+    return cogroup.with_singleton(lines, record, "side record")
+
+
 def table_scan(spark: SparkSession, table: str) -> dict:
     """Whole-table scan with observed counters (rows)."""
     observed(spark.read.parquet(table), "table_scan").write.format("noop").mode("overwrite").save()
