@@ -240,6 +240,8 @@ def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str, point:
     Output: key, session_start_ms, session_end_ms, last_ms, n_events, <point>, timing.
     State is grouped into ``key_buckets`` buckets of keys (hash of the key): one
     Python call per active bucket and micro-batch instead of one per key.
+    ``tiebreak`` must be numeric (an id or a payload time); on a full tie the
+    point seen first stays.
     """
     ship_package(stream.sparkSession)
     gap_ms = gap_minutes * 60_000
