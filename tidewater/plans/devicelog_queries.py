@@ -86,15 +86,16 @@ WITH s AS (SELECT conv_id, arg_max(turn, turn) AS start_ev,
      r AS (SELECT conv_id, max(turn) AS end_ev, arg_max(length(text), turn) AS active_for
            FROM conversations WHERE role = 'assistant' GROUP BY conv_id)
 SELECT s.conv_id::VARCHAR AS uniqTcId, s.type, s.start_ev::BIGINT AS start_ev,
-       r.end_ev::BIGINT AS end_ev, r.active_for::BIGINT AS active_for
+       r.end_ev::DOUBLE AS end_ev, r.active_for::DOUBLE AS active_for
 FROM s LEFT JOIN r ON s.conv_id = r.conv_id
 """)
 def pair_actions(spark, sf_dir):
     pairs = D.paired(_pairs(spark, sf_dir))
     return pairs.select("uniqTcId", "type",
                         F.col("parameter")["evId"].cast("bigint").alias("start_ev"),
-                        F.col("result")["evId"].cast("bigint").alias("end_ev"),
-                        F.col("result")["activeFor"].cast("bigint").alias("active_for"))
+                        # No result record -> null; nullable numbers as double.
+                        F.col("result")["evId"].cast("double").alias("end_ev"),
+                        F.col("result")["activeFor"].cast("double").alias("active_for"))
 
 
 @query("action_groups", "AGG5 AGG9 FLT3", sql=r"""
@@ -118,7 +119,7 @@ def group_sizes(spark, sf_dir):
 @query("rat_with_actions", "JON5 WIN1 FLT3", sql=r"""
 WITH e AS (
   SELECT event_id, epoch_us(ts) // 1000 AS ts_ms,
-         lead(epoch_us(ts) // 1000) OVER (ORDER BY ts, event_id) AS ts_end_ms
+         (lead(epoch_us(ts) // 1000) OVER (ORDER BY ts, event_id))::DOUBLE AS ts_end_ms
   FROM events WHERE event_type = 'error'
 ), a AS (
   SELECT count(*)::BIGINT AS n_actions, min(epoch_us(ts) // 1000) AS first_action_ms,
@@ -137,4 +138,5 @@ def rat_with_actions(spark, sf_dir):
     out = D.attach_group(rat, actions, [F.count(F.lit(1)).alias("n_actions"),
                                         F.min(F.unix_millis("ts")).alias("first_action_ms"),
                                         F.max(F.unix_millis("ts")).alias("last_action_ms")])
-    return out.select("event_id", "ts_ms", "ts_end_ms", "n_actions", "first_action_ms", "last_action_ms")
+    return out.select("event_id", "ts_ms", F.col("ts_end_ms").cast("double").alias("ts_end_ms"),
+                      "n_actions", "first_action_ms", "last_action_ms")

@@ -80,11 +80,13 @@ def session_latest(spark, sf_dir):
 
 @query("lead_end", "WIN1 SRT1", sql=r"""
 SELECT event_id, event_type, (epoch_us(ts) // 1000) AS ts_ms,
-       lead(epoch_us(ts) // 1000) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS ts_end_ms
+       (lead(epoch_us(ts) // 1000) OVER (PARTITION BY event_type ORDER BY ts, event_id))::DOUBLE AS ts_end_ms
 FROM events
 """)
 def lead_end(spark, sf_dir):
     ev = _events(spark, sf_dir).select("event_id", "event_type", "ts",
                                        F.unix_millis("ts").alias("ts_ms"))
+    # The last event of a type has no end (null): nullable columns are returned
+    # as double (exact for epoch ms) so every engine hands over the same type.
     return ordered.lead_within(ev, "event_type", "ts", "event_id", "ts_ms", "ts_end_ms") \
-                  .select("event_id", "event_type", "ts_ms", "ts_end_ms")
+                  .select("event_id", "event_type", "ts_ms", F.col("ts_end_ms").cast("double").alias("ts_end_ms"))
