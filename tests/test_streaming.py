@@ -39,6 +39,10 @@ def _panes(spark, tmp, batches, per_group=60):
                lambda s: pane_sums(s, "ts", "value", 1, 5, windows_per_group=per_group))
     per_key = {}
     ordered = sorted(got.collect(), key=lambda r: (r.batch_id, RANK[r.dollar_timing]))
+    idx = {}
+    for r in ordered:  # pane indexes count firings per window: 0, 1, 2, ...
+        idx.setdefault(r.window_start_ms, []).append(r.pane_index)
+    assert all(v == list(range(len(v))) for v in idx.values())
     for r in ordered:
         label = f"{(r.window_start_ms // 60000) % 1440 // 60:02d}:{(r.window_start_ms // 60000) % 60:02d}"
         per_key.setdefault(label, []).append((r.dollar_turnover, r.dollar_timing))

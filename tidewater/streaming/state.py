@@ -28,12 +28,12 @@ from ..session import ship_package
 # Arrow -> pandas concat of empty group batches warns on every call in workers.
 warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 
-PANE_OUT = "window_start_ms long, dollar_turnover double, dollar_timing string"
+PANE_OUT = "window_start_ms long, dollar_turnover double, dollar_timing string, pane_index long"
 PANE_STATE = "windows string"
 
 
 def _pane_fn(size_ms: int, lateness_ms: int):
-    """State per group of windows: {start_ms: [total, fired, timer]}.
+    """State per group of windows: {start_ms: [total, fired, timer, panes]}.
 
     Every window keeps its own timer; the group's timer is the earliest one, and
     a window is handled on a call only when it has data or its own timer is due
@@ -55,13 +55,13 @@ def _pane_fn(size_ms: int, lateness_ms: int):
             end = start + size_ms
             passed = wm + lateness_ms >= end
             had = st in wins
-            total, fired, timer = wins.get(st, (0.0, False, None))
+            total, fired, timer, panes = wins.get(st, (0.0, False, None, 0))
             due = had and timer is not None and timer < wm
             if st not in data and not due:
                 continue
             if had and passed and not fired:
-                out.append((start, total, ON_TIME))
-                fired = True
+                out.append((start, total, ON_TIME, panes))
+                fired, panes = True, panes + 1
             if wm >= end:
                 # Dead window (past the allowed lateness): forget it; its late data is dropped.
                 wins.pop(st, None)
@@ -70,17 +70,19 @@ def _pane_fn(size_ms: int, lateness_ms: int):
                 total += data[st]
                 fired = fired or passed
                 timer = max(end if fired else end - lateness_ms, wm + 1)
-                out.append((start, total, LATE if passed else EARLY))
+                out.append((start, total, LATE if passed else EARLY, panes))
+                panes += 1
             else:
                 timer = max(end, wm + 1)
-            wins[st] = [total, fired, timer]
+            wins[st] = [total, fired, timer, panes]
         if wins:
             state.update((json.dumps(wins),))
             state.setTimeoutTimestamp(max(min(v[2] for v in wins.values()), wm + 1))
         elif state.exists:
             state.remove()
         if out:
-            yield pd.DataFrame(out, columns=["window_start_ms", "dollar_turnover", "dollar_timing"])
+            yield pd.DataFrame(out, columns=["window_start_ms", "dollar_turnover", "dollar_timing",
+                                             "pane_index"])
     return fn
 
 
@@ -97,10 +99,13 @@ def _partial_sums(size_ms: int):
 
 
 def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minutes: int = 1,
-              lateness_minutes: int = 5, combine: bool = True, windows_per_group: int = 60) -> DataFrame:
+              lateness_minutes: int = 5, combine: bool = True, windows_per_group: int = 60,
+              output_mode: str = "update") -> DataFrame:
     """Per tumbling window, an accumulating sum with a pane label per firing.
 
-    Output (update mode): window_start_ms, dollar_turnover, dollar_timing. With
+    Output: window_start_ms, dollar_turnover, dollar_timing, pane_index (0, 1, ..
+    per window, in firing order). Every firing is a new row, so the query may
+    run in ``append`` mode (file sinks) or ``update`` mode. With
     ``combine`` a stateless map-side partial sum runs first, so one window's
     rows do not all travel to one Python group. State is kept per group of
     ``windows_per_group`` consecutive windows (one Python call per group, not per
@@ -121,7 +126,7 @@ def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minu
               .select(F.floor(start / F.lit(size_ms * windows_per_group)).alias("k"),
                       start.alias("start_ms"), "w", "value")
     return keyed.groupBy("k").applyInPandasWithState(
-        _pane_fn(size_ms, lat_ms), PANE_OUT, PANE_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+        _pane_fn(size_ms, lat_ms), PANE_OUT, PANE_STATE, output_mode, GroupStateTimeout.EventTimeTimeout)
 
 
 SESSION_STATE = "sessions string"
