@@ -23,7 +23,8 @@ LONG_TEXT = 100  # user turns at least this long are transfers, shorter ones pau
 
 
 def _documents(spark, sf_dir):
-    conv = sources.table(spark, sf_dir, "conversations")
+    conv = sources.spread_small(sources.table(spark, sf_dir, "conversations")
+                                .select("conv_id", "turn", "role", "text"))
     lines = F.split(F.col("text"), "\n")
     ev = F.transform(lines, lambda x, i: F.create_map(
         F.lit("name"), F.col("role"),

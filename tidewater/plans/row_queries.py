@@ -40,13 +40,15 @@ def _route_rows(spark, sf_dir):
     cust = sources.table(spark, sf_dir, "customer").select(
         F.to_json(F.struct(F.col("c_custkey").cast("string").alias("id"),
                            F.col("c_name").alias("name"))).alias("value"))
-    orders = sources.table(spark, sf_dir, "orders").select(
+    orders = sources.spread_small(sources.table(spark, sf_dir, "orders")
+                                  .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")).select(
         F.to_json(F.struct(
             F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")).alias("id"),
             F.col("o_orderkey").cast("string").alias("id2"),
             F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("timestamp")),
             {"ignoreNullFields": "false"}).alias("value"))
-    li = sources.table(spark, sf_dir, "lineitem").select(
+    li = sources.spread_small(sources.table(spark, sf_dir, "lineitem")
+                              .select("l_orderkey", "l_linenumber", "l_returnflag")).select(
         F.to_json(F.struct(F.col("l_orderkey").cast("string").alias("id2"),
                            F.col("l_linenumber").alias("choice"))).alias("value"),
         F.col("l_returnflag"))

@@ -139,7 +139,7 @@ SELECT count(*)::BIGINT AS n_lines, sum(length(line))::BIGINT AS total_len
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
 """)
 def stream_lines(spark, sf_dir):
-    docs = sources.table(spark, sf_dir, "documents")
+    docs = sources.spread_small(sources.table(spark, sf_dir, "documents").select("text"))
     topic = scratch_path(spark, "lines_topic")
     sources.lines_of(docs, "text").write.text(topic)
     passed = S.string_stream(spark, topic=topic)

@@ -15,6 +15,12 @@ from .registry import query
 QUERY_FILTER_PATTERN = r"the|qu\p{L}*|und"
 
 
+def _documents(spark, sf_dir, *cols):
+    """The columns needed from ``documents``, spread over the cores when small
+    (tokenizing is the CPU-heavy part; a single row group would be one task)."""
+    return sources.spread_small(sources.table(spark, sf_dir, "documents").select(*cols))
+
+
 @query("word_count", "PRJ1 AGG1 AGG2 SRC4", sql=r"""
 SELECT word, count(*)::BIGINT AS n
 FROM (SELECT unnest(regexp_split_to_array(text, '[^\p{L}]+')) AS word FROM documents)
@@ -22,8 +28,7 @@ WHERE word <> ''
 GROUP BY word
 """)
 def word_count(spark, sf_dir):
-    docs = sources.table(spark, sf_dir, "documents")
-    return W.count_words(docs, "text")
+    return W.count_words(_documents(spark, sf_dir, "text"), "text")
 
 
 @query("word_filter", "FLT1 AGG7", sql=r"""
@@ -33,8 +38,7 @@ WHERE word <> '' AND regexp_full_match(word, 'the|qu\p{L}*|und')
 GROUP BY word
 """)
 def word_filter(spark, sf_dir):
-    docs = sources.table(spark, sf_dir, "documents")
-    return W.filter_words(W.count_words(docs, "text"), QUERY_FILTER_PATTERN)
+    return W.filter_words(W.count_words(_documents(spark, sf_dir, "text"), "text"), QUERY_FILTER_PATTERN)
 
 
 @query("word_filter_metrics", "FLT1 AGG7", sql=r"""
@@ -45,8 +49,7 @@ FROM (SELECT DISTINCT word FROM
       WHERE word <> '')
 """)
 def word_filter_metrics(spark, sf_dir):
-    docs = sources.table(spark, sf_dir, "documents")
-    return W.filter_metrics(W.count_words(docs, "text"), QUERY_FILTER_PATTERN)
+    return W.filter_metrics(W.count_words(_documents(spark, sf_dir, "text"), "text"), QUERY_FILTER_PATTERN)
 
 
 @query("format_counts", "PRJ3 SNK1", sql=r"""
@@ -56,8 +59,7 @@ WHERE word <> ''
 GROUP BY word
 """)
 def format_counts(spark, sf_dir):
-    docs = sources.table(spark, sf_dir, "documents")
-    return W.format_counts(W.count_words(docs, "text"))
+    return W.format_counts(W.count_words(_documents(spark, sf_dir, "text"), "text"))
 
 
 @query("line_stats", "AGG7 AGG8 SRC1", sql=r"""
@@ -71,7 +73,7 @@ FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents)
 GROUP BY lang
 """)
 def line_stats(spark, sf_dir):
-    docs = sources.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir, "text", "lang")
     return W.line_metrics(sources.lines_of(docs, "text", keep=["lang"]), keys=["lang"])
 
 
@@ -102,7 +104,7 @@ GROUP BY ALL
 """)
 def windowed_words(spark, sf_dir):
     ensure_utc(spark)
-    docs = sources.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir, "doc_id", "text")
     ts = F.timestamp_millis(F.lit(WINDOWED_BASE_MS) + F.pmod(F.col("doc_id") * 7919, F.lit(WINDOWED_SPAN_MS)))
     timed = docs.select("text", ts.alias("ts"))
     win = F.window("ts", f"{WORD_WINDOW_MINUTES} minutes")
