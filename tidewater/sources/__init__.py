@@ -25,7 +25,10 @@ SMALL_INPUT_BYTES = 512 * 1024 * 1024
 def spread_small(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """Round-robin a small input over the cores before CPU-heavy per-row work
     (tokenizing, JSON); a no-op for inputs above ``max_bytes`` (plan estimate)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:  # no JVM handle (e.g. Spark Connect): keep the scan's splits
+        return df
     if size >= max_bytes:
         return df
     return df.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism))
