@@ -33,10 +33,10 @@ def _run(spark, tmp, batches, schema, build):
     return spark.read.parquet(out)
 
 
-def _panes(spark, tmp, batches, per_group=60):
+def _panes(spark, tmp, batches, per_group=60, combine=True):
     rows = [[{"ts": DAY + t, "value": v} for t, v in b] for b in batches]
     got = _run(spark, tmp, rows, "ts timestamp, value double",
-               lambda s: pane_sums(s, "ts", "value", 1, 5, windows_per_group=per_group))
+               lambda s: pane_sums(s, "ts", "value", 1, 5, combine=combine, windows_per_group=per_group))
     per_key = {}
     ordered = sorted(got.collect(), key=lambda r: (r.batch_id, RANK[r.dollar_timing]))
     idx = {}
@@ -49,11 +49,11 @@ def _panes(spark, tmp, batches, per_group=60):
     return per_key
 
 
-@pytest.mark.parametrize("per_group", [1, 60])
-def test_panes_g1(spark, tmp_dir, per_group):
+@pytest.mark.parametrize("per_group,combine", [(1, True), (60, True), (60, False)])
+def test_panes_g1(spark, tmp_dir, per_group, combine):
     g1 = [[("00:00:10", 1)], [("00:03:00", 3)], [("00:00:20", 2)], [("00:10:00", 10)],
           [("00:10:01", 1)], [("00:00:30", 5)]]
-    assert _panes(spark, tmp_dir, g1, per_group) == {
+    assert _panes(spark, tmp_dir, g1, per_group, combine) == {
         "00:00": [(1, "EARLY"), (1, "ON_TIME"), (3, "LATE")],
         "00:03": [(3, "EARLY"), (3, "ON_TIME")],
         "00:10": [(10, "EARLY"), (11, "EARLY")],
