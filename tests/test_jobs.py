@@ -82,3 +82,11 @@ def test_lines_with_side_record(spark, tmp_dir):
     two = _write(os.path.join(tmp_dir, "two.json"), ['{"a": "1"}', '{"a": "2"}'])
     with pytest.raises(Exception, match="exactly one row"):
         jobs.lines_with_side_record(spark, verse, two).collect()
+
+
+def test_cli_device_log(spark, tmp_dir):
+    src = _write(os.path.join(tmp_dir, "log.json"), [json.dumps(_device_doc())])
+    out = os.path.join(tmp_dir, "dl")
+    assert jobs.main(["device-log", "--input", src, "--output", out]) == 0
+    assert spark.read.json(os.path.join(out, "rat_events")).count() == 3
+    assert spark.read.json(os.path.join(out, "action_pairs")).count() == 3
