@@ -110,3 +110,25 @@ def test_contract(spark):
     assert set(sql) <= set(q)
     assert E.entry(spark).count() > 0
     assert "stream_panes" in q and "stream_panes" not in sql
+
+
+def test_hot_window_and_day_are_split_across_writers(spark, tmp_dir):
+    """All rows in one window / one day: REBALANCE lets AQE split the hot
+    directory over several tasks (several files), instead of one writer."""
+    import glob
+    from tidewater.session import conf_override
+    df = spark.range(20000).select(
+        F.lit("2024-01-01 00:01:00").cast("timestamp").alias("ts"),
+        F.concat(F.lit("word: "), F.col("id").cast("string")).alias("value"))
+    conf = {"spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "true"}
+    with conf_override(spark, conf):
+        sinks.write_per_window(df.withColumn("window", F.window("ts", "10 minutes")), f"{tmp_dir}/w")
+        schema = T._parse_datatype_string("value string, timestamp timestamp")
+        sinks.append_day_partitioned(df.withColumnRenamed("ts", "timestamp"), f"{tmp_dir}/d", schema)
+    wfiles = glob.glob(f"{tmp_dir}/w/day=20240101/window_label=*/*.txt")  # ":" is escaped in dir names
+    dfiles = glob.glob(f"{tmp_dir}/d/day=20240101/*.parquet")
+    assert len(wfiles) > 1 and len(dfiles) > 1
+    assert spark.read.text(f"{tmp_dir}/w").count() == 20000
+    assert spark.read.parquet(f"{tmp_dir}/d").count() == 20000
