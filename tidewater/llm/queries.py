@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import linededup
+from . import linededup, minhash
 from .registry import QUERIES, query
 
 
@@ -20,3 +20,9 @@ def oracle_sql():
 @query("op2_line_dedup", linededup.LINES_SQL)
 def op2_line_dedup(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
+#: 2-word shingles are this query's contract; the operator's own default is 5 words.
+@query("op1_minhash_dedup", minhash.LINKS_SQL)
+def op1_minhash_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2)
