@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import linededup, minhash
+from . import hostreputation, linededup, minhash
 from .registry import QUERIES, query
 
 
@@ -26,3 +26,9 @@ def op2_line_dedup(spark, sf_dir):
 @query("op1_minhash_dedup", minhash.LINKS_SQL)
 def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
+@query("op3_host_reputation", hostreputation.URLS_SQL)
+def op3_host_reputation(spark, sf_dir):
+    judged = hostreputation.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
