@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import hostreputation, linededup, minhash
+from . import hostreputation, langid, linededup, minhash
 from .registry import QUERIES, query
 
 
@@ -32,3 +32,12 @@ def op1_minhash_dedup(spark, sf_dir):
 def op3_host_reputation(spark, sf_dir):
     judged = hostreputation.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+#: No SQL: checked against a brute-force coder, and by accuracy on the held-out documents.
+@query("op9_langid_ppm")
+def op9_langid_ppm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"))
+    found = langid.identify(docs, langid.train(docs.where(~out)))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
