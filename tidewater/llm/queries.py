@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import hostreputation, langid, linededup, minhash
+from . import bitslice, hostreputation, langid, linededup, minhash
 from .registry import QUERIES, query
 
 
@@ -41,3 +41,9 @@ def op9_langid_ppm(spark, sf_dir):
     out = langid.held_out(F.col("doc_id"))
     found = langid.identify(docs, langid.train(docs.where(~out)))
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_bitslice_topk", bitslice.TOPK_SQL)
+def op7_bitslice_topk(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return bitslice.top_k(rows, rows.where(F.col("vec_id") % 50 == 0))
