@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import bitslice, hostreputation, langid, linededup, minhash
+from . import bitslice, hostreputation, langid, linededup, minhash, superkmer
 from .registry import QUERIES, query
 
 
@@ -47,3 +47,9 @@ def op9_langid_ppm(spark, sf_dir):
 def op7_bitslice_topk(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     return bitslice.top_k(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
+@query("op10_superkmer_dedup", superkmer.REPEATS_SQL)
+def op10_superkmer_dedup(spark, sf_dir):
+    cut = superkmer.dedup_substrings(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
