@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import bitslice, hostreputation, langid, linededup, minhash, superkmer
+from . import bitslice, decontaminate, hostreputation, langid, linededup, minhash, superkmer
 from .registry import QUERIES, query
 
 
@@ -53,3 +53,9 @@ def op7_bitslice_topk(spark, sf_dir):
 def op10_superkmer_dedup(spark, sf_dir):
     cut = superkmer.dedup_substrings(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: No SQL: checked against a brute-force edit distance on small tables.
+@query("op4_cgk_decontaminate")
+def op4_cgk_decontaminate(spark, sf_dir):
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
