@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import bitslice, decontaminate, hostreputation, langid, linededup, minhash, superkmer
+from . import bitslice, decontaminate, hostreputation, langid, linededup, minhash, sentencepiece_unigram, superkmer
 from .registry import QUERIES, query
 
 
@@ -59,3 +59,12 @@ def op10_superkmer_dedup(spark, sf_dir):
 @query("op4_cgk_decontaminate")
 def op4_cgk_decontaminate(spark, sf_dir):
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: No SQL: checked against the library's own unigram segmentation, and by exact round trips.
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark, sf_dir):
+    coded = sentencepiece_unigram.encode_table(
+        table(spark, sf_dir, "documents"), sentencepiece_unigram.load_vocabulary())
+    return coded.select("doc_id", "n_tokens", "n_bytes", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "round_trip")
