@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import bitslice, decontaminate, hostreputation, langid, linededup, minhash, sentencepiece_unigram, superkmer
+from . import bitslice, decontaminate, hostreputation, langid, linededup, minhash, sentencepiece_unigram, superkmer, warc
 from .registry import QUERIES, query
 
 
@@ -68,3 +68,8 @@ def op6_sentencepiece(spark, sf_dir):
         table(spark, sf_dir, "documents"), sentencepiece_unigram.load_vocabulary())
     return coded.select("doc_id", "n_tokens", "n_bytes", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "round_trip")
+
+
+@query("op5_warc", warc.WARC_SQL)
+def op5_warc(spark, sf_dir):
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
