@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import bitslice, decontaminate, hostreputation, langid, linededup, minhash, sentencepiece_unigram, superkmer, warc
+from . import (bitslice, decontaminate, hostreputation, langid, licenses, linededup, minhash, sentencepiece_unigram,
+               superkmer, warc)
 from .registry import QUERIES, query
 
 
@@ -73,3 +74,10 @@ def op6_sentencepiece(spark, sf_dir):
 @query("op5_warc", warc.WARC_SQL)
 def op5_warc(spark, sf_dir):
     return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+#: No SQL for the trained classifier: checked against held-out notices and a recomputation on a small table.
+@query("op8_license_scan")
+def op8_license_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return licenses.license_report(docs, licenses.train(docs))
