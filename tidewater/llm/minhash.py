@@ -8,8 +8,10 @@
    (star pairs), never all with all. A pair is first judged by its signatures,
    then confirmed on the full sets.
 3. Components by alternating large-star and small-star. Where a bucket still
-   holds several components, the pairs between its components are compared
-   too, so no link that banding proposes between components is lost.
+   holds several components, the pairs between its components may hold links.
+   A bitmap of each set bounds a pair's intersection from above; only pairs
+   that the bound leaves open come out of the join and are verified, so no link
+   that banding proposes between components is lost.
 
 With b bands of r minima two sets of similarity s share a bucket with
 probability 1 - (1 - s^r)^b: 1 - 1.3e-7 at s = 0.8 for b = 40, r = 5.
@@ -32,6 +34,8 @@ BANDS, ROWS = 40, 5
 #: Standard deviations that the share of equal minima may lie below the threshold.
 SLACK = 6.0
 SET_BLOCK = 2048
+#: 64-bit words of the bitmap of a set.
+BITMAP_WORDS = 32
 
 
 @lru_cache(maxsize=1)
@@ -93,12 +97,19 @@ def _features(k: int, bands: int, rows: int):
 def _sets(k: int, n: int):
     def run(batches):
         for batch in batches:
-            sigs, sets = [], []
+            sigs, sets, bits = [], [], []
             for found in shingle_sets(batch.column(1), k):
+                bitmap = np.zeros(64 * BITMAP_WORDS, dtype=bool)
+                bitmap[found % np.uint64(len(bitmap))] = True
+                bits.append(np.packbits(bitmap, bitorder="little").view(np.int64))
                 sigs.append(signature(found, n).tobytes() if len(found) else b"")
                 sets.append(found.tobytes())
-            yield pa.record_batch([batch.column(0), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())],
-                                  names=["node", "sig", "shingles"])
+            flat = pa.array(np.concatenate([np.empty(0, np.int64), *bits]))
+            edges = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BITMAP_WORDS)
+            yield pa.record_batch([batch.column(0), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary()),
+                                   pa.array([len(x) // 8 for x in sets], pa.int32()),
+                                   pa.ListArray.from_arrays(edges, flat)],
+                                  names=["node", "sig", "shingles", "n", "bits"])
     return run
 
 
@@ -132,8 +143,43 @@ def _verify(percent: int):
     return run
 
 
+def may_agree(n_a: str, bits_a: str, n_b: str, bits_b: str, percent: int):
+    """Whether the bitmaps leave it open that the sets are similar enough.
+
+    Each bit that only a's bitmap has certifies an element that b lacks, so
+    n_a less their number bounds the intersection; likewise for b.
+    """
+    def only(x, y):
+        return " + ".join(f"bit_count({x}[{i}] & ~{y}[{i}])" for i in range(BITMAP_WORDS))
+    most = f"least({n_a} - ({only(bits_a, bits_b)}), {n_b} - ({only(bits_b, bits_a)}))"
+    return F.expr(f"{100 + percent} * {most} >= {percent} * ({n_a} + {n_b})")
+
+
+def across_components(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) pairs of a bucket in different components that the bitmaps do not rule out.
+
+    In each bucket the nodes outside its most frequent component meet all of them,
+    which leaves out only pairs within that component.
+    """
+    placed = stored(members.select("key", "node").join(found, "node", "left")
+                           .select("key", "node", F.coalesce("component", "node").alias("component")), "placed")
+    counts = placed.groupBy("key", "component").count()
+    mixed = (counts.groupBy("key").agg(F.count(F.lit(1)).alias("components"),
+                                       F.max(F.struct("count", "component")).alias("most"))
+                   .where("components > 1").select("key", F.col("most.component").alias("main")))
+    open_ = placed.join(mixed, "key").join(sets.select("node", "n", "bits"), "node")
+    left = open_.where(F.col("component") != F.col("main")).select(
+        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("x"))
+    right = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"),
+                         F.col("n").alias("nb"), F.col("bits").alias("y"))
+    met = left.join(right, (left["key"] == right["key"]) & (F.col("ca") != F.col("cb"))
+                    & may_agree("na", "x", "nb", "y", percent))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of distinct (a, b) pairs those whose sets are similar enough."""
+    sets = sets.select("node", "sig", "shingles")
     both = (pairs.join(sets.toDF("a", "sig_a", "set_a"), "a")
                  .join(sets.toDF("b", "sig_b", "set_b"), "b")
                  .select("a", "b", "sig_a", "sig_b", "set_a", "set_b"))
@@ -167,7 +213,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stored(nodes.join(buckets, "key").select("key", "node", "centre"), "members")
     candidates = members.select("node").distinct()
     sets = stored(source.join(candidates, source["doc"] == candidates["node"], "left_semi")
-                        .mapInArrow(_sets(k, bands * rows), "node long, sig binary, shingles binary"), "sets")
+                        .mapInArrow(_sets(k, bands * rows), "node long, sig binary, shingles binary, n int, bits array<long>"), "sets")
 
     star = members.where(F.col("node") != F.col("centre")).select(
         F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
@@ -177,14 +223,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stored(verified(star, sets, percent).union(same), "links")
     found = components(links, "a", "b")
 
-    placed = (members.select("key", "node").join(found, "node", "left")
-                     .select("key", "node", F.coalesce("component", "node").alias("component")))
-    mixed = (placed.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
-                   .where(F.col("first") < F.col("last")).select("key"))
-    open_ = placed.join(mixed, "key", "left_semi")
-    left, right = open_.toDF("key", "a", "ca"), open_.toDF("key", "b", "cb")
-    across = (left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-                  .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
+    across = across_components(members, found, sets, percent)
     more = stored(verified(across, sets, percent), "links")
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "a", "b")
