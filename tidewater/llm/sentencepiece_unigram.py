@@ -322,7 +322,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
     python_ready(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
     source = docs.drop("token_ids", "n_tokens", "round_trip")
-    at = source.columns.index(text_col)
+    at, names = source.columns.index(text_col), [*source.columns, "token_ids", "n_tokens", "round_trip"]
     schema = T.StructType([*source.schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType())),
                            T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
 
@@ -341,5 +341,5 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
                     *columns, pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(arrays))),
                     pa.array(np.diff(edges).astype(np.int64)),
                     pa.array([a == b for a, b in zip(some, decoded)], pa.bool_())],
-                    names=[*source.columns, "token_ids", "n_tokens", "round_trip"])
+                    names=names)
     return source.mapInArrow(run, schema)
