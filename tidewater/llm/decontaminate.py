@@ -36,7 +36,6 @@ EDIT_PERCENT = 20
 REPETITIONS, SAMPLES, STEPS = 6, 6, 12
 #: Words of benchmark items that go to the tasks at once.
 BLOCK_WORDS = 250_000
-FILTER_BITS = 22
 
 
 def allowed_edits(words: int, percent: int = EDIT_PERCENT) -> int:
@@ -78,6 +77,8 @@ class Index:
     ids: np.ndarray
     words: np.ndarray
     bounds: np.ndarray
+    #: Selects the low bits of a hash that the bitmaps go by: some 64 bits for each word.
+    low: np.uint64
     #: A bitmap over the low bits of the items' words.
     starts: np.ndarray
     #: Per repetition and sample: a bitmap over the low bits of the prefix hashes.
@@ -101,34 +102,35 @@ def build_index(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, repetiti
     places = np.arange(len(words))
     owner = np.searchsorted(bounds, places, "right") - 1
     ends = bounds[owner + 1]
+    low = np.uint64((1 << max(16, (64 * len(words)).bit_length())) - 1)
     filters, keys = [], []
     for r in range(repetitions):
         masks, last = [], None
         for who, seen in walk_prefixes(words, places, ends, r, samples, steps):
-            mask = np.zeros(1 << FILTER_BITS, dtype=bool)
-            mask[seen & np.uint64((1 << FILTER_BITS) - 1)] = True
+            mask = np.zeros(int(low) + 1, dtype=bool)
+            mask[seen & low] = True
             masks.append(mask)
             last = (who, seen)
         who, seen = last
         order = np.argsort(seen, kind="stable")
         filters.append(masks)
         keys.append((seen[order], owner[who[order]], places[who[order]] - bounds[owner[who[order]]]))
-    starts = np.zeros(1 << FILTER_BITS, dtype=bool)
-    starts[words & np.uint64((1 << FILTER_BITS) - 1)] = True
-    return Index(ids, words, bounds, starts, filters, keys)
+    starts = np.zeros(int(low) + 1, dtype=bool)
+    starts[words & low] = True
+    return Index(ids, words, bounds, low, starts, filters, keys)
 
 
 def candidates(index: Index, words: np.ndarray, bounds: np.ndarray, samples: int, steps: int):
     """Distinct (place in words, item, word of the item) whose sampled words agree in a repetition."""
     # Every walk writes the word it starts on first: only words of items can start one.
-    places = np.flatnonzero(index.starts[words & np.uint64((1 << FILTER_BITS) - 1)])
+    places = np.flatnonzero(index.starts[words & index.low])
     ends = np.repeat(bounds[1:], np.diff(bounds))[places]
     found = []
     for r, masks in enumerate(index.filters):
         walk = walk_prefixes(words, places, ends, r, samples, steps)
         who, seen = next(walk)
         for mask in masks:
-            keep = np.flatnonzero(mask[seen & np.uint64((1 << FILTER_BITS) - 1)])
+            keep = np.flatnonzero(mask[seen & index.low])
             last = who[keep], seen[keep]
             try:
                 who, seen = walk.send(keep)
@@ -272,15 +274,25 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         if not ids:
             continue
         bounds = np.concatenate(([0], np.cumsum([len(w) for w in words])))
-        shared = spark.sparkContext.broadcast(
-            build_index(np.array(ids), np.concatenate(words), bounds, repetitions, samples, steps))
-        found = found.union(source.mapInArrow(_search(shared, percent, samples, steps), schema))
+        shared = spark.sparkContext.broadcast((np.array(ids), np.concatenate(words), bounds))
+        found = found.union(source.mapInArrow(_search(shared, percent, repetitions, samples, steps), schema))
     return found.groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"))
 
 
-def _search(shared, percent: int, samples: int, steps: int):
+_LAST: tuple | None = None
+
+
+def _index(shared, *how) -> Index:
+    """The index of a block of items, built once by each Python worker that needs it."""
+    global _LAST
+    if _LAST is None or _LAST[0] is not shared.value or _LAST[1] != how:
+        _LAST = shared.value, how, build_index(*shared.value, *how)
+    return _LAST[2]
+
+
+def _search(shared, percent: int, repetitions: int, samples: int, steps: int):
     def run(batches):
-        index = shared.value
+        index = _index(shared, repetitions, samples, steps)
         for batch in batches:
             ids, rows = batch.column(0), []
             for part in slices(batch.column(1), lower=True):
