@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from .tables import python_ready, stored
 from .wordhash import WordHash, sequences, slices
 
-WINDOW, MINIMISER = 35, 8
+WINDOW, MINIMISER = 35, 5
+#: A run is kept as one number: its first window, and in the low bits its number of windows.
+SPAN_BITS = 6
 
 
 @lru_cache(maxsize=3)
@@ -72,8 +74,8 @@ def _runs(window: int, m: int):
                 row, first, n, least = runs_of(hashes, part.bounds, window, m)
                 place = pa.array(row + part.rows.start)
                 yield pa.record_batch([batch.column(0).take(place), batch.column(1).take(place),
-                                       pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)),
-                                       pa.array(least)], names=["row", "mark", "start", "windows", "minimiser"])
+                                       pa.array(first << SPAN_BITS | n), pa.array(least)],
+                                      names=["row", "mark", "span", "minimiser"])
     return run
 
 
@@ -82,23 +84,24 @@ def _pack(window: int):
         for batch in batches:
             lists = batch.column(3)
             edges = np.asarray(lists.offsets)
-            start, windows = (np.asarray(lists.values.field(x)) for x in ("start", "windows"))
+            spans, least = (np.asarray(lists.values.field(x)) for x in ("span", "minimiser"))
+            start, size = spans >> SPAN_BITS, (spans & (1 << SPAN_BITS) - 1) + window - 1
             for part in slices(batch.column(2)):
-                rows, digests, packed = [], [], []
+                rows, packed = [], []
                 lo, hi = edges[part.rows.start], edges[part.rows.stop]
                 for r in range(len(part.bounds) - 1):
                     at, stop = part.bounds[r], part.bounds[r + 1]
                     words = [part.data[b:e].tobytes() for b, e in zip(part.starts[at:stop], part.ends[at:stop])]
                     runs = range(edges[part.rows.start + r], edges[part.rows.start + r + 1])
                     rows.extend([part.rows.start + r] * len(runs))
-                    packed.extend(b" ".join(words[start[i]:start[i] + windows[i] + window - 1]) for i in runs)
-                digests = [hashlib.blake2b(x, digest_size=16).digest() for x in packed]
+                    packed.extend(b" ".join(words[start[i]:start[i] + size[i]]) for i in runs)
+                digests = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in packed), np.int64)
                 place = pa.array(rows, pa.int64())
                 yield pa.record_batch([
-                    batch.column(0).take(place), batch.column(1).take(place), pa.array(start[lo:hi], pa.int32()),
-                    lists.values.field("minimiser").slice(lo, hi - lo), pa.array(digests, pa.binary()),
-                    pa.array(packed, pa.binary())],
-                    names=["row", "mark", "start", "minimiser", "digest", "packed"])
+                    batch.column(0).take(place), batch.column(1).take(place), pa.array(spans[lo:hi]),
+                    pa.array(least[lo:hi]), pa.array(digests[0::2]), pa.array(digests[1::2]),
+                    pa.array(packed, pa.binary()).cast(pa.string())],
+                    names=["row", "mark", "span", "minimiser", "d1", "d2", "packed"])
     return run
 
 
@@ -128,12 +131,13 @@ def _counted(window: int):
 
 
 def _numbered(window: int):
-    """Windows of packed strings with the string's digest and their number in it."""
+    """Windows of packed strings with the string's number and, in the low bits, their own."""
     def run(batches):
         for batch in batches:
+            ids = np.asarray(batch.column(1))
             for owner, number, hi, lo in cut(batch.column(0), window):
-                yield pa.record_batch([batch.column(1).take(pa.array(owner)), pa.array(number.astype(np.int32)),
-                                       pa.array(hi), pa.array(lo)], names=["digest", "number", "hi", "lo"])
+                yield pa.record_batch([pa.array(ids[owner] << SPAN_BITS | number), pa.array(hi), pa.array(lo)],
+                                      names=["place", "hi", "lo"])
     return run
 
 
@@ -144,26 +148,33 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, m: int = MINIMISER)
     array of (start, flags): bit i of flags says that the window at word
     start + i occurs elsewhere too.
     """
-    if not 1 <= m <= window <= m + 63:
+    if not 1 <= m <= window < m + 62:
         raise ValueError("a run's windows must fit a 64-bit bitmap")
-    runs = stored(rows.mapInArrow(
-        _runs(window, m), "row long, mark long, start int, windows int, minimiser long"), "runs")
+    runs = stored(rows.mapInArrow(_runs(window, m), "row long, mark long, span long, minimiser long"), "runs")
     often = runs.groupBy("minimiser").count().where("count > 1").select("minimiser")
     shared = runs.join(often, "minimiser", "left_semi")
-    by_row = shared.groupBy("row", "mark").agg(F.collect_list(F.struct("start", "windows", "minimiser")).alias("runs"))
+    by_row = shared.groupBy("row", "mark").agg(F.collect_list(F.struct("span", "minimiser")).alias("runs"))
     packed = stored(rows.join(by_row, ["row", "mark"]).select("row", "mark", "text", "runs").mapInArrow(
-        _pack(window), "row long, mark long, start int, minimiser long, digest binary, packed binary"), "superkmers")
-
-    strings = stored(packed.groupBy("minimiser", "digest", "packed").agg(F.count(F.lit(1)).alias("times")).select(
-        F.col("packed").cast("string"), "digest", "times"), "strings")
+        _pack(window), "row long, mark long, span long, minimiser long, d1 long, d2 long, packed string"), "superkmers")
+
+    strings = stored(packed.groupBy("minimiser", "d1", "d2", "packed").agg(F.count(F.lit(1)).alias("times"))
+                           .select("d1", "d2", "packed", "times", F.monotonically_increasing_id().alias("id")), "strings")
+    # Every window of a string that occurs twice is repeated; of the others, those found in another string too.
+    sizes = F.size(F.split("packed", " ")) - (window - 1)
+    whole = (strings.where("times > 1").withColumn("n", sizes)
+                    .select("d1", "d2", F.expr("shiftleft(1L, n) - 1").alias("flags")))
     counted = strings.select("packed", "times").mapInArrow(_counted(window), "hi long, lo long, times long")
     twice = counted.groupBy("hi", "lo").agg(F.sum("times").alias("times")).where("times > 1").select("hi", "lo")
-    windows = strings.select("packed", "digest").mapInArrow(
-        _numbered(window), "digest binary, number int, hi long, lo long")
-    flags = (windows.join(twice, ["hi", "lo"], "left_semi").groupBy("digest")
-                    .agg(F.bit_or(F.expr("shiftleft(1L, number)")).alias("flags")))
-    found = packed.select("row", "mark", "start", "digest").join(flags, "digest")
-    return found.groupBy("row", "mark").agg(F.collect_list(F.struct("start", "flags")).alias("spans"))
+    windows = strings.where("times = 1").select("packed", "id").mapInArrow(
+        _numbered(window), "place long, hi long, lo long")
+    low = (1 << SPAN_BITS) - 1
+    flags = (windows.join(twice, ["hi", "lo"], "left_semi")
+                    .groupBy(F.expr(f"shiftright(place, {SPAN_BITS})").alias("id"))
+                    .agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(place & {low} AS INT))")).alias("flags")))
+    some = strings.where("times = 1").select("id", "d1", "d2").join(flags, "id").select("d1", "d2", "flags")
+    found = packed.select("row", "mark", "span", "d1", "d2").join(whole.union(some), ["d1", "d2"])
+    start = F.expr(f"CAST(shiftright(span, {SPAN_BITS}) AS INT)").alias("start")
+    return found.groupBy("row", "mark").agg(F.collect_list(F.struct(start, "flags")).alias("spans"))
 
 
 def covered(n: int, start: np.ndarray, flags: np.ndarray, window: int) -> np.ndarray:
