@@ -5,9 +5,9 @@ import pytest
 
 from tidewater import jobs, sources
 from tidewater.operators.checks import ContentMismatch
+from tests.golden import FILTER_COUNTS, FILTER_LINE, WORD_COUNTS, WORD_LINES as WORDS
 from tests.test_devicelog_sinks import _device_doc
 
-WORDS = ["hi there", "hi", "hi sue bob", "hi sue", "", "bob hi"]
 
 
 def _write(path, lines):
@@ -20,12 +20,12 @@ def test_wordcount_job(spark, tmp_dir):
     src = _write(os.path.join(tmp_dir, "in.txt"), WORDS)
     jobs.wordcount(spark, src, os.path.join(tmp_dir, "out"))
     got = sorted(r.value for r in spark.read.text(os.path.join(tmp_dir, "out")).collect())
-    assert got == ["bob: 2", "hi: 5", "sue: 2", "there: 1"]
+    assert got == WORD_COUNTS
 
 
 def test_debugging_wordcount_job(spark, tmp_dir):
-    src = _write(os.path.join(tmp_dir, "in.txt"), ["stomach secret Flourish message Flourish here Flourish"])
-    kept = jobs.debugging_wordcount(spark, src, expected=[("Flourish", 3), ("stomach", 1)])
+    src = _write(os.path.join(tmp_dir, "in.txt"), [FILTER_LINE])
+    kept = jobs.debugging_wordcount(spark, src, expected=FILTER_COUNTS)
     assert kept.count() == 2
     with pytest.raises(ContentMismatch):
         jobs.debugging_wordcount(spark, src, expected=[("Flourish", 2)])
@@ -52,14 +52,14 @@ def test_device_log_job(spark, tmp_dir):
 
 
 def test_contact_lines(spark):
-    emails = spark.createDataFrame([("amy", "amy@example.com"), ("carl", "carl@example.com"),
-                                    ("julia", "julia@example.com"), ("carl", "carl@email.com")],
-                                   "name string, value string")
-    phones = spark.createDataFrame([("amy", "111-222-3333"), ("james", "222-333-4444"),
-                                    ("amy", "333-444-5555"), ("carl", "444-555-6666")], "name string, value string")
-    lines = sorted(r.value for r in jobs.contact_lines({"emails": emails, "phones": phones}).collect())
-    assert lines[0] == "NAME amy EMAILS : [amy@example.com] PHONES : [111-222-3333, 333-444-5555]"
-    assert lines[2] == "NAME james EMAILS : [] PHONES : [222-333-4444]"
+    shops = spark.createDataFrame([("north", "n1@shops.test"), ("west", "w2@shops.test"), ("west", "w1@shops.test")],
+                                  "name string, value string")
+    desks = spark.createDataFrame([("north", "desk 9"), ("east", "desk 4"), ("north", "desk 2"), ("north", "desk 5")],
+                                  "name string, value string")
+    lines = sorted(r.value for r in jobs.contact_lines({"shops": shops, "desks": desks}).collect())
+    assert lines == ["NAME east SHOPS : [] DESKS : [desk 4]",
+                     "NAME north SHOPS : [n1@shops.test] DESKS : [desk 2, desk 5, desk 9]",
+                     "NAME west SHOPS : [w1@shops.test, w2@shops.test] DESKS : []"]
 
 
 def test_table_scan_job(spark):
@@ -74,8 +74,7 @@ def test_cli_wordcount(spark, tmp_dir):
 
 
 def test_lines_with_side_record(spark, tmp_dir):
-    verse = sources.from_strings(spark, ["To be, or not to be: that is the question: ",
-                                         "Whether 'tis nobler in the mind to suffer "])
+    verse = sources.from_strings(spark, ["a first line of our own", "and a second"])
     rec = _write(os.path.join(tmp_dir, "rec.json"), ['{"name": "side", "n": "1"}'])
     out = jobs.lines_with_side_record(spark, verse, rec).collect()
     assert [r.side["name"] for r in out] == ["side", "side"]

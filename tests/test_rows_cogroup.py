@@ -5,15 +5,18 @@ from tidewater import sources
 from tidewater.operators import cogroup as C
 from tidewater.operators import rows as R
 
-# In-memory search / result / choice events: 1 search, 4 results, 2 choices.
+# Own search / result / choice events: two searches (one without results), three results of which two share
+# an id2, a tie of times, and a choice that no result explains.
 EVENTS = [
-    '{"id":"2","search":"tv","name":"search1","timestamp":1}',
-    '{"id":"2","id2":"A4","resultsearch":"r1","name":"result1","timestamp":2}',
-    '{"id":"2","id2":"A4","resultsearch":"r2","name":"result2","timestamp":3}',
-    '{"id":"2","id2":"A4","resultsearch":"r3","name":"result3","timestamp":4}',
-    '{"id":"2","id2":"A4","resultsearch":"r4","name":"result4","timestamp":5}',
-    '{"id2":"A4","choice":"choice1","name":"choice1"}',
-    '{"id2":"A4","choice":"choice2","name":"choice2"}',
+    '{"id":"u7","search":"lamps","timestamp":40}',
+    '{"id":"u9","search":"chairs","timestamp":41}',
+    '{"id":"u7","id2":"k-red","pos":1,"timestamp":50}',
+    '{"id":"u8","id2":"k-red","pos":4,"timestamp":50}',
+    '{"id":"u7","id2":"k-blue","pos":2,"timestamp":60}',
+    '{"id2":"k-blue","choice":"buy"}',
+    '{"id2":"k-blue","choice":"look"}',
+    '{"id2":"k-red","choice":"look"}',
+    '{"id2":"k-none","choice":"buy"}',
 ]
 
 
@@ -35,16 +38,27 @@ def test_struct_parse_quarantine(spark):
 def test_route_resolve_and_three_way(spark):
     parsed = R.route_by_presence(R.good_rows(R.parse_json(sources.from_strings(spark, EVENTS), "value")))
     kinds = {r.kind: r["count"] for r in parsed.groupBy("kind").count().collect()}
-    assert kinds == {"search": 1, "result": 4, "choice": 2}
-    flat = parsed.select("kind", *[F.col("row")[k].alias(k) for k in ("id", "id2", "name", "timestamp")])
+    assert kinds == {"search": 2, "result": 3, "choice": 4}
+    flat = parsed.select("kind", *[F.col("row")[k].alias(k) for k in ("id", "id2", "choice", "timestamp")])
     result = R.routed(flat, "result")
     choice = R.routed(flat, "choice").drop("id")
     search = R.routed(flat, "search")
-    resolved, unmatched = C.resolve_ids(result, choice, "id2", "id", order=["timestamp"])
-    assert sorted((r.id, r.name) for r in resolved.collect()) == [("2", "choice1"), ("2", "choice2")]
-    assert unmatched.count() == 0
+    resolved, unmatched = C.resolve_ids(result, choice, "id2", "id", order=["timestamp", "id"])
+    assert sorted((r.id, r.id2, r.choice) for r in resolved.collect()) == [
+        ("u7", "k-blue", "buy"), ("u7", "k-blue", "look"), ("u7", "k-red", "look")]
+    assert [r.id2 for r in unmatched.collect()] == ["k-none"]
     counts = C.cogroup_counts({"search": search, "result": result, "choice": resolved}, "id").collect()
-    assert [(r.key, r.n_search, r.n_result, r.n_choice) for r in counts] == [("2", 1, 4, 2)]
+    assert sorted((r.key, r.n_search, r.n_result, r.n_choice) for r in counts) == [
+        ("u7", 1, 2, 3), ("u8", 0, 1, 0), ("u9", 1, 0, 0)]
+
+
+def test_null_lines_are_rejects(spark):
+    df = spark.createDataFrame([(None,), ('{"id2":"x"}',)], "value string")
+    for schema in (None, "id2 string"):
+        parsed = R.parse_json(df, "value", schema)
+        assert R.good_rows(parsed).count() == 1 and R.rejected_rows(parsed).count() == 1
+    kinds = R.route_with_rejects(R.parse_json(df, "value")).groupBy("kind").count().collect()
+    assert {r.kind: r["count"] for r in kinds} == {"choice": 1, "_rejected": 1}
 
 
 def test_unmatched_choice_rejected(spark):
@@ -55,22 +69,17 @@ def test_unmatched_choice_rejected(spark):
     assert [r.name for r in unmatched.collect()] == ["c2"]
 
 
-def test_cogroup_emails_phones(spark):
-    emails = spark.createDataFrame([("amy", "amy@example.com"), ("carl", "carl@example.com"),
-                                    ("julia", "julia@example.com"), ("carl", "carl@email.com")],
-                                   "name string, value string")
-    phones = spark.createDataFrame([("amy", "111-222-3333"), ("james", "222-333-4444"),
-                                    ("amy", "333-444-5555"), ("carl", "444-555-6666")],
-                                   "name string, value string")
-    g = C.cogroup_lists({"emails": emails, "phones": phones}, "name")
-    got = {r.key: (len(r.emails), len(r.phones)) for r in g.collect()}
-    assert got == {"amy": (1, 2), "carl": (2, 1), "james": (0, 1), "julia": (1, 0)}
-    long = C.cogroup({"emails": emails, "phones": phones}, "name")
-    assert long.count() == 8
+def test_cogroup_two_inputs(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2), ("d", 5)], "name string, value int")
+    right = spark.createDataFrame([("b", "x"), ("c", "y"), ("c", "y"), ("c", "z")], "name string, value string")
+    g = C.cogroup_lists({"left": left, "right": right}, "name")
+    got = {r.key: (len(r.left), len(r.right)) for r in g.collect()}
+    assert got == {"a": (1, 0), "b": (2, 1), "c": (0, 3), "d": (1, 0)}
+    assert C.cogroup({"left": left, "right": right}, "name").count() == 8
 
 
 def test_singleton_side_input(spark):
-    lines = sources.from_strings(spark, ["To be, or not to be", "Whether 'tis nobler"])
+    lines = sources.from_strings(spark, ["line one", "line two"])
     one = spark.createDataFrame([("v1",)], "version string")
     out = C.with_singleton(lines, one).collect()
     assert [r.version for r in out] == ["v1", "v1"]

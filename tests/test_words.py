@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tests.golden import FILTER_COUNTS, FILTER_LINE, WORD_LINES as WORDS
 from tidewater import sources
 from tidewater.operators import words as W
 from tidewater.operators.checks import ContentMismatch, expect_rows
@@ -25,7 +26,6 @@ def test_apostrophe_variant(spark):
         "ungovern'd", "robbers'", "know't"]
 
 
-WORDS = ["hi there", "hi", "hi sue bob", "hi sue", "", "bob hi"]
 
 
 def test_count_words_golden(spark):
@@ -40,10 +40,10 @@ def test_format_counts(spark):
 
 
 def test_filter_full_match_and_check(spark):
-    line = "stomach secret Flourish message Flourish here Flourish Flourishes"
+    line = FILTER_LINE + " Flourishes"
     counts = W.count_words(sources.from_strings(spark, [line]))
     got = W.filter_words(counts)
-    expected = spark.createDataFrame([("Flourish", 3), ("stomach", 1)], "word string, n long")
+    expected = spark.createDataFrame(FILTER_COUNTS, "word string, n long")
     expect_rows(got, expected)
     m = W.filter_metrics(counts).first()
     assert (m.matched_words, m.unmatched_words) == (2, 4)
