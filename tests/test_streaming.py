@@ -11,6 +11,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tidewater import sinks
 from tidewater.streaming import jobs
 from tidewater.streaming.state import pane_sums, session_updates
 
@@ -33,10 +34,10 @@ def _run(spark, tmp, batches, schema, build):
     return spark.read.parquet(out)
 
 
-def _panes(spark, tmp, batches, per_group=60, combine=True):
+def _panes(spark, tmp, batches, combine=True):
     rows = [[{"ts": DAY + t, "value": v} for t, v in b] for b in batches]
     got = _run(spark, tmp, rows, "ts timestamp, value double",
-               lambda s: pane_sums(s, "ts", "value", 1, 5, combine=combine, windows_per_group=per_group))
+               lambda s: pane_sums(s, "ts", "value", 1, 5, combine=combine))
     per_key = {}
     ordered = sorted(got.collect(), key=lambda r: (r.batch_id, RANK[r.dollar_timing]))
     idx = {}
@@ -49,11 +50,11 @@ def _panes(spark, tmp, batches, per_group=60, combine=True):
     return per_key
 
 
-@pytest.mark.parametrize("per_group,combine", [(1, True), (60, True), (60, False)])
-def test_panes_g1(spark, tmp_dir, per_group, combine):
+@pytest.mark.parametrize("combine", [True, False])
+def test_panes_g1(spark, tmp_dir, combine):
     g1 = [[("00:00:10", 1)], [("00:03:00", 3)], [("00:00:20", 2)], [("00:10:00", 10)],
           [("00:10:01", 1)], [("00:00:30", 5)]]
-    assert _panes(spark, tmp_dir, g1, per_group, combine) == {
+    assert _panes(spark, tmp_dir, g1, combine) == {
         "00:00": [(1, "EARLY"), (1, "ON_TIME"), (3, "LATE")],
         "00:03": [(3, "EARLY"), (3, "ON_TIME")],
         "00:10": [(10, "EARLY"), (11, "EARLY")],
@@ -75,15 +76,14 @@ def _hm(ms):
     return f"{s // 3600 % 24:02d}:{s // 60 % 60:02d}" + (f":{s % 60:02d}" if s % 60 else "")
 
 
-@pytest.mark.parametrize("buckets", [1, 1024])
-def test_sessions_g3(spark, tmp_dir, buckets):
+def test_sessions_g3(spark, tmp_dir):
     g3 = [[("00:00", "x", 1)], [("00:30", "x", 2), ("00:10", "y", 5)], [("00:20", "x", 9)],
           [("01:30", "x", 3)], [("02:00", "z", 1)], [("02:00:01", "z", 2)], [("00:45", "y", 6)],
           [("01:10", "y", 7)]]
     rows = [[{"ts": DAY + (t if t.count(":") == 2 else t + ":00"), "ride": k, "v": v, "seq": 100 * i + j}
              for j, (t, k, v) in enumerate(b)] for i, b in enumerate(g3)]
     got = _run(spark, tmp_dir, rows, "ts timestamp, ride string, v long, seq long",
-               lambda s: session_updates(s, "ride", "ts", "seq", ["v"], ["long"], 60, key_buckets=buckets))
+               lambda s: session_updates(s, "ride", "ts", "seq", ["v"], ["long"], 60))
     per_key = {}
     for r in sorted(got.collect(), key=lambda r: (r.batch_id, RANK[r.timing], r.session_start_ms)):
         per_key.setdefault(r.ride, []).append((_hm(r.session_start_ms), _hm(r.session_end_ms), r.v, r.timing))
@@ -127,12 +127,16 @@ def test_ride_jobs_end_to_end(spark, tmp_dir):
     turnover = spark.read.json(f"{tmp_dir}/turnover")
     final = turnover.groupBy("dollar_window").agg(F.max("dollar_turnover").alias("t")).collect()
     assert sorted((r.dollar_window % 1440, r.t) for r in final) == [(0.0, 1.75), (1.0, 0.5), (2.0, 9.0)]
-    pos = spark.read.json(f"{tmp_dir}/pos")
+    log = sinks.read_table(spark, f"{tmp_dir}/pos")
+    assert {"value", "ride_id", "session_start_ms", "timing", "batch_id", "day"} == set(log.columns)
+    pos = log.select(F.from_json("value", "lat float, lon float, ride_id string, timestamp string, ride_status string").alias("p")).select("p.*")
     last = {r.ride_id: r for r in pos.collect() if r.ride_id == "r1" and r.timestamp.endswith("01:20.123Z")}
     assert last["r1"].ride_status == "dropoff"
     assert pos.where(F.col("ride_id").isNull()).count() == 0
     assert [r.ride_status for r in pos.where(F.col("ride_id") == "r3").collect()] == ["first"]
-    table = spark.read.parquet(f"{tmp_dir}/table")
+    table = sinks.read_table(spark, f"{tmp_dir}/table")
+    import glob
+    assert {os.path.basename(d).split("=")[0] for d in glob.glob(f"{tmp_dir}/table/*=*")} == {"day"}
     assert set(table.columns) >= {"ride_id", "latitude", "timestamp", "meter_reading", "day"}
     assert table.where(F.col("meter_reading").isNotNull()).count() == 0
 
@@ -176,3 +180,72 @@ def test_windowed_word_count_job(spark, tmp_dir):
     # Windows 00:00 and 00:10 are closed by later data; 00:20 is still open.
     assert rows == [("00:00-00:10", "hi: 2"), ("00:00-00:10", "there: 1"),
                     ("00:10-00:20", "bob: 1"), ("00:10-00:20", "hi: 1"), ("00:10-00:20", "sue: 1")]
+
+
+def _messages(spark, tmp, batches):
+    """Batches of (ts, payload text) as a message stream, one batch per file and trigger."""
+    src = os.path.join(tmp, "messages")
+    os.makedirs(src)
+    for i, b in enumerate(batches):
+        p = os.path.join(src, f"m{i}.json")
+        with open(p, "w") as f:
+            f.write("\n".join(json.dumps({"ts": DAY + t, "payload": x}) for t, x in b) + "\n")
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    from tidewater.streaming.sources import message_stream
+    return message_stream(spark, src, 1)
+
+
+def _ride(ride, t, **more):
+    return json.dumps({"ride_id": ride, "timestamp": None if t is None else t if t[0] == "x" else DAY + t + "Z",
+                       "latitude": "1.5", "longitude": 2, "ride_status": "enroute", **more})
+
+
+def test_latest_point_goes_by_payload_time(spark, tmp_dir):
+    m = _messages(spark, tmp_dir, [[("00:00:10", _ride("a", "00:05:00"))], [("00:00:20", _ride("a", "00:01:00"))],
+                                   [("00:00:20", _ride("b", "00:01:00", ride_status="one")),
+                                    ("00:00:20", _ride("b", "00:01:00", ride_status="two"))]])
+    jobs.finish(jobs.start_positions(m, f"{tmp_dir}/p", f"{tmp_dir}/t", f"{tmp_dir}/c", {"availableNow": True}))
+    last = jobs.latest_rows(sinks.read_table(spark, f"{tmp_dir}/p").drop("day"), ["ride_id", "session_start_ms"])
+    got = {r.ride_id: json.loads(r.value) for r in last.collect()}
+    assert got["a"]["timestamp"].endswith("00:05:00.000Z") and got["b"]["ride_status"] == "one"
+
+
+def test_bad_fields_go_to_rejects_and_do_not_end_the_stream(spark, tmp_dir):
+    batch = [("00:00:01", _ride("a", "xyz", meter_increment="0.5")), ("00:00:02", _ride("a", None, meter_increment=1)),
+             ("00:00:03", _ride(None, "00:00:03", meter_increment="n/a")), ("00:00:04", _ride("a", "00:00:04", passenger_count="1")),
+             ("00:00:05", "[]"), ("00:00:06", None)]
+    m = _messages(spark, tmp_dir, [batch])
+    done = {"availableNow": True}
+    jobs.finish(jobs.start_positions(m, f"{tmp_dir}/p", f"{tmp_dir}/t", f"{tmp_dir}/c1", done))
+    jobs.finish(jobs.start_turnover(m, f"{tmp_dir}/o", f"{tmp_dir}/c2", done))
+    jobs.finish(jobs.start_rejects(m, f"{tmp_dir}/r", f"{tmp_dir}/c3", done))
+    assert sinks.read_table(spark, f"{tmp_dir}/p").count() == 1
+    assert [r.dollar_turnover for r in spark.read.json(f"{tmp_dir}/o").where("dollar_timing = 'EARLY'").collect()] == [1.5]
+    reasons = spark.read.json(f"{tmp_dir}/r").groupBy("branch", "reason").count().collect()
+    assert {(r.branch, r.reason): r["count"] for r in reasons} == {
+        ("turnover", "undecodable"): 2, ("positions", "undecodable"): 2, ("turnover", "bad_meter"): 1,
+        ("turnover", "no_meter"): 1, ("positions", "no_ride_id"): 1, ("positions", "bad_time"): 2}
+
+
+def test_a_moved_start_takes_back_the_old_one(spark, tmp_dir):
+    rows = [[{"ts": DAY + "00:30:00", "k": "a", "id": 1}], [{"ts": DAY + "00:10:00", "k": "a", "id": 2}],
+            [{"ts": DAY + "01:50:00", "k": "a", "id": 3}], [{"ts": DAY + "01:05:00", "k": "a", "id": 4}]]
+    got = _run(spark, tmp_dir, rows, "ts timestamp, k string, id long",
+               lambda s: session_updates(s, "k", "ts", "id", ["id"], ["long"], 60, out_of_order_minutes=60))
+    last = jobs.latest_rows(got, ["k", "session_start_ms"])
+    rows = {(_hm(r.session_start_ms), r.n_events, r.timing) for r in last.collect()}
+    assert rows == {("00:10", 4, "EARLY"), ("00:30", 0, "RETRACTED"), ("01:50", 0, "RETRACTED")}
+
+
+def test_replay_does_not_depend_on_the_number_of_files(spark, tmp_dir):
+    from tidewater.plans import stream_queries as Q
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    results = []
+    for n in (1, 4):
+        d = f"{tmp_dir}/files{n}"
+        ev.repartition(n).write.parquet(f"{d}/events.parquet")
+        rows = Q.stream_panes(spark, d).collect()
+        results.append(sorted((r.dollar_window, r.dollar_timing, r.dollar_turnover) for r in rows))
+    assert results[0] == results[1]
+    timings = [t for _, t, _ in results[0]]
+    assert timings.count("LATE") > 0 and timings.count("ON_TIME") > 0

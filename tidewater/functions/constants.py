@@ -45,9 +45,7 @@ RIDE_TABLE_DDL = (
     "ride_id string, latitude double, longitude double, timestamp timestamp, "
     "meter_reading double, meter_increment double, passenger_count bigint, ride_status string"
 )
-# Ride message schema (payload); event time comes from the attribute `ts`.
-RIDE_MESSAGE_DDL = (
-    "ride_id string, latitude double, longitude double, timestamp string, "
-    "meter_reading double, meter_increment double, ride_status string, passenger_count bigint"
-)
+# Ride message fields (payload), read as text; event time comes from the attribute `ts`.
+RIDE_MESSAGE_FIELDS = ("ride_id", "latitude", "longitude", "timestamp",
+                       "meter_reading", "meter_increment", "ride_status", "passenger_count")
 # --- end of fixed values ----------------------------------------------------

@@ -20,8 +20,8 @@ def as_timestamp(c) -> Column:
 
 
 def iso_to_epoch_ms(c) -> Column:
-    """ISO-8601 text with offset and up to ns digits -> epoch milliseconds (floor to ms)."""
-    return F.unix_millis(_col(c).cast("timestamp"))
+    """ISO-8601 text with offset and up to ns digits -> epoch milliseconds (floor to ms); null if it is none."""
+    return F.unix_millis(_col(c).try_cast("timestamp"))
 
 
 def epoch_ms_to_iso(c) -> Column:

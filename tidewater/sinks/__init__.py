@@ -6,6 +6,8 @@ idempotent per output path or per micro-batch id.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,10 @@ from ..functions.time import day_of_number_field, day_of_time_field, day_of_wind
 from ..operators.rows import to_json_text
 
 
+#: Folder of a table's declared schema.
+DECLARED = "_schema"
+
+
 class SchemaMismatch(ValueError):
     pass
 
@@ -84,20 +90,48 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def _declared(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema a table was created with, if it was created by :func:`ensure_table`."""
+    if not _table_exists(spark, f"{path.rstrip('/')}/{DECLARED}"):
+        return None
+    return T.StructType.fromJson(json.loads(spark.read.text(f"{path.rstrip('/')}/{DECLARED}").first()[0]))
+
+
 def ensure_table_schema(spark: SparkSession, path: str, schema: T.StructType,
                         partition_cols: tuple[str, ...] = ()) -> None:
-    """Create-if-missing contract: a table that exists must have ``schema``
-    (nullability ignored); otherwise raise :class:`SchemaMismatch`.
+    """A table that exists must have ``schema`` (nullability ignored); otherwise
+    raise :class:`SchemaMismatch`. A missing table is left missing: see :func:`ensure_table`.
     """
     if not _table_exists(spark, path):
         return
-    existing = spark.read.parquet(path).schema
+    existing = _declared(spark, path) or spark.read.parquet(path).schema
     have = T.StructType([f for f in existing.fields if f.name not in partition_cols])
     if _strip_nullability(have) != _strip_nullability(schema):
         raise SchemaMismatch(f"table at {path} has schema {have.simpleString()}, "
                              f"expected {schema.simpleString()}")
 
 
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
+                 partition_cols: tuple[str, ...] = ()) -> None:
+    """Create the table, empty, with its declared schema if it is missing; else check its schema.
+
+    The declaration is kept beside the data under a name that readers of data files skip.
+    """
+    if _table_exists(spark, path):
+        ensure_table_schema(spark, path, schema, partition_cols)
+        return
+    declared = spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string")
+    declared.coalesce(1).write.text(f"{path.rstrip('/')}/{DECLARED}")
+
+
+def read_table(spark: SparkSession, path: str, part: str = "day") -> DataFrame:
+    """A day-partitioned table, with its declared schema also while it has no rows."""
+    declared = _declared(spark, path)
+    if declared is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(T.StructType([*declared.fields, T.StructField(part, T.StringType())])).parquet(path)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to a declared schema (missing columns become typed nulls)."""
     cols = []
@@ -111,7 +145,7 @@ def append_day_partitioned(df: DataFrame, path: str, schema: T.StructType,
                            time_col: str = "timestamp", part: str = "day") -> None:
     """Append rows with a declared schema, partitioned by the UTC day of ``time_col``."""
     spark = df.sparkSession
-    ensure_table_schema(spark, path, schema, (part,))
+    ensure_table(spark, path, schema, (part,))
     rows = conform(df, schema).withColumn(part, F.date_format(F.col(time_col), "yyyyMMdd"))
     # Few files per day, and a day holding most rows is split by AQE (REBALANCE).
     rows.hint("rebalance", part).write.mode("append").partitionBy(part).parquet(path)

@@ -12,59 +12,90 @@ through ``foreachBatch`` (the batch is cached and written twice).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import sinks
-from ..session import conf_override
-from ..functions.constants import (RIDE_MESSAGE_DDL, RIDE_TABLE_DDL, SESSION_GAP_MINUTES,
+from ..functions.constants import (RIDE_MESSAGE_FIELDS, RIDE_TABLE_DDL, SESSION_GAP_MINUTES,
                                    TURNOVER_LATENESS_MINUTES, WORD_WINDOW_MINUTES)
 from ..functions.text import format_count
+from ..functions.time import iso_to_epoch_ms
 from ..operators import rows as R
 from ..operators.words import count_words
-from .state import pane_sums, session_updates
+from .state import RETRACTED, pane_sums, session_updates
 
 
 def parsed_rides(messages: DataFrame) -> DataFrame:
-    """(ts, payload) -> ts plus the ride fields; undecodable payloads are dropped here
-    and available through :func:`ride_rejects`.
+    """(ts, payload) -> ts, the ride fields as text, and ``_corrupt`` (the payload if it is no JSON object).
+
+    Numbers stay text here: each branch converts what it needs, so that a
+    bad meter does not lose a position. Rejects: :func:`ride_rejects`.
     """
-    parsed = R.parse_message(messages, "payload", RIDE_MESSAGE_DDL, keep=["ts"])
-    return R.good_rows(parsed).select("ts", "row.*")
+    ddl = ", ".join(f"{f} string" for f in RIDE_MESSAGE_FIELDS)
+    parsed = R.parse_message(messages, "payload", ddl, keep=["ts"])
+    return parsed.select("ts", "row.*", R.CORRUPT)
+
 
+def meter_value(c: str = "meter_increment"):
+    return R.extract_double(c)
 
-def ride_rejects(messages: DataFrame) -> DataFrame:
-    return R.rejected_rows(R.parse_message(messages, "payload", RIDE_MESSAGE_DDL, keep=["ts"]))
 
+def ride_rejects(rides: DataFrame) -> DataFrame:
+    """One row per branch that cannot use a message: (ts, branch, reason, message).
 
-def turnover(rides: DataFrame, lateness_minutes: int = TURNOVER_LATENESS_MINUTES) -> DataFrame:
+    ``undecodable`` payloads are lost to both branches; turnover needs a numeric
+    ``meter_increment`` (``no_meter``, ``bad_meter``), positions a ``ride_id`` and a time (``no_ride_id``,
+    ``bad_time``).
+    """
+    corrupt = F.col(R.CORRUPT).isNotNull()
+    turnover_reason = (F.when(corrupt, "undecodable").when(F.col("meter_increment").isNull(), "no_meter")
+                        .when(meter_value().isNull(), "bad_meter"))
+    position_reason = (F.when(corrupt, "undecodable").when(F.col("ride_id").isNull(), "no_ride_id")
+                        .when(iso_to_epoch_ms("timestamp").isNull(), "bad_time"))
+    message = F.coalesce(F.col(R.CORRUPT), F.to_json(F.struct(*RIDE_MESSAGE_FIELDS)))
+    both = F.array(F.struct(F.lit("turnover").alias("branch"), turnover_reason.alias("reason")),
+                   F.struct(F.lit("positions").alias("branch"), position_reason.alias("reason")))
+    return (rides.select("ts", F.explode(both).alias("r"), message.alias("message"))
+                 .select("ts", "r.branch", "r.reason", "message").where(F.col("reason").isNotNull()))
+
+
+def turnover(rides: DataFrame, lateness_minutes: int = TURNOVER_LATENESS_MINUTES,
+             output_mode: str = "append") -> DataFrame:
     """Pane rows: dollar_turnover, dollar_timing, dollar_window (start, fractional minutes)."""
-    amounts = rides.select("ts", R.extract_double("meter_increment").alias("value")) \
+    amounts = rides.where(F.col(R.CORRUPT).isNull()).select("ts", meter_value().alias("value")) \
                    .where(F.col("value").isNotNull())
-    panes = pane_sums(amounts, "ts", "value", 1, lateness_minutes)
+    panes = pane_sums(amounts, "ts", "value", 1, lateness_minutes, output_mode=output_mode)
     return panes.select("dollar_turnover", "dollar_timing",
                         (F.col("window_start_ms") / F.lit(1000.0) / F.lit(60.0)).alias("dollar_window"))
 
 
-def positions(rides: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
-    """Latest point per ride session, one row per change (EARLY) and per close (ON_TIME)."""
-    pts = rides.where(F.col("ride_id").isNotNull()).select(
-        "ride_id", "ts",
-        F.unix_millis(F.col("timestamp").cast("timestamp")).alias("ts_ms"),
-        F.col("latitude").cast("float").alias("lat"), F.col("longitude").cast("float").alias("lon"),
+def positions(rides: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, out_of_order_minutes: int = 0) -> DataFrame:
+    """Latest point per ride session, one row per change (EARLY) and per close (ON_TIME).
+
+    Sessions form by the message time ``ts``; the latest point is the one of
+    the largest payload time, the first seen of equal ones.
+    """
+    pts = rides.where(F.col(R.CORRUPT).isNull() & F.col("ride_id").isNotNull()).select(
+        "ride_id", "ts", iso_to_epoch_ms("timestamp").alias("ts_ms"),
+        F.col("latitude").try_cast("float").alias("lat"), F.col("longitude").try_cast("float").alias("lon"),
         F.col("ride_status").alias("status"))
-    return session_updates(pts, "ride_id", "ts", "ts_ms", ["lat", "lon", "ts_ms", "status"],
-                           ["float", "float", "long", "string"], gap_minutes)
+    return session_updates(pts, "ride_id", "ts", None, ["lat", "lon", "ts_ms", "status"],
+                           ["float", "float", "long", "string"], gap_minutes, "ts_ms", out_of_order_minutes)
+
 
+POSITION_LOG_DDL = "value string, ride_id string, session_start_ms bigint, timing string, batch_id bigint"
 
-def position_rows(updates: DataFrame) -> DataFrame:
-    """Session updates -> point fields with the time as ISO UTC text."""
-    return updates.select("lat", "lon", "ride_id",
-                          F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-                           .alias("timestamp"),
-                          F.col("status").alias("ride_status"))
+
+def position_log(updates: DataFrame) -> DataFrame:
+    """Session updates -> JSON text of the point, the session it belongs to, and the day of the point."""
+    point = F.struct("lat", "lon", "ride_id",
+                     F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+                     F.col("status").alias("ride_status"))
+    text = F.when(F.col("timing") != RETRACTED, F.to_json(point, {"ignoreNullFields": "false"}))
+    return updates.select(text.alias("value"), "ride_id", "session_start_ms", "timing",
+                          F.date_format(F.timestamp_millis("ts_ms"), "yyyyMMdd").alias("day"))
 
 
 def ride_table_rows(updates: DataFrame) -> DataFrame:
@@ -81,27 +112,54 @@ def ride_table_rows(updates: DataFrame) -> DataFrame:
 
 def start_turnover(messages: DataFrame, out_path: str, checkpoint: str,
                    trigger: dict | None = None) -> StreamingQuery:
-    rows = turnover(parsed_rides(messages))
-    w = rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint) \
-            .foreachBatch(sinks.batch_writer(out_path, "text", json_payload=True))
+    """Every pane firing as a JSON line in the files under ``out_path`` (the file sink's log makes it exactly once)."""
+    rows = sinks.json_lines(turnover(parsed_rides(messages)))
+    w = rows.writeStream.format("text").outputMode("append").option("path", out_path) \
+            .option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+def start_rejects(messages: DataFrame, out_path: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """The messages that a branch cannot use, with the reason, as JSON files; counts per batch in the progress."""
+    rejects = ride_rejects(parsed_rides(messages)).observe("ride_rejects", F.count(F.lit(1)).alias("rejects"))
+    w = rejects.writeStream.format("json").outputMode("append").option("path", out_path) \
+               .option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+
+
 def start_positions(messages: DataFrame, json_path: str, table_path: str, checkpoint: str,
-                    trigger: dict | None = None) -> StreamingQuery:
-    updates = positions(parsed_rides(messages))
-    table_schema = T._parse_datatype_string(RIDE_TABLE_DDL)
+                    trigger: dict | None = None, out_of_order_minutes: int = 0) -> StreamingQuery:
+    """Session updates as JSON rows and, for rows with a status, in the day-partitioned ride table.
+
+    The JSON rows are a log of upserts by (ride_id, session_start_ms); a RETRACTED row has no
+    value and takes the session of that start back.
+
+    The table is created with its declared schema if it is missing, and checked, once at
+    the start. Both outputs carry the batch in the column ``batch_id`` and are
+    partitioned by day only. A batch that is run again after a failure is
+    written again only where its rows are not there yet.
+    """
+    updates = positions(parsed_rides(messages), out_of_order_minutes=out_of_order_minutes)
+    spark = messages.sparkSession
+    table_schema = T.StructType([*T._parse_datatype_string(RIDE_TABLE_DDL).fields, T.StructField("batch_id", T.LongType())])
+    sinks.ensure_table(spark, table_path, table_schema, ("day",))
+    sinks.ensure_table(spark, json_path, T._parse_datatype_string(POSITION_LOG_DDL), ("day",))
+    first: list[int] = []
+
+    def append(rows: DataFrame, path: str, batch_id: int) -> None:
+        # Only the first batch after a start can have been written before.
+        again = not first and not sinks.read_table(spark, path).where(F.col("batch_id") == batch_id).isEmpty()
+        if not again:
+            rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").partitionBy("day").parquet(path)
 
     def write_both(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            sinks.json_lines(position_rows(batch)).write.mode("overwrite") \
-                 .text(f"{json_path.rstrip('/')}/batch_id={batch_id}")
-            rows = ride_table_rows(batch).withColumn("batch_id", F.lit(batch_id))
-            sinks.ensure_table_schema(batch.sparkSession, table_path, table_schema, ("day", "batch_id"))
-            rows.withColumn("day", F.date_format("timestamp", "yyyyMMdd")) \
-                .write.mode("overwrite").partitionBy("batch_id", "day") \
-                .option("partitionOverwriteMode", "dynamic").parquet(table_path)
+            kept = batch.where(F.col("timing") != RETRACTED)
+            append(position_log(batch), json_path, batch_id)
+            append(ride_table_rows(kept).withColumn("day", F.date_format("timestamp", "yyyyMMdd")), table_path, batch_id)
+            first.append(batch_id)
         finally:
             batch.unpersist()
 
@@ -148,27 +206,42 @@ def start_string_passthrough(spark: SparkSession, topic: str | None = None,
 
 
 def run_available(df: DataFrame, out_path: str, checkpoint: str, mode: str = "update",
-                  fmt: str = "parquet", json_payload: bool = False,
-                  state_partitions: int | None = None) -> None:
+                  fmt: str = "parquet", json_payload: bool = False) -> None:
     """Run a streaming DataFrame over everything available now, batch by batch,
     writing each micro-batch under ``out_path/batch_id=<id>``; wait for the end.
-
-    ``state_partitions`` fixes the number of state-store partitions of a new
-    checkpoint (by default the session's shuffle partitions).
     """
     w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
            .foreachBatch(sinks.batch_writer(out_path, fmt, json_payload)).trigger(availableNow=True))
-    conf = {"spark.sql.shuffle.partitions": state_partitions} if state_partitions else {}
-    with conf_override(df.sparkSession, conf):
-        q = w.start()
+    finish(w.start())
+
+
+def finish(q: StreamingQuery) -> None:
+    """Wait for a query's end and raise what ended it."""
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
 
+def replay(rows: DataFrame, step: Column, steps: int, feed: str, write, run) -> None:
+    """Feed ``rows`` to a stream in ``steps`` batches: append the rows of each step to ``feed``, then ``run()``.
+
+    ``step`` numbers the batches (0 to steps - 1) and may be any expression of the row; a batch may have
+    any number of files, as ``run`` takes all that is there as one micro-batch. The number of
+    steps is fixed by the caller, whatever the input.
+    """
+    numbered = rows.withColumn("__step", step)
+    for k in range(steps):
+        write(numbered.where(F.col("__step") == k).drop("__step"), feed)
+        run()
+
+
 def latest_by_batch(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
     """Upsert view of a batch-per-directory output: per key, the row of the last batch."""
-    rows = spark.read.parquet(out_path)
+    return latest_rows(spark.read.parquet(out_path), keys)
+
+
+def latest_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key, the row of the last batch (column ``batch_id``)."""
     payload = [c for c in rows.columns if c not in keys and c != "batch_id"]
     latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col("batch_id")).alias("__r"))
     return latest.select(*keys, "__r.*")

@@ -37,11 +37,19 @@ def string_stream(spark: SparkSession, topic: str | None = None, subscription: s
     return r.load(topic or subscription)
 
 
-def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Messages as JSON lines ``{"ts": <event time>, "payload": <text>}``: the event
-    time comes from the ``ts`` attribute, not from the payload.
+def message_stream(spark: SparkSession, path: str | None = None, max_files_per_trigger: int | None = None,
+                   fmt: str = "json", options: dict | None = None, ts: str = "ts", payload: str = "payload") -> DataFrame:
+    """Messages as (ts, payload bytes): the event time comes from the message's ``ts``
+    attribute, not from the payload.
+
+    By default JSON lines ``{"ts": <event time>, "payload": <text>}`` in files. Any other
+    streaming source that has a time and a payload column is named by ``fmt``, ``options`` and
+    the two column names (a message bus: its record time and its value).
     """
-    r = spark.readStream.schema("ts timestamp, payload string").format("json")
+    r = spark.readStream.format(fmt).options(**(options or {}))
+    if fmt == "json":
+        r = r.schema("ts timestamp, payload string")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path).select(F.col("ts"), F.col("payload").cast("binary").alias("payload"))
+    rows = r.load(path) if path else r.load()
+    return rows.select(F.col(ts).cast("timestamp").alias("ts"), F.col(payload).cast("binary").alias("payload"))

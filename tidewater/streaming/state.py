@@ -6,8 +6,8 @@ on time. Spark's watermark is ``max(event time) - delay``.
 
 Panes, with lateness L and watermark delay L: a window's end is passed when
 ``wm + L >= end`` and the window is dropped when ``wm >= end``.
-Sessions, with watermark delay = gap: an event is too late when ``ts <= wm``
-and a session is complete when ``wm >= last_ts``.
+Sessions, with watermark delay = gap (and the source's disorder, if any): an event is
+too late when ``ts <= wm`` and a session is complete when ``wm >= last_ts``.
 """
 
 from __future__ import annotations
@@ -28,88 +28,67 @@ from ..session import ship_package
 # Arrow -> pandas concat of empty group batches warns on every call in workers.
 warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 
+#: A session row that takes back an earlier one, whose start has moved.
+RETRACTED = "RETRACTED"
+
 PANE_OUT = "window_start_ms long, dollar_turnover double, dollar_timing string, pane_index long"
-PANE_STATE = "windows string"
+PANE_STATE = "total double, fired boolean, panes long"
 
 
 def _pane_fn(size_ms: int, lateness_ms: int):
-    """State per group of windows: {start_ms: [total, fired, timer, panes]}.
-
-    Every window keeps its own timer; the group's timer is the earliest one, and
-    a window is handled on a call only when it has data or its own timer is due
-    (``timer < watermark``), so the output equals one state per window.
-    """
+    """State per window: its sum, whether it has fired on time or late, its number of firings."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        wm = state.getCurrentWatermarkMs()
-        wins = json.loads(state.get[0]) if state.exists else {}
-        data: dict[str, float] = {}
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                if pdf.empty:
-                    continue
-                for st, v in pdf.groupby("start_ms")["value"].sum().items():
-                    data[str(int(st))] = data.get(str(int(st)), 0.0) + float(v)
+        start = int(key[0])
+        end, wm = start + size_ms, state.getCurrentWatermarkMs()
+        passed, had = wm + lateness_ms >= end, state.exists
+        total, fired, panes = state.get if had else (0.0, False, 0)
+        added = None if state.hasTimedOut else sum(float(pdf["value"].sum()) for pdf in pdfs if not pdf.empty)
         out = []
-        for st in sorted(set(wins) | set(data), key=int):
-            start = int(st)
-            end = start + size_ms
-            passed = wm + lateness_ms >= end
-            had = st in wins
-            total, fired, timer, panes = wins.get(st, (0.0, False, None, 0))
-            due = had and timer is not None and timer < wm
-            if st not in data and not due:
-                continue
-            if had and passed and not fired:
-                out.append((start, total, ON_TIME, panes))
-                fired, panes = True, panes + 1
-            if wm >= end:
-                # Dead window (past the allowed lateness): forget it; its late data is dropped.
-                wins.pop(st, None)
-                continue
-            if st in data:
-                total += data[st]
-                fired = fired or passed
-                timer = max(end if fired else end - lateness_ms, wm + 1)
+        if had and passed and not fired:
+            out.append((start, total, ON_TIME, panes))
+            fired, panes = True, panes + 1
+        if wm >= end:
+            # Dead window (past the allowed lateness): forget it; its late data is dropped.
+            if had:
+                state.remove()
+        else:
+            if added is not None:
+                total, fired = total + added, fired or passed
                 out.append((start, total, LATE if passed else EARLY, panes))
                 panes += 1
-            else:
-                timer = max(end, wm + 1)
-            wins[st] = [total, fired, timer, panes]
-        if wins:
-            state.update((json.dumps(wins),))
-            state.setTimeoutTimestamp(max(min(v[2] for v in wins.values()), wm + 1))
-        elif state.exists:
-            state.remove()
+            state.update((total, fired, panes))
+            state.setTimeoutTimestamp(max(end if fired else end - lateness_ms, wm + 1))
         if out:
-            yield pd.DataFrame(out, columns=["window_start_ms", "dollar_turnover", "dollar_timing",
-                                             "pane_index"])
+            yield pd.DataFrame(out, columns=["window_start_ms", "dollar_turnover", "dollar_timing", "pane_index"])
     return fn
 
 
 def _partial_sums(size_ms: int):
-    """Map-side combine: one (max_ts, sum) per window and Arrow batch."""
+    """Map-side combine: one (max_ts, sum) per window and task."""
     def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, list] = {}
         for pdf in it:
             if pdf.empty:
                 continue
             ms = pdf["ts"].astype("datetime64[us]").astype("int64") // 1000
             g = pdf.assign(__w=ms // size_ms).groupby("__w", sort=False)
-            yield pd.DataFrame({"max_ts": g["ts"].max().values, "s": g["value"].sum().values})
+            for w, ts, value in zip(g["ts"].max().index, g["ts"].max(), g["value"].sum()):
+                held = sums.setdefault(int(w), [ts, 0.0])
+                held[0], held[1] = max(held[0], ts), held[1] + float(value)
+        if sums:
+            yield pd.DataFrame(list(sums.values()), columns=["max_ts", "s"])
     return fn
 
 
 def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minutes: int = 1,
-              lateness_minutes: int = 5, combine: bool = True, windows_per_group: int = 60,
-              output_mode: str = "update") -> DataFrame:
+              lateness_minutes: int = 5, combine: bool = True, output_mode: str = "update") -> DataFrame:
     """Per tumbling window, an accumulating sum with a pane label per firing.
 
     Output: window_start_ms, dollar_turnover, dollar_timing, pane_index (0, 1, ..
     per window, in firing order). Every firing is a new row, so the query may
-    run in ``append`` mode (file sinks) or ``update`` mode. With
-    ``combine`` a stateless map-side partial sum runs first, so one window's
-    rows do not all travel to one Python group. State is kept per group of
-    ``windows_per_group`` consecutive windows (one Python call per group, not per
-    window); each window still has its own total, fired flag and timer.
+    run in ``append`` mode (file sinks) or ``update`` mode. With ``combine`` a
+    stateless map-side sum runs first, so a window costs one row per task. State
+    is kept per window, with the window's own timer.
     """
     ship_package(stream.sparkSession)
     size_ms = size_minutes * 60_000
@@ -121,77 +100,96 @@ def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minu
     wm = src.withWatermark("ts", f"{lateness_minutes} minutes")
     # Only the window (not ts) goes into the state function: late-row filtering
     # then uses the window's end, which is the lateness rule wanted.
-    start = F.unix_millis(F.col("w.start"))
     keyed = wm.select(F.window("ts", f"{size_minutes} minutes").alias("w"), "value") \
-              .select(F.floor(start / F.lit(size_ms * windows_per_group)).alias("k"),
-                      start.alias("start_ms"), "w", "value")
-    return keyed.groupBy("k").applyInPandasWithState(
+              .select(F.unix_millis(F.col("w.start")).alias("start_ms"), "w", "value")
+    return keyed.groupBy("start_ms").applyInPandasWithState(
         _pane_fn(size_ms, lat_ms), PANE_OUT, PANE_STATE, output_mode, GroupStateTimeout.EventTimeTimeout)
 
 
-SESSION_STATE = "sessions string"
+SESSION_STATE = "open string"
+
+
+def _wins(a: dict, b: dict) -> bool:
+    """Whether point a replaces point b: later order value, then the smaller tiebreak; else the first seen stays."""
+    return (a["order"], -a["tb"]) > (b["order"], -b["tb"])
 
 
 def _merge(sessions: list[dict]) -> list[dict]:
-    """Merge half-open [start, end) intervals that overlap; touching ones stay apart."""
+    """Merge half-open [start, end) intervals that overlap; touching ones stay apart.
+
+    ``shown`` keeps the starts under which a session has been reported.
+    """
     sessions.sort(key=lambda s: (s["start"], s["end"]))
     merged: list[dict] = []
     for s in sessions:
         if merged and s["start"] < merged[-1]["end"]:
             m = merged[-1]
-            # Later point wins; on equal time the stored (earlier-seen) one stays.
-            if (s["last"], -s["tb"]) > (m["last"], -m["tb"]):
-                m["last"], m["tb"], m["point"] = s["last"], s["tb"], s["point"]
-            m["end"] = max(m["end"], s["end"])
-            m["n"] += s["n"]
-            m["changed"] = m.get("changed", False) or s.get("changed", False)
+            first, second = (m, s) if m["seen"] <= s["seen"] else (s, m)
+            best = second if _wins(second, first) else first
+            m.update({x: best[x] for x in ("order", "tb", "point")})
+            m["end"], m["last"] = max(m["end"], s["end"]), max(m["last"], s["last"])
+            m["n"], m["seen"] = m["n"] + s["n"], min(m["seen"], s["seen"])
+            m["shown"], m["changed"] = m["shown"] + s["shown"], m["changed"] or s["changed"]
         else:
             merged.append(dict(s))
     return merged
 
 
-def _session_fn(key_name: str, gap_ms: int, point: Sequence[str], tiebreak: str, out_cols: list[str]):
-    """State per bucket of keys: {json(key): {"k": key, "s": [open sessions], "t": timer}}.
+def _local_sessions(pdf: pd.DataFrame, wm: int, gap_ms: int, point: Sequence[str], seen: int) -> list[dict]:
+    """Sessions of one chunk of a key's new rows; rows with event time <= wm are late and dropped."""
+    ms = (pdf["ts"].astype("datetime64[us]").astype("int64") // 1000).to_numpy()
+    keep = np.flatnonzero(ms > wm)
+    if not len(keep):
+        return []
+    rows = keep[np.argsort(ms[keep], kind="stable")]
+    order, tb = pdf["__order"].to_numpy(), pdf["__tb"].to_numpy()
+    cuts = np.flatnonzero(np.diff(ms[rows]) >= gap_ms) + 1
+    out = []
+    for part in np.split(rows, cuts):
+        part_by_best = part[np.lexsort((part, tb[part], -order[part]))]  # first seen first among equals
+        best = part_by_best[0]
+        start, last = int(ms[part[0]]), int(ms[part[-1]])
+        out.append({"start": start, "end": last + gap_ms, "last": last, "n": len(part), "seen": seen + int(part.min()),
+                    "order": int(order[best]), "tb": int(tb[best]),
+                    "point": [_plain(pdf[p].iloc[best]) for p in point], "shown": [], "changed": True})
+    return out
 
-    A key is handled on a call only when it has rows or its own timer is due
-    (``timer < watermark``), so the output equals one state per key.
-    """
-    def emit(key, s, timing):
-        return [key, s["start"], s["end"], s["last"], s["n"], *s["point"], timing]
 
-    def fn(gkey, pdfs: Iterator[pd.DataFrame], state):
+def _plain(v):
+    """A value as JSON holds it: plain Python, missing as None."""
+    if hasattr(v, "item"):
+        v = v.item()
+    return None if v is None or v is pd.NaT or v != v else v
+
+
+def _session_fn(gap_ms: int, point: Sequence[str], out_cols: list[str]):
+    """State per key: its open sessions; the timer is the earliest one's end."""
+    def fn(key, pdfs: Iterator[pd.DataFrame], state):
         wm = state.getCurrentWatermarkMs()
-        keys = json.loads(state.get[0]) if state.exists else {}
-        touched = set()
+        opened, seen = json.loads(state.get[0]) if state.exists else ([], 0)
+        out = []
         if not state.hasTimedOut:
-            # Chunk by chunk: sessions of a key merge as a union of intervals, so
-            # memory is one Arrow chunk plus the open sessions.
+            # Chunk by chunk: sessions merge as a union of intervals, so memory is
+            # one Arrow chunk plus the open sessions.
             for pdf in pdfs:
-                for k, local in _local_sessions(pdf, key_name, wm, gap_ms, point, tiebreak).items():
-                    ks = json.dumps(k)
-                    entry = keys.get(ks) or {"k": k, "s": [], "t": None}
-                    entry["s"] = _merge(entry["s"] + local)
-                    keys[ks] = entry
-                    touched.add(ks)
-        out = []
-        for ks in list(keys):
-            entry = keys[ks]
-            due = entry["t"] is not None and entry["t"] < wm
-            if ks not in touched and not due:
-                continue
-            k = entry["k"]
-            out += [emit(k, s, EARLY) for s in entry["s"] if s.get("changed")]
-            out += [emit(k, s, ON_TIME) for s in entry["s"] if wm >= s["last"]]
-            rest = [s for s in entry["s"] if wm < s["last"]]
-            for s in rest:
-                s.pop("changed", None)
-            if rest:
-                entry["s"], entry["t"] = rest, max(min(s["last"] for s in rest), wm + 1)
-            else:
-                del keys[ks]
-        if keys:
-            state.update((json.dumps(keys),))
-            state.setTimeoutTimestamp(max(min(e["t"] for e in keys.values()), wm + 1))
+                if not pdf.empty:
+                    opened = _merge(opened + _local_sessions(pdf, wm, gap_ms, point, seen))
+                    seen += len(pdf)
+
+        def emit(s, start, n, timing):
+            return [*key, start, s["end"], s["last"], n, *s["point"], timing]
+        for s in opened:
+            if s["changed"]:
+                # A start that moved: take back what was reported under the old one.
+                out += [emit(s, old, 0, RETRACTED) for old in sorted(set(s["shown"])) if old != s["start"]]
+                out.append(emit(s, s["start"], s["n"], EARLY))
+                s["shown"], s["changed"] = [s["start"]], False
+            if wm >= s["last"]:
+                out.append(emit(s, s["start"], s["n"], ON_TIME))
+        rest = [s for s in opened if wm < s["last"]]
+        if rest:
+            state.update((json.dumps([rest, seen]),))
+            state.setTimeoutTimestamp(max(min(s["last"] for s in rest), wm + 1))
         elif state.exists:
             state.remove()
         if out:
@@ -199,54 +197,20 @@ def _session_fn(key_name: str, gap_ms: int, point: Sequence[str], tiebreak: str,
     return fn
 
 
-def _local_sessions(pdf: pd.DataFrame, key: str, wm: int, gap_ms: int, point: Sequence[str],
-                    tiebreak: str) -> dict:
-    """Sessions of one chunk of new rows, per key (vectorized over all keys of the
-    chunk); rows with ts <= wm are late and dropped.
-    """
-    if pdf.empty:
-        return {}
-    ms = pdf["ts"].astype("datetime64[us]").astype("int64") // 1000
-    pdf = pdf.assign(evt_ms=ms)
-    pdf = pdf[pdf["evt_ms"] > wm]
-    if pdf.empty:
-        return {}
-    # Per key, time ascending; on equal time the smaller tiebreak, then the
-    # earlier-seen row, sorts last: the last row of a session is its latest
-    # point with first-seen priority on ties.
-    pdf = pdf.assign(seen=np.arange(len(pdf)))
-    pdf = pdf.sort_values([key, "evt_ms", tiebreak, "seen"], ascending=[True, True, False, False])
-    k, t = pdf[key].to_numpy(), pdf["evt_ms"].to_numpy()
-    brk = np.r_[True, (k[1:] != k[:-1]) | (np.diff(t) >= gap_ms)]
-    g = pdf.assign(sid=brk.cumsum()).groupby("sid", sort=True)
-    starts, sizes, last = g["evt_ms"].min().to_numpy(), g.size().to_numpy(), g.tail(1)
-    lk, lt, ltb = last[key].to_numpy(), last["evt_ms"].to_numpy(), last[tiebreak].to_numpy()
-    pts = [last[p].to_numpy() for p in point]
-    out: dict = {}
-    for j in range(len(lt)):
-        out.setdefault(_plain(lk[j]), []).append(
-            {"start": int(starts[j]), "end": int(lt[j]) + gap_ms, "last": int(lt[j]),
-             "tb": int(ltb[j]), "n": int(sizes[j]), "point": [_plain(c[j]) for c in pts],
-             "changed": True})
-    return out
-
-
-def _plain(v):
-    if hasattr(v, "item"):
-        return v.item()
-    return v
-
-
-def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str, point: Sequence[str],
-                    point_ddl: Sequence[str], gap_minutes: int = 60, key_buckets: int = 1024) -> DataFrame:
+def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str | None, point: Sequence[str],
+                    point_ddl: Sequence[str], gap_minutes: int = 60, order_by: str | None = None,
+                    out_of_order_minutes: int = 0) -> DataFrame:
     """Per key, gap sessions with early rows: every changed session as EARLY,
     every completed one as ON_TIME (then forgotten). Zero allowed lateness.
 
     Output: key, session_start_ms, session_end_ms, last_ms, n_events, <point>, timing.
-    State is grouped into ``key_buckets`` buckets of keys (hash of the key): one
-    Python call per active bucket and micro-batch instead of one per key.
-    ``tiebreak`` must be numeric (an id or a payload time); on a full tie the
-    point seen first stays.
+    Sessions form by the event time ``ts``. The point reported is the one of largest
+    ``order_by`` (a number; by default the event time); on ties the smaller ``tiebreak``
+    (a number, if given), then the first seen. When an earlier event moves
+    a session's start, a RETRACTED row takes back the start reported before.
+
+    ``out_of_order_minutes`` is how far the source's events may lag behind the
+    newest one without being late. State is one value per key, with its own timer.
     """
     ship_package(stream.sparkSession)
     gap_ms = gap_minutes * 60_000
@@ -255,10 +219,11 @@ def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str, point:
     out_ddl = ", ".join([f"{key} {key_type}", "session_start_ms long", "session_end_ms long",
                          "last_ms long", "n_events long", *[f"{p} {t}" for p, t in zip(point, point_ddl)],
                          "timing string"])
-    src = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()) \
-                .select(key, ts, tiebreak, *[p for p in point if p not in (key, ts, tiebreak)]) \
-                .withWatermark(ts, f"{gap_minutes} minutes")
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(key_buckets)).alias("__kb")
-    return src.select(bucket, "*").groupBy("__kb").applyInPandasWithState(
-        _session_fn(key, gap_ms, point, tiebreak, cols), out_ddl, SESSION_STATE, "update",
-        GroupStateTimeout.EventTimeTimeout)
+    order = F.col(order_by).cast("long") if order_by else F.unix_micros(F.col(ts))
+    src = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & order.isNotNull()) \
+                .select(F.col(key), F.col(ts).alias("ts"), order.alias("__order"),
+                        (F.coalesce(F.col(tiebreak).cast("long"), F.lit(0)) if tiebreak else F.lit(0)).cast("long").alias("__tb"),
+                        *[F.col(p) for p in point if p not in (key, "ts")]) \
+                .withWatermark("ts", f"{gap_minutes + out_of_order_minutes} minutes")
+    return src.groupBy(key).applyInPandasWithState(
+        _session_fn(gap_ms, point, cols), out_ddl, SESSION_STATE, "update", GroupStateTimeout.EventTimeTimeout)
