@@ -13,14 +13,14 @@ from tidewater.operators import windows as Wn
 def _device_doc():
     """Synthetic document of the device-log shape (no real identifiers)."""
     events = []
-    t = 1_521_047_200_000
+    t = 1_609_470_000_000
     for i, name in enumerate(["psRatChd", "batteryLevelRemaining", "psRatChd", "callStart", "psRatChd"]):
         e = {"name": name, "tStampMs": str(t + 1000 * i), "evId": str(i)}
         if name == "psRatChd":
             e.update({"prevPsRat": "UMTS", "psRat": "LTE"})
         events.append(e)
     events.append({"name": "ipStatus", "tStampMs": str(t + 9000), "evId": "9", "ipstatus": "up"})
-    monitors = [{"type": "TPGV", "tStampMs": str(t), "evId": "20", "dlg": "441.000000"},
+    monitors = [{"type": "TPGV", "tStampMs": str(t), "evId": "20", "dlg": "17.250000"},
                 {"type": "TPM", "tStampMs": str(t + 5), "evId": "21", "uniqTcId": "7", "tp": "12.5"}]
     ua = [{"uniqTcId": "7", "name": "TestFileTransfer", "evId": "30"},
           {"uniqTcId": "7", "result": "OK", "activeFor": "12", "tp": "1.5", "evId": "31"},
@@ -54,14 +54,36 @@ def test_sections_pairs_and_times(spark):
     assert sizes == {"TestFileTransfer": 1, "Pause": 1}
     rows = D.event_rows(ev)
     rat = D.only_group(rows, "name", "psRatChd")
+    t = 1_609_470_000_000
     done = D.complete_times(rat, bucket_ms=1000).orderBy("t_ms").collect()
     assert [(r.t_ms, r.tStampMsEnd) for r in done] == [
-        (1521047200000, 1521047202000), (1521047202000, 1521047204000), (1521047204000, None)]
+        (t, t + 2000), (t + 2000, t + 4000), (t + 4000, None)]
     transfers = D.only_group(D.paired(pairs), "type", "TestFileTransfer")
     att = D.attach_group(rat, transfers, [F.count(F.lit(1)).alias("n_actions")])
     assert [r.n_actions for r in att.collect()] == [1, 1, 1]
 
 
+def test_wrong_typed_sections_are_rejected(spark):
+    docs = []
+    for name, bad in (("events", "oops"), ("useractions", None), ("info", [1]), ("monitors", {"a": 1}), ("campaign", [1, 2])):
+        docs.append(json.dumps({**_device_doc(), name: bad}))
+    parsed = D.parse_documents(sources.from_strings(spark, docs + [json.dumps(_device_doc())]))
+    assert sorted(r._missing for r in D.rejected_documents(parsed).collect()) == [
+        ["campaign"], ["events"], ["info"], ["monitors"], ["useractions"]]
+    long = {r.section: r.n for r in D.group_sizes(D.sections_long(parsed), "section").collect()}
+    assert long["_rejected"] == 5 and long["events"] == 6 and long["info"] == 1
+
+
+def test_a_missing_table_is_created_with_its_schema(spark, tmp_dir):
+    schema = T._parse_datatype_string("ride_id string, n bigint")
+    sinks.ensure_table(spark, f"{tmp_dir}/t", schema, ("day",))
+    sinks.ensure_table(spark, f"{tmp_dir}/t", schema, ("day",))
+    empty = sinks.read_table(spark, f"{tmp_dir}/t")
+    assert empty.columns == ["ride_id", "n", "day"] and empty.count() == 0
+    with pytest.raises(sinks.SchemaMismatch):
+        sinks.ensure_table(spark, f"{tmp_dir}/t", T._parse_datatype_string("ride_id string, n int"), ("day",))
+
+
 def test_schema_guard(spark, tmp_dir):
     schema = T._parse_datatype_string("ride_id string, latitude double, timestamp timestamp")
     df = spark.createDataFrame([("r1", 1.0, None)], "ride_id string, latitude double, timestamp timestamp") \
@@ -109,7 +131,7 @@ def test_contract(spark):
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
     assert E.entry(spark).count() > 0
-    assert "stream_panes" in q and "stream_panes" not in sql
+    assert "stream_panes" in sql and "ride_positions" in sql
 
 
 def test_hot_window_and_day_are_split_across_writers(spark, tmp_dir):

@@ -3,8 +3,8 @@ attach the action group to rate-change events.
 
 A document is one JSON object with an ``info`` object and five arrays of sparse
 objects. Elements are read as ``map<string,string>`` (key presence is the branch
-test and nested values stay JSON text). Every section is required: documents
-missing one go to the reject output instead of failing the job.
+test and nested values stay JSON text). Every section is required: documents that
+lack one, or have another type in its place, go to the reject output instead of failing the job.
 """
 
 from __future__ import annotations
@@ -22,18 +22,26 @@ from .cogroup import with_singleton
 
 SECTIONS = (DEVICE_LOG_OBJECT_SECTION,) + DEVICE_LOG_ARRAY_SECTIONS
 ELEMENT = "map<string,string>"
-DOC_DDL = ", ".join([f"{DEVICE_LOG_OBJECT_SECTION} {ELEMENT}"]
-                    + [f"{s} array<{ELEMENT}>" for s in DEVICE_LOG_ARRAY_SECTIONS])
 
 
 def parse_documents(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """JSON document -> ``doc`` struct of the six sections, plus ``_missing``: the
-    required sections absent from the document (all of them for non-objects).
+    """JSON document -> ``doc`` struct of the six sections, plus ``_missing``: the required
+    sections that are absent or of the wrong type (all of them for non-objects).
+
+    The document is parsed once, into the text of its sections; a section is
+    parsed where it is used.
     """
-    keys = F.json_object_keys(F.col(col))
-    missing = F.filter(F.array(*[F.lit(s) for s in SECTIONS]),
-                       lambda s: ~F.coalesce(F.array_contains(keys, s), F.lit(False)))
-    return df.select(*keep, F.from_json(F.col(col), DOC_DDL).alias("doc"), missing.alias("_missing"))
+    staged = df.select(*keep, F.from_json(F.col(col), ELEMENT).alias("__texts"))
+
+    def text(name):
+        return F.col("__texts")[name]
+
+    def parsed(name):
+        if name == DEVICE_LOG_OBJECT_SECTION:
+            return F.when(F.ltrim(text(name)).startswith("{"), F.from_json(text(name), ELEMENT))
+        return F.when(F.ltrim(text(name)).startswith("["), F.from_json(text(name), f"array<{ELEMENT}>"))
+    missing = F.filter(F.array(*[F.when(parsed(s).isNull(), F.lit(s)) for s in SECTIONS]), lambda s: s.isNotNull())
+    return staged.select(*keep, F.struct(*[parsed(s).alias(s) for s in SECTIONS]).alias("doc"), missing.alias("_missing"))
 
 
 def valid_documents(parsed: DataFrame) -> DataFrame:
@@ -53,7 +61,7 @@ def section(docs: DataFrame, name: str, keep: Sequence[str] = (), out: str = "ro
 
 def sections_long(parsed: DataFrame, keep: Sequence[str] = (), rejected: str = "_rejected") -> DataFrame:
     """All outputs of the split in one pass: (section, row) for every element of
-    every array section plus the ``info`` object; a document missing a section
+    every array section plus the ``info`` object; a document with a section missing or of the wrong type
     gives one ``rejected`` row (row = null) instead.
 
     One generator over one parse; each output is ``where(section == ..)``.
@@ -65,8 +73,7 @@ def sections_long(parsed: DataFrame, keep: Sequence[str] = (), rejected: str = "
         return lambda e: tag(name, e)
 
     parts = [F.array(tag(DEVICE_LOG_OBJECT_SECTION, F.col(f"doc.{DEVICE_LOG_OBJECT_SECTION}")))]
-    parts += [F.transform(F.coalesce(F.col(f"doc.{s}"), F.array().cast(f"array<{ELEMENT}>")),
-                          tagger(s)) for s in DEVICE_LOG_ARRAY_SECTIONS]
+    parts += [F.transform(F.col(f"doc.{s}"), tagger(s)) for s in DEVICE_LOG_ARRAY_SECTIONS]
     reject = F.array(tag(rejected, F.lit(None).cast(ELEMENT)))
     items = F.when(F.size("_missing") == 0, F.concat(*parts)).otherwise(reject)
     return parsed.select(*keep, F.inline(items))

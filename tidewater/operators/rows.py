@@ -26,13 +26,13 @@ def parse_json(df: DataFrame, col: str = "value", schema: T.StructType | str | N
     """JSON text -> ``out`` (struct, or map<string,string> when ``schema`` is None).
 
     Adds ``_corrupt``: the raw text for lines that are not a JSON object (bad
-    syntax, arrays, ``null``), null otherwise. Use :func:`good_rows` /
-    :func:`rejected_rows` to split.
+    syntax, arrays, ``null``), null otherwise; a null line counts as ``null`` text.
+    Use :func:`good_rows` / :func:`rejected_rows` to split.
     """
-    raw = F.col(col)
+    raw = F.coalesce(F.col(col), F.lit("null"))
     if schema is None:
         parsed = F.from_json(raw, "map<string,string>")
-        bad = raw.isNotNull() & parsed.isNull()
+        bad = parsed.isNull()
         return df.select(*keep, parsed.alias(out), F.when(bad, raw).alias(CORRUPT))
     if isinstance(schema, str):
         ddl = schema
@@ -95,7 +95,7 @@ def drop_key(df: DataFrame, key: str = "key") -> DataFrame:
 
 def extract_double(c) -> Column:
     """Number (or number in a string) -> double; null for missing or bad values."""
-    return _col(c).cast("string").try_cast("double")
+    return _col(c).try_cast("double")
 
 
 def route_by_presence(df: DataFrame, map_col: str = ROW, both: Sequence[str] = ("id", "id2"),

@@ -22,9 +22,9 @@ from .registry import query
 LONG_TEXT = 100  # user turns at least this long are transfers, shorter ones pauses
 
 
-def _documents(spark, sf_dir):
-    conv = sources.spread_small(sources.table(spark, sf_dir, "conversations")
-                                .select("conv_id", "turn", "role", "text"))
+def _documents(spark, sf_dir, broken: bool = False):
+    """The documents; with ``broken``, every seventh conversation's have a text in place of their events."""
+    conv = sources.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     lines = F.split(F.col("text"), "\n")
     ev = F.transform(lines, lambda x, i: F.create_map(
         F.lit("name"), F.col("role"),
@@ -54,23 +54,29 @@ def _documents(spark, sf_dir):
     with_camp = F.struct(info.alias("info"), ev.alias("events"), mon.alias("monitors"),
                          ts.alias("testsuites"), ua.alias("useractions"), camp.alias("campaign"))
     doc = F.when(F.col("role") == "system", F.to_json(base)).otherwise(F.to_json(with_camp))
+    if broken:
+        oops = F.struct(info.alias("info"), F.lit("oops").alias("events"), mon.alias("monitors"),
+                        ts.alias("testsuites"), ua.alias("useractions"), camp.alias("campaign"))
+        doc = F.when(F.col("conv_id") % 7 == 0, F.to_json(oops)).otherwise(doc)
     return conv.select("conv_id", "turn", doc.alias("value"))
 
 
-@query("explode_sections", "RTE2 SRC2", sql=r"""
-WITH c AS (SELECT *, len(string_split(text, chr(10))) AS n_lines FROM conversations)
+@query("explode_sections", "RTE2", sql=r"""
+WITH a AS (SELECT *, len(string_split(text, chr(10))) AS n_lines,
+                  role = 'system' OR conv_id % 7 = 0 AS bad FROM conversations),
+c AS (SELECT * FROM a WHERE NOT bad)
 SELECT section, n::BIGINT AS n FROM (
-  SELECT 'info' AS section, count(*) AS n FROM c WHERE role <> 'system'
-  UNION ALL SELECT 'events', sum(n_lines) FROM c WHERE role <> 'system'
-  UNION ALL SELECT 'monitors', sum(n_lines) FROM c WHERE role <> 'system'
-  UNION ALL SELECT 'testsuites', count(*) FROM c WHERE role <> 'system'
+  SELECT 'info' AS section, count(*) AS n FROM c
+  UNION ALL SELECT 'events', sum(n_lines) FROM c
+  UNION ALL SELECT 'monitors', sum(n_lines) FROM c
+  UNION ALL SELECT 'testsuites', count(*) FROM c
   UNION ALL SELECT 'useractions', count(*) FROM c WHERE role IN ('user', 'assistant')
-  UNION ALL SELECT 'campaign', count(*) FROM c WHERE role <> 'system'
-  UNION ALL SELECT '_rejected', count(*) FROM c WHERE role = 'system'
+  UNION ALL SELECT 'campaign', count(*) FROM c
+  UNION ALL SELECT '_rejected', count(*) FROM a WHERE bad
 )
 """)
 def explode_sections(spark, sf_dir):
-    parsed = D.parse_documents(_documents(spark, sf_dir), keep=["conv_id", "turn"])
+    parsed = D.parse_documents(_documents(spark, sf_dir, broken=True), keep=["conv_id", "turn"])
     return D.group_sizes(D.sections_long(parsed), "section")
 
 
