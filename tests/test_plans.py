@@ -53,12 +53,3 @@ def test_filter_pushed_below_ordering(spark):
     plan = _plan(spark, "rat_with_actions")
     assert plan.count("EqualTo(event_type,error)") == 2
     assert "EqualTo(event_type,signup)" in plan
-
-
-def test_spread_small_only_for_small_inputs(spark):
-    from tidewater import sources
-    docs = sources.table(spark, SF, "documents").select("text")
-    small = sources.spread_small(docs)._jdf.queryExecution().executedPlan().toString()
-    large = sources.spread_small(docs, max_bytes=1)._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning" in small
-    assert "Exchange" not in large  # above the threshold: the scan's own splits are used

@@ -3,12 +3,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tests.golden import WORD_COUNTS, WORD_LINES as WORDS
 from tidewater import sinks, sources
 from tidewater.operators import words as W
 from tidewater.operators.observe import metrics, observed
 from tidewater.streaming import sources as S
 
-WORDS = ["hi there", "hi", "hi sue bob", "hi sue", "", "bob hi"]
 
 
 def test_text_glob_and_text_sink(spark, tmp_dir):
@@ -19,7 +19,7 @@ def test_text_glob_and_text_sink(spark, tmp_dir):
     counts = W.count_words(lines)
     out = os.path.join(tmp_dir, "out")
     sinks.write_text(W.format_counts(counts), out)
-    assert sorted(r.value for r in spark.read.text(out).collect()) == ["bob: 2", "hi: 5", "sue: 2", "there: 1"]
+    assert sorted(r.value for r in spark.read.text(out).collect()) == WORD_COUNTS
 
 
 def test_stream_source_needs_exactly_one_name(spark):
@@ -73,8 +73,8 @@ def test_shared_dir_when_unset():
             return default
 
     class Ctx:
-        def __init__(self):
-            self.d = None
+        def __init__(self, master="local[2]"):
+            self.d, self.master = None, master
 
         def getCheckpointDir(self):
             return self.d
@@ -83,8 +83,13 @@ def test_shared_dir_when_unset():
             self.d = d
 
     class Sess:
-        conf, sparkContext = Conf(), Ctx()
+        conf = Conf()
 
+        def __init__(self, master="local[2]"):
+            self.sparkContext = Ctx(master)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):  # a cluster shares no local folder
+        shared_dir(Sess("yarn"))
     s = Sess()
     d = shared_dir(s)
     assert os.path.isdir(d) and s.sparkContext.d == d

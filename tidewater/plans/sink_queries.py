@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import sinks, sources
+from ..functions.constants import WORD_WINDOW_MINUTES
 from ..functions.text import format_count
 from ..operators.observe import observed
 from ..session import ensure_utc, scratch_path
@@ -19,34 +20,43 @@ EVENTS_TABLE = T.StructType([
 
 
 @query("day_partitions", "SNK3 SNK4 SNK5", sql=r"""
-SELECT strftime(ts, '%Y%m%d') AS day, count(*)::BIGINT AS n, round(sum(value), 2) AS total
-FROM events GROUP BY 1
+WITH p AS (
+  SELECT 'time' AS mode, strftime(ts, '%Y%m%d') AS day, value FROM events
+  UNION ALL SELECT 'window', strftime(time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE - INTERVAL 1 MILLISECOND, '%Y%m%d'), value FROM events
+  UNION ALL SELECT 'number', (user_id % 7)::VARCHAR, value FROM events)
+SELECT mode, day, count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM p GROUP BY 1, 2
 """)
 def day_partitions(spark, sf_dir):
+    """Events in tables partitioned by a time field, by their window's last instant, and by a number."""
     ensure_utc(spark)
     ev = sources.table(spark, sf_dir, "events").withColumn("timestamp", F.col("ts").cast("timestamp"))
     path = scratch_path(spark, "events_by_day")
     sinks.append_day_partitioned(ev, path, EVENTS_TABLE, "timestamp", "day")
-    back = spark.read.parquet(path)
-    return back.groupBy(F.col("day").cast("string").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    parts = [sinks.read_table(spark, path).select(F.lit("time").alias("mode"), "day", "value")]
+    windows = ev.withColumn("window", F.window("timestamp", "10 minutes"))
+    for mode, rows in (("window", sinks.day_partition(windows, "window", out="day")),
+                       ("number", sinks.day_partition(ev.withColumn("n7", F.col("user_id") % 7), "number", "n7", "day"))):
+        path = scratch_path(spark, f"events_by_{mode}")
+        rows.select("value", "day").hint("rebalance", "day").write.partitionBy("day").parquet(path)
+        parts.append(spark.read.parquet(path).select(F.lit(mode).alias("mode"), F.col("day").cast("string"), "value"))
+    every = parts[0].union(parts[1]).union(parts[2])
+    return every.groupBy("mode", "day").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
 @query("window_files", "SNK2 SNK1 PRJ3", sql=r"""
 WITH c AS (
-  SELECT time_bucket(INTERVAL 6 HOUR, ts) AS ws, event_type, count(*) AS n
+  SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS ws, event_type, count(*) AS n
   FROM events GROUP BY 1, 2
 )
 SELECT strftime(ws, '%Y%m%d') AS day,
-       strftime(ws, '%H:%M') || '-' || strftime(ws + INTERVAL 6 HOUR, '%H:%M') AS window_label,
+       strftime(ws, '%H:%M') || '-' || strftime(ws + INTERVAL 10 MINUTE, '%H:%M') AS window_label,
        count(*)::BIGINT AS n_lines, sum(n)::BIGINT AS n_events
 FROM c GROUP BY 1, 2
 """)
 def window_files(spark, sf_dir):
     ensure_utc(spark)
     ev = sources.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    # 6-hour windows keep the number of output directories small at test scale.
-    counts = ev.groupBy(F.window("ts", "6 hours").alias("window"), "event_type") \
+    counts = ev.groupBy(F.window("ts", f"{WORD_WINDOW_MINUTES} minutes").alias("window"), "event_type") \
                .agg(F.count(F.lit(1)).alias("n"))
     lines = counts.select("window", format_count("event_type", "n").alias("value"))
     path = scratch_path(spark, "window_files")

@@ -49,8 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it) or the context's
-    checkpoint directory. Only when neither is set (local tests) do we create
-    one of our own and register it with ``setCheckpointDir``.
+    checkpoint directory. Where neither is set, a local master gets a temporary one
+    of its own (tests); a cluster is an error, as its executors share no local folder.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -58,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(d)
         return d
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(d)
     return d

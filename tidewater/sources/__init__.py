@@ -16,24 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Inputs below this size may sit in a single parquet row group, which Spark
-# cannot split: one task would do all the per-row work. They are spread over
-# the cores first; large inputs already have many splits and are left alone.
-SMALL_INPUT_BYTES = 512 * 1024 * 1024
-
-
-def spread_small(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Round-robin a small input over the cores before CPU-heavy per-row work
-    (tokenizing, JSON); a no-op for inputs above ``max_bytes`` (plan estimate)."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:  # no JVM handle (e.g. Spark Connect): keep the scan's splits
-        return df
-    if size >= max_bytes:
-        return df
-    return df.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism))
-
-
 def read_lines(spark: SparkSession, path_or_glob: str) -> DataFrame:
     """One row per text line, column ``value``; globs accepted."""
     return spark.read.text(path_or_glob)
