@@ -62,7 +62,7 @@ def op4_cgk_decontaminate(spark, sf_dir):
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-#: No SQL: checked against the library's own unigram segmentation, and by exact round trips.
+#: No SQL: checked against a plain best-path search over short texts, and by exact round trips.
 @query("op6_sentencepiece")
 def op6_sentencepiece(spark, sf_dir):
     coded = sentencepiece_unigram.encode_table(
