@@ -133,9 +133,8 @@ def test_lead_property(spark, evs, bucket_ms):
     assert {r.id: r.nxt for r in got.collect()} == want
 
 
-def test_hot_cell_is_split_and_exact(spark):
-    """One key, every row inside one time bucket: the cell is split into time
-    sub-ranges, the ordering pass spreads over tasks, results stay exact."""
+def test_a_hot_slice_of_time_is_spread_and_exact(spark):
+    """Nearly all rows are one key's and lie within an hour: narrow cells spread them, results stay exact."""
     from tidewater.session import conf_override
     rnd = random.Random(11)
     rows = [("hot", BASE + dt.timedelta(seconds=rnd.randint(0, 3000), microseconds=rnd.choice([0, 5])), i, float(i))
@@ -143,19 +142,16 @@ def test_hot_cell_is_split_and_exact(spark):
     rows += [("cold", BASE + dt.timedelta(minutes=m), 10_000 + m, 0.0) for m in (0, 30, 200)]
     df = _frame(spark, rows)
     with conf_override(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": 8}):
-        cells = ordered.with_cells(df, "k", "ts", 3_600_000, hot_rows=100, sample_fraction=1.0)
-        n_sub = cells.where(F.col("k") == "hot").select("__sub").distinct().count()
-        assert n_sub >= 10
-        led = ordered.lead_within(df, "k", "ts", "id", "id", "nxt", 3_600_000, hot_rows=100, sample_fraction=1.0)
+        led = ordered.lead_within(df, "k", "ts", "id", "id", "nxt")
         share, _ = _partition_shares(led)
         assert share < 0.5
     pdf = pd.DataFrame(rows, columns=["k", "ts", "id", "v"]).sort_values(["k", "ts", "id"])
     pdf["nxt"] = pdf.groupby("k")["id"].shift(-1)
     want = {int(r.id): (None if pd.isna(r.nxt) else int(r.nxt)) for r in pdf.itertuples()}
     assert {r.id: r.nxt for r in led.collect()} == want
-    # Sessions across split cells (gap shorter than the spread, so chains cross cells).
-    gap = 60_000
-    s = ordered.sessionize(df, "k", "ts", "id", gap, ["id"], 3_600_000, hot_rows=100, sample_fraction=1.0)
+    # Sessions across cells (a gap shorter than the cell and than the spread).
+    gap = 20_000
+    s = ordered.sessionize(df, "k", "ts", "id", gap, ["id"], 60_000)
     got = sorted((r.k, pd.Timestamp(r.session_start), pd.Timestamp(r.last_ts), r.n_events, r.latest.id)
                  for r in s.collect())
     global GAP_MS
@@ -164,3 +160,12 @@ def test_hot_cell_is_split_and_exact(spark):
         assert got == _brute_sessions(rows)
     finally:
         GAP_MS = old
+
+
+def test_lead_of_a_time_equals_lead_of_the_value(spark):
+    df = _frame(spark, _rows(300, ["a", "b"], 60, seed=5)).withColumn("ms", F.unix_millis("ts"))
+    by_value = ordered.lead_within(df, "k", "ts", "id", "ms", "nxt")
+    by_time = ordered.lead_within(df, "k", "ts", "id", None, "nxt", of_time=F.unix_millis)
+    assert sorted((r.id, r.nxt or 0) for r in by_value.collect()) == sorted((r.id, r.nxt or 0) for r in by_time.collect())
+    plan = by_time._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

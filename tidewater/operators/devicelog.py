@@ -125,14 +125,14 @@ def only_group(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def complete_times(events: DataFrame, name: str = "name", ts: str = "ts",
-                   tiebreak: str = "ev_id", ts_value: str = "t_ms",
+                   tiebreak: str = "ev_id",
                    out: str = EVENT_END_FIELD, bucket_ms: int = ordered.DEFAULT_BUCKET_MS) -> DataFrame:
-    """Sort each name group by time; each event's end = next event's start (last: null).
+    """Sort each name group by time; each event's end = next event's start in epoch ms (last: null).
 
     Exact per name across all documents, but computed per (name, time bucket), so
     a name holding most events does not meet in one task.
     """
-    return ordered.lead_within(events, name, ts, tiebreak, ts_value, out, bucket_ms)
+    return ordered.lead_within(events, name, ts, tiebreak, None, out, bucket_ms, F.unix_millis)
 
 
 def event_rows(events_section: DataFrame, row: str = "row") -> DataFrame:

@@ -2,45 +2,34 @@
 
 A window ``partitionBy(key)`` sends every row of a key to one task; with a key
 holding a third of the data that task is the whole job. Here each key is cut
-into *cells* of event time and the window runs per ``(key, cell)``: one
-shuffle of the data on ``(key, cell)``, groups bounded by the cell size.
-
-A cell is a time bucket; a bucket that still holds too many rows of one key
-(found from a seeded sample) is split further into sub-ranges of time at
-approximate quantiles. Cells are contiguous time ranges, so ordering by
-``(bucket, sub, ts)`` is ordering by ``ts``.
+into *cells*, slices of event time, and the window runs per ``(key, cell)``: one
+shuffle of the data, and groups that hold one key's rows of one slice. The
+slice's width is the knob: a key with r events a second has r * width rows in a cell.
 
 What crosses a cell edge comes from a small per-``(key, cell)`` aggregate
 (partial-aggregated, so a hot key costs one row per cell and map task) and is
 injected as a *sentinel* row into the neighbouring cell's partition, where the
-ordinary ``lead``/``lag`` sees it. No join of the data with itself, no Python.
+ordinary ``lead``/``lag`` sees it. Two scans of the data, whatever its size and
+skew: the aggregate and the rows. No join of the data with itself, no Python.
+
+The windows over the cells of a key see one row per cell (for sessions, per local
+session): at most the key's time span divided by the slice (or the gap).
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
-
-# Event time per (key, bucket) group. Lead is used on low-cardinality keys (event
-# names, types), where a fine bucket bounds a hot key's groups at small cost:
-# the sentinel table has one row per non-empty (key, bucket). Sessions are keyed
-# by rides/users (many keys), where a coarse bucket keeps that table small.
-DEFAULT_BUCKET_MS = 300_000
-SESSION_BUCKET_MS = 3_600_000
-# A (key, bucket) cell estimated above this many rows is split into sub-ranges.
-HOT_CELL_ROWS = 2_000_000
-SAMPLE_FRACTION = 0.01
-MAX_PIECES = 1024
-# Broadcast the split table only below this many split values (8 bytes each).
-MAX_BROADCAST_SPLITS = 4_000_000
+# Width of a cell. Lead is used on keys of few values (event names, types), which are
+# hot by nature; sessions on many keys (rides, users), where a wider cell keeps
+# the aggregate small against the data.
+DEFAULT_BUCKET_MS = 10_000
+SESSION_BUCKET_MS = 300_000
 _SENT = "__sentinel"
 _BKT = "__bucket"
-_SUB = "__sub"
 
 
 def _c(c) -> Column:
@@ -48,73 +37,38 @@ def _c(c) -> Column:
 
 
 def time_bucket(ts, bucket_ms: int = DEFAULT_BUCKET_MS) -> Column:
-    """Bucket number of a timestamp column (``timestamp_ntz`` is read as UTC)."""
+    """Cell number of a timestamp column (``timestamp_ntz`` is read as UTC)."""
     return F.floor(F.unix_millis(_c(ts).cast("timestamp")) / F.lit(bucket_ms)).cast("bigint")
 
 
-def with_cells(df: DataFrame, key: str, ts: str, bucket_ms: int, hot_rows: int | None = HOT_CELL_ROWS,
-               sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """Add the cell columns ``__bucket`` and ``__sub`` (0 unless the cell was split).
-
-    Hot cells are estimated on a seeded sample (one small job); their split
-    points are computed once and checkpointed to the shared folder, so every
-    consumer of the plan sees the same cells. The split table has at most
-    rows / hot_rows cells of ``MAX_PIECES`` values each; it is broadcast only
-    under ``MAX_BROADCAST_SPLITS`` values, else joined by a shuffle.
-    """
-    base = df.withColumn(_BKT, time_bucket(ts, bucket_ms))
-    if not hot_rows:
-        return base.withColumn(_SUB, F.lit(0))
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    rows = base.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, _BKT, us.alias("__us"))
-    sample = rows if sample_fraction >= 1 else rows.sample(False, sample_fraction, seed=17)
-    est = sample.groupBy(key, _BKT).agg((F.count(F.lit(1)) / F.lit(sample_fraction)).alias("__est"))
-    # The hot set is a count over a seeded sample (deterministic); only the
-    # split points, whose sketch may depend on merge order, are pinned below.
-    hot = est.where(F.col("__est") > F.lit(hot_rows))
-    top = hot.agg(F.count(F.lit(1)).alias("n"), F.max("__est").alias("m")).first()
-    if not top.n:
-        return base.withColumn(_SUB, F.lit(0))
-    shared_dir(df.sparkSession)
-    pieces = int(min(MAX_PIECES, max(2, math.ceil(top.m / hot_rows))))
-    fractions = [i / pieces for i in range(1, pieces)]
-    hot_keys = hot.select(key, _BKT)
-    small = top.n * pieces <= MAX_BROADCAST_SPLITS
-    splits = (sample.join(F.broadcast(hot_keys) if small else hot_keys, [key, _BKT])
-                    .groupBy(key, _BKT)
-                    .agg(F.percentile_approx("__us", fractions, max(10_000, 10 * pieces)).alias("__splits"))
-                    .checkpoint(eager=True))
-    joined = base.join(F.broadcast(splits) if small else splits, [key, _BKT], "left")
-    sub = F.when(F.col("__splits").isNull() | us.isNull(), F.lit(0)) \
-           .otherwise(F.size(F.filter("__splits", lambda s: s < us)))
-    return joined.withColumn(_SUB, sub.cast("int")).drop("__splits")
-
-
-def lead_within(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, out: str,
-                bucket_ms: int = DEFAULT_BUCKET_MS, hot_rows: int | None = HOT_CELL_ROWS,
-                sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
+def lead_within(df: DataFrame, key: str, ts: str, tiebreak: str, value: str | None, out: str,
+                bucket_ms: int = DEFAULT_BUCKET_MS, of_time: Callable[[Column], Column] | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the next row of the same ``key`` by (ts, tiebreak).
 
     The last row of a key gets null. Rows with a null ``ts`` are not ordered and
-    get null too.
+    get null too. Where the value is a function of ``ts``, give ``of_time`` instead of ``value``:
+    a cell's first value then needs no more than its smallest time (a hash aggregate).
     """
-    base = with_cells(df, key, ts, bucket_ms, hot_rows, sample_fraction).withColumn(_SENT, F.lit(False))
-    order = F.struct(F.col(ts), F.col(tiebreak))
-    heads = (base.where(F.col(ts).isNotNull())
-                 .groupBy(key, _BKT, _SUB)
-                 .agg(F.min_by(F.col(value), order).alias("__head")))
-    nxt = heads.withColumn("__next", F.lead("__head").over(Window.partitionBy(key).orderBy(_BKT, _SUB)))
-    sentinels = nxt.where(F.col("__next").isNotNull()).select(
-        F.col(key), F.col(_BKT), F.col(_SUB), F.lit(True).alias(_SENT), F.col("__next").alias(value))
+    base = df.withColumn(_BKT, time_bucket(ts, bucket_ms)).withColumn(_SENT, F.lit(False))
+    timed = base.where(F.col(ts).isNotNull()).groupBy(key, _BKT)
+    cells = Window.partitionBy(key).orderBy(_BKT)
+    if of_time is None:
+        heads = timed.agg(F.min_by(F.struct(F.col(value).alias("v")), F.struct(F.col(ts), F.col(tiebreak))).alias("__head"))
+        carried, read = value, "__next.v"
+    else:
+        heads = timed.agg(F.min(ts).alias("__head"))
+        carried, read = ts, "__next"
+    nxt = heads.withColumn("__next", F.lead("__head").over(cells)).where(F.col("__next").isNotNull())
+    sentinels = nxt.select(F.col(key), F.col(_BKT), F.lit(True).alias(_SENT), F.col(read).alias(carried))
     allrows = base.unionByName(sentinels, allowMissingColumns=True)
-    w = Window.partitionBy(key, _BKT, _SUB).orderBy(F.col(_SENT), F.col(ts), F.col(tiebreak))
-    led = allrows.withColumn(out, F.when(F.col(ts).isNotNull(), F.lead(value).over(w)))
-    return led.where(~F.col(_SENT)).drop(_SENT, _BKT, _SUB)
+    w = Window.partitionBy(key, _BKT).orderBy(F.col(_SENT), F.col(ts), F.col(tiebreak))
+    following = F.lead(_c(carried)).over(w)
+    led = allrows.withColumn(out, F.when(F.col(ts).isNotNull(), of_time(following) if of_time else following))
+    return led.where(~F.col(_SENT)).drop(_SENT, _BKT)
 
 
 def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_ms: int,
-               point: Sequence[str], bucket_ms: int | None = None, hot_rows: int | None = HOT_CELL_ROWS,
-               sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
+               point: Sequence[str], bucket_ms: int | None = None) -> DataFrame:
     """Half-open gap sessions per key, one row per session.
 
     A new session starts when ``ts - previous ts >= gap`` (two events exactly one
@@ -123,48 +77,46 @@ def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_ms: int,
     ``point`` columns of the last event by (ts, tiebreak); on equal ts the
     earlier tiebreak wins, so equal-time points keep the first one.
     """
-    bucket_ms = bucket_ms or max(gap_ms, SESSION_BUCKET_MS)
     gap_us = gap_ms * 1000
     rows = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
         F.col(key), F.col(ts), F.col(tiebreak), *[F.col(p) for p in point if p not in (key, ts, tiebreak)])
-    base = with_cells(rows, key, ts, bucket_ms, hot_rows, sample_fraction).withColumn(_SENT, F.lit(False))
+    base = rows.withColumn(_BKT, time_bucket(ts, bucket_ms or SESSION_BUCKET_MS)).withColumn(_SENT, F.lit(False))
     # Sentinels: the last ts of the previous non-empty cell of the key.
-    tails = base.groupBy(key, _BKT, _SUB).agg(F.max(ts).alias("__tail"))
-    prev = tails.withColumn("__prev", F.lag("__tail").over(Window.partitionBy(key).orderBy(_BKT, _SUB)))
-    sentinels = prev.where(F.col("__prev").isNotNull()).select(
-        F.col(key), F.col(_BKT), F.col(_SUB), F.lit(True).alias(_SENT), F.col("__prev").alias(ts))
+    cells = Window.partitionBy(key).orderBy(_BKT)
+    prev = (base.groupBy(key, _BKT).agg(F.max(ts).alias("__tail"))
+                .withColumn("__prev", F.lag("__tail").over(cells)).where(F.col("__prev").isNotNull()))
+    sentinels = prev.select(F.col(key), F.col(_BKT), F.lit(True).alias(_SENT), F.col("__prev").alias(ts))
     allrows = base.unionByName(sentinels, allowMissingColumns=True)
-    # Sentinel sorts first in its cell; it precedes every real row in time.
-    spec = Window.partitionBy(key, _BKT, _SUB).orderBy(F.col(_SENT).desc(), F.col(ts), F.col(tiebreak))
-    prev_ts = F.lag(ts).over(spec)
+    # A sentinel sorts first in its cell. Of rows at one time the smallest tiebreak comes last, so
+    # that the last row of a session is its latest point.
+    spec = Window.partitionBy(key, _BKT).orderBy(F.col(_SENT).desc(), F.col(ts), F.col(tiebreak).desc())
+    so_far = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    starts = prev_ts.isNull() | ((us - F.unix_micros(prev_ts.cast("timestamp"))) >= F.lit(gap_us))
-    flagged = allrows.withColumn("__start", starts.cast("int"))
-    running = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (flagged.withColumn("__lsid", F.sum(F.when(~F.col(_SENT), F.col("__start"))).over(running))
-                    .where(~F.col(_SENT)))
-    # Local sessions per (key, cell, lsid): same clustering, no new shuffle.
-    # lsid 0 = the cell's first events continue the previous cell's session.
-    pstruct = F.struct(*[F.col(p).alias(p) for p in point])
-    # Latest first, then the smaller tiebreak: the minimum of (-time, tiebreak),
-    # which works for a tiebreak of any orderable type.
-    order = F.struct((-us).alias("t"), F.col(tiebreak).alias("tb"))
-    parts = local.groupBy(key, _BKT, _SUB, "__lsid").agg(
-        F.min(ts).alias("session_start"), F.max(ts).alias("last_ts"),
-        F.count(F.lit(1)).alias("n_events"), F.min_by(pstruct, order).alias("latest"),
-        F.min(order).alias("__lorder"))
-    # Root of each local session: itself unless it continues (lsid 0); then the
-    # last fresh local session (lsid >= 1) before it in (cell, lsid) order.
-    # Sessions of a key are >= one gap apart, so a key has at most
-    # span/gap + (number of its cells) local sessions: this window is bounded by
-    # event time, not by the key's row count, and it is the only consumer of `parts`.
-    fresh = F.when(F.col("__lsid") >= 1, F.struct(F.col(_BKT).alias("b"), F.col(_SUB).alias("s"),
-                                                  F.col("__lsid").alias("l")))
-    kw = Window.partitionBy(key).orderBy(_BKT, _SUB, "__lsid").rowsBetween(Window.unboundedPreceding, 0)
-    rooted = parts.withColumn("__root", F.last(fresh, ignorenulls=True).over(kw))
-    merged = rooted.groupBy(key, "__root").agg(
-        F.min("session_start").alias("session_start"), F.max("last_ts").alias("last_ts"),
-        F.sum("n_events").alias("n_events"), F.min_by("latest", "__lorder").alias("latest"))
+    before = F.lag(ts).over(spec)
+    fresh = before.isNull() | (us - F.unix_micros(before.cast("timestamp")) >= F.lit(gap_us))
+    flagged = allrows.withColumn("__new", ~F.col(_SENT) & fresh).withColumn("__at", F.row_number().over(spec))
+    begun = (flagged.withColumn("__lsid", F.count(F.when(F.col("__new"), 1)).over(so_far))
+                    .withColumn("__from", F.max(F.when(F.col("__new") | F.col(_SENT), F.col("__at"))).over(so_far))
+                    .withColumn("__first", F.last(F.when(F.col("__new"), F.col(ts)), ignorenulls=True).over(so_far))
+                    .withColumn("__cell_first", F.first(F.when(~F.col(_SENT), F.col(ts)), ignorenulls=True).over(so_far))
+                    .withColumn("__ends", F.coalesce(F.lead("__new").over(spec), F.lit(True))))
+    # One row per local session, its last one; number 0 continues the previous cell's session.
+    continues = F.col("__lsid") == 0
+    parts = begun.where(F.col("__ends") & ~F.col(_SENT)).select(
+        key, _BKT, "__lsid", F.coalesce("__first", "__cell_first").alias("session_start"), F.col(ts).alias("last_ts"),
+        (F.col("__at") - F.col("__from") + F.when(continues, 0).otherwise(1)).cast("bigint").alias("n_events"),
+        F.struct(*[F.col(p).alias(p) for p in point]).alias("latest"))
+    # A local session's root is itself unless it continues: then the last fresh one before it.
+    root = F.when(F.col("__lsid") >= 1, F.struct(F.col(_BKT).alias("b"), F.col("__lsid").alias("l")))
+    kw = Window.partitionBy(key).orderBy(_BKT, "__lsid")
+    rooted = parts.withColumn("__root", F.last(root, ignorenulls=True).over(
+        kw.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # The parts of a session follow one another: running values at its last part are the session's.
+    nxt = F.lead("__root").over(kw)
+    session = Window.partitionBy(key, "__root").orderBy(_BKT, "__lsid")
+    merged = (rooted.withColumn("__last", nxt.isNull() | (nxt != F.col("__root")))
+                    .withColumn("session_start", F.min("session_start").over(session))
+                    .withColumn("n_events", F.sum("n_events").over(session)).where("__last"))
     return merged.select(key, "session_start", "last_ts",
                          F.timestamp_micros(F.unix_micros(F.col("last_ts").cast("timestamp")) + F.lit(gap_us))
                           .alias("session_end"),

@@ -140,7 +140,7 @@ def rat_with_actions(spark, sf_dir):
     ev = sources.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     rat = D.only_group(ev, "event_type", "error").select(
         "event_id", "event_type", "ts", F.unix_millis("ts").alias("ts_ms"))
-    rat = ordered.lead_within(rat, "event_type", "ts", "event_id", "ts_ms", "ts_end_ms")
+    rat = ordered.lead_within(rat, "event_type", "ts", "event_id", None, "ts_end_ms", of_time=F.unix_millis)
     actions = D.only_group(ev, "event_type", "signup")
     out = D.attach_group(rat, actions, [F.count(F.lit(1)).alias("n_actions"),
                                         F.min(F.unix_millis("ts")).alias("first_action_ms"),

@@ -88,5 +88,5 @@ def lead_end(spark, sf_dir):
                                        F.unix_millis("ts").alias("ts_ms"))
     # The last event of a type has no end (null): nullable columns are returned
     # as double (exact for epoch ms) so every engine hands over the same type.
-    return ordered.lead_within(ev, "event_type", "ts", "event_id", "ts_ms", "ts_end_ms") \
+    return ordered.lead_within(ev, "event_type", "ts", "event_id", None, "ts_end_ms", of_time=F.unix_millis) \
                   .select("event_id", "event_type", "ts_ms", F.col("ts_end_ms").cast("double").alias("ts_end_ms"))
