@@ -25,6 +25,7 @@ from .functions.text import format_count
 from .functions.time import random_event_time
 from .operators import checks, cogroup, devicelog, words
 from .operators.observe import metrics, observed
+from .session import scratch_path
 
 
 def wordcount(spark: SparkSession, input_glob: str, output: str, keep_apostrophes: bool = False) -> None:
@@ -60,14 +61,21 @@ def device_log(spark: SparkSession, input_glob: str) -> dict[str, DataFrame]:
     transfer group, battery events, and rate-change events with their end time
     and the transfer group attached (as a one-row summary)."""
     parsed = devicelog.parse_documents(sources.read_lines(spark, input_glob))
-    docs = devicelog.valid_documents(parsed)
-    pairs = devicelog.pair_actions(devicelog.section(docs, "useractions"))
+    # Every document is parsed once, into a table of its sections' elements; all outputs read from that.
+    path = scratch_path(spark, "sections")
+    long = devicelog.sections_long(parsed, keep=["_missing"])
+    long.write.partitionBy("section").parquet(path)
+    long = spark.read.schema(long.schema).parquet(path)
+
+    def section(name):
+        return long.where(F.col("section") == name).select("row")
+    pairs = devicelog.pair_actions(section("useractions"))
     transfers = devicelog.only_group(devicelog.paired(pairs), "type", TRANSFER_ACTION)
-    events = devicelog.event_rows(devicelog.section(docs, "events"))
+    events = devicelog.event_rows(section("events"))
     battery = devicelog.only_group(events, "name", BATTERY_EVENT)
     rat = devicelog.complete_times(devicelog.only_group(events, "name", RAT_CHANGE_EVENT))
     rat_with_group = devicelog.attach_group(rat, transfers, [F.count(F.lit(1)).alias("n_transfers")])
-    return {"rejected_documents": devicelog.rejected_documents(parsed), "action_pairs": pairs,
+    return {"rejected_documents": long.where(F.col("section") == "_rejected").select("_missing"), "action_pairs": pairs,
             "transfer_group_sizes": devicelog.group_sizes(transfers, "type"), "battery_events": battery,
             "rat_events": rat_with_group}
 
