@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import sinks, sources
-from ..functions.constants import WORD_WINDOW_MINUTES
 from ..functions.text import format_count
 from ..operators.observe import observed
 from ..session import ensure_utc, scratch_path
@@ -45,22 +44,22 @@ def day_partitions(spark, sf_dir):
 
 @query("window_files", "SNK2 SNK1 PRJ3", sql=r"""
 WITH c AS (
-  SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS ws, event_type, count(*) AS n
+  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws, event_type, count(*) AS n
   FROM events GROUP BY 1, 2
 )
 SELECT strftime(ws, '%Y%m%d') AS day,
-       strftime(ws, '%H:%M') || '-' || strftime(ws + INTERVAL 10 MINUTE, '%H:%M') AS window_label,
+       strftime(ws, '%H:%M') || '-' || strftime(ws + INTERVAL 1 HOUR, '%H:%M') AS window_label,
        count(*)::BIGINT AS n_lines, sum(n)::BIGINT AS n_events
 FROM c GROUP BY 1, 2
 """)
 def window_files(spark, sf_dir):
     ensure_utc(spark)
     ev = sources.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = ev.groupBy(F.window("ts", f"{WORD_WINDOW_MINUTES} minutes").alias("window"), "event_type") \
+    counts = ev.groupBy(F.window("ts", "1 hour").alias("window"), "event_type") \
                .agg(F.count(F.lit(1)).alias("n"))
     lines = counts.select("window", format_count("event_type", "n").alias("value"))
     path = scratch_path(spark, "window_files")
-    sinks.write_per_window(lines, path, "window", "value", num_shards=2)
+    sinks.write_per_window(lines, path, "window", "value")
     back = spark.read.text(path)
     n = F.split(F.col("value"), ": ").getItem(1).cast("bigint")
     return back.groupBy(F.col("day").cast("string").alias("day"), "window_label").agg(
