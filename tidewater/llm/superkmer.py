@@ -16,7 +16,6 @@ packed string's hash to every run, and from there to the documents.
 
 from __future__ import annotations
 
-import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -95,13 +94,11 @@ def _pack(window: int):
                     runs = range(edges[part.rows.start + r], edges[part.rows.start + r + 1])
                     rows.extend([part.rows.start + r] * len(runs))
                     packed.extend(b" ".join(words[start[i]:start[i] + size[i]]) for i in runs)
-                digests = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in packed), np.int64)
                 place = pa.array(rows, pa.int64())
                 yield pa.record_batch([
                     batch.column(0).take(place), batch.column(1).take(place), pa.array(spans[lo:hi]),
-                    pa.array(least[lo:hi]), pa.array(digests[0::2]), pa.array(digests[1::2]),
-                    pa.array(packed, pa.binary()).cast(pa.string())],
-                    names=["row", "mark", "span", "minimiser", "d1", "d2", "packed"])
+                    pa.array(least[lo:hi]), pa.array(packed, pa.binary()).cast(pa.string())],
+                    names=["row", "mark", "span", "minimiser", "packed"])
     return run
 
 
@@ -151,18 +148,21 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, m: int = MINIMISER)
     if not 1 <= m <= window < m + 62:
         raise ValueError("a run's windows must fit a 64-bit bitmap")
     runs = stored(rows.mapInArrow(_runs(window, m), "row long, mark long, span long, minimiser long"), "runs")
-    often = runs.groupBy("minimiser").count().where("count > 1").select("minimiser")
+    # Stored, so that the join below deals both sides out anew and can split a hot minimiser.
+    often = stored(runs.groupBy("minimiser").count().where("count > 1").select("minimiser"), "minimisers")
     shared = runs.join(often, "minimiser", "left_semi")
     by_row = shared.groupBy("row", "mark").agg(F.collect_list(F.struct("span", "minimiser")).alias("runs"))
     packed = stored(rows.join(by_row, ["row", "mark"]).select("row", "mark", "text", "runs").mapInArrow(
-        _pack(window), "row long, mark long, span long, minimiser long, d1 long, d2 long, packed string"), "superkmers")
+        _pack(window), "row long, mark long, span long, minimiser long, packed string"), "superkmers")
 
-    strings = stored(packed.groupBy("minimiser", "d1", "d2", "packed").agg(F.count(F.lit(1)).alias("times"))
-                           .select("d1", "d2", "packed", "times", F.monotonically_increasing_id().alias("id")), "strings")
+    strings = stored(packed.groupBy("minimiser", "packed").agg(F.count(F.lit(1)).alias("times"))
+                           .select("packed", "times", F.monotonically_increasing_id().alias("id")), "strings")
+    # 128 bits that name a packed string.
+    digest = [F.xxhash64("packed").alias("d1"), F.xxhash64(F.lit(1), "packed").alias("d2")]
     # Every window of a string that occurs twice is repeated; of the others, those found in another string too.
     sizes = F.size(F.split("packed", " ")) - (window - 1)
     whole = (strings.where("times > 1").withColumn("n", sizes)
-                    .select("d1", "d2", F.expr("shiftleft(1L, n) - 1").alias("flags")))
+                    .select(*digest, F.expr("shiftleft(1L, n) - 1").alias("flags")))
     counted = strings.select("packed", "times").mapInArrow(_counted(window), "hi long, lo long, times long")
     twice = counted.groupBy("hi", "lo").agg(F.sum("times").alias("times")).where("times > 1").select("hi", "lo")
     windows = strings.where("times = 1").select("packed", "id").mapInArrow(
@@ -171,8 +171,8 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, m: int = MINIMISER)
     flags = (windows.join(twice, ["hi", "lo"], "left_semi")
                     .groupBy(F.expr(f"shiftright(place, {SPAN_BITS})").alias("id"))
                     .agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(place & {low} AS INT))")).alias("flags")))
-    some = strings.where("times = 1").select("id", "d1", "d2").join(flags, "id").select("d1", "d2", "flags")
-    found = packed.select("row", "mark", "span", "d1", "d2").join(whole.union(some), ["d1", "d2"])
+    some = strings.where("times = 1").select("id", *digest).join(flags, "id").select("d1", "d2", "flags")
+    found = packed.select("row", "mark", "span", *digest).join(whole.union(some), ["d1", "d2"])
     start = F.expr(f"CAST(shiftright(span, {SPAN_BITS}) AS INT)").alias("start")
     return found.groupBy("row", "mark").agg(F.collect_list(F.struct(start, "flags")).alias("spans"))
 
