@@ -22,15 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .tables import python_ready
 from .wordhash import slices
 
 #: Longest context in bytes.
 ORDER = 3
-#: Labelled rows per language that training looks at, whole: those of smallest id hash.
+#: Labelled rows per language that training looks at, whole: a sample by id hash of so many rows on average.
 TRAIN_ROWS = 2000
+#: Languages that are learned, the most frequent ones.
+MAX_LANGUAGES = 256
 #: Byte strings the model keeps, the most frequent ones of all languages.
 MAX_NODES = 400_000
 UNKNOWN = "und"
@@ -77,20 +78,24 @@ def count_strings(docs: DataFrame, lang_col: str, text_col: str, order: int) ->
     return counted.groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
 
 
-def training_rows(docs: DataFrame, id_col: str, lang_col: str, text_col: str, most: int) -> DataFrame:
-    """At most ``most`` rows per language: those of smallest id hash. Rows without id or lang are left out."""
-    usable = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    ids = usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = ids.withColumn("place", place).where(F.col("place") <= most).select("id")
-    return usable.join(F.broadcast(chosen.distinct()), usable[id_col] == chosen["id"], "left_semi")
+def training_rows(docs: DataFrame, id_col: str, lang_col: str, text_col: str, rows: int,
+                  languages: int = MAX_LANGUAGES) -> DataFrame:
+    """About ``rows`` rows per language (all, if it has fewer), chosen by id hash; those without id or lang are left out.
+
+    Only counts per language meet, pre-aggregated; each row decides for itself.
+    """
+    usable = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    return usable.join(F.broadcast(counts), "lang").where(place * F.col("n") < rows).select("lang", "text")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text",
           rows: int = TRAIN_ROWS, order: int = ORDER, max_nodes: int = MAX_NODES) -> Model:
     """Learn a model from the labelled rows of ``docs`` (no rows: a model without languages)."""
     python_ready(docs.sparkSession)
-    counted = count_strings(training_rows(docs, id_col, lang_col, text_col, rows), lang_col, text_col, order)
+    counted = count_strings(training_rows(docs, id_col, lang_col, text_col, rows), "lang", "text", order)
     whole = counted.groupBy("order", "gram").agg(
         F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang"))
     # Strings of one byte always stay; of the longer ones the most frequent.
