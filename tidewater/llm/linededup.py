@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .tables import SPACES, ascii_lower
+from .tables import SPACES, ascii_lower, stored
 
 WORD_BITS = 32
 
@@ -68,7 +68,8 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     have one empty line, which is shorter than any sensible ``min_chars``.
     """
     hashes = line_hashes(docs, id_col, text_col, min_chars)
-    keepers = repeated_lines(hashes, min_docs)
+    # Stored, so that the join deals both sides out anew and can split a hot line.
+    keepers = stored(repeated_lines(hashes, min_docs), "keepers")
     lost = (hashes.join(keepers, ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
                   .select("doc", F.col("pos")).repartition("doc"))
     words = (lost.groupBy("doc", F.expr(f"pos div {WORD_BITS}").cast("int").alias("word"))
