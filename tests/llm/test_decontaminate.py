@@ -89,3 +89,32 @@ def test_items_in_several_blocks(spark, docs_of, monkeypatch):
     split = {(r.doc_id, r.item_id) for r in D.find_contaminated(frame, table).collect()}
     monkeypatch.undo()
     assert split == {(r.doc_id, r.item_id) for r in D.find_contaminated(frame, table).collect()}
+
+
+def test_short_items_equal_brute_force(spark, docs_of):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, [rng.choice(words) for _ in range(3 + i % 7)]) for i in range(42)]
+    docs = [(0, items[0][1]), (1, items[2][1][1:]), (2, items[4][1][:3] + ["new"] + items[4][1][3:])]
+    for d in range(3, 150):
+        text = [rng.choice(words) for _ in range(rng.randint(0, 40))]
+        item = list(items[d % 42][1])
+        kind, at = rng.randrange(4), rng.randrange(len(item))
+        item[at:at + (kind % 2)] = [rng.choice(words)] if kind > 1 else []
+        at = rng.randint(0, len(text))
+        text[at:at] = item
+        docs.append((d, text))
+    want = {(d, i): distance(item, text) for d, text in docs for i, item in items}
+    want = {k: v for k, v in want.items() if v <= D.allowed_edits(len(items[k[1]][1]))}
+    table = spark.createDataFrame([(i, " ".join(t).upper()) for i, t in items], "item_id long, text string")
+    got = D.find_contaminated(docs_of([(d, "\n".join(t)) for d, t in docs]), table)
+    got = {(r.doc_id, r.item_id): r.distance for r in got.collect()}
+    assert len(want) > 100 and set(want.values()) == {0, 1} and got == want
+
+
+def test_items_left_out_are_reported(spark, docs_of, caplog):
+    items = spark.createDataFrame([(1, ITEM), (2, "too short"), (3, ""), (4, "three words here"), (5, None)], "item_id long, text string")
+    assert sorted(r.item_id for r in D.left_out(items).collect()) == [2, 3, 5]
+    rows = D.contamination_report(docs_of([(1, "there are three words here too")]), items).collect()
+    assert [tuple(r) for r in rows] == [(1, True, [4], 0)]
+    assert "[2, 3]" in caplog.text or "[3, 2]" in caplog.text

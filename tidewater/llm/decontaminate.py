@@ -13,12 +13,17 @@ stretch of about ``STEPS`` / 2 unedited words is one. Every candidate is confirm
 exact edit distance, in words, between the item and the best-fitting stretch of
 the text around it.
 
+An item of fewer than ``SEEDED`` words is too short for the walk. It is cut into one piece more
+than it may have edits, so that a piece is left whole wherever it occurs; every place of
+a text that holds a piece is a candidate, and all of them are confirmed the same way.
+
 Benchmark items go to the tasks in blocks of bounded size, one pass over the
 texts per block; the texts are never shuffled.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +41,15 @@ EDIT_PERCENT = 20
 REPETITIONS, SAMPLES, STEPS = 6, 6, 12
 #: Words of benchmark items that go to the tasks at once.
 BLOCK_WORDS = 250_000
+#: Items of fewer words are found by their pieces instead of the walk.
+SEEDED = 10
+#: Items of fewer words are not searched: one or two words are no benchmark item. They are reported.
+MIN_WORDS = 3
+#: Candidates of short items that are looked at together.
+TOGETHER = 1 << 17
+
+
+LOG = logging.getLogger(__name__)
 
 
 def allowed_edits(words: int, percent: int = EDIT_PERCENT) -> int:
@@ -85,6 +99,8 @@ class Index:
     filters: list[list[np.ndarray]]
     #: Per repetition: sorted full hashes, and the item and word each starts at.
     keys: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    #: Per length of a piece of the short items: a bitmap, sorted hashes, and the item and word each starts at.
+    pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def word_hash() -> WordHash:
@@ -97,10 +113,11 @@ def word_hash() -> WordHash:
 _HASH: WordHash | None = None
 
 
-def build_index(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, repetitions: int = REPETITIONS,
-                samples: int = SAMPLES, steps: int = STEPS) -> Index:
-    places = np.arange(len(words))
-    owner = np.searchsorted(bounds, places, "right") - 1
+def build_index(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, percent: int = EDIT_PERCENT,
+                repetitions: int = REPETITIONS, samples: int = SAMPLES, steps: int = STEPS) -> Index:
+    owner = np.repeat(np.arange(len(ids)), np.diff(bounds))
+    places = np.flatnonzero(np.diff(bounds)[owner] >= SEEDED)
+    owner = owner[places]
     ends = bounds[owner + 1]
     low = np.uint64((1 << max(16, (64 * len(words)).bit_length())) - 1)
     filters, keys = [], []
@@ -116,8 +133,36 @@ def build_index(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, repetiti
         filters.append(masks)
         keys.append((seen[order], owner[who[order]], places[who[order]] - bounds[owner[who[order]]]))
     starts = np.zeros(int(low) + 1, dtype=bool)
-    starts[words & low] = True
-    return Index(ids, words, bounds, low, starts, filters, keys)
+    starts[words[places] & low] = True
+    return Index(ids, words, bounds, low, starts, filters, keys, item_pieces(words, bounds, percent, low))
+
+
+def piece_hashes(words: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the ``size`` words from each place on."""
+    out = np.full(len(places), np.uint64(size))
+    for j, factor in enumerate(_odd(1100, size)):
+        out += words[places + j] * factor
+    return mix(out)
+
+
+def item_pieces(words: np.ndarray, bounds: np.ndarray, percent: int, low: np.uint64) -> dict:
+    """The pieces of the short items, by their length: see ``Index.pieces``."""
+    sizes, found = np.diff(bounds), {}
+    for n in range(1, SEEDED):
+        items = np.flatnonzero(sizes == n)
+        count = min(allowed_edits(n, percent) + 1, n)
+        cuts = [n * i // count for i in range(count + 1)] if len(items) else []
+        for begin, end in zip(cuts, cuts[1:]):
+            hashes = piece_hashes(words, bounds[items] + begin, end - begin)
+            found.setdefault(end - begin, []).append((hashes, items, np.full(len(items), begin)))
+    out = {}
+    for size, parts in found.items():
+        hashes, items, begin = (np.concatenate(x) for x in zip(*parts))
+        mask = np.zeros(int(low) + 1, dtype=bool)
+        mask[hashes & low] = True
+        order = np.argsort(hashes, kind="stable")
+        out[size] = mask, hashes[order], items[order], begin[order]
+    return out
 
 
 def candidates(index: Index, words: np.ndarray, bounds: np.ndarray, samples: int, steps: int):
@@ -171,11 +216,59 @@ def best_fit(item: np.ndarray, text: np.ndarray) -> int:
     return best
 
 
+def short_fits(items: np.ndarray, texts: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """``best_fit`` of many items of one length, each in its own few words of text; words not ``inside`` equal none."""
+    above = np.zeros((texts.shape[1] + 1, len(items)), dtype=np.int8)
+    for i in range(items.shape[1]):
+        row = np.empty_like(above)
+        row[0] = i + 1
+        for j in range(texts.shape[1]):
+            differs = (items[:, i] != texts[:, j]) | ~inside[:, j]
+            row[j + 1] = np.minimum(np.minimum(above[j + 1], row[j]) + 1, above[j] + differs)
+        above = row
+    return above.min(axis=0)
+
+
+def short_matches(index: Index, part: Slice, hashes: np.ndarray, percent: int):
+    """(row of the slice, item number, distance) of every row and short item it holds."""
+    sizes, out = np.diff(index.bounds), {}
+    ends = np.repeat(part.bounds[1:], np.diff(part.bounds))
+    for size, (mask, keys, items, begins) in index.pieces.items():
+        places = np.flatnonzero(np.arange(len(hashes)) + size <= ends)
+        seen = piece_hashes(hashes, places, size)
+        some = np.flatnonzero(mask[seen & index.low])
+        places, seen = places[some], seen[some]
+        lo = np.searchsorted(keys, seen, "left")
+        n = np.searchsorted(keys, seen, "right") - lo
+        places, lo, n = places[n > 0], lo[n > 0], n[n > 0]
+        total = np.concatenate(([0], np.cumsum(n)))
+        at = 0
+        while at < len(places):
+            stop = max(at + 1, int(np.searchsorted(total, total[at] + TOGETHER, "right")) - 1)
+            m = n[at:stop]
+            hit = np.repeat(lo[at:stop] - total[at:stop], m) + np.arange(total[at], total[stop])
+            first, item = np.repeat(places[at:stop], m) - begins[hit], items[hit]
+            row = np.searchsorted(part.bounds, np.repeat(places[at:stop], m), "right") - 1
+            at = stop
+            for length in np.unique(sizes[item]).tolist():
+                one = np.flatnonzero(sizes[item] == length)
+                edits = allowed_edits(length, percent)
+                place = first[one, None] + np.arange(-edits, length + edits)
+                inside = (place >= part.bounds[row[one], None]) & (place < part.bounds[row[one] + 1, None])
+                distance = short_fits(index.words[index.bounds[item[one], None] + np.arange(length)],
+                                      hashes[np.clip(place, 0, len(hashes) - 1)], inside)
+                good = np.flatnonzero(distance <= edits)
+                for r, j, d in zip(row[one[good]].tolist(), item[one[good]].tolist(), distance[good].tolist()):
+                    out[r, j] = min(out.get((r, j), d), d)
+    return [(r, j, d) for (r, j), d in out.items()]
+
+
 def matches(index: Index, part: Slice, hashes: np.ndarray, percent: int, samples: int, steps: int):
     """(row of the slice, item number, distance) of every contaminated row and item."""
+    short = short_matches(index, part, hashes, percent)
     found = candidates(index, hashes, part.bounds, samples, steps)
     if not len(found):
-        return []
+        return short
     row = np.searchsorted(part.bounds, found[:, 0], "right") - 1
     size = np.diff(index.bounds)[found[:, 1]]
     slack = size * percent // 100
@@ -203,7 +296,7 @@ def matches(index: Index, part: Slice, hashes: np.ndarray, percent: int, samples
         distance = best_fit(item, text)
         if distance <= edits:
             out[key] = min(out.get(key, distance), distance)
-    return [(r, j, d) for (r, j), d in out.items()]
+    return short + [(r, j, d) for (r, j), d in out.items()]
 
 
 def item_blocks(items: DataFrame, most_words: int = BLOCK_WORDS):
@@ -240,14 +333,22 @@ def _any_of(group):
     return out
 
 
+def left_out(items: DataFrame, item_col: str = "item_id", item_text_col: str = "text",
+             min_words: int = MIN_WORDS) -> DataFrame:
+    """(item_id, n_words) of the items that are not searched: null ids or texts, and those of fewer than ``min_words`` words."""
+    n = F.size(F.regexp_extract_all(F.coalesce(F.col(item_text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    return items.select(F.col(item_col).cast("long").alias("item_id"), n.alias("n_words")).where(
+        F.col("item_id").isNull() | (F.col("n_words") < min_words))
+
+
 def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       item_col: str = "item_id", item_text_col: str = "text", percent: int = EDIT_PERCENT,
-                      min_words: int = 8, repetitions: int = REPETITIONS, samples: int = SAMPLES,
+                      min_words: int = MIN_WORDS, repetitions: int = REPETITIONS, samples: int = SAMPLES,
                       steps: int = STEPS) -> DataFrame:
     """(doc_id, item_id, distance) for every text that holds an item up to ``percent`` of its words edited.
 
     Items of fewer than ``min_words`` words, or null ids or texts, are left
-    out: they occur by chance. Null, empty and wordless texts hold nothing. Rows
+    out; the log names them, and ``left_out`` returns them. Null, empty and wordless texts hold nothing. Rows
     that repeat a doc_id or item_id are judged alike; each pair is returned once,
     with its least distance.
     """
@@ -263,7 +364,7 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         rows = block.select("item", "text").toArrow()
         if not rows.num_rows:
             continue
-        ids, words = [], []
+        ids, words, short = [], [], []
         for part in slices(rows["text"], lower=True):
             hashes = word_hash()(part.data, part.starts, part.ends)
             for r in range(len(part.bounds) - 1):
@@ -271,6 +372,10 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                 if len(mine) >= min_words:
                     ids.append(rows["item"][part.rows.start + r].as_py())
                     words.append(mine)
+                else:
+                    short.append(rows["item"][part.rows.start + r].as_py())
+        if short:
+            LOG.warning("%d benchmark items of fewer than %d words are not searched: %s", len(short), min_words, short)
         if not ids:
             continue
         bounds = np.concatenate(([0], np.cumsum([len(w) for w in words])))
@@ -292,7 +397,7 @@ def _index(shared, *how) -> Index:
 
 def _search(shared, percent: int, repetitions: int, samples: int, steps: int):
     def run(batches):
-        index = _index(shared, repetitions, samples, steps)
+        index = _index(shared, percent, repetitions, samples, steps)
         for batch in batches:
             ids, rows = batch.column(0), []
             for part in slices(batch.column(1), lower=True):
