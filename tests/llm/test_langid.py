@@ -84,3 +84,35 @@ def test_slices_do_not_matter(trained):
     one = L.classify(trained, texts)
     parts = [L.classify(trained, texts.slice(i, 7)) for i in range(0, len(texts), 7)]
     assert one[0] == [n for p in parts for n in p[0]]
+
+
+def test_no_language_evicts_another(spark):
+    often = [(i, f"{i * 7919} frequent words {i * 104729} of one language {i * 1299709}", "en") for i in range(300)]
+    rare = [(1000, "der hund und die katze", "de"), (1001, "die straße und der hund", "de")]
+    schema = "doc_id long, text string, lang string"
+    both = L.train(spark.createDataFrame(often + rare, schema), max_nodes=200)
+    alone = L.train(spark.createDataFrame(rare, schema), max_nodes=200)
+    data = np.frombuffer("und der hund die straße".encode(), np.uint8)
+    ends = np.array([0, len(data)])
+    assert both.languages == ["de", "en"]
+    assert L.code_lengths(both, data, ends)[0][0] == pytest.approx(L.code_lengths(alone, data, ends)[0][0])
+
+
+def test_all_languages_are_learned(spark):
+    rows = [(i, chr(0x4E00 + 7 * i) * 5, f"l{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = L.identify(docs, L.train(docs)).join(docs, "doc_id")
+    assert found.where("lang_pred = lang").count() == 300
+
+
+def test_sparse_model_gives_the_same_code_lengths(spark, monkeypatch):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    full = L.train(docs, max_nodes=3000)
+    monkeypatch.setattr(L.build_model, "__defaults__", (0,))
+    sparse = L.train(docs, max_nodes=3000)
+    assert isinstance(sparse, L.SparseModel) and isinstance(full, L.Model) and sparse.languages == full.languages
+    texts = [r.text or "" for r in docs.limit(50).collect()] + ["", "日本 the", "zzzz\x00", "é"]
+    data = [t.encode() for t in texts]
+    ends = np.cumsum([0] + [len(d) for d in data])
+    raw = np.frombuffer(b"".join(data), np.uint8)
+    assert L.code_lengths(sparse, raw, ends, block=1000) == pytest.approx(L.code_lengths(full, raw, ends))

@@ -8,9 +8,11 @@ training. A text's score under a language is its exact code length; the
 shortest wins.
 
 Training counts the contexts with Spark over a bounded sample of labelled
-rows. The model that goes to the tasks is bounded by ``max_nodes``. In a task, the
+rows. The model that goes to the tasks is bounded by ``max_nodes`` per language: a language's
+statistics come from its own rows alone. In a task, the
 longest known contexts of all bytes of a slice are found by gathers in
-transition tables, one per order, so no Python runs per byte.
+transition tables, one per order, so no Python runs per byte. A model of many languages
+holds only what each of them has seen, and gives the same code lengths.
 """
 
 from __future__ import annotations
@@ -22,18 +24,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .tables import python_ready
+from .tables import python_ready, stored
 from .wordhash import slices
 
 #: Longest context in bytes.
 ORDER = 3
 #: Labelled rows per language that training looks at, whole: a sample by id hash of so many rows on average.
 TRAIN_ROWS = 2000
-#: Languages that are learned, the most frequent ones.
-MAX_LANGUAGES = 256
-#: Byte strings the model keeps, the most frequent ones of all languages.
+#: Strings of two and more bytes the model keeps of each language, its most frequent ones.
 MAX_NODES = 400_000
+#: Strings times languages up to which a model is held as full tables.
+FULL_CELLS = 1 << 24
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -51,6 +54,19 @@ class Model:
     escape: list[np.ndarray]
 
 
+@dataclass
+class SparseModel:
+    """The same statistics by what each language has seen; nodes are numbered as in ``Model``."""
+
+    languages: list[str]
+    #: next[k] -> sorted keys, 256 times the node before plus the byte, of the nodes 1, 2 and so on.
+    next: list[np.ndarray]
+    #: Per level: where a node's entries start, and their languages and bits.
+    cost: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    #: Per level: where a context's entries start, and their languages and bits to leave it.
+    escape: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
 def count_strings(docs: DataFrame, lang_col: str, text_col: str, order: int) -> DataFrame:
     """(lang, gram, n): counts of byte strings of 1 to ``order`` + 1 bytes inside each text."""
     def run(batches):
@@ -78,15 +94,14 @@ def count_strings(docs: DataFrame, lang_col: str, text_col: str, order: int) ->
     return counted.groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
 
 
-def training_rows(docs: DataFrame, id_col: str, lang_col: str, text_col: str, rows: int,
-                  languages: int = MAX_LANGUAGES) -> DataFrame:
+def training_rows(docs: DataFrame, id_col: str, lang_col: str, text_col: str, rows: int) -> DataFrame:
     """About ``rows`` rows per language (all, if it has fewer), chosen by id hash; those without id or lang are left out.
 
     Only counts per language meet, pre-aggregated; each row decides for itself.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     return usable.join(F.broadcast(counts), "lang").where(place * F.col("n") < rows).select("lang", "text")
 
@@ -95,15 +110,26 @@ def train(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_
           rows: int = TRAIN_ROWS, order: int = ORDER, max_nodes: int = MAX_NODES) -> Model:
     """Learn a model from the labelled rows of ``docs`` (no rows: a model without languages)."""
     python_ready(docs.sparkSession)
-    counted = count_strings(training_rows(docs, id_col, lang_col, text_col, rows), "lang", "text", order)
-    whole = counted.groupBy("order", "gram").agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang"))
-    # Strings of one byte always stay; of the longer ones the most frequent.
-    top = whole.orderBy((F.col("order") > 0).cast("int"), F.desc("total"), "order", "gram").limit(max_nodes)
+    counted = stored(count_strings(training_rows(docs, id_col, lang_col, text_col, rows), "lang", "text", order), "strings")
+    kept = most_frequent(counted, max_nodes)
+    top = kept.groupBy("order", "gram").agg(F.collect_list(F.struct("lang", "n")).alias("by_lang"))
     return build_model(top.select("order", "gram", "by_lang").toArrow(), order)
 
 
-def build_model(table: pa.Table, order: int) -> Model:
+def most_frequent(counted: DataFrame, max_nodes: int) -> DataFrame:
+    """Per language its strings of one byte, and of the longer ones the most frequent, at most ``max_nodes``.
+
+    Strings of equal count stay or go together, so whatever stays has its contexts. Only the numbers of
+    strings per count meet by language.
+    """
+    longer = counted.where(F.col("order") > 0).groupBy("lang", "n").agg(F.count(F.lit(1)).alias("strings"))
+    so_far = F.sum("strings").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    least = longer.withColumn("so_far", so_far).where(F.col("so_far") <= max_nodes).groupBy("lang").agg(F.min("n").alias("least"))
+    return (counted.join(F.broadcast(least), "lang", "left")
+                   .where((F.col("order") == 0) | (F.col("n") >= F.col("least"))).drop("least"))
+
+
+def build_model(table: pa.Table, order: int, full_cells: int = FULL_CELLS) -> Model | SparseModel:
     """Freeze counted strings: number the nodes per level, then costs from short to long contexts."""
     table = table.combine_chunks()
     level = np.asarray(table["order"].to_numpy(), dtype=np.int64)
@@ -112,8 +138,11 @@ def build_model(table: pa.Table, order: int) -> Model:
     owner = np.repeat(np.arange(len(gram)), np.diff(np.asarray(lists.offsets)))
     names = lists.values.field("lang").to_pylist()
     languages = sorted(set(names))
-    n = np.zeros((len(gram), len(languages)))
     index = {x: i for i, x in enumerate(languages)}
+    if len(gram) * len(languages) > full_cells:
+        who = np.array([index[x] for x in names], dtype=np.int64)
+        return build_sparse(languages, level[owner], gram[owner], who, np.asarray(lists.values.field("n")), order)
+    n = np.zeros((len(gram), len(languages)))
     n[owner, [index[x] for x in names]] = np.asarray(lists.values.field("n"))
     model, width = Model(languages, [], [], []), len(languages)
     known = {0: 0}  # packed context -> node, of the level before; the empty context is node 0
@@ -147,6 +176,57 @@ def build_model(table: pa.Table, order: int) -> Model:
     return model
 
 
+def build_sparse(languages: list[str], level: np.ndarray, gram: np.ndarray, who: np.ndarray, n: np.ndarray,
+                 order: int) -> SparseModel:
+    """Freeze counted strings given as one entry for each string and language."""
+    model, width = SparseModel(languages, [], [], []), len(languages)
+    before = np.zeros(1, dtype=np.int64)  # packed contexts of the level, sorted
+    for k in range(order + 1):
+        pick = np.flatnonzero(level == k)
+        pick = pick[np.lexsort((who[pick], gram[pick]))]
+        grams, node = np.unique(gram[pick], return_inverse=True)
+        parent = np.searchsorted(before, gram[pick] >> 8) + (k > 0)
+        pairs, at = np.unique(parent * width + who[pick], return_inverse=True)
+        kinds, seen = np.bincount(at, minlength=len(pairs)), np.bincount(at, n[pick], len(pairs))
+        model.next.append((np.searchsorted(before, grams >> 8) + (k > 0)) * 256 + (grams & 255))
+        model.cost.append((np.searchsorted(node, np.arange(-1, len(grams) + 1)), who[pick].astype(np.int32),
+                           -np.log2(n[pick] / (seen + kinds)[at])))
+        model.escape.append((np.searchsorted(pairs // width, np.arange(len(before) + 2)), (pairs % width).astype(np.int32),
+                             -np.log2(kinds / (seen + kinds))))
+        before = grams
+    return model
+
+
+def _entries(starts: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``nodes``, entry) of every entry of the nodes."""
+    n = starts[nodes + 1] - starts[nodes]
+    return np.repeat(np.arange(len(nodes)), n), np.arange(n.sum()) + np.repeat(starts[nodes] - np.cumsum(n) + n, n)
+
+
+def sparse_bits(model: SparseModel, data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``byte_bits`` of a sparse model: from the empty context on, a language that has seen a context leaves
+    it or has the byte in it."""
+    out = np.full((len(data), len(model.languages)), 8.0)
+    context = np.zeros(len(data), dtype=np.int64)
+    for k, keys in enumerate(model.next):
+        there = np.flatnonzero((context > 0) | (k == 0))
+        wanted = context[there] * 256 + data[there]
+        at = np.searchsorted(keys, wanted)
+        found = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == wanted) if len(keys) else np.zeros(len(at), bool)
+        starts, who, bits = model.escape[k]
+        place, entry = _entries(starts, context[there])
+        out[there[place], who[entry]] += bits[entry]
+        starts, who, bits = model.cost[k]
+        place, entry = _entries(starts, at[found] + 1)
+        out[there[found][place], who[entry]] = bits[entry]
+        node = np.zeros(len(data), dtype=np.int64)
+        node[there[found]] = at[found] + 1
+        context[1:] = node[:-1]
+        context[0] = 0
+        context[first] = 0
+    return out
+
+
 def _without_first(model: Model, grams: np.ndarray, k: int) -> np.ndarray:
     """Bits of the last byte of each string of k + 1 bytes in the context of its k - 1 bytes before it."""
     grams = grams & ((1 << (8 * k)) - 1)
@@ -184,6 +264,8 @@ def _bits(model: Model, nodes: list[np.ndarray], contexts: list[np.ndarray]) ->
 
 def byte_bits(model: Model, data: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Bits of every byte per language; ``first`` marks where a text begins."""
+    if isinstance(model, SparseModel):
+        return sparse_bits(model, data, first)
     nodes = [model.next[0][0, data]]
     contexts = [np.zeros(len(data), dtype=np.int32)]
     for k in range(1, len(model.next)):
@@ -204,6 +286,7 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray, block: int
     out = np.zeros((len(offsets) - 1, len(model.languages)))
     if not model.languages:
         return out
+    block = min(block, max((1 << 20) // len(model.languages), 1 << 10))
     starts = np.unique(offsets[:-1][np.diff(offsets) > 0])
     for lo in range(0, len(data), block):
         hi, back = min(lo + block, len(data)), max(lo - len(model.next) + 1, 0)
