@@ -78,6 +78,17 @@ def test_null_and_repeated_ids(docs_of):
                                             (9, 7, False), (7, 7, True)], key=repr)
 
 
+def test_one_per_group_decides_per_text_of_an_id(docs_of):
+    rows = [(None, edited(0)), (5, edited(0)), (9, "a b c"), (9, "d e f"), (9, "d e f"), (7, "d e f"), (9, None), (9, ""),
+            (2, edited(1)), (2, "x y z"), (11, "g h i"), (11, "G H I"), (12, "only here"), (12, "only here")]
+    got = [(r.doc_id, r.text) for r in M.one_per_group(docs_of(rows).repartition(3)).collect()]
+    variant = [x for x in got if x[0] == 11]
+    assert len(variant) == 1 and variant[0][1].lower() == "g h i"
+    assert sorted(set(got) - set(variant), key=repr) == sorted(
+        [(None, edited(0)), (9, "a b c"), (7, "d e f"), (9, None), (9, ""), (2, edited(1)), (2, "x y z"), (12, "only here")], key=repr)
+    assert len(got) == 9
+
+
 def test_empty_table(docs_of):
     assert M.near_duplicates(docs_of([])).collect() == []
     assert M.one_per_group(docs_of([])).collect() == []

@@ -236,15 +236,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         F.col("doc").eqNullSafe(component).alias("kept"))
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays. Rows with a null id cannot be told
-    apart by it and all stay.
+    Of rows that repeat a doc_id and a text one stays. Rows that repeat a doc_id with different texts
+    are documents of their own, told apart by 128-bit hashes of their texts. Rows with a null id cannot
+    be told apart by it and all stay.
     """
-    kept = near_duplicates(docs, id_col, **how).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    stays = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col])
-    return stays.union(docs.where(F.col(id_col).isNull()))
+    one, two = (F.xxhash64(F.lit(i), F.col(text_col).isNull(), F.col(text_col)) for i in (1, 2))
+    marked = docs.withColumn("_one", one).withColumn("_two", two)
+    marks = marked.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id")).agg(
+        *[f(c).alias(f"{f.__name__}{c}") for c in ("_one", "_two") for f in (F.min, F.max)])
+    mixed = stored(marks.where("min_one <> max_one OR min_two <> max_two").select("_id"), "mixed")
+    rest = docs.where(F.col(id_col).isNull())
+    if mixed.isEmpty():
+        kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+        return docs.join(kept, docs[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col]).union(rest)
+    # Texts of one id get numbers above all ids, in the order of id and hash.
+    own = marked.select(F.col(id_col).cast("long").alias("_id"), "_one", "_two").join(mixed, "_id").distinct()
+    most = docs.agg(F.max(F.col(id_col).cast("long"))).scalar()
+    own = stored(own.orderBy("_id", "_one", "_two").withColumn("_number", most + 1 + F.monotonically_increasing_id()), "texts")
+    named = own.select(F.col("_id").alias("_id2"), F.col("_one").alias("_one2"), F.col("_two").alias("_two2"), "_number")
+    numbered = marked.join(named, (F.col(id_col).cast("long") == F.col("_id2")) & (F.col("_one") == F.col("_one2"))
+                           & (F.col("_two") == F.col("_two2")), "left").withColumn(
+        "_doc", F.coalesce("_number", F.col(id_col).cast("long")))
+    found = near_duplicates(numbered, "_doc", text_col, **how).where("doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_number"), "component_id").distinct().join(own, "_number", "left")
+    first = F.min(F.struct(F.coalesce("_id", "_number").alias("id"), "_one", "_two", "_number"))
+    kept = found.groupBy("component_id").agg(first.alias("first")).select(F.col("first._number").alias("_kept"))
+    stays = numbered.join(kept, numbered["_doc"] == kept["_kept"], "left_semi").dropDuplicates(["_doc"])
+    return stays.select(*docs.columns).union(rest)
 
 
 #: Every pair that shares a shingle, and components by the smallest label reachable.
