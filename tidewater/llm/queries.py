@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import table
-from . import (bitslice, decontaminate, hostreputation, langid, licenses, linededup, minhash, sentencepiece_unigram,
-               superkmer, warc)
+from . import (bitslice, decontaminate, hostreputation, langid, lexical, licenses, linededup, minhash,
+               sentencepiece_unigram, sharding, superkmer, tokenalign, warc)
 from .registry import QUERIES, query
 
 
@@ -81,3 +81,23 @@ def op5_warc(spark, sf_dir):
 def op8_license_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return licenses.license_report(docs, licenses.train(docs))
+
+
+#: No SQL for two tokenisers: checked against the tokenisers' own libraries and a plain merge over short texts.
+@query("op11_token_alignment")
+def op11_token_alignment(spark, sf_dir):
+    found = tokenalign.alignment_report(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+#: No SQL for a random permutation: checked by exact sizes, gapless slots, and the law of the draws.
+@query("op12_sharding")
+def op12_sharding(spark, sf_dir):
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_lexical_search", lexical.SEARCH_SQL)
+def op13_lexical_search(spark, sf_dir):
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"))
