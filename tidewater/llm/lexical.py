@@ -88,10 +88,12 @@ def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def from_varints(data: np.ndarray) -> np.ndarray:
+    if not len(data):
+        return np.zeros(0, dtype=np.int64)
     ends = np.flatnonzero(data < 128)
     starts = np.concatenate(([0], ends[:-1] + 1))
     shift = 7 * (np.arange(len(data)) - np.repeat(starts, ends - starts + 1))
-    return np.add.reduceat((data & 127).astype(np.int64) << shift, starts) if len(data) else np.zeros(0, np.int64)
+    return np.add.reduceat((data & 127).astype(np.int64) << shift, starts)
 
 
 def _binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
