@@ -74,8 +74,9 @@ class Plain:
         out = []
         for (i, _), g, x in zip(rows, groups, links):
             text = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in g)
+            digest = hashlib.sha256(text.encode()).hexdigest() if text else ""
             out.append((i, sum(len(ga) for ga, _ in g), sum(len(gb) for _, gb in g), len(g), sum(x.values()),
-                        sum(n for p, n in x.items() if count[p] == best[p[0]]), sum(n * count[p] for p, n in x.items()), text))
+                        sum(n for p, n in x.items() if count[p] == best[p[0]]), sum(n * count[p] for p, n in x.items()), digest))
         return out
 
 
@@ -90,7 +91,7 @@ ROWS = [(1, "Hello world, it's  two  spaces\tand\n\nlines \n"), (2, ""), (3, Non
 
 
 def _report(df):
-    return sorted(((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups) for r in df.collect()), key=repr)
+    return sorted(((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in df.collect()), key=repr)
 
 
 def test_report_is_that_of_a_plain_merge(spark, docs_of, plain):
@@ -99,6 +100,14 @@ def test_report_is_that_of_a_plain_merge(spark, docs_of, plain):
     assert any(r[1] for r in got) and {r[0] for r in got if r[1] == 0} == {2, 3, 5}
 
 
+def test_aligned_groups_are_those_of_a_plain_merge(spark, docs_of, plain):
+    want = Counter((i, ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in plain.groups(t))) for i, t in ROWS)
+    got = ta.align_table(docs_of(ROWS)).collect()
+    assert Counter((r.doc_id, r.groups) for r in got) == want
+    for r in got:
+        assert (sum(r.ga), sum(r.gb), len(r.ga)) == (len(r.a), len(r.b), len(r.gb))
+
+
 def test_slices_do_not_change_the_report(spark, docs_of, plain, monkeypatch):
     monkeypatch.setattr(ta, "SLICE_ROWS", 3)
     monkeypatch.setattr(ta, "LINKS_AT_ONCE", 7)

@@ -16,6 +16,7 @@ Tokenisers are not trained here. Their files are read on the driver and sent to
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
 import re
@@ -30,12 +31,12 @@ from pyspark.sql.window import Window
 from .tables import python_ready, stored
 
 A_FILE, B_FILE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SLICE_ROWS = 1 << 16
 #: Ends in one piece of a merge.
 PIECE_ENDS = 1 << 15
-#: Links that are unfolded at a time, and the longest word that a task remembers.
-LINKS_AT_ONCE, REMEMBERED_CHARS = 1 << 21, 64
+#: Links that are unfolded at a time.
+LINKS_AT_ONCE = 1 << 18
 
 MARKER = "▁"
 #: A space after a letter, a digit or a printable ASCII sign, but for the last character: no token of either kind spans it.
@@ -109,6 +110,7 @@ class Coder:
     def __init__(self, files: TokenizerFiles):
         self.a, self.b = SideA(files.a), SideB(files.b)
         self.sizes = [np.array([len(x) for x in s.bytes], dtype=np.int64) for s in (self.a, self.b)]
+        self.group_text = GroupText((len(self.a.bytes), len(self.b.bytes)))
 
     def words(self, text: str) -> list[str]:
         return WORD_EDGE.split(text) if self.b.splits else [text]
@@ -281,32 +283,13 @@ class GroupText:
         return out
 
 
-ALIGNED_DDL = ("slice long, doc_id long, a array<int>, b array<int>, ga array<int>, gb array<int>")
-_ARRAYS = ("a", "b", "ga", "gb")
-
-
-def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+def _lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType = pa.int32()) -> pa.Array:
     offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
-
-
-def _unpacked(columns) -> dict[str, np.ndarray]:
-    """The arrays of rows of :func:`align_table`, as :func:`align` gives them."""
-    held = {}
-    for name, column in zip(_ARRAYS, columns):
-        held[name] = np.asarray(column.flatten()).astype(np.int64)
-        held["n_" + name] = np.asarray(column.value_lengths()).astype(np.int64)
-    held["n_groups"] = held["n_ga"]
-    return held
-
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
-def align_table(docs: DataFrame, files: TokenizerFiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every text's tokens and groups, written to the shared folder: slice, doc_id, a and b (token ids), ga and gb (tokens of
-    each side in each group, in order).
 
-    Texts that are null, empty or do not survive a tokeniser have empty lists. Repeated rows and null ids are
-    rows of their own; other columns are not read.
-    """
+def _by_slices(docs: DataFrame, files: TokenizerFiles, id_col: str, text_col: str, ddl: str, give) -> DataFrame:
+    """``give(slice number, ids, what :func:`align` gives, vocabulary sizes)`` for every slice of the texts."""
     spark: SparkSession = docs.sparkSession
     python_ready(spark)
     shared = spark.sparkContext.broadcast(files)
@@ -317,13 +300,6 @@ def align_table(docs: DataFrame, files: TokenizerFiles, id_col: str = "doc_id",
         ids: list = []
         texts: list = []
         size = 0
-
-        def flush():
-            held = align(coder, texts)
-            lengths = {"a": held["n_a"], "b": held["n_b"], "ga": held["n_groups"], "gb": held["n_groups"]}
-            return pa.record_batch([pa.array([number] * len(ids), pa.int64()), pa.array(ids, pa.int64()),
-                                    *(_lists(held[k], lengths[k]) for k in _ARRAYS)],
-                                   names=["slice", "doc_id", *_ARRAYS])
         for batch in batches:
             coder = coder or Coder(shared.value)
             column = batch.column(1)
@@ -333,27 +309,56 @@ def align_table(docs: DataFrame, files: TokenizerFiles, id_col: str = "doc_id",
                 texts.append(text)
                 size += len(text or "")
                 if size >= SLICE_BYTES or len(ids) >= SLICE_ROWS:
-                    yield flush()
+                    yield give(number, ids, align(coder, texts), coder)
                     number, ids, texts, size = number + 1, [], [], 0
         if ids:
-            yield flush()
+            yield give(number, ids, align(coder, texts), coder)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return stored(rows.mapInArrow(run, ALIGNED_DDL), "aligned")
+    return rows.mapInArrow(run, ddl)
 
 
-def slice_pairs(aligned: DataFrame) -> DataFrame:
-    """(slice, a, b, n): every pair linked in a slice, and in how many of its documents."""
-    def run(batches):
-        for batch in batches:
-            slices = np.asarray(batch.column(0))
-            held = _unpacked(batch.columns[1:])
-            text, pair, _ = document_pairs(held)
-            for s in np.unique(slices):
-                found, n = np.unique(pair[slices[text] == s], return_counts=True)
-                yield pa.record_batch([pa.array(np.full(len(found), s)), pa.array((found >> np.int64(32)).astype(np.int32)),
-                                       pa.array((found & 0xFFFFFFFF).astype(np.int32)), pa.array(n.astype(np.int64))],
-                                      names=["slice", "a", "b", "n"])
-    return aligned.select("slice", *_ARRAYS).mapInArrow(run, "slice long, a int, b int, n long")
+def align_table(docs: DataFrame, files: TokenizerFiles | None = None, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: doc_id, a and b (token ids), ga and gb (tokens of each side in each group, in order) and
+    ``groups`` (the same as text, see :class:`GroupText`).
+
+    Texts that are null, empty or do not survive a tokeniser have empty lists. Repeated rows and null ids are
+    rows of their own; other columns are not read.
+    """
+    def give(number, ids, held, coder):
+        lists = [_lists(held[k], held[n]) for k, n in (("a", "n_a"), ("b", "n_b"), ("ga", "n_groups"), ("gb", "n_groups"))]
+        return pa.record_batch([pa.array(ids, pa.int64()), *lists, pa.array(coder.group_text.write(held), pa.string())],
+                               names=["doc_id", "a", "b", "ga", "gb", "groups"])
+    return _by_slices(docs, files or read_tokenizers(), id_col, text_col,
+                      "doc_id long, a array<int>, b array<int>, ga array<int>, gb array<int>, groups string", give)
+
+
+LINKED_DDL = ("slice long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+              "pair array<int>, times array<long>, slice_a array<int>, slice_b array<int>, slice_n array<long>")
+
+
+def _linked(number: int, ids: list, held: dict[str, np.ndarray], coder: Coder) -> pa.RecordBatch:
+    """A row per document, its pairs by their numbers in the slice, and one row with the slice's pairs and the documents holding each."""
+    rows = len(ids)
+    text, pair, links = document_pairs(held)
+    distinct, which = np.unique(pair, return_inverse=True)
+    of_row = np.bincount(text, minlength=rows)
+    n_links = np.zeros(rows, dtype=np.int64)
+    np.add.at(n_links, text, links)
+    digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in coder.group_text.write(held)]
+
+    def then_null(values: pa.Array) -> pa.Array:
+        return pa.concat_arrays([values, pa.nulls(1, values.type)])
+
+    def null_then(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+        return pa.concat_arrays([pa.nulls(rows, pa.list_(kind)), _lists(values, np.array([len(values)]), kind)])
+    return pa.record_batch([
+        pa.array(np.full(rows + 1, number)), then_null(pa.array(ids, pa.int64())),
+        *(then_null(pa.array(held[k].astype(np.int64))) for k in ("n_a", "n_b", "n_groups")), then_null(pa.array(n_links)),
+        then_null(pa.array(digests, pa.string())), then_null(_lists(which, of_row)), then_null(_lists(links, of_row, pa.int64())),
+        null_then(distinct >> np.int64(32), pa.int32()), null_then(distinct & 0xFFFFFFFF, pa.int32()),
+        null_then(np.bincount(which, minlength=len(distinct)), pa.int64())],
+        names=[f.split()[0] for f in LINKED_DDL.split(", ")])
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
@@ -367,41 +372,34 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 def alignment_report(docs: DataFrame, files: TokenizerFiles | None = None, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and the groups' text (see :class:`GroupText`).
+    """Per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 (of the groups' text, see
+    :class:`GroupText`).
 
-    Rows whose texts have no tokens hold zeros and the empty text.
+    Rows whose texts have no tokens hold zeros and an empty digest. Null ids, repeated rows and other columns: as
+    in :func:`align_table`.
     """
-    files = files or read_tokenizers()
-    aligned = align_table(docs, files, id_col, text_col)
-    pairs = stored(slice_pairs(aligned), "slice-pairs")
-    known = pairs.select("slice", "a", "b").join(pair_counts(pairs), ["a", "b"])
-    sizes = aligned.sparkSession.sparkContext.broadcast(_vocabulary_sizes(files))
+    held = stored(_by_slices(docs, files or read_tokenizers(), id_col, text_col, LINKED_DDL, _linked), "aligned")
+    of_docs = held.where(F.col("slice_n").isNull())
+    numbered = F.posexplode(F.arrays_zip("slice_a", "slice_b", "slice_n")).alias("number", "x")
+    pairs = held.where(F.col("slice_n").isNotNull()).select(F.col("slice").alias("slice"), numbered).select(
+        "slice", "number", F.col("x.slice_a").alias("a"), F.col("x.slice_b").alias("b"), F.col("x.slice_n").alias("n"))
+    known = pairs.select("slice", "number", "a", "b").join(pair_counts(pairs), ["a", "b"]).select("slice", "number", "count", "best")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.combine_chunks()
-        held = _unpacked([left.column(c).combine_chunks() if left.num_rows else pa.array([], pa.list_(pa.int32())) for c in _ARRAYS])
-        key = np.asarray(right.column("a")).astype(np.int64) << np.int64(32) | np.asarray(right.column("b")).astype(np.int64)
-        order = np.argsort(key)
-        count, best = np.asarray(right.column("count"))[order], np.asarray(right.column("best"))[order]
-        text, pair, links = document_pairs(held)
-        at = np.searchsorted(key[order], pair)
-        rows = left.num_rows
-
-        def added(values):
-            out = np.zeros(rows, dtype=np.int64)
-            np.add.at(out, text, values)
-            return pa.array(out)
-        return pa.table({
-            "doc_id": left.column("doc_id"), "n_a": pa.array(held["n_a"]), "n_b": pa.array(held["n_b"]),
-            "n_groups": pa.array(held["n_groups"]), "n_links": added(links),
-            "n_best": added(links * best[at]), "count_sum": added(links * count[at]),
-            "groups": pa.array(GroupText(sizes.value).write(held), pa.string())})
-    return (aligned.groupBy("slice").cogroup(known.groupBy("slice"))
+        count, best = (np.zeros(right.num_rows, dtype=np.int64) for _ in range(2))
+        number = np.asarray(right.column("number"))
+        count[number], best[number] = np.asarray(right.column("count")), np.asarray(right.column("best"))
+        sums: list[list[int]] = [[], []]
+        for batch in left.to_batches():
+            pair, times = (np.asarray(batch.column(c).flatten()) for c in ("pair", "times"))
+            row = np.repeat(np.arange(batch.num_rows), np.asarray(batch.column("pair").value_lengths()))
+            for out, worth in zip(sums, (best, count)):
+                added = np.zeros(batch.num_rows, dtype=np.int64)
+                np.add.at(added, row, times * worth[pair])
+                out += added.tolist()
+        columns = {c: left.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+        return pa.table({**columns, "n_best": pa.array(sums[0], pa.int64()), "count_sum": pa.array(sums[1], pa.int64()),
+                         "groups_sha256": left.column("groups_sha256")})
+    return (of_docs.groupBy("slice").cogroup(known.groupBy("slice"))
                    .applyInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
-                                      "count_sum long, groups string"))
-
-
-def _vocabulary_sizes(files: TokenizerFiles) -> tuple[int, int]:
-    import sentencepiece as sp
-    vocabulary = json.loads(files.a)["model"]["vocab"]
-    return max(vocabulary.values()) + 1, sp.SentencePieceProcessor(model_proto=files.b).get_piece_size()
+                                      "count_sum long, groups_sha256 string"))
