@@ -1,26 +1,28 @@
-"""Stateful streaming operators written as ``applyInPandasWithState`` functions.
+"""Stateful streaming operators as row-wise ``transformWithState`` processors with typed state and event-time timers.
 
 Pane timing (EARLY / ON_TIME / LATE) for tumbling-window sums with allowed
-lateness, and gap sessions per key that report every change early and close
+lateness, and gap sessions per key that report changes early and close
 on time. Spark's watermark is ``max(event time) - delay``.
 
 Panes, with lateness L and watermark delay L: a window's end is passed when
 ``wm + L >= end`` and the window is dropped when ``wm >= end``.
 Sessions, with watermark delay = gap (and the source's disorder, if any): an event is
 too late when ``ts <= wm`` and a session is complete when ``wm >= last_ts``.
+
+Early firings come ``early_seconds`` of processing time after the first element that has not been reported; 0 is one
+firing per micro-batch. What is due is fired by the first micro-batch that runs afterwards and has data for
+the key or moves the watermark.
 """
 
 from __future__ import annotations
 
-import json
 import warnings
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.constants import EARLY, LATE, ON_TIME
 from ..session import ship_package
@@ -31,36 +33,72 @@ warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenati
 #: A session row that takes back an earlier one, whose start has moved.
 RETRACTED = "RETRACTED"
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 PANE_OUT = "window_start_ms long, dollar_turnover double, dollar_timing string, pane_index long"
-PANE_STATE = "total double, fired boolean, panes long"
-
-
-def _pane_fn(size_ms: int, lateness_ms: int):
-    """State per window: its sum, whether it has fired on time or late, its number of firings."""
-    def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        start = int(key[0])
-        end, wm = start + size_ms, state.getCurrentWatermarkMs()
-        passed, had = wm + lateness_ms >= end, state.exists
-        total, fired, panes = state.get if had else (0.0, False, 0)
-        added = None if state.hasTimedOut else sum(float(pdf["value"].sum()) for pdf in pdfs if not pdf.empty)
-        out = []
-        if had and passed and not fired:
-            out.append((start, total, ON_TIME, panes))
-            fired, panes = True, panes + 1
+PANE_STATE = "total double, fired boolean, panes long, due long"
+NOT_DUE = -1
+
+
+def _stateful(spark: SparkSession) -> None:
+    """Python workers need the package, and these operators the state store that has column families."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+
+
+class PaneSums(StatefulProcessor):
+    """One window: its sum, whether it has fired on time or late, its number of firings, and when an early one is due."""
+
+    Pane = Row("window_start_ms", "dollar_turnover", "dollar_timing", "pane_index")
+
+    def __init__(self, size_ms: int, lateness_ms: int, early_ms: int):
+        self.size, self.lateness, self.early = size_ms, lateness_ms, early_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.pane = handle.getValueState("pane", PANE_STATE)
+
+    def handleInputRows(self, key, rows, timerValues):
+        added = sum(r.value for r in rows)
+        yield from self._advance(key[0], added, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._advance(key[0], None, timerValues)
+
+    def _advance(self, start: int, added: float | None, times):
+        end, wm = start + self.size, times.getCurrentWatermarkInMs()
+        passed, held = wm + self.lateness >= end, self.pane.get()
+        if held is None and added is None:
+            return
+        total, fired, panes, due = held or (0.0, False, 0, NOT_DUE)
+        if held and passed and not fired:
+            yield self.Pane(start, total, ON_TIME, panes)
+            fired, panes, due = True, panes + 1, NOT_DUE
         if wm >= end:
             # Dead window (past the allowed lateness): forget it; its late data is dropped.
-            if had:
-                state.remove()
-        else:
+            if held:
+                self.pane.clear()
+            return
+        if added is not None:
+            total += added
+        if passed:
             if added is not None:
-                total, fired = total + added, fired or passed
-                out.append((start, total, LATE if passed else EARLY, panes))
-                panes += 1
-            state.update((total, fired, panes))
-            state.setTimeoutTimestamp(max(end if fired else end - lateness_ms, wm + 1))
-        if out:
-            yield pd.DataFrame(out, columns=["window_start_ms", "dollar_turnover", "dollar_timing", "pane_index"])
-    return fn
+                yield self.Pane(start, total, LATE, panes)
+                fired, panes = True, panes + 1
+        else:
+            now = times.getCurrentProcessingTimeInMs()
+            if added is not None and due == NOT_DUE:
+                due = now + self.early
+            if due != NOT_DUE and now >= due:
+                yield self.Pane(start, total, EARLY, panes)
+                panes, due = panes + 1, NOT_DUE
+        self.pane.update((total, fired, panes, due))
+        self.handle.registerTimer(end if fired else end - self.lateness)
+        if due != NOT_DUE:
+            self.handle.registerTimer(wm + 1)
+
+    def close(self) -> None:
+        pass
 
 
 def _partial_sums(size_ms: int):
@@ -81,16 +119,17 @@ def _partial_sums(size_ms: int):
 
 
 def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minutes: int = 1,
-              lateness_minutes: int = 5, combine: bool = True, output_mode: str = "update") -> DataFrame:
+              lateness_minutes: int = 5, combine: bool = True, output_mode: str = "update",
+              early_seconds: float = 0) -> DataFrame:
     """Per tumbling window, an accumulating sum with a pane label per firing.
 
     Output: window_start_ms, dollar_turnover, dollar_timing, pane_index (0, 1, ..
     per window, in firing order). Every firing is a new row, so the query may
     run in ``append`` mode (file sinks) or ``update`` mode. With ``combine`` a
     stateless map-side sum runs first, so a window costs one row per task. State
-    is kept per window, with the window's own timer.
+    is one typed value per window, with the window's own timers.
     """
-    ship_package(stream.sparkSession)
+    _stateful(stream.sparkSession)
     size_ms = size_minutes * 60_000
     lat_ms = lateness_minutes * 60_000
     src = stream.select(F.col(ts).alias("ts"), F.col(value).cast("double").alias("value"))
@@ -102,104 +141,117 @@ def pane_sums(stream: DataFrame, ts: str = "ts", value: str = "value", size_minu
     # then uses the window's end, which is the lateness rule wanted.
     keyed = wm.select(F.window("ts", f"{size_minutes} minutes").alias("w"), "value") \
               .select(F.unix_millis(F.col("w.start")).alias("start_ms"), "w", "value")
-    return keyed.groupBy("start_ms").applyInPandasWithState(
-        _pane_fn(size_ms, lat_ms), PANE_OUT, PANE_STATE, output_mode, GroupStateTimeout.EventTimeTimeout)
-
-
-SESSION_STATE = "open string"
+    return keyed.groupBy("start_ms").transformWithState(
+        PaneSums(size_ms, lat_ms, int(early_seconds * 1000)), PANE_OUT, output_mode, "EventTime")
 
 
-def _wins(a: dict, b: dict) -> bool:
-    """Whether point a replaces point b: later order value, then the smaller tiebreak; else the first seen stays."""
-    return (a["order"], -a["tb"]) > (b["order"], -b["tb"])
+class SessionUpdates(StatefulProcessor):
+    """One key's open sessions as a map from their interval to what is known of them; a timer per session.
 
-
-def _merge(sessions: list[dict]) -> list[dict]:
-    """Merge half-open [start, end) intervals that overlap; touching ones stay apart.
-
-    ``shown`` keeps the starts under which a session has been reported.
+    The intervals alone tell which sessions new rows touch; only these are read and written.
     """
-    sessions.sort(key=lambda s: (s["start"], s["end"]))
-    merged: list[dict] = []
-    for s in sessions:
-        if merged and s["start"] < merged[-1]["end"]:
-            m = merged[-1]
-            first, second = (m, s) if m["seen"] <= s["seen"] else (s, m)
-            best = second if _wins(second, first) else first
-            m.update({x: best[x] for x in ("order", "tb", "point")})
-            m["end"], m["last"] = max(m["end"], s["end"]), max(m["last"], s["last"])
-            m["n"], m["seen"] = m["n"] + s["n"], min(m["seen"], s["seen"])
-            m["shown"], m["changed"] = m["shown"] + s["shown"], m["changed"] or s["changed"]
-        else:
-            merged.append(dict(s))
-    return merged
-
-
-def _local_sessions(pdf: pd.DataFrame, wm: int, gap_ms: int, point: Sequence[str], seen: int) -> list[dict]:
-    """Sessions of one chunk of a key's new rows; rows with event time <= wm are late and dropped."""
-    ms = (pdf["ts"].astype("datetime64[us]").astype("int64") // 1000).to_numpy()
-    keep = np.flatnonzero(ms > wm)
-    if not len(keep):
-        return []
-    rows = keep[np.argsort(ms[keep], kind="stable")]
-    order, tb = pdf["__order"].to_numpy(), pdf["__tb"].to_numpy()
-    cuts = np.flatnonzero(np.diff(ms[rows]) >= gap_ms) + 1
-    out = []
-    for part in np.split(rows, cuts):
-        part_by_best = part[np.lexsort((part, tb[part], -order[part]))]  # first seen first among equals
-        best = part_by_best[0]
-        start, last = int(ms[part[0]]), int(ms[part[-1]])
-        out.append({"start": start, "end": last + gap_ms, "last": last, "n": len(part), "seen": seen + int(part.min()),
-                    "order": int(order[best]), "tb": int(tb[best]),
-                    "point": [_plain(pdf[p].iloc[best]) for p in point], "shown": [], "changed": True})
-    return out
-
-
-def _plain(v):
-    """A value as JSON holds it: plain Python, missing as None."""
-    if hasattr(v, "item"):
-        v = v.item()
-    return None if v is None or v is pd.NaT or v != v else v
-
-
-def _session_fn(gap_ms: int, point: Sequence[str], out_cols: list[str]):
-    """State per key: its open sessions; the timer is the earliest one's end."""
-    def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        wm = state.getCurrentWatermarkMs()
-        opened, seen = json.loads(state.get[0]) if state.exists else ([], 0)
-        out = []
-        if not state.hasTimedOut:
-            # Chunk by chunk: sessions merge as a union of intervals, so memory is
-            # one Arrow chunk plus the open sessions.
-            for pdf in pdfs:
-                if not pdf.empty:
-                    opened = _merge(opened + _local_sessions(pdf, wm, gap_ms, point, seen))
-                    seen += len(pdf)
-
-        def emit(s, start, n, timing):
-            return [*key, start, s["end"], s["last"], n, *s["point"], timing]
-        for s in opened:
-            if s["changed"]:
-                # A start that moved: take back what was reported under the old one.
-                out += [emit(s, old, 0, RETRACTED) for old in sorted(set(s["shown"])) if old != s["start"]]
-                out.append(emit(s, s["start"], s["n"], EARLY))
-                s["shown"], s["changed"] = [s["start"]], False
-            if wm >= s["last"]:
-                out.append(emit(s, s["start"], s["n"], ON_TIME))
-        rest = [s for s in opened if wm < s["last"]]
-        if rest:
-            state.update((json.dumps([rest, seen]),))
-            state.setTimeoutTimestamp(max(min(s["last"] for s in rest), wm + 1))
-        elif state.exists:
-            state.remove()
-        if out:
-            yield pd.DataFrame(out, columns=out_cols)
-    return fn
+
+    KNOWN = "n long, seen long, sort long, tiebreak long, due long, shown array<long>"
+
+    def __init__(self, gap_ms: int, point: Sequence[str], point_ddl: Sequence[str], early_ms: int, out_cols: Sequence[str]):
+        self.gap, self.point, self.early = gap_ms, list(point), early_ms
+        self.known_ddl = ", ".join([self.KNOWN, *[f"p{i} {t}" for i, t in enumerate(point_ddl)]])
+        self.out_cols = list(out_cols)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.sessions = handle.getMapState("sessions", "start long, end long", self.known_ddl)
+        self.Out = Row(*self.out_cols)
+
+    def handleInputRows(self, key, rows, timerValues):
+        wm, now = timerValues.getCurrentWatermarkInMs(), timerValues.getCurrentProcessingTimeInMs()
+        # Rows become sessions of one event; seen orders them by arrival, over batches too.
+        first_seen = now << 20
+        fresh: list[dict] = []
+        for i, r in enumerate(rows):
+            if r.ms > wm:  # later ones only: the rest is late and dropped
+                fresh = self._merge(fresh, {"start": r.ms, "end": r.ms + self.gap, "n": 1, "seen": first_seen + i,
+                                            "best": (r.sort, -r.tiebreak), "point": [r[f"p{j}"] for j in range(len(self.point))],
+                                            "due": NOT_DUE, "shown": []})
+        if not fresh:
+            return
+        for start, end in list(self.sessions.keys()):
+            if any(start < s["end"] and s["start"] < end for s in fresh):
+                held = self._read(start, end)
+                self._forget(start, end)
+                fresh = self._merge(fresh, held)
+        for s in fresh:
+            if s["due"] == NOT_DUE:
+                s["due"] = now + self.early
+            yield from self._report_if_due(key, s, now)
+            self._write(s, wm)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm, now = timerValues.getCurrentWatermarkInMs(), timerValues.getCurrentProcessingTimeInMs()
+        for start, end in list(self.sessions.keys()):
+            done = wm >= end - self.gap
+            if not done and not self.early:
+                continue
+            s = self._read(start, end)
+            if done:
+                yield from self._retract(key, s)
+                yield self._row(key, s, s["start"], s["n"], ON_TIME)
+                self._forget(start, end)
+            elif s["due"] != NOT_DUE:
+                yield from self._report_if_due(key, s, now)
+                self._write(s, wm)
+
+    def _merge(self, sessions: list[dict], new: dict) -> list[dict]:
+        """Add a session; half-open intervals that overlap become one, touching ones stay apart."""
+        rest = []
+        for s in sessions:
+            if s["start"] < new["end"] and new["start"] < s["end"]:
+                a, b = (s, new) if s["seen"] <= new["seen"] else (new, s)
+                top = b if b["best"] > a["best"] else a  # the first seen stays among equals
+                dues = [x["due"] for x in (a, b) if x["due"] != NOT_DUE]
+                new = {"start": min(a["start"], b["start"]), "end": max(a["end"], b["end"]), "n": a["n"] + b["n"],
+                       "seen": a["seen"], "best": top["best"], "point": top["point"],
+                       "due": min(dues) if dues else NOT_DUE, "shown": a["shown"] + b["shown"]}
+            else:
+                rest.append(s)
+        return [*rest, new]
+
+    def _report_if_due(self, key, s: dict, now: int):
+        if now >= s["due"]:
+            yield from self._retract(key, s)
+            yield self._row(key, s, s["start"], s["n"], EARLY)
+            s["shown"], s["due"] = [s["start"]], NOT_DUE
+
+    def _retract(self, key, s: dict):
+        """A start that moved: take back what was reported under the old one."""
+        for old in sorted(set(s["shown"]) - {s["start"]}):
+            yield self._row(key, s, old, 0, RETRACTED)
+
+    def _row(self, key, s: dict, start: int, n: int, timing: str) -> Row:
+        return self.Out(*key, start, s["end"], s["end"] - self.gap, n, *s["point"], timing)
+
+    def _read(self, start: int, end: int) -> dict:
+        n, seen, sort, tiebreak, due, shown, *point = self.sessions.getValue((start, end))
+        return {"start": start, "end": end, "n": n, "seen": seen, "best": (sort, -tiebreak), "due": due,
+                "shown": list(shown), "point": point}
+
+    def _write(self, s: dict, wm: int) -> None:
+        sort, below = s["best"]
+        self.sessions.updateValue((s["start"], s["end"]), (s["n"], s["seen"], sort, -below, s["due"], s["shown"], *s["point"]))
+        self.handle.registerTimer(s["end"] - self.gap)
+        if s["due"] != NOT_DUE:
+            self.handle.registerTimer(wm + 1)
+
+    def _forget(self, start: int, end: int) -> None:
+        self.sessions.removeKey((start, end))
+
+    def close(self) -> None:
+        pass
 
 
 def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str | None, point: Sequence[str],
                     point_ddl: Sequence[str], gap_minutes: int = 60, order_by: str | None = None,
-                    out_of_order_minutes: int = 0) -> DataFrame:
+                    out_of_order_minutes: int = 0, early_seconds: float = 0) -> DataFrame:
     """Per key, gap sessions with early rows: every changed session as EARLY,
     every completed one as ON_TIME (then forgotten). Zero allowed lateness.
 
@@ -210,9 +262,9 @@ def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str | None,
     a session's start, a RETRACTED row takes back the start reported before.
 
     ``out_of_order_minutes`` is how far the source's events may lag behind the
-    newest one without being late. State is one value per key, with its own timer.
+    newest one without being late. State is one map entry per open session.
     """
-    ship_package(stream.sparkSession)
+    _stateful(stream.sparkSession)
     gap_ms = gap_minutes * 60_000
     cols = [key, "session_start_ms", "session_end_ms", "last_ms", "n_events", *point, "timing"]
     key_type = dict(stream.dtypes)[key]
@@ -221,9 +273,9 @@ def session_updates(stream: DataFrame, key: str, ts: str, tiebreak: str | None,
                          "timing string"])
     order = F.col(order_by).cast("long") if order_by else F.unix_micros(F.col(ts))
     src = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & order.isNotNull()) \
-                .select(F.col(key), F.col(ts).alias("ts"), order.alias("__order"),
-                        (F.coalesce(F.col(tiebreak).cast("long"), F.lit(0)) if tiebreak else F.lit(0)).cast("long").alias("__tb"),
-                        *[F.col(p) for p in point if p not in (key, "ts")]) \
+                .select(F.col(key), F.col(ts).alias("ts"), F.unix_millis(F.col(ts)).alias("ms"), order.alias("sort"),
+                        (F.coalesce(F.col(tiebreak).cast("long"), F.lit(0)) if tiebreak else F.lit(0)).cast("long").alias("tiebreak"),
+                        *[F.col(p).alias(f"p{i}") for i, p in enumerate(point)]) \
                 .withWatermark("ts", f"{gap_minutes + out_of_order_minutes} minutes")
-    return src.groupBy(key).applyInPandasWithState(
-        _session_fn(gap_ms, point, cols), out_ddl, SESSION_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    return src.groupBy(key).transformWithState(
+        SessionUpdates(gap_ms, point, point_ddl, int(early_seconds * 1000), cols), out_ddl, "update", "EventTime")
