@@ -103,9 +103,15 @@ def test_window_files_and_partitions(spark, tmp_dir):
                                "ts string, value string").withColumn("ts", F.col("ts").cast("timestamp"))
     win = df.withColumn("window", F.window("ts", "10 minutes"))
     sinks.write_per_window(win, f"{tmp_dir}/w", num_shards=3)
-    back = spark.read.text(f"{tmp_dir}/w")
-    assert sorted((str(r.day), r.window_label) for r in back.collect()) == [
-        ("20240101", "23:50-00:00"), ("20240102", "00:00-00:10")]
+    back = sinks.read_window_files(spark, f"{tmp_dir}/w")
+    assert sorted((str(r.day), r.window_label, r.shards) for r in back.collect()) == [
+        ("20240101", "23:50-00:00", 3), ("20240102", "00:00-00:10", 3)]
+    import os
+    names = sorted(f for _, _, fs in os.walk(f"{tmp_dir}/w") for f in fs if f.startswith("output"))
+    assert len(names) == 2 and names[0].startswith("output-00%3A00-00%3A10-") and names[0].endswith("-of-3")
+    sinks.write_per_window(win, f"{tmp_dir}/w")  # again, and with other shards: the windows' files are replaced
+    assert sinks.read_window_files(spark, f"{tmp_dir}/w").select("shard", "shards").collect() == [(0, 1), (0, 1)]
+    assert not [d for d in os.listdir(f"{tmp_dir}/w") if d.startswith("_")]
     with pytest.raises(ValueError):
         sinks.write_per_window(df, f"{tmp_dir}/x")
     parts = sinks.day_partition(win, "window").select("part").collect()
@@ -149,7 +155,7 @@ def test_hot_window_and_day_are_split_across_writers(spark, tmp_dir):
         sinks.write_per_window(df.withColumn("window", F.window("ts", "10 minutes")), f"{tmp_dir}/w")
         schema = T._parse_datatype_string("value string, timestamp timestamp")
         sinks.append_day_partitioned(df.withColumnRenamed("ts", "timestamp"), f"{tmp_dir}/d", schema)
-    wfiles = glob.glob(f"{tmp_dir}/w/day=20240101/window_label=*/*.txt")  # ":" is escaped in dir names
+    wfiles = glob.glob(f"{tmp_dir}/w/day=20240101/output-*")
     dfiles = glob.glob(f"{tmp_dir}/d/day=20240101/*.parquet")
     assert len(wfiles) > 1 and len(dfiles) > 1
     assert spark.read.text(f"{tmp_dir}/w").count() == 20000

@@ -120,8 +120,8 @@ def test_ride_jobs_end_to_end(spark, tmp_dir):
         os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
     from tidewater.streaming.sources import message_stream
     m = message_stream(spark, src, 1)
-    q1 = jobs.start_turnover(m, f"{tmp_dir}/turnover", f"{tmp_dir}/ck1", {"availableNow": True})
-    q2 = jobs.start_positions(m, f"{tmp_dir}/pos", f"{tmp_dir}/table", f"{tmp_dir}/ck2", {"availableNow": True})
+    q1 = jobs.start_turnover(m, f"{tmp_dir}/turnover", f"{tmp_dir}/ck1", {"availableNow": True}, early_seconds=0)
+    q2 = jobs.start_positions(m, f"{tmp_dir}/pos", f"{tmp_dir}/table", f"{tmp_dir}/ck2", {"availableNow": True}, early_seconds=0)
     q1.awaitTermination()
     q2.awaitTermination()
     turnover = spark.read.json(f"{tmp_dir}/turnover")
@@ -136,7 +136,7 @@ def test_ride_jobs_end_to_end(spark, tmp_dir):
     assert [r.ride_status for r in pos.where(F.col("ride_id") == "r3").collect()] == ["first"]
     table = sinks.read_table(spark, f"{tmp_dir}/table")
     import glob
-    assert {os.path.basename(d).split("=")[0] for d in glob.glob(f"{tmp_dir}/table/*=*")} == {"day"}
+    assert {os.path.basename(d).split("=")[0] for d in glob.glob(f"{tmp_dir}/table/*=*/*=*")} == {"day"}
     assert set(table.columns) >= {"ride_id", "latitude", "timestamp", "meter_reading", "day"}
     assert table.where(F.col("meter_reading").isNotNull()).count() == 0
 
@@ -175,7 +175,7 @@ def test_windowed_word_count_job(spark, tmp_dir):
     q = jobs.start_windowed_word_count(lines, f"{tmp_dir}/out", f"{tmp_dir}/ck", 10, 0, 2,
                                        {"availableNow": True})
     q.awaitTermination()
-    got = spark.read.text(f"{tmp_dir}/out")
+    got = sinks.read_window_files(spark, f"{tmp_dir}/out")
     rows = sorted((r.window_label, r.value) for r in got.collect())
     # Windows 00:00 and 00:10 are closed by later data; 00:20 is still open.
     assert rows == [("00:00-00:10", "hi: 2"), ("00:00-00:10", "there: 1"),
@@ -204,7 +204,7 @@ def test_latest_point_goes_by_payload_time(spark, tmp_dir):
     m = _messages(spark, tmp_dir, [[("00:00:10", _ride("a", "00:05:00"))], [("00:00:20", _ride("a", "00:01:00"))],
                                    [("00:00:20", _ride("b", "00:01:00", ride_status="one")),
                                     ("00:00:20", _ride("b", "00:01:00", ride_status="two"))]])
-    jobs.finish(jobs.start_positions(m, f"{tmp_dir}/p", f"{tmp_dir}/t", f"{tmp_dir}/c", {"availableNow": True}))
+    jobs.finish(jobs.start_positions(m, f"{tmp_dir}/p", f"{tmp_dir}/t", f"{tmp_dir}/c", {"availableNow": True}, early_seconds=0))
     last = jobs.latest_rows(sinks.read_table(spark, f"{tmp_dir}/p").drop("day"), ["ride_id", "session_start_ms"])
     got = {r.ride_id: json.loads(r.value) for r in last.collect()}
     assert got["a"]["timestamp"].endswith("00:05:00.000Z") and got["b"]["ride_status"] == "one"
@@ -216,8 +216,8 @@ def test_bad_fields_go_to_rejects_and_do_not_end_the_stream(spark, tmp_dir):
              ("00:00:05", "[]"), ("00:00:06", None)]
     m = _messages(spark, tmp_dir, [batch])
     done = {"availableNow": True}
-    jobs.finish(jobs.start_positions(m, f"{tmp_dir}/p", f"{tmp_dir}/t", f"{tmp_dir}/c1", done))
-    jobs.finish(jobs.start_turnover(m, f"{tmp_dir}/o", f"{tmp_dir}/c2", done))
+    jobs.finish(jobs.start_positions(m, f"{tmp_dir}/p", f"{tmp_dir}/t", f"{tmp_dir}/c1", done, early_seconds=0))
+    jobs.finish(jobs.start_turnover(m, f"{tmp_dir}/o", f"{tmp_dir}/c2", done, early_seconds=0))
     jobs.finish(jobs.start_rejects(m, f"{tmp_dir}/r", f"{tmp_dir}/c3", done))
     assert sinks.read_table(spark, f"{tmp_dir}/p").count() == 1
     assert [r.dollar_turnover for r in spark.read.json(f"{tmp_dir}/o").where("dollar_timing = 'EARLY'").collect()] == [1.5]
@@ -249,3 +249,80 @@ def test_replay_does_not_depend_on_the_number_of_files(spark, tmp_dir):
     assert results[0] == results[1]
     timings = [t for _, t, _ in results[0]]
     assert timings.count("LATE") > 0 and timings.count("ON_TIME") > 0
+
+
+def _fast_batches(spark, tmp, build, schema, rows):
+    """Batches through one running query, the next one as soon as the last is done."""
+    src, out = f"{tmp}/fast", f"{tmp}/fast_out"
+    for k, batch in enumerate(rows):
+        os.makedirs(f"{src}/_b{k}")
+        with open(f"{src}/_b{k}/r.json", "w") as f:
+            f.write("".join(json.dumps(r) + "\n" for r in batch))
+    q = None
+    try:
+        for k in range(len(rows)):
+            os.rename(f"{src}/_b{k}", f"{src}/step-{k}")
+            q = q or jobs.start_batches(build(spark.readStream.schema(schema).json(jobs.step_files(src))), out, f"{tmp}/fast_ck")
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(out).collect()
+
+
+def test_two_batches_inside_one_delay_fire_one_early_pane(spark, tmp_dir):
+    rows = [[{"ts": DAY + "00:00:10", "value": 1}], [{"ts": DAY + "00:00:20", "value": 2}], [{"ts": DAY + "00:20:00", "value": 4}]]
+    got = _fast_batches(spark, tmp_dir, lambda s: pane_sums(s, early_seconds=3600), "ts timestamp, value double", rows)
+    assert [(r.dollar_turnover, r.dollar_timing) for r in got] == [(3.0, "ON_TIME")]
+
+
+def test_an_early_pane_comes_when_its_delay_is_over(spark, tmp_dir):
+    """The second batch has data of another window only; it runs after the delay and fires what is due."""
+    rows = [[{"ts": DAY + "00:00:10", "value": 1}], [{"ts": DAY + "00:01:20", "value": 2}], [{"ts": DAY + "00:02:20", "value": 2}]]
+    got = _fast_batches(spark, tmp_dir, lambda s: pane_sums(s, early_seconds=0.001), "ts timestamp, value double", rows)
+    first = [r for r in got if r.window_start_ms % 3_600_000 == 0]
+    assert sorted((r.dollar_turnover, r.dollar_timing) for r in first) == [(1.0, "EARLY"), (1.0, "ON_TIME")]
+
+
+def test_sessions_report_early_once_per_delay(spark, tmp_dir):
+    rows = [[{"ts": DAY + "00:10:00", "k": "a", "id": 1}], [{"ts": DAY + "00:05:00", "k": "a", "id": 2}],
+            [{"ts": DAY + "05:00:00", "k": "b", "id": 3}]]
+    got = _fast_batches(spark, tmp_dir, lambda s: session_updates(s, "k", "ts", "id", ["id"], ["long"], 60, early_seconds=3600),
+                            "ts timestamp, k string, id long", rows)
+    assert [(r.k, r.n_events, r.timing) for r in got] == [("a", 2, "ON_TIME")]
+
+
+@pytest.mark.parametrize("fails", ["second table", "commit", "nothing"])
+def test_a_crash_between_or_inside_the_two_writes_loses_and_repeats_nothing(spark, tmp_dir, monkeypatch, fails):
+    m = _messages(spark, tmp_dir, [[("00:00:10", _ride("a", "00:05:00"))], [("00:00:20", _ride("b", "00:01:00"))]])
+
+    def run():
+        return jobs.start_positions(m, f"{tmp_dir}/p", f"{tmp_dir}/t", f"{tmp_dir}/c", {"availableNow": True}, early_seconds=0)
+    if fails == "second table":
+        original = jobs.ride_table_rows
+        monkeypatch.setattr(jobs, "ride_table_rows", lambda rows: original(rows).withColumn(
+            "ride_status", F.when(F.raise_error(F.lit("lost")).isNull(), "x")))
+    if fails == "commit":
+        def lost(*a):
+            raise RuntimeError("lost")
+        monkeypatch.setattr(sinks, "move", lost)
+    if fails != "nothing":
+        with pytest.raises(Exception):
+            jobs.finish(run())
+        assert sinks.read_table(spark, f"{tmp_dir}/p").count() == sinks.read_table(spark, f"{tmp_dir}/t").count() == 0
+        monkeypatch.undo()
+    jobs.finish(run())
+    jobs.finish(run())  # nothing new
+    log = sinks.read_table(spark, f"{tmp_dir}/p").collect()
+    table = sinks.read_table(spark, f"{tmp_dir}/t").collect()
+    assert sorted((r.ride_id, r.timing) for r in log) == [("a", "EARLY"), ("b", "EARLY")]
+    assert sorted(r.ride_id for r in table) == ["a", "b"]
+
+
+def test_a_batch_that_was_committed_is_not_written_again(spark, tmp_dir):
+    rows = spark.createDataFrame([(1, "20240101")], "v int, day string")
+    schema = rows.select("v").schema
+    sinks.ensure_table(spark, f"{tmp_dir}/t", schema, ("day",), f"{tmp_dir}/log")
+    assert sinks.read_table(spark, f"{tmp_dir}/t").count() == 0
+    for stream, batch in (("q", 0), ("q", 0), ("q", 1), ("other", 0)):
+        sinks.commit_batch(spark, f"{tmp_dir}/log", stream, batch, {f"{tmp_dir}/t": rows})
+    assert sinks.read_table(spark, f"{tmp_dir}/t").count() == 3

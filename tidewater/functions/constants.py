@@ -40,6 +40,9 @@ ACTION_NAME_FIELD = "name"
 EVENT_NAME_FIELD = "name"
 EVENT_TIME_FIELD = "tStampMs"
 EVENT_END_FIELD = "tStampMsEnd"
+# Early firings, in seconds of processing time after the first element.
+TURNOVER_EARLY_SECONDS = 1
+POSITIONS_EARLY_SECONDS = 2
 # Ride sink table schema (all nullable).
 RIDE_TABLE_DDL = (
     "ride_id string, latitude double, longitude double, timestamp timestamp, "

@@ -49,7 +49,7 @@ WITH c AS (
 )
 SELECT strftime(ws, '%Y%m%d') AS day,
        strftime(ws, '%H:%M') || '-' || strftime(ws + INTERVAL 1 HOUR, '%H:%M') AS window_label,
-       count(*)::BIGINT AS n_lines, sum(n)::BIGINT AS n_events
+       count(*)::BIGINT AS n_lines, sum(n)::BIGINT AS n_events, true AS named
 FROM c GROUP BY 1, 2
 """)
 def window_files(spark, sf_dir):
@@ -60,10 +60,12 @@ def window_files(spark, sf_dir):
     lines = counts.select("window", format_count("event_type", "n").alias("value"))
     path = scratch_path(spark, "window_files")
     sinks.write_per_window(lines, path, "window", "value")
-    back = spark.read.text(path)
-    n = F.split(F.col("value"), ": ").getItem(1).cast("bigint")
+    back = sinks.read_window_files(spark, path)
+    n = F.element_at(F.split("value", ": "), -1).cast("bigint")
+    # Every window has the files 0 to N - 1 of the N that their names tell.
+    named = (F.count_distinct("shard") == F.max("shards")) & (F.min("shards") == F.max("shards")) & (F.max("shard") == F.max("shards") - 1)
     return back.groupBy(F.col("day").cast("string").alias("day"), "window_label").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(n).alias("n_events"))
+        F.count(F.lit(1)).alias("n_lines"), F.sum(n).alias("n_events"), named.alias("named"))
 
 
 @query("table_scan", "SRC4 SNK7", sql=r"""

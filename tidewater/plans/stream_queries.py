@@ -68,11 +68,11 @@ def stream_sessions(spark, sf_dir):
     delay = F.pmod(F.xxhash64("event_id"), F.lit(SHUFFLED_MINUTES * 60_000_000))
     feed, out, ckpt = (scratch_path(spark, n) for n in ("session_feed", "stream_sessions", "ckpt"))
 
-    def run():
-        upd = session_updates(S.file_stream(spark, feed, EVENT_ROW), "user_id", "ts", "event_id", ["event_id", "value"],
-                              ["long", "double"], 60, out_of_order_minutes=SHUFFLED_MINUTES)
-        jobs.run_available(upd, out, ckpt, "update")
-    jobs.replay(rows, _step(rows, F.unix_micros("ts") + delay), STEPS, feed, _append, run)
+    def start():
+        upd = session_updates(S.file_stream(spark, jobs.step_files(feed), EVENT_ROW), "user_id", "ts", "event_id",
+                              ["event_id", "value"], ["long", "double"], 60, out_of_order_minutes=SHUFFLED_MINUTES)
+        return jobs.start_batches(upd, out, ckpt, "update")
+    jobs.replay(rows, _step(rows, F.unix_micros("ts") + delay), STEPS, feed, _write, start)
     final = jobs.latest_by_batch(spark, out, ["user_id", "session_start_ms"]).where(F.col("timing") != RETRACTED)
     return final.select("user_id", "session_start_ms", "last_ms", "session_end_ms",
                         F.col("n_events").cast("bigint"),
@@ -91,8 +91,8 @@ def _events(spark, sf_dir):
     return sources.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _append(rows, feed):
-    rows.write.mode("append").parquet(feed)
+def _write(rows, path):
+    rows.write.parquet(path)
 
 
 def _step(rows, at):
@@ -126,12 +126,13 @@ def _replay_panes(spark, sf_dir) -> str:
         rows = _events(spark, sf_dir)
         feed, out, ckpt = (scratch_path(spark, n) for n in ("pane_feed", "stream_panes", "ckpt"))
 
-        def run():
-            panes = pane_sums(S.file_stream(spark, feed, EVENT_ROW), "ts", "value", 1, PANE_LATENESS, output_mode="append")
+        def start():
+            panes = pane_sums(S.file_stream(spark, jobs.step_files(feed), EVENT_ROW), "ts", "value", 1, PANE_LATENESS,
+                              output_mode="append")
             # Each firing is a new row: append mode straight into the JSON file sink.
-            jobs.finish(panes.writeStream.format("json").outputMode("append").option("path", out)
-                             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-        jobs.replay(rows, _pane_step(rows), STEPS, feed, _append, run)
+            return (panes.writeStream.format("json").outputMode("append").option("path", out)
+                         .option("checkpointLocation", ckpt).trigger(**jobs.AT_ONCE).start())
+        jobs.replay(rows, _pane_step(rows), STEPS, feed, _write, start)
         _REPLAYED[name] = out
     return _REPLAYED[name]
 
@@ -140,16 +141,17 @@ def _replay_panes(spark, sf_dir) -> str:
 # before it); k: what arrives before its window is dropped; t: sums per window after each step with data;
 # f: the step after which a window fires on time: the first whose newest event lies past the window's end (or at
 # it, if the next step brings the window data), unless the window's first data came later than that.
-_PANES_SQL = """
-WITH e AS (SELECT event_id, value, epoch_us(ts) AS us, epoch_us(ts) // 60000000 * 60000000 AS w FROM events),
-r AS (SELECT min(us) AS a, max(us) + 1 AS b FROM e),
+def _panes_sql(events: str, lateness_us: int, late: str) -> str:
+    return f"""
+e AS (SELECT event_id, value, epoch_us(ts) AS us, epoch_us(ts) // 60000000 * 60000000 AS w FROM {events}),
+r AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) + 1 AS b FROM events),
 p AS (SELECT e.*, least(floor((us - a) * 4 / (b - a)), 3) AS s,
-             least(floor((us + 172800000000 - a) * 4 / (b - a)), 3) AS soon FROM e, r),
-o AS (SELECT *, least(s + CASE WHEN (event_id % 2 = 1 AND soon > s) OR event_id % 10 = 0 THEN 1 ELSE 0 END, 3) AS k FROM p),
+             least(floor((us + {lateness_us} - a) * 4 / (b - a)), 3) AS soon FROM e, r),
+o AS (SELECT *, least(s + CASE WHEN {late} THEN 1 ELSE 0 END, 3) AS k FROM p),
 g AS (SELECT unnest(range(0, 4)) AS k),
 m AS (SELECT g.k, max(us) AS newest FROM g LEFT JOIN o ON o.k <= g.k GROUP BY g.k),
 kept AS (SELECT o.*, coalesce(prev.newest, 0) AS before FROM o LEFT JOIN m prev ON prev.k = o.k - 1
-         WHERE prev.newest IS NULL OR w + 60000000 > prev.newest - 172800000000),
+         WHERE prev.newest IS NULL OR w + 60000000 > prev.newest - {lateness_us}),
 d AS (SELECT w, k, any_value(before) AS before, sum(value) AS v FROM kept GROUP BY w, k),
 t AS (SELECT w, k, before, sum(v) OVER (PARTITION BY w ORDER BY k) AS total FROM d),
 first AS (SELECT w, min(k) AS k0, arg_min(before, k) AS before FROM d GROUP BY w),
@@ -165,6 +167,9 @@ panes AS (
 """
 
 
+_PANES_SQL = "WITH " + _panes_sql("events", 172800000000, "(event_id % 2 = 1 AND soon > s) OR event_id % 10 = 0")
+
+
 @query("stream_panes", "STR4 STR7 STR8 STR9 PRJ12", sql=_PANES_SQL + """
 SELECT round(total, 2) AS dollar_turnover, timing AS dollar_timing, w / 60000000.0 AS dollar_window FROM panes
 """)
@@ -213,8 +218,8 @@ def _run_ride_job(spark, sf_dir, start, shuffled: bool = False) -> None:
         at = at + F.pmod(F.xxhash64("event_id"), F.lit(SHUFFLED_MINUTES * 60_000_000))
 
     def write(part, path):
-        part.select("ts", "payload").write.mode("append").json(path)
-    jobs.replay(rows, _step(rows, at), STEPS, feed, write, lambda: jobs.finish(start(S.message_stream(spark, feed))))
+        part.select("ts", "payload").write.json(path)
+    jobs.replay(rows, _step(rows, at), STEPS, feed, write, lambda: start(S.message_stream(spark, jobs.step_files(feed))))
 
 
 _RIDES_SQL = """
@@ -226,16 +231,16 @@ m AS (SELECT event_id, ts, epoch_us(ts) AS us, value, event_type,
 """
 
 
-@query("ride_turnover", "SRC5 PRJ7 PRJ11 STR1 STR8 STR10 SNK6", sql="WITH " + _RIDES_SQL + """
-SELECT us // 60000000 / 1.0 AS dollar_window, round(sum(value), 2) AS dollar_turnover
-FROM m WHERE NOT broken AND event_id % 19 <> 0 AND event_id % 23 <> 0 GROUP BY 1
+@query("ride_turnover", "SRC5 PRJ7 PRJ11 STR1 STR8 STR9 STR10 SNK6", sql="WITH " + _RIDES_SQL.replace("m AS (", "rides AS (") + ", "
+       + _panes_sql("(SELECT * FROM rides WHERE NOT broken AND event_id % 19 <> 0 AND event_id % 23 <> 0)", 300000000, "false") + """
+SELECT round(total, 2) AS dollar_turnover, timing AS dollar_timing, w / 60000000.0 AS dollar_window FROM panes
 """)
 def ride_turnover(spark, sf_dir):
-    """Messages -> meter values -> panes -> JSON lines; the largest firing of a window is its last (values are positive)."""
+    """Messages -> meter values -> panes -> JSON lines: every firing with its label, as it stands in the published lines."""
     out, ckpt = scratch_path(spark, "turnover"), scratch_path(spark, "ckpt")
-    _run_ride_job(spark, sf_dir, lambda m: jobs.start_turnover(m, out, ckpt, {"availableNow": True}))
+    _run_ride_job(spark, sf_dir, lambda m: jobs.start_turnover(m, out, ckpt, jobs.AT_ONCE, early_seconds=0))
     back = spark.read.schema("dollar_turnover double, dollar_timing string, dollar_window double").json(out)
-    return back.groupBy("dollar_window").agg(F.round(F.max("dollar_turnover"), 2).alias("dollar_turnover"))
+    return back.withColumn("dollar_turnover", F.round("dollar_turnover", 2))
 
 
 @query("ride_rejects", "PRJ6 PRJ7 PRJ9 PRJ11", sql="WITH " + _RIDES_SQL + """
@@ -249,7 +254,7 @@ WHERE reason IS NOT NULL GROUP BY branch, reason
 """)
 def ride_rejects(spark, sf_dir):
     out, ckpt = scratch_path(spark, "rejects"), scratch_path(spark, "ckpt")
-    _run_ride_job(spark, sf_dir, lambda m: jobs.start_rejects(m, out, ckpt, {"availableNow": True}))
+    _run_ride_job(spark, sf_dir, lambda m: jobs.start_rejects(m, out, ckpt, jobs.AT_ONCE))
     back = spark.read.schema("ts timestamp, branch string, reason string, message string").json(out)
     return back.groupBy("branch", "reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -259,18 +264,28 @@ e AS (SELECT *, lag(us) OVER (PARTITION BY ride_id ORDER BY us, event_id) AS pre
       FROM m WHERE NOT broken AND ride_id IS NOT NULL AND t_ms IS NOT NULL),
 s AS (SELECT *, sum(CASE WHEN prev IS NULL OR us // 1000 - prev // 1000 >= 3600000 THEN 1 ELSE 0 END)
         OVER (PARTITION BY ride_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM e),
-l AS (SELECT ride_id, min(us) // 1000 AS session_start_ms, max(t_ms) AS t_ms, count(*) AS n FROM s GROUP BY ride_id, sid)
-SELECT ride_id, session_start_ms, t_ms FROM l
+l AS (SELECT ride_id, min(us) // 1000 AS session_start_ms, max(t_ms) AS t_ms, arg_max(value, t_ms) AS v,
+        arg_max(CASE WHEN event_id % 3 <> 0 THEN event_type ELSE '-' END, t_ms) AS status FROM s GROUP BY ride_id, sid)
+SELECT ride_id, session_start_ms, t_ms, round(v, 2) AS lat, round(-v, 2) AS lon, nullif(status, '-') AS status,
+       status <> '-' AS in_table FROM l
 """)
 def ride_positions(spark, sf_dir):
     """Messages, out of order, -> sessions by message time -> point of the latest payload time -> log of upserts."""
     out, ride_table, ckpt = (scratch_path(spark, n) for n in ("positions", "ride_table", "ckpt"))
     _run_ride_job(spark, sf_dir, lambda m: jobs.start_positions(
-        m, out, ride_table, ckpt, {"availableNow": True}, SHUFFLED_MINUTES), shuffled=True)
+        m, out, ride_table, ckpt, jobs.AT_ONCE, SHUFFLED_MINUTES, early_seconds=0), shuffled=True)
     last = jobs.latest_rows(sinks.read_table(spark, out).drop("day"), ["ride_id", "session_start_ms"])
-    time = F.get_json_object("value", "$.timestamp")
-    return last.where(F.col("timing") != RETRACTED).select(
-        "ride_id", "session_start_ms", F.unix_millis(F.to_timestamp(time)).alias("t_ms"))
+    point = F.from_json("value", "lat double, lon double, timestamp string, ride_status string").alias("p")
+    found = last.where(F.col("timing") != RETRACTED).select("ride_id", "session_start_ms", point).select(
+        "ride_id", "session_start_ms", F.unix_millis(F.to_timestamp("p.timestamp")).alias("t_ms"),
+        F.round("p.lat", 2).alias("lat"), F.round("p.lon", 2).alias("lon"), F.col("p.ride_status").alias("status"))
+    # The ride table has the same point of every session whose point has a status.
+    rows = sinks.read_table(spark, ride_table).select(
+        "ride_id", F.unix_millis("timestamp").alias("t_ms"), F.round("latitude", 2).alias("lat"),
+        F.round("longitude", 2).alias("lon"), F.col("ride_status").alias("status")).distinct()
+    marked = rows.withColumn("in_table", F.lit(True))
+    return found.join(marked, ["ride_id", "t_ms", "lat", "lon", "status"], "left").select(
+        *found.columns, F.coalesce("in_table", F.lit(False)).alias("in_table"))
 
 
 @query("stream_lines", "SRC6 SRC7", sql=r"""

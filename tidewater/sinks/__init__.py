@@ -6,7 +6,10 @@ idempotent per output path or per micro-batch id.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +19,8 @@ from ..functions.time import day_of_number_field, day_of_time_field, day_of_wind
 from ..operators.rows import to_json_text
 
 
-#: Folder of a table's declared schema.
-DECLARED = "_schema"
+#: Folders beside a table's data: its declared schema, where its commit log is, and a commit log.
+DECLARED, LOG, COMMITS = "_schema", "_log", "_commits"
 
 
 class SchemaMismatch(ValueError):
@@ -48,15 +51,64 @@ def with_window_files(df: DataFrame, window: str = "window", num_shards: int | N
 
 
 def write_per_window(df: DataFrame, path: str, window: str = "window", value: str = "value",
-                     num_shards: int | None = None, mode: str = "overwrite") -> None:
-    """One set of text files per event-time window (and shard when fixed)."""
+                     num_shards: int | None = None, prefix: str = "output") -> None:
+    """One set of text files per event-time window: ``<path>/day=yyyyMMdd/<prefix>-HH:mm-HH:mm-<shard>-of-<N>``.
+
+    With ``num_shards`` a window's rows are dealt into that many files, else the writing tasks decide (a large window
+    is split). In file names the colon is written ``%3A``, as Spark does for folders, because many
+    stores have no colon. The files are written aside and renamed when all of them are complete; a window's files from
+    before are replaced. Read them back with their labels by :func:`read_window_files`.
+    """
+    spark = df.sparkSession
     files = with_window_files(df, window, num_shards, value)
     parts = ["day", "window_label"] + (["shard"] if num_shards else [])
-    # Cluster rows of one output directory into few tasks; REBALANCE lets AQE
-    # split a window that is much larger than the advisory partition size.
-    files.select(*parts, F.col(value).cast("string").alias("value")) \
-         .hint("rebalance", *parts) \
-         .write.mode(mode).partitionBy(*parts).text(path)
+    aside = f"{path.rstrip('/')}/_{uuid.uuid4().hex}"
+    rows = files.select(*parts, F.col(value).cast("string").alias("value"))
+    # A fixed number of shards: all rows of a file in one task. Else REBALANCE lets AQE split a window that is
+    # much larger than the advisory partition size.
+    rows = rows.repartition(*parts) if num_shards else rows.hint("rebalance", *parts)
+    rows.write.partitionBy(*parts).text(aside)
+    _name_window_files(spark, aside, path.rstrip("/"), prefix, num_shards)
+
+
+def _name_window_files(spark: SparkSession, aside: str, path: str, prefix: str, num_shards: int | None) -> None:
+    """Move written files to their names, one rename each: only names pass through the driver, as in any commit of a job."""
+    fs, root = _file_system(spark, aside)
+    found: dict[tuple[str, str], list] = {}
+    listed = fs.listFiles(root, True)
+    while listed.hasNext():
+        file = listed.next().getPath()
+        folders = dict(x.split("=", 1) for x in file.toString().split("/")[:-1] if "=" in x)
+        if not file.getName().startswith(("_", ".")):
+            found.setdefault((folders["day"], folders["window_label"]), []).append((int(folders.get("shard", 0)), file))
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for day in {day for day, _ in found}:
+        folder = new(f"{path}/day={day}")
+        fs.mkdirs(folder)
+        for old in fs.listStatus(folder):
+            if (day, _label_of(old.getPath().getName(), prefix)) in found:
+                fs.delete(old.getPath(), False)
+    for (day, label), files in found.items():
+        files.sort(key=lambda f: (f[0], f[1].getName()))
+        for i, (shard, file) in enumerate(files):
+            number, of = (shard, num_shards) if num_shards else (i, len(files))
+            target = new(f"{path}/day={day}/{prefix}-{label}-{number}-of-{of}")
+            if not fs.rename(file, target):
+                raise RuntimeError(f"{file.toString()} could not be renamed")
+    fs.delete(root, True)
+
+
+def _label_of(name: str, prefix: str) -> str | None:
+    """The window label in a file's name."""
+    found = re.fullmatch(re.escape(prefix) + r"-(.+)-\d+-of-\d+", name)
+    return found and found[1]
+
+
+def read_window_files(spark: SparkSession, path: str, prefix: str = "output") -> DataFrame:
+    """Lines of per-window files: value, window_label, shard, shards and the folders' columns (day)."""
+    lines = spark.read.text(path).withColumn("name", F.regexp_replace("_metadata.file_name", "%(25)?3A", ":"))
+    part = lambda i: F.regexp_extract("name", f"^{re.escape(prefix)}-(.+)-(\\d+)-of-(\\d+)$", i)
+    return lines.withColumns({"window_label": part(1), "shard": part(2).cast("int"), "shards": part(3).cast("int")}).drop("name")
 
 
 def day_partition(df: DataFrame, mode: str = "window", field: str | None = None,
@@ -83,18 +135,37 @@ def _strip_nullability(dt: T.DataType) -> T.DataType:
     return dt
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _file_system(spark, path)
     return fs.exists(jpath)
 
 
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file or folder in one step; whether it was done."""
+    fs, jpath = _file_system(spark, source)
+    return fs.rename(jpath, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target))
+
+
+def _noted(spark: SparkSession, path: str, what: str) -> str | None:
+    """A line of text kept beside a table's data under a name that readers of data files skip."""
+    place = f"{path.rstrip('/')}/{what}"
+    return spark.read.text(place).first()[0] if _table_exists(spark, place) else None
+
+
+def _note(spark: SparkSession, path: str, what: str, line: str) -> None:
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{path.rstrip('/')}/{what}")
+
+
 def _declared(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema a table was created with, if it was created by :func:`ensure_table`."""
-    if not _table_exists(spark, f"{path.rstrip('/')}/{DECLARED}"):
-        return None
-    return T.StructType.fromJson(json.loads(spark.read.text(f"{path.rstrip('/')}/{DECLARED}").first()[0]))
+    declared = _noted(spark, path, DECLARED)
+    return T.StructType.fromJson(json.loads(declared)) if declared else None
 
 
 def ensure_table_schema(spark: SparkSession, path: str, schema: T.StructType,
@@ -112,24 +183,59 @@ def ensure_table_schema(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
-                 partition_cols: tuple[str, ...] = ()) -> None:
+                 partition_cols: tuple[str, ...] = (), log: str | None = None) -> None:
     """Create the table, empty, with its declared schema if it is missing; else check its schema.
 
+    With ``log`` only what that commit log names can be read from the table, see :func:`commit_batch`.
     The declaration is kept beside the data under a name that readers of data files skip.
     """
-    if _table_exists(spark, path):
+    if _declared(spark, path) is not None or (_table_exists(spark, path) and log is None):
         ensure_table_schema(spark, path, schema, partition_cols)
         return
-    declared = spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string")
-    declared.coalesce(1).write.text(f"{path.rstrip('/')}/{DECLARED}")
+    if log:
+        _note(spark, path, LOG, log)
+    _note(spark, path, DECLARED, json.dumps(schema.jsonValue()))
 
 
 def read_table(spark: SparkSession, path: str, part: str = "day") -> DataFrame:
-    """A day-partitioned table, with its declared schema also while it has no rows."""
+    """A day-partitioned table, with its declared schema also while it has no rows; of a table with a commit log what is committed."""
     declared = _declared(spark, path)
     if declared is None:
         return spark.read.parquet(path)
-    return spark.read.schema(T.StructType([*declared.fields, T.StructField(part, T.StringType())])).parquet(path)
+    log = _noted(spark, path, LOG)
+    kept = [T.StructField("commit", T.StringType())] if log else []
+    rows = spark.read.schema(T.StructType([*declared.fields, *kept, T.StructField(part, T.StringType())])).parquet(path)
+    if log is None:
+        return rows
+    return rows.join(committed(spark, log), "commit", "left_semi").drop("commit")
+
+
+def commit_batch(spark: SparkSession, log: str, stream: str, batch_id: int, outputs: dict[str, DataFrame],
+                 part: str = "day") -> None:
+    """Write a micro-batch to several tables, by path, and make all of its rows visible in one step.
+
+    Every table gets the rows in a folder named for the commit, which no reader sees yet. One rename then adds the
+    commit to the log. A batch that fails before it leaves folders that nobody reads and is written anew
+    under another name; one that is run again after it does nothing. ``stream`` (the query's checkpoint)
+    tells the batches of one query from those of another.
+    """
+    entry = f"{log.rstrip('/')}/batch={hashlib.sha256(stream.encode()).hexdigest()[:16]}-{batch_id}"
+    if _table_exists(spark, entry):
+        return
+    commit = f"{batch_id:012d}-{uuid.uuid4().hex}"
+    for path, rows in outputs.items():
+        rows.write.partitionBy(part).parquet(f"{path.rstrip('/')}/commit={commit}")
+    draft = f"{log.rstrip('/')}/_{commit}"
+    spark.createDataFrame([(commit,)], "commit string").coalesce(1).write.json(draft)
+    if not move(spark, draft, entry):
+        raise RuntimeError(f"the commit {commit} could not be added to {log}")
+
+
+def committed(spark: SparkSession, log: str) -> DataFrame:
+    """The commits of a log, one row a batch."""
+    if not _table_exists(spark, log):
+        return spark.createDataFrame([], "commit string")
+    return spark.read.schema("commit string").json(log).select("commit")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

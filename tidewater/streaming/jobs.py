@@ -7,7 +7,7 @@ dollar_timing, dollar_window} JSON -> stream.
 Positions (STR11): message -> point keyed by ride -> 60-minute sessions with
 early rows -> latest point per session -> JSON stream, and (rows with a status)
 the day-partitioned ride table. Both position outputs come from one query
-through ``foreachBatch`` (the batch is cached and written twice).
+through ``foreachBatch`` (the batch is cached, written twice and committed once).
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import sinks
-from ..functions.constants import (RIDE_MESSAGE_FIELDS, RIDE_TABLE_DDL, SESSION_GAP_MINUTES,
-                                   TURNOVER_LATENESS_MINUTES, WORD_WINDOW_MINUTES)
+from ..functions.constants import (POSITIONS_EARLY_SECONDS, RIDE_MESSAGE_FIELDS, RIDE_TABLE_DDL, SESSION_GAP_MINUTES,
+                                   TURNOVER_EARLY_SECONDS, TURNOVER_LATENESS_MINUTES, WORD_WINDOW_MINUTES)
 from ..functions.text import format_count
 from ..functions.time import iso_to_epoch_ms
 from ..operators import rows as R
@@ -62,16 +62,18 @@ def ride_rejects(rides: DataFrame) -> DataFrame:
 
 
 def turnover(rides: DataFrame, lateness_minutes: int = TURNOVER_LATENESS_MINUTES,
-             output_mode: str = "append") -> DataFrame:
+             output_mode: str = "append", early_seconds: float = 0) -> DataFrame:
     """Pane rows: dollar_turnover, dollar_timing, dollar_window (start, fractional minutes)."""
     amounts = rides.where(F.col(R.CORRUPT).isNull()).select("ts", meter_value().alias("value")) \
                    .where(F.col("value").isNotNull())
-    panes = pane_sums(amounts, "ts", "value", 1, lateness_minutes, output_mode=output_mode)
+    panes = pane_sums(amounts, "ts", "value", 1, lateness_minutes, output_mode=output_mode,
+                      early_seconds=early_seconds)
     return panes.select("dollar_turnover", "dollar_timing",
                         (F.col("window_start_ms") / F.lit(1000.0) / F.lit(60.0)).alias("dollar_window"))
 
 
-def positions(rides: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, out_of_order_minutes: int = 0) -> DataFrame:
+def positions(rides: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, out_of_order_minutes: int = 0,
+              early_seconds: float = 0) -> DataFrame:
     """Latest point per ride session, one row per change (EARLY) and per close (ON_TIME).
 
     Sessions form by the message time ``ts``; the latest point is the one of
@@ -82,7 +84,8 @@ def positions(rides: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, out_of_o
         F.col("latitude").try_cast("float").alias("lat"), F.col("longitude").try_cast("float").alias("lon"),
         F.col("ride_status").alias("status"))
     return session_updates(pts, "ride_id", "ts", None, ["lat", "lon", "ts_ms", "status"],
-                           ["float", "float", "long", "string"], gap_minutes, "ts_ms", out_of_order_minutes)
+                           ["float", "float", "long", "string"], gap_minutes, "ts_ms", out_of_order_minutes,
+                           early_seconds)
 
 
 POSITION_LOG_DDL = "value string, ride_id string, session_start_ms bigint, timing string, batch_id bigint"
@@ -110,10 +113,10 @@ def ride_table_rows(updates: DataFrame) -> DataFrame:
         F.col("status").alias("ride_status"))
 
 
-def start_turnover(messages: DataFrame, out_path: str, checkpoint: str,
-                   trigger: dict | None = None) -> StreamingQuery:
+def start_turnover(messages: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None,
+                   early_seconds: float = TURNOVER_EARLY_SECONDS) -> StreamingQuery:
     """Every pane firing as a JSON line in the files under ``out_path`` (the file sink's log makes it exactly once)."""
-    rows = sinks.json_lines(turnover(parsed_rides(messages)))
+    rows = sinks.json_lines(turnover(parsed_rides(messages), early_seconds=early_seconds))
     w = rows.writeStream.format("text").outputMode("append").option("path", out_path) \
             .option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
@@ -129,37 +132,32 @@ def start_rejects(messages: DataFrame, out_path: str, checkpoint: str,
 
 
 def start_positions(messages: DataFrame, json_path: str, table_path: str, checkpoint: str,
-                    trigger: dict | None = None, out_of_order_minutes: int = 0) -> StreamingQuery:
+                    trigger: dict | None = None, out_of_order_minutes: int = 0,
+                    early_seconds: float = POSITIONS_EARLY_SECONDS) -> StreamingQuery:
     """Session updates as JSON rows and, for rows with a status, in the day-partitioned ride table.
 
     The JSON rows are a log of upserts by (ride_id, session_start_ms); a RETRACTED row has no
     value and takes the session of that start back.
 
-    The table is created with its declared schema if it is missing, and checked, once at
-    the start. Both outputs carry the batch in the column ``batch_id`` and are
-    partitioned by day only. A batch that is run again after a failure is
-    written again only where its rows are not there yet.
+    The tables are created with their declared schema if they are missing, and checked, once at
+    the start. A batch's rows of both become visible at once, by one commit (:func:`sinks.commit_batch`); a batch that
+    is run again after a failure leaves no row twice and none out. Read them by :func:`sinks.read_table`.
     """
-    updates = positions(parsed_rides(messages), out_of_order_minutes=out_of_order_minutes)
+    updates = positions(parsed_rides(messages), out_of_order_minutes=out_of_order_minutes, early_seconds=early_seconds)
     spark = messages.sparkSession
+    log = f"{json_path.rstrip('/')}/{sinks.COMMITS}"
     table_schema = T.StructType([*T._parse_datatype_string(RIDE_TABLE_DDL).fields, T.StructField("batch_id", T.LongType())])
-    sinks.ensure_table(spark, table_path, table_schema, ("day",))
-    sinks.ensure_table(spark, json_path, T._parse_datatype_string(POSITION_LOG_DDL), ("day",))
-    first: list[int] = []
-
-    def append(rows: DataFrame, path: str, batch_id: int) -> None:
-        # Only the first batch after a start can have been written before.
-        again = not first and not sinks.read_table(spark, path).where(F.col("batch_id") == batch_id).isEmpty()
-        if not again:
-            rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").partitionBy("day").parquet(path)
+    sinks.ensure_table(spark, table_path, table_schema, ("day",), log)
+    sinks.ensure_table(spark, json_path, T._parse_datatype_string(POSITION_LOG_DDL), ("day",), log)
 
     def write_both(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            kept = batch.where(F.col("timing") != RETRACTED)
-            append(position_log(batch), json_path, batch_id)
-            append(ride_table_rows(kept).withColumn("day", F.date_format("timestamp", "yyyyMMdd")), table_path, batch_id)
-            first.append(batch_id)
+            table = ride_table_rows(batch.where(F.col("timing") != RETRACTED)).withColumn("day", F.date_format("timestamp", "yyyyMMdd"))
+            number = F.lit(batch_id).cast("bigint")
+            sinks.commit_batch(spark, log, checkpoint, batch_id, {
+                json_path: position_log(batch).withColumn("batch_id", number),
+                table_path: table.withColumn("batch_id", number)})
         finally:
             batch.unpersist()
 
@@ -205,14 +203,20 @@ def start_string_passthrough(spark: SparkSession, topic: str | None = None,
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+def start_batches(df: DataFrame, out_path: str, checkpoint: str, mode: str = "update", fmt: str = "parquet",
+                  json_payload: bool = False, trigger: dict | None = None) -> StreamingQuery:
+    """A query that writes each micro-batch under ``out_path/batch_id=<id>``."""
+    w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+           .foreachBatch(sinks.batch_writer(out_path, fmt, json_payload)))
+    return w.trigger(**(trigger or AT_ONCE)).start()
+
+
 def run_available(df: DataFrame, out_path: str, checkpoint: str, mode: str = "update",
                   fmt: str = "parquet", json_payload: bool = False) -> None:
     """Run a streaming DataFrame over everything available now, batch by batch,
     writing each micro-batch under ``out_path/batch_id=<id>``; wait for the end.
     """
-    w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-           .foreachBatch(sinks.batch_writer(out_path, fmt, json_payload)).trigger(availableNow=True))
-    finish(w.start())
+    finish(start_batches(df, out_path, checkpoint, mode, fmt, json_payload, {"availableNow": True}))
 
 
 def finish(q: StreamingQuery) -> None:
@@ -222,17 +226,30 @@ def finish(q: StreamingQuery) -> None:
         raise q.exception()
 
 
-def replay(rows: DataFrame, step: Column, steps: int, feed: str, write, run) -> None:
-    """Feed ``rows`` to a stream in ``steps`` batches: append the rows of each step to ``feed``, then ``run()``.
+AT_ONCE = {"processingTime": "0 seconds"}
+
+
+def replay(rows: DataFrame, step: Column, steps: int, feed: str, write, start) -> None:
+    """Feed ``rows`` to one running stream in ``steps`` micro-batches.
 
-    ``step`` numbers the batches (0 to steps - 1) and may be any expression of the row; a batch may have
-    any number of files, as ``run`` takes all that is there as one micro-batch. The number of
-    steps is fixed by the caller, whatever the input.
+    ``step`` numbers the batches (0 to steps - 1) and may be any expression of the row. The rows of a step are
+    written aside and then moved under ``feed`` as one folder, so the stream sees all of its files at once;
+    the next step follows when they are done. ``start()`` starts the query over ``step_files(feed)``.
     """
-    numbered = rows.withColumn("__step", step)
-    for k in range(steps):
-        write(numbered.where(F.col("__step") == k).drop("__step"), feed)
-        run()
+    numbered, query = rows.withColumn("__step", step), None
+    try:
+        for k in range(steps):
+            write(numbered.where(F.col("__step") == k).drop("__step"), f"{feed}/_next")
+            sinks.move(rows.sparkSession, f"{feed}/_next", f"{feed}/step-{k}")
+            query = query or start()
+            query.processAllAvailable()
+    finally:
+        if query is not None:
+            query.stop()
+
+
+def step_files(feed: str) -> str:
+    return f"{feed}/step-*"
 
 
 def latest_by_batch(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
