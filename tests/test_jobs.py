@@ -44,7 +44,8 @@ def test_windowed_wordcount_job(spark, tmp_dir):
 def test_device_log_job(spark, tmp_dir):
     src = _write(os.path.join(tmp_dir, "log.json"), [json.dumps(_device_doc()), "{}"])
     out = jobs.device_log(spark, src)
-    assert out["rejected_documents"].count() == 1
+    rejected = out["rejected_documents"].first()
+    assert out["rejected_documents"].count() == 1 and rejected.document and rejected.missing
     assert [r.n for r in out["transfer_group_sizes"].collect()] == [1]
     assert out["battery_events"].count() == 1
     rat = out["rat_events"].orderBy("t_ms").collect()

@@ -63,7 +63,7 @@ def device_log(spark: SparkSession, input_glob: str) -> dict[str, DataFrame]:
     parsed = devicelog.parse_documents(sources.read_lines(spark, input_glob))
     # Every document is parsed once, into a table of its sections' elements; all outputs read from that.
     path = scratch_path(spark, "sections")
-    long = devicelog.sections_long(parsed, keep=["_missing"])
+    long = devicelog.sections_long(parsed)
     long.write.partitionBy("section").parquet(path)
     long = spark.read.schema(long.schema).parquet(path)
 
@@ -75,7 +75,9 @@ def device_log(spark: SparkSession, input_glob: str) -> dict[str, DataFrame]:
     battery = devicelog.only_group(events, "name", BATTERY_EVENT)
     rat = devicelog.complete_times(devicelog.only_group(events, "name", RAT_CHANGE_EVENT))
     rat_with_group = devicelog.attach_group(rat, transfers, [F.count(F.lit(1)).alias("n_transfers")])
-    return {"rejected_documents": long.where(F.col("section") == "_rejected").select("_missing"), "action_pairs": pairs,
+    return {"rejected_documents": section("_rejected").select(
+                F.col("row")["document"].alias("document"), F.split(F.col("row")["missing"], ",").alias("missing")),
+            "action_pairs": pairs,
             "transfer_group_sizes": devicelog.group_sizes(transfers, "type"), "battery_events": battery,
             "rat_events": rat_with_group}
 

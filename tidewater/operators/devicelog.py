@@ -25,27 +25,29 @@ ELEMENT = "map<string,string>"
 
 
 def parse_documents(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """JSON document -> ``doc`` struct of the six sections, plus ``_missing``: the required
-    sections that are absent or of the wrong type (all of them for non-objects).
+    """JSON document -> ``doc`` struct of the six sections, ``_missing``: the required sections that are absent or of
+    the wrong type, an element that is no object included (all of them for non-objects), and ``_document``: the text of a document that lacks any.
 
-    The document is parsed once, into the text of its sections; a section is
-    parsed where it is used.
+    A document is parsed once, into the binary variant form; sections are taken from that, each once. Nested values
+    become JSON text, numbers in their shortest form.
     """
-    staged = df.select(*keep, F.from_json(F.col(col), ELEMENT).alias("__texts"))
+    def taken(name):
+        kind = ELEMENT if name == DEVICE_LOG_OBJECT_SECTION else f"array<{ELEMENT}>"
+        return F.try_variant_get("__whole", f"$.{name}", kind).alias(name)
+    whole = df.select(*keep, F.col(col).alias("__text"), F.try_parse_json(F.col(col)).alias("__whole"))
+    staged = whole.select(*keep, "__text", F.struct(*[taken(s) for s in SECTIONS]).alias("doc"))
 
-    def text(name):
-        return F.col("__texts")[name]
-
-    def parsed(name):
-        if name == DEVICE_LOG_OBJECT_SECTION:
-            return F.when(F.ltrim(text(name)).startswith("{"), F.from_json(text(name), ELEMENT))
-        return F.when(F.ltrim(text(name)).startswith("["), F.from_json(text(name), f"array<{ELEMENT}>"))
-    missing = F.filter(F.array(*[F.when(parsed(s).isNull(), F.lit(s)) for s in SECTIONS]), lambda s: s.isNotNull())
-    return staged.select(*keep, F.struct(*[parsed(s).alias(s) for s in SECTIONS]).alias("doc"), missing.alias("_missing"))
+    def absent(name):
+        section = F.col(f"doc.{name}")
+        # an element that is no object comes out of the variant as null
+        return section.isNull() if name == DEVICE_LOG_OBJECT_SECTION else section.isNull() | F.exists(section, lambda e: e.isNull())
+    missing = F.filter(F.array(*[F.when(absent(s), F.lit(s)) for s in SECTIONS]), lambda s: s.isNotNull())
+    told = staged.select(*keep, "__text", "doc", missing.alias("_missing"))
+    return told.select(*keep, "doc", "_missing", F.when(F.size("_missing") > 0, F.col("__text")).alias("_document"))
 
 
 def valid_documents(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.size("_missing") == 0).drop("_missing")
+    return parsed.where(F.size("_missing") == 0).drop("_missing", "_document")
 
 
 def rejected_documents(parsed: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def section(docs: DataFrame, name: str, keep: Sequence[str] = (), out: str = "ro
 def sections_long(parsed: DataFrame, keep: Sequence[str] = (), rejected: str = "_rejected") -> DataFrame:
     """All outputs of the split in one pass: (section, row) for every element of
     every array section plus the ``info`` object; a document with a section missing or of the wrong type
-    gives one ``rejected`` row (row = null) instead.
+    gives one ``rejected`` row instead, with its text (``document``) and the names of those sections (``missing``).
 
     One generator over one parse; each output is ``where(section == ..)``.
     """
@@ -74,7 +76,8 @@ def sections_long(parsed: DataFrame, keep: Sequence[str] = (), rejected: str = "
 
     parts = [F.array(tag(DEVICE_LOG_OBJECT_SECTION, F.col(f"doc.{DEVICE_LOG_OBJECT_SECTION}")))]
     parts += [F.transform(F.col(f"doc.{s}"), tagger(s)) for s in DEVICE_LOG_ARRAY_SECTIONS]
-    reject = F.array(tag(rejected, F.lit(None).cast(ELEMENT)))
+    why = F.create_map(F.lit("document"), F.col("_document"), F.lit("missing"), F.array_join("_missing", ","))
+    reject = F.array(tag(rejected, why))
     items = F.when(F.size("_missing") == 0, F.concat(*parts)).otherwise(reject)
     return parsed.select(*keep, F.inline(items))
 

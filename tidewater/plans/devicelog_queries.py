@@ -80,6 +80,18 @@ def explode_sections(spark, sf_dir):
     return D.group_sizes(D.sections_long(parsed), "section")
 
 
+@query("rejected_documents", "RTE2 PRJ6", sql=r"""
+SELECT conv_id, turn, CASE WHEN conv_id % 7 = 0 THEN 'events' ELSE 'campaign' END AS missing
+FROM conversations WHERE role = 'system' OR conv_id % 7 = 0
+""")
+def rejected_documents(spark, sf_dir):
+    """Rejected documents whole, with the reason: ids are read from the kept text."""
+    rejected = D.sections_long(D.parse_documents(_documents(spark, sf_dir, broken=True))).where(F.col("section") == "_rejected")
+    info = F.from_json(F.get_json_object(F.col("row")["document"], "$.info"), "conv bigint, turn bigint")
+    return rejected.select(info.alias("i"), F.col("row")["missing"].alias("missing")).select(
+        F.col("i.conv").alias("conv_id"), F.col("i.turn").alias("turn"), "missing")
+
+
 def _pairs(spark, sf_dir):
     parsed = D.parse_documents(_documents(spark, sf_dir))
     actions = D.section(D.valid_documents(parsed), "useractions")

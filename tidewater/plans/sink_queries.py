@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from .. import sinks, sources
 from ..functions.text import format_count
+from ..operators import checks
 from ..operators.observe import observed
 from ..session import ensure_utc, scratch_path
 from .registry import query
@@ -78,3 +79,26 @@ def table_scan(spark, sf_dir):
     return li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"),
                                          F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
                                          F.round(F.sum("l_extendedprice"), 2).alias("sum_price"))
+
+
+@query("copy_check", "UDF5", sql=r"""
+SELECT 'copy' AS name, true AS same, count(*)::BIGINT AS n FROM events
+UNION ALL SELECT 'changed', count(*) FILTER (event_id % 1000 = 0) = 0, count(*) FROM events
+UNION ALL SELECT 'nulled', count(*) FILTER (event_id % 1000 = 1) = 0, count(*) FROM events
+UNION ALL SELECT 'repeated', count(*) FILTER (event_id % 1000 = 2) = 0, (count(*) + count(*) FILTER (event_id % 1000 = 2)) FROM events
+""")
+def copy_check(spark, sf_dir):
+    """The events against copies of them, read back in another order: an exact one, and three with a few rows changed."""
+    ev = sources.table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events_copy")
+    ev.repartition(7, "user_id").write.parquet(path)
+    copy, i = spark.read.parquet(path), F.col("event_id")
+    copies = {"copy": copy, "changed": copy.withColumn("value", F.when(i % 1000 == 0, F.col("value") + 1).otherwise(F.col("value"))),
+              "nulled": copy.withColumn("value", F.when(i % 1000 != 1, F.col("value"))),
+              "repeated": copy.union(copy.where(i % 1000 == 2))}
+    want = checks.fingerprint(ev).select(F.struct("n", "h1", "h2").alias("want"))
+    rows = None
+    for name, df in copies.items():
+        got = checks.fingerprint(df).select(F.lit(name).alias("name"), F.struct("n", "h1", "h2").alias("got"))
+        rows = got if rows is None else rows.union(got)
+    return rows.select("name", (F.col("got") == want.scalar()).alias("same"), F.col("got.n").alias("n"))

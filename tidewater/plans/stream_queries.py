@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import sinks, sources
+from ..operators.observe import StreamMetrics
 from ..session import ensure_utc, scratch_path
 from ..streaming import jobs
 from ..streaming import sources as S
@@ -304,3 +305,36 @@ def stream_lines(spark, sf_dir):
     back = spark.read.text(out)
     return back.agg(F.count(F.lit(1)).alias("n_lines"),
                     F.sum(F.length("value")).cast("bigint").alias("total_len"))
+
+
+@query("stream_line_metrics", "AGG7 AGG8 SNK7 SRC6", sql=r"""
+WITH l AS (SELECT unnest(string_split_regex(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n')) AS line FROM documents)
+SELECT count(*)::BIGINT AS n_lines, count(*) FILTER (trim(line, ' ') = '')::BIGINT AS empty_lines,
+       sum(length(line))::BIGINT AS total_len, min(length(line))::BIGINT AS least, max(length(line))::BIGINT AS most FROM l
+""")
+def stream_line_metrics(spark, sf_dir):
+    """Counters and the distribution of line lengths of a running stream, added up over its batches by a listener."""
+    docs = sources.table(spark, sf_dir, "documents").select("doc_id", "text")
+    feed, ckpt = scratch_path(spark, "lines_feed"), scratch_path(spark, "ckpt")
+    seen = StreamMetrics(f"lines-{feed.rsplit('-', 1)[-1]}")
+    ddl = "n_lines bigint, empty_lines bigint, total_len bigint, least bigint, most bigint"
+    running = []
+
+    def write(part, path):
+        sources.lines_of(part.select("text"), "text").write.text(path)
+
+    def start():
+        size = F.length("value").cast("bigint")
+        lines = S.string_stream(spark, topic=jobs.step_files(feed)).observe(
+            seen.name, F.count(F.lit(1)).alias("n_lines"), F.count_if(F.trim("value") == "").alias("empty_lines"),
+            F.sum(size).alias("total_len"), F.min(size).alias("least"), F.max(size).alias("most"))
+        running.append(lines.writeStream.format("noop").option("checkpointLocation", ckpt).trigger(**jobs.AT_ONCE).start())
+        return running[0]
+    spark.streams.addListener(seen)
+    try:
+        jobs.replay(docs, F.pmod(F.xxhash64("doc_id"), F.lit(STEPS)), STEPS, feed, write, start)
+        seen.wait_for(running[0])
+    finally:
+        spark.streams.removeListener(seen)
+    return seen.table(spark, ddl).agg(*[f(c).alias(c) for f, c in (
+        (F.sum, "n_lines"), (F.sum, "empty_lines"), (F.sum, "total_len"), (F.min, "least"), (F.max, "most"))])
