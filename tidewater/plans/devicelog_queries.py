@@ -87,9 +87,9 @@ FROM conversations WHERE role = 'system' OR conv_id % 7 = 0
 def rejected_documents(spark, sf_dir):
     """Rejected documents whole, with the reason: ids are read from the kept text."""
     rejected = D.sections_long(D.parse_documents(_documents(spark, sf_dir, broken=True))).where(F.col("section") == "_rejected")
-    info = F.from_json(F.get_json_object(F.col("row")["document"], "$.info"), "conv bigint, turn bigint")
-    return rejected.select(info.alias("i"), F.col("row")["missing"].alias("missing")).select(
-        F.col("i.conv").alias("conv_id"), F.col("i.turn").alias("turn"), "missing")
+    text = F.col("row")["document"]
+    return rejected.select(F.get_json_object(text, "$.info.conv").cast("bigint").alias("conv_id"),
+                           F.get_json_object(text, "$.info.turn").cast("bigint").alias("turn"), F.col("row")["missing"].alias("missing"))
 
 
 def _pairs(spark, sf_dir):
