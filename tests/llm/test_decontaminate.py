@@ -112,9 +112,13 @@ def test_short_items_equal_brute_force(spark, docs_of):
     assert len(want) > 100 and set(want.values()) == {0, 1} and got == want
 
 
-def test_items_left_out_are_reported(spark, docs_of, caplog):
-    items = spark.createDataFrame([(1, ITEM), (2, "too short"), (3, ""), (4, "three words here"), (5, None)], "item_id long, text string")
-    assert sorted(r.item_id for r in D.left_out(items).collect()) == [2, 3, 5]
-    rows = D.contamination_report(docs_of([(1, "there are three words here too")]), items).collect()
-    assert [tuple(r) for r in rows] == [(1, True, [4], 0)]
-    assert "[2, 3]" in caplog.text or "[3, 2]" in caplog.text
+def test_items_of_one_and_two_words_are_searched(spark, docs_of, caplog):
+    items = spark.createDataFrame([(1, ITEM), (2, "two Words"), (3, ""), (4, "three words here"), (5, None), (6, "Alone")],
+                                  "item_id long, text string")
+    assert sorted(r.item_id for r in D.left_out(items).collect()) == [3, 5]
+    docs = docs_of([(1, "there are three words here too"), (2, "one two words"), (3, "alone"), (4, "two other words alones")])
+    rows = D.contamination_report(docs, items).orderBy("doc_id").collect()
+    assert [tuple(r) for r in rows] == [(1, True, [4], 0), (2, True, [2], 0), (3, True, [6], 0), (4, False, [], None)]
+    assert "1 benchmark items of fewer than 1 words" in caplog.text
+    asked = D.contamination_report(docs, items, min_words=3).where("contaminated").collect()
+    assert [r.doc_id for r in asked] == [1]

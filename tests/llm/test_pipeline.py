@@ -83,5 +83,5 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path, docs_of)
 def test_registered():
     import __spark_entry__ as E
     q = E.queries()
-    assert "pipeline" in q and {n.split("_")[0] for n in q if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
-    assert all(len([n for n in q if n.startswith(f"op{i}_")]) == 1 for i in range(1, 11))
+    assert "pipeline" in q and {n.split("_")[0] for n in q if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
+    assert all(len([n for n in q if n.startswith(f"op{i}_")]) == 1 for i in range(1, 14))

@@ -84,5 +84,6 @@ def test_tables(spark, docs_of):
     back = S.round_trip(clash, vocabulary())
     assert back.columns == [*docs.columns, "ids", "token_ids", "n_tokens", "round_trip"]
     assert back.where("text is null").first().n_tokens == 0
+    assert {r.doc_id: r.text for r in back.collect() if r.doc_id in range(len(EDGE))} == dict(enumerate(EDGE))
     assert back.where("doc_id = 99").first().n_tokens == len(encode("long text " * 100_000))
     assert S.round_trip(docs_of([]), vocabulary()).collect() == []

@@ -43,8 +43,8 @@ REPETITIONS, SAMPLES, STEPS = 6, 6, 12
 BLOCK_WORDS = 250_000
 #: Items of fewer words are found by their pieces instead of the walk.
 SEEDED = 10
-#: Items of fewer words are not searched: one or two words are no benchmark item. They are reported.
-MIN_WORDS = 3
+#: Items of fewer words are not searched; they are counted. A text that holds no word cannot be searched.
+MIN_WORDS = 1
 #: Candidates of short items that are looked at together.
 TOGETHER = 1 << 17
 
@@ -348,7 +348,7 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """(doc_id, item_id, distance) for every text that holds an item up to ``percent`` of its words edited.
 
     Items of fewer than ``min_words`` words, or null ids or texts, are left
-    out; the log names them, and ``left_out`` returns them. Null, empty and wordless texts hold nothing. Rows
+    out; the log counts them, and ``left_out`` returns them. Null, empty and wordless texts hold nothing. Rows
     that repeat a doc_id or item_id are judged alike; each pair is returned once,
     with its least distance.
     """
@@ -364,7 +364,7 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         rows = block.select("item", "text").toArrow()
         if not rows.num_rows:
             continue
-        ids, words, short = [], [], []
+        ids, words, short = [], [], 0
         for part in slices(rows["text"], lower=True):
             hashes = word_hash()(part.data, part.starts, part.ends)
             for r in range(len(part.bounds) - 1):
@@ -373,9 +373,9 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                     ids.append(rows["item"][part.rows.start + r].as_py())
                     words.append(mine)
                 else:
-                    short.append(rows["item"][part.rows.start + r].as_py())
+                    short += 1
         if short:
-            LOG.warning("%d benchmark items of fewer than %d words are not searched: %s", len(short), min_words, short)
+            LOG.warning("%d benchmark items of fewer than %d words are not searched", short, min_words)
         if not ids:
             continue
         bounds = np.concatenate(([0], np.cumsum([len(w) for w in words])))

@@ -315,8 +315,8 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
     """``docs`` with each text encoded and decoded again and three more columns.
 
     token_ids (array<int>), n_tokens (long) and round_trip (whether the decoded text is the
-    text). A null text stays null, with no tokens. The marker U+2581 itself decodes to
-    a space. Columns of ``docs`` with one of the three names are replaced.
+    text). The text itself stays as it is, also where it decodes to another one, as the marker U+2581 does (to
+    a space). A null text has no tokens. Columns of ``docs`` with one of the three names are replaced.
     """
     spark: SparkSession = docs.sparkSession
     python_ready(spark)
@@ -336,7 +336,6 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
                 decoded = [None if t is None else decoder.decode(a) for t, a in zip(some, arrays)]
                 edges = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
                 columns = [c.slice(lo, hi - lo) for c in batch.columns]
-                columns[at] = pa.array(decoded, batch.schema.field(at).type)
                 yield pa.record_batch([
                     *columns, pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(arrays))),
                     pa.array(np.diff(edges).astype(np.int64)),
