@@ -10,6 +10,7 @@ from ..operators import rows as R
 from ..operators import windows as Wn
 from ..functions.time import epoch_minutes
 from ..session import ensure_utc
+from ..operators.combine import Largest, combine_by_key
 from .registry import query
 
 
@@ -90,3 +91,16 @@ def lead_end(spark, sf_dir):
     # as double (exact for epoch ms) so every engine hands over the same type.
     return ordered.lead_within(ev, "event_type", "ts", "event_id", None, "ts_end_ms", of_time=F.unix_millis) \
                   .select("event_id", "event_type", "ts_ms", F.col("ts_end_ms").cast("double").alias("ts_end_ms"))
+
+
+@query("largest_events", "AGG4 UDF3", sql=r"""
+WITH r AS (SELECT event_type, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS place
+           FROM events WHERE value IS NOT NULL)
+SELECT event_type, place::BIGINT AS place, event_id, value FROM r WHERE place <= 5
+""")
+def largest_events(spark, sf_dir):
+    """An accumulator that no built-in aggregate has: the five largest events of a type, merged from partial states."""
+    ev = sources.table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    top = combine_by_key(ev, "event_type", ["event_id", "value"], Largest(5, "event_id", "value"))
+    each = top.select("event_type", F.posexplode(F.arrays_zip("ids", "vals")).alias("at", "x"))
+    return each.select("event_type", (F.col("at") + 1).cast("bigint").alias("place"), F.col("x.ids").alias("event_id"), F.col("x.vals").alias("value"))
