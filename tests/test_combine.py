@@ -37,3 +37,21 @@ def test_hot_and_null_keys(spark):
         want.setdefault(r.k, []).append((r.i, r.v))
     assert got == {k: sorted(x, key=lambda p: (-p[1], p[0]))[:3] for k, x in want.items()}
     assert combine_by_key(df.limit(0), "k", ["i", "v"], Largest(3, "i", "v")).collect() == []
+
+
+def test_pages_hold_all_values_of_hot_and_null_keys(spark, monkeypatch):
+    from tidewater.operators import cogroup
+    monkeypatch.setattr(cogroup, "CELL_BITS", 5)
+    df = spark.range(0, 1000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 5 != 0, F.col("id")).alias("v"))
+    got, want = {}, {}
+    for r in cogroup.group_pages(df, "k", "v", 16).collect():
+        got.setdefault(r.k, {})[r.page] = r["values"]
+    for r in df.collect():
+        want.setdefault(r.k, []).append(r.v)
+    for k, values in want.items():
+        sizes = [len(got[k][p]) for p in range(len(got[k]))]
+        assert sizes[:-1] == [16] * (len(sizes) - 1) and sizes[-1] <= 16
+        assert sorted((x for p in got[k].values() for x in p), key=str) == sorted(values, key=str)
+    assert got.keys() == want.keys() and cogroup.group_pages(df.limit(0), "k", "v", 16).collect() == []

@@ -13,6 +13,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..session import scratch_path
 
 TAG = "tag"
 
@@ -96,3 +99,31 @@ def with_singleton(df: DataFrame, side: DataFrame, what: str = "side input") ->
     one = singleton(side, what)
     packed = one.select(F.struct(*[F.col(c) for c in one.columns]).alias("__one")).scalar()
     return df.withColumn("__one", packed).select(*df.columns, "__one.*")
+
+
+#: Rows of a task that are numbered together.
+CELL_BITS = 16
+
+
+def group_pages(df: DataFrame, key: str, value: str, page_size: int) -> DataFrame:
+    """The values of every key in lists of at most ``page_size``: (key, page, values), pages from 0, all but the last full.
+
+    A key may hold any share of the rows: they are numbered within short runs of the input, and the numbers of
+    the runs before come from counts per (key, run). Null is a key, null values stay out of no list. Within a page
+    the order is that of the input as it was written once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "pages")
+    df.select(F.col(key).alias("k"), F.struct(F.col(value).alias("v")).alias("x"),
+              F.monotonically_increasing_id().alias("place")).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("run", F.shiftright("place", CELL_BITS))
+    counts = rows.groupBy("k", "run").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("k").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("k").alias("k2"), F.col("run").alias("run2"),
+                           F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    local = rows.withColumn("local", F.row_number().over(Window.partitionBy("k", "run").orderBy("place")) - 1)
+    numbered = local.join(before, F.col("k").eqNullSafe(F.col("k2")) & (F.col("run") == F.col("run2")))
+    number = F.col("before") + F.col("local")
+    pages = numbered.groupBy("k", F.floor(number / page_size).alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct(number.alias("number"), "x"))).alias("held"))
+    return pages.select(F.col("k").alias(key), "page", F.transform("held", lambda h: h["x"]["v"]).alias("values"))

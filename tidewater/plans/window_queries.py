@@ -10,6 +10,7 @@ from ..operators import rows as R
 from ..operators import windows as Wn
 from ..functions.time import epoch_minutes
 from ..session import ensure_utc
+from ..operators.cogroup import group_pages
 from ..operators.combine import Largest, combine_by_key
 from .registry import query
 
@@ -104,3 +105,16 @@ def largest_events(spark, sf_dir):
     top = combine_by_key(ev, "event_type", ["event_id", "value"], Largest(5, "event_id", "value"))
     each = top.select("event_type", F.posexplode(F.arrays_zip("ids", "vals")).alias("at", "x"))
     return each.select("event_type", (F.col("at") + 1).cast("bigint").alias("place"), F.col("x.ids").alias("event_id"), F.col("x.vals").alias("value"))
+
+
+@query("paged_groups", "AGG5 JON1", sql=r"""
+WITH c AS (SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS total_ids FROM events GROUP BY 1),
+p AS (SELECT *, unnest(range(0, (n + 499) // 500)) AS page FROM c)
+SELECT event_type, page::BIGINT AS page, least(500, n - 500 * page)::BIGINT AS n_values, total_ids FROM p
+""")
+def paged_groups(spark, sf_dir):
+    """The ids of every event type in lists of at most 500; the lists of a type hold all of its ids."""
+    pages = group_pages(sources.table(spark, sf_dir, "events"), "event_type", "event_id", 500)
+    ids = F.aggregate("values", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    total = pages.groupBy("event_type").agg(F.sum(ids).alias("total_ids"))
+    return pages.join(total, "event_type").select("event_type", "page", F.size("values").cast("bigint").alias("n_values"), "total_ids")
