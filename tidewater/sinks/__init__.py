@@ -10,6 +10,7 @@ import hashlib
 import json
 import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,12 +76,10 @@ def _name_window_files(spark: SparkSession, aside: str, path: str, prefix: str,
     """Move written files to their names, one rename each: only names pass through the driver, as in any commit of a job."""
     fs, root = _file_system(spark, aside)
     found: dict[tuple[str, str], list] = {}
-    listed = fs.listFiles(root, True)
-    while listed.hasNext():
-        file = listed.next().getPath()
-        folders = dict(x.split("=", 1) for x in file.toString().split("/")[:-1] if "=" in x)
-        if not file.getName().startswith(("_", ".")):
-            found.setdefault((folders["day"], folders["window_label"]), []).append((int(folders.get("shard", 0)), file))
+    for uri in spark.read.text(aside).inputFiles():
+        file = unquote(uri)
+        folders = dict(x.split("=", 1) for x in file.split("/")[:-1] if "=" in x)
+        found.setdefault((folders["day"], folders["window_label"]), []).append((int(folders.get("shard", 0)), file))
     new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for day in {day for day, _ in found}:
         folder = new(f"{path}/day={day}")
@@ -89,12 +88,12 @@ def _name_window_files(spark: SparkSession, aside: str, path: str, prefix: str,
             if (day, _label_of(old.getPath().getName(), prefix)) in found:
                 fs.delete(old.getPath(), False)
     for (day, label), files in found.items():
-        files.sort(key=lambda f: (f[0], f[1].getName()))
+        files.sort()
         for i, (shard, file) in enumerate(files):
             number, of = (shard, num_shards) if num_shards else (i, len(files))
             target = new(f"{path}/day={day}/{prefix}-{label}-{number}-of-{of}")
-            if not fs.rename(file, target):
-                raise RuntimeError(f"{file.toString()} could not be renamed")
+            if not fs.rename(new(file), target):
+                raise RuntimeError(f"{file} could not be renamed")
     fs.delete(root, True)
 
 
