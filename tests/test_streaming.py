@@ -326,3 +326,21 @@ def test_a_batch_that_was_committed_is_not_written_again(spark, tmp_dir):
     for stream, batch in (("q", 0), ("q", 0), ("q", 1), ("other", 0)):
         sinks.commit_batch(spark, f"{tmp_dir}/log", stream, batch, {f"{tmp_dir}/t": rows})
     assert sinks.read_table(spark, f"{tmp_dir}/t").count() == 3
+
+
+def test_processors_travel_without_the_package(spark, tmp_dir):
+    """The process that prepares them on the driver has no shipped files and may run in any folder."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tidewater.streaming import state
+    state._stateful(spark)
+    made = [state.PaneSums(60_000, 0, 0), state.SessionUpdates(1000, ["v"], ["long"], 0, ["k", "v"])]
+    with open(f"{tmp_dir}/made", "wb") as f:
+        cloudpickle.dump(made, f)
+    code = "import pickle, sys; print([type(x).__name__ for x in pickle.load(open('made', 'rb'))], 'tidewater' in sys.modules)"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, capture_output=True, text=True, timeout=60,
+                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert done.stdout.strip() == "['PaneSums', 'SessionUpdates'] False", done.stderr

@@ -16,11 +16,13 @@ the key or moves the watermark.
 
 from __future__ import annotations
 
+import sys
 import warnings
 from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -44,8 +46,12 @@ NOT_DUE = -1
 
 
 def _stateful(spark: SparkSession) -> None:
-    """Python workers need the package, and these operators the state store that has column families."""
+    """Python workers need the package, and these operators the state store that has column families.
+
+    The process that prepares a processor on the driver does not see shipped files, so this module's classes travel by value.
+    """
     ship_package(spark)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
