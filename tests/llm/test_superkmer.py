@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -64,6 +65,17 @@ def test_very_long_text(docs_of):
     assert got == {1: (300_000, 40), 2: (40, 40)}
 
 
+@pytest.mark.parametrize("same_id", [7, None])
+def test_a_thousand_copies_of_one_row(spark, docs_of, same_id):
+    text = " ".join(f"c{i}" for i in range(400))
+    rows = [(same_id, text)] * 1000 + [(1, f"before {text[:900]} after"), (2, " ".join(f"d{i}" for i in range(90)))]
+    docs = docs_of(rows).repartition(4)
+    named = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("row"), F.xxhash64("text").alias("mark"), "text")
+    spans = {r.row: len(r.spans) for r in S.repeated_windows(named).collect()}
+    assert max(spans.values()) < 400
+    assert found(S.dedup_substrings(docs)) == brute(rows, S.WINDOW)
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.sampled_from("ab"), max_size=40), min_size=1, max_size=8))
 def test_small_windows_over_few_words(docs_of, texts):

@@ -141,7 +141,8 @@ def _numbered(window: int):
 def repeated_windows(rows: DataFrame, window: int = WINDOW, m: int = MINIMISER) -> DataFrame:
     """(row, mark, spans): of every text with a repeated window, the runs with their bitmaps.
 
-    ``rows`` has (row long, mark long, text), the first two naming the text. ``spans`` is an
+    ``rows`` has (row long, mark long, text), the first two naming the text; rows that share
+    them hold the same text, one each time, and get one result. ``spans`` is an
     array of (start, flags): bit i of flags says that the window at word
     start + i occurs elsewhere too.
     """
@@ -151,7 +152,8 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, m: int = MINIMISER)
     # Stored, so that the join below deals both sides out anew and can split a hot minimiser.
     often = stored(runs.groupBy("minimiser").count().where("count > 1").select("minimiser"), "minimisers")
     shared = runs.join(often, "minimiser", "left_semi")
-    by_row = shared.groupBy("row", "mark").agg(F.collect_list(F.struct("span", "minimiser")).alias("runs"))
+    # Sets: rows that repeat an id and a text share a name, and their runs are the same.
+    by_row = shared.groupBy("row", "mark").agg(F.collect_set(F.struct("span", "minimiser")).alias("runs"))
     packed = stored(rows.join(by_row, ["row", "mark"]).select("row", "mark", "text", "runs").mapInArrow(
         _pack(window), "row long, mark long, span long, minimiser long, packed string"), "superkmers")
 
@@ -174,7 +176,7 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, m: int = MINIMISER)
     some = strings.where("times = 1").select("id", *digest).join(flags, "id").select("d1", "d2", "flags")
     found = packed.select("row", "mark", "span", *digest).join(whole.union(some), ["d1", "d2"])
     start = F.expr(f"CAST(shiftright(span, {SPAN_BITS}) AS INT)").alias("start")
-    return found.groupBy("row", "mark").agg(F.collect_list(F.struct(start, "flags")).alias("spans"))
+    return found.groupBy("row", "mark").agg(F.collect_set(F.struct(start, "flags")).alias("spans"))
 
 
 def covered(n: int, start: np.ndarray, flags: np.ndarray, window: int) -> np.ndarray:
