@@ -1,4 +1,5 @@
 import functools
+import time
 
 import numpy as np
 import pytest
@@ -70,6 +71,48 @@ def test_round_trip(text):
     assert decode(encode(text)) == text.replace(S.MARKER, " ")
 
 
+def plain(text):
+    """Ids of a chunk by the side-by-side search alone."""
+    return S.viterbi(vocabulary(), [text.encode()])[0].tolist()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abExx=/+0é日🙂▁", max_size=400))
+def test_long_chunks_by_parts_and_by_walking_equal_the_search(text):
+    if text:
+        data = np.frombuffer(text.encode() + b"\0", dtype=np.uint8)
+        assert S.segment_long(vocabulary(), text.encode()).tolist() == plain(text)
+        assert S.walk(vocabulary(), data).tolist() == plain(text)
+
+
+def test_blocks_of_any_size_give_the_same(monkeypatch):
+    rng = np.random.default_rng(1)
+    text = "".join(rng.choice(list("abcdeXYZ019+/é日🙂"), 1500)) + "x" * 900 + "information" * 100
+    want = plain(text)
+    for block in (1 << 18, 64, 7, 1):
+        monkeypatch.setattr(S, "BLOCK", block)
+        assert S.segment_long(vocabulary(), text.encode()).tolist() == want
+        assert S.walk(vocabulary(), np.frombuffer(text.encode() + b"\0", dtype=np.uint8)).tolist() == want
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "x", "日本語文字", "ab"])
+def test_two_megabytes_without_a_space(letters):
+    text = "".join(np.random.default_rng(2).choice(list(letters), 2_000_000 // len(letters[0].encode())))
+    began = time.perf_counter()
+    ids = encode(text)
+    assert time.perf_counter() - began < 20
+    assert decode(ids) == text
+
+
+def test_unused_pieces_are_never_written(monkeypatch):
+    listed = [("<unk>", 0.0, S.UNKNOWN), ("a", -1.0, S.NORMAL), ("b", -1.5, S.NORMAL), ("ab", -1.0, S.UNUSED),
+              ("ba", -2.25, S.NORMAL), (S.MARKER, -0.5, S.NORMAL)]
+    monkeypatch.setattr(S, "read_pieces", lambda path: listed)
+    small = S.load_vocabulary("any")
+    ids = np.frombuffer(S.Encoder(small).encode(["abab"])[0], "<i4").tolist()
+    assert [listed[i][0] for i in ids] == [S.MARKER, "a", "ba", "b"]
+
+
 def test_tables(spark, docs_of):
     docs = docs_of([(i, t) for i, t in enumerate(EDGE)] + [(None, None), (1, EDGE[1]), (99, "long text " * 100_000)])
     coded = S.encode_table(docs, vocabulary())

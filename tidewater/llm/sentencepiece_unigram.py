@@ -12,6 +12,11 @@ put before the text, and no white space is normalised.
 No piece spans a marker that follows another character, and none holds a line end,
 so a text splits there into chunks that are segmented on their own. Tasks segment
 every distinct chunk of a batch once, all of them side by side in NumPy arrays.
+
+A long chunk (text without spaces) is cut first: all pieces that occur in it are
+found at once, and where none of them spans a place every path stops there, so
+what lies between two such places is segmented on its own. What stays long after that
+(a run of one letter) is walked through once, match by match, in blocks.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CHUNK = re.compile("▁*[^▁\n]+|▁+|\n")
 #: Distinct chunks that are segmented side by side, and that a task remembers.
 SIDE_BY_SIDE, REMEMBERED = 1 << 15, 1 << 18
+#: Bytes from which a chunk is cut, and from which a part of it is walked through on its own; bytes looked at at once.
+LONG, WALKED, BLOCK = 128, 512, 1 << 18
 
 
 def read_pieces(path: str) -> list[tuple[str, float, int]]:
@@ -125,12 +132,15 @@ class Vocabulary:
     penalty: float
     #: Whether chunks may be segmented on their own.
     splits: bool
+    #: Bytes of each piece, and of the longest in the trie.
+    lengths: np.ndarray
+    longest: int
 
 
 def load_vocabulary(path: str = MODEL_FILE) -> Vocabulary:
     listed = read_pieces(path)
     pieces, scores, kinds = (list(x) for x in zip(*listed))
-    own = [i for i, k in enumerate(kinds) if k in (NORMAL, USER_DEFINED, UNUSED)]
+    own = [i for i, k in enumerate(kinds) if k in (NORMAL, USER_DEFINED)]  # unused pieces are never written
     trie = DoubleArray([pieces[i].encode() for i in own])
     trie.value = np.where(trie.value > 0, np.array([-1, *own])[trie.value] + 1, 0)
     by_byte = np.full(256, -1)
@@ -140,7 +150,95 @@ def load_vocabulary(path: str = MODEL_FILE) -> Vocabulary:
     scores = np.array(scores, dtype=np.float64)
     splits = all(MARKER not in pieces[i].lstrip(MARKER) and "\n" not in pieces[i] for i in own)
     return Vocabulary(pieces, kinds, scores, trie, by_byte, kinds.index(UNKNOWN) if UNKNOWN in kinds else 0,
-                      scores[own].min() - UNKNOWN_PENALTY, splits)
+                      scores[own].min() - UNKNOWN_PENALTY, splits, np.array([len(p.encode()) for p in pieces]),
+                      max(len(pieces[i].encode()) for i in own))
+
+
+#: Bytes of the character that a byte begins.
+WIDTH = np.ones(256, dtype=np.int64)
+WIDTH[0xC0:0xE0], WIDTH[0xE0:0xF0], WIDTH[0xF0:] = 2, 3, 4
+
+
+def matches(vocabulary: Vocabulary, data: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, ...]:
+    """(start, end, id) of every piece that begins at lo to hi - 1, by start; id -1: a character that is no piece.
+
+    ``data`` ends with a zero byte that belongs to no chunk.
+    """
+    first = np.flatnonzero((data[lo:hi] & 0xC0) != 0x80) + lo
+    start, node, at = first, np.zeros(len(first), dtype=np.int64), first
+    values, found = vocabulary.trie.value, []
+    while len(start):
+        node = vocabulary.trie.step(node, data[at])
+        on = np.flatnonzero(node >= 0)
+        start, node, at = start[on], node[on], at[on] + 1
+        ends = np.flatnonzero(values[node] > 0)
+        found.append((start[ends], at[ends], values[node[ends]] - 1))
+    starts, ends, ids = (np.concatenate(x) for x in zip(*found)) if found else (first[:0],) * 3
+    alone = np.setdiff1d(first, starts[ends - starts == WIDTH[data[starts]]], assume_unique=True)
+    starts, ends = np.concatenate((starts, alone)), np.concatenate((ends, alone + WIDTH[data[alone]]))
+    ids = np.concatenate((ids, np.full(len(alone), -1)))
+    order = np.argsort(starts, kind="stable")
+    return starts[order], ends[order], ids[order]
+
+
+def cuts(vocabulary: Vocabulary, data: np.ndarray) -> np.ndarray:
+    """The places of a chunk (0 and its end among them) that no piece and no character spans."""
+    n = len(data) - 1
+    spanned = np.zeros(n + 1, dtype=bool)
+    for lo in range(0, n, BLOCK):
+        hi = min(lo + BLOCK, n)
+        start, end, _ = matches(vocabulary, data, lo, hi)
+        size = hi - lo + vocabulary.longest + 4
+        over = np.cumsum(np.bincount(start - lo + 1, minlength=size) - np.bincount(end - lo, minlength=size))
+        stop = min(n + 1, lo + size)
+        spanned[lo:stop] |= over[:stop - lo] > 0
+    return np.flatnonzero(~spanned)
+
+
+def walk(vocabulary: Vocabulary, data: np.ndarray) -> np.ndarray:
+    """The ids of the best segmentation of one chunk, match by match from left to right.
+
+    What is kept of the whole chunk is the best last piece at every byte, in 32 bits.
+    """
+    n, reach = len(data) - 1, vocabulary.longest + 4
+    last = np.full(n + 1, -1, dtype=np.int32)
+    scores = np.append(vocabulary.scores, vocabulary.penalty)  # -1 is the unknown character
+    best, piece = [0.0], [-1]
+    for lo in range(0, n, BLOCK):
+        hi = min(lo + BLOCK, n)
+        best += [-np.inf] * (hi - lo + reach - len(best))
+        piece += [-1] * (hi - lo + reach - len(piece))
+        start, end, ids = matches(vocabulary, data, lo, hi)
+        for s, e, p, score in zip((start - lo).tolist(), (end - lo).tolist(), ids.tolist(), scores[ids].tolist()):
+            total = best[s] + score
+            if total > best[e]:
+                best[e], piece[e] = total, p
+        last[lo:hi] = piece[:hi - lo]
+        best, piece = best[hi - lo:], piece[hi - lo:]
+    last[n] = piece[0]
+    lengths, at, found = vocabulary.lengths, n, []
+    while at > 0:
+        p = int(last[at])
+        before = at - (int(lengths[p]) if p >= 0 else 1)
+        while p < 0 and data[before] & 0xC0 == 0x80:
+            before -= 1
+        found.append((p,) if p >= 0 else _fallback(vocabulary, data[before:at]))
+        at = before
+    return np.array([i for ids in reversed(found) for i in ids], dtype=np.int32)
+
+
+def segment_long(vocabulary: Vocabulary, chunk: bytes) -> np.ndarray:
+    """The ids of the best segmentation of one long chunk, part by part."""
+    data = np.frombuffer(chunk + b"\0", dtype=np.uint8)
+    at, found = cuts(vocabulary, data), []
+    for i in range(0, len(at) - 1, SIDE_BY_SIDE):
+        edges = at[i:i + SIDE_BY_SIDE + 1].tolist()
+        parts = [chunk[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        known = {p: walk(vocabulary, np.frombuffer(p + b"\0", dtype=np.uint8)) for p in set(parts) if len(p) >= WALKED}
+        short = list({p for p in parts if len(p) < WALKED})
+        known.update(zip(short, viterbi(vocabulary, short)))
+        found += [known[p] for p in parts]
+    return np.concatenate(found).astype(np.int32)
 
 
 def viterbi(vocabulary: Vocabulary, chunks: list[bytes]) -> list[np.ndarray]:
@@ -154,8 +252,7 @@ def viterbi(vocabulary: Vocabulary, chunks: list[bytes]) -> list[np.ndarray]:
     came = np.full(offsets[-1], -1, dtype=np.int32)   # start of the best piece that ends here
     piece = np.full(offsets[-1], -1, dtype=np.int32)  # its id, -1 for an unknown character
     char = (data & 0xC0) != 0x80
-    width = np.ones(256, dtype=np.int64)
-    width[0xC0:0xE0], width[0xE0:0xF0], width[0xF0:] = 2, 3, 4
+    width = WIDTH
     trie, scores, values = vocabulary.trie, vocabulary.scores, vocabulary.trie.value
     for s in range(int(sizes.max(initial=0))):
         live = int(np.searchsorted(-sizes, -s))  # chunks are sorted from long to short: those longer than s
@@ -231,7 +328,12 @@ class Encoder:
         return CHUNK.findall(marked) if self.vocabulary.splits else [marked]
 
     def learn(self, chunks) -> None:
-        new = [c for c in chunks if c not in self.known]
+        new, long = [], []
+        for c in chunks:
+            if c not in self.known:
+                (long if len(c) >= LONG else new).append(c)
+        for c in long:
+            self.known[c] = segment_long(self.vocabulary, c.encode()).astype("<i4").tobytes()
         for at in range(0, len(new), SIDE_BY_SIDE):
             some = new[at:at + SIDE_BY_SIDE]
             for c, ids in zip(some, viterbi(self.vocabulary, [c.encode() for c in some])):
@@ -244,7 +346,10 @@ class Encoder:
         split = [self.chunks(t) if t else [] for t in texts]
         self.learn({c for s in split for c in s})
         known = self.known
-        return [b"".join([known[c] for c in s]) for s in split]
+        out = [b"".join([known[c] for c in s]) for s in split]
+        for c in [c for s in split for c in s if len(c) >= LONG]:
+            known.pop(c, None)  # too long to be held for later
+        return out
 
 
 class Decoder:
