@@ -50,6 +50,18 @@ def test_other_columns_with_clashing_names(docs_of):
     assert out.where("doc_id = 4").first().text is None
 
 
+def test_helper_names_as_columns(docs_of):
+    docs = docs_of(EDGES)
+    names = ["lines", "kept", "drops", "_lines", "_kept", "_doc", "_drops", "Doc"]
+    wide = docs.withColumns({n: F.concat(F.lit(n), F.col("text")) for n in names})
+    out = L.dedup_text(wide)
+    assert out.columns == wide.columns
+    want = {r.doc_id: (r.text, t.text) for r in L.dedup_text(docs).collect() for t in docs.collect() if t.doc_id == r.doc_id}
+    for r in out.collect():
+        text, before = want[r.doc_id]
+        assert r.text == text and all(r[n] == (None if before is None else n + before) for n in names)
+
+
 def test_a_hot_line_is_spread_over_slices(spark, docs_of):
     docs = docs_of([(i, LINE if i % 3 else f"a line of its own number {i}") for i in range(300)])
     report = L.line_report(docs)

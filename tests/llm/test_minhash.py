@@ -1,5 +1,6 @@
 import itertools
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -89,6 +90,39 @@ def test_one_per_group_decides_per_text_of_an_id(docs_of):
     assert len(got) == 9
 
 
+@pytest.mark.parametrize("ids, want", [((5, 3), {(5, 5), (3, 3), (8, 5), (9, 9)}), ((None, 3), {(None, None), (3, 3), (8, 8), (9, 9)}),
+                                       ((None, None), {(None, None), (8, 8), (9, 9)})])
+def test_a_thousand_copies_of_two_rows_that_meet_without_a_link(docs_of, ids, want):
+    # one minimum a band: sets of similarity 0.6 are sure to share buckets
+    texts = edited(0), edited(7)
+    rows = [(i, t) for i, t in zip(ids, texts) for _ in range(1000)] + [(8, edited(1)), (9, "apart from all")]
+    assert not M.sets_agree(*(next(M.shingle_sets(pa.array([t]), 2)).tobytes() for t in texts), 80)
+    got = M.near_duplicates(docs_of(rows).repartition(4), k=2, bands=200, rows=1).collect()
+    assert len(got) == 2002 and {(r.doc_id, r.component_id) for r in got} == want
+
+
+def test_sizes_of_linked_sets_are_at_most_one_class_apart(spark):
+    for percent in (50, 80, 95, 100):
+        pairs = [(n, -(-n * percent // 100)) for n in range(1, 3000)]
+        df = spark.createDataFrame(pairs, "n long, least long")
+        apart = F.abs(M.size_class(F.col("n"), percent) - M.size_class(F.col("least"), percent))
+        assert df.agg(F.max(apart)).first()[0] <= 1
+
+
+@pytest.mark.parametrize("repeat", [False, True])
+def test_one_per_group_with_clashing_columns(docs_of, repeat):
+    rows = ROWS + ([(10, "another text"), (10, edited(0))] if repeat else [])
+    names = ["one", "two", "id", "number", "doc", "kept", "_one", "_kept", "Number", "id_of", "number_of"][:9 if repeat else None]
+    docs = docs_of(rows)
+    wide = docs.withColumns({n: F.concat(F.lit(n), F.col("text")) for n in names if n.lower() not in ("number",) or n == "number"})
+    out = M.one_per_group(wide)
+    assert out.columns == wide.columns
+    plain_ = sorted(((r.doc_id, r.text) for r in M.one_per_group(docs).collect()), key=repr)
+    got = out.collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == plain_
+    assert all(r[n] == (None if r.text is None else n + r.text) for r in got for n in out.columns[5:])
+
+
 def test_empty_table(docs_of):
     assert M.near_duplicates(docs_of([])).collect() == []
     assert M.one_per_group(docs_of([])).collect() == []

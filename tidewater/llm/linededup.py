@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .tables import SPACES, ascii_lower, stored
+from .tables import SPACES, ascii_lower, free_names, stored
 
 WORD_BITS = 32
 
@@ -91,25 +91,26 @@ def kept_lines(lines: Column, drops: Column) -> Column:
     return F.when(drops.isNull(), lines).otherwise(F.transform(positions, lambda i: F.get(lines, i)))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """``docs`` with ``_lines`` (all lines) and ``_kept`` (those that stay), every row kept.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
+                min_docs: int = 3, lines: str = "_lines", kept: str = "_kept") -> DataFrame:
+    """``docs`` with two more columns, ``lines`` (all lines) and ``kept`` (those that stay), every row kept.
 
-    Other columns pass through untouched, whatever their names, except that the
-    names starting with ``_`` used here must be free.
+    The other columns pass through untouched, whatever their names, but for those two.
     """
     maps = drop_bitmaps(docs, id_col, text_col, min_chars, min_docs)
-    maps = maps.select(F.col("doc").alias("_doc"), F.col("drops").alias("_drops"))
-    joined = docs.join(maps, docs[id_col] == maps["_doc"], "left").drop("_doc")
-    split = joined.withColumn("_lines", lines_of_text(F.col(text_col)))
-    return split.withColumn("_kept", kept_lines(F.col("_lines"), F.col("_drops"))).drop("_drops")
+    doc, drops = free_names(docs.select("*", F.lit(0).alias(lines), F.lit(0).alias(kept)), "doc", "drops")
+    maps = maps.select(F.col("doc").alias(doc), F.col("drops").alias(drops))
+    joined = docs.join(maps, docs[id_col] == maps[doc], "left").drop(doc)
+    split = joined.withColumn(lines, lines_of_text(F.col(text_col)))
+    return split.withColumn(kept, kept_lines(F.col(lines), F.col(drops))).drop(drops)
 
 
 def dedup_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text``; a null text stays null."""
-    out = dedup_lines(docs, id_col, text_col, min_chars, min_docs)
-    text = F.when(F.col(text_col).isNotNull(), F.array_join("_kept", "\n"))
+    """``docs`` with the repeated lines taken out of ``text``; a null text stays null. Columns may have any names."""
+    lines, kept = free_names(docs, "lines", "kept")
+    out = dedup_lines(docs, id_col, text_col, min_chars, min_docs, lines, kept)
+    text = F.when(F.col(text_col).isNotNull(), F.array_join(kept, "\n"))
     return out.withColumn(text_col, text).select(*docs.columns)
 
 

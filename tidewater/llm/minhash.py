@@ -19,15 +19,16 @@ probability 1 - (1 - s^r)^b: 1 - 1.3e-7 at s = 0.8 for b = 40, r = 5.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import python_ready, stored
+from .tables import free_names, python_ready, stored
 from .wordhash import WordHash, _odd, mix, sequences, slices
 
 BANDS, ROWS = 40, 5
@@ -155,11 +156,18 @@ def may_agree(n_a: str, bits_a: str, n_b: str, bits_b: str, percent: int):
     return F.expr(f"{100 + percent} * {most} >= {percent} * ({n_a} + {n_b})")
 
 
+def size_class(n: Column, percent: int) -> Column:
+    """The class of a set's size, in powers of a little more than 100 / percent: linked sets are at most one apart."""
+    width = 1.000001 * max(math.log(100 / percent), 0.01)
+    return F.floor(F.log(n.cast("double")) / F.lit(width)).cast("int")
+
+
 def across_components(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) pairs of a bucket in different components that the bitmaps do not rule out.
 
     In each bucket the nodes outside its most frequent component meet all of them,
-    which leaves out only pairs within that component.
+    which leaves out only pairs within that component. Sets so similar differ in size by
+    less than one ``size_class``: a node meets its own class and the two beside it.
     """
     placed = stored(members.select("key", "node").join(found, "node", "left")
                            .select("key", "node", F.coalesce("component", "node").alias("component")), "placed")
@@ -168,12 +176,14 @@ def across_components(members: DataFrame, found: DataFrame, sets: DataFrame, per
                                        F.max(F.struct("count", "component")).alias("most"))
                    .where("components > 1").select("key", F.col("most.component").alias("main")))
     open_ = placed.join(mixed, "key").join(sets.select("node", "n", "bits"), "node")
+    near = F.explode(F.array(*[size_class(F.col("n"), percent) + i for i in (-1, 0, 1)]))
     left = open_.where(F.col("component") != F.col("main")).select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("x"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"),
-                         F.col("n").alias("nb"), F.col("bits").alias("y"))
-    met = left.join(right, (left["key"] == right["key"]) & (F.col("ca") != F.col("cb"))
-                    & may_agree("na", "x", "nb", "y", percent))
+        "key", near.alias("size"), F.col("node").alias("a"), F.col("component").alias("ca"),
+        F.col("n").alias("na"), F.col("bits").alias("x"))
+    right = open_.select("key", size_class(F.col("n"), percent).alias("size"), F.col("node").alias("b"),
+                         F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("y"))
+    met = left.join(right, (left["key"] == right["key"]) & (left["size"] == right["size"])
+                    & (F.col("ca") != F.col("cb")) & may_agree("na", "x", "nb", "y", percent))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -205,15 +215,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     features = stored(source.mapInArrow(
         _features(k, bands, rows), "doc long, n_shingles long, hi long, lo long, bands array<long>"), "minhash")
     filled = features.where(F.col("n_shingles") > 0)
-    classes = filled.groupBy("hi", "lo").agg(F.min("doc").alias("node"))
-    nodes = (filled.where(F.col("doc").isNotNull()).join(classes, ["hi", "lo"])
-                   .where(F.col("doc") == F.col("node")).select("node", F.explode("bands").alias("key")))
+    # Equal sets have equal band keys: a class carries them once, however many rows it has.
+    grouped = stored(filled.groupBy("hi", "lo").agg(F.min("doc").alias("node"), F.any_value("bands").alias("bands")), "classes")
+    classes = grouped.select("hi", "lo", "node")
+    nodes = grouped.where(F.col("node").isNotNull()).select("node", F.explode("bands").alias("key"))
     buckets = (nodes.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
                     .where(F.col("centre") < F.col("last")).select("key", "centre"))
-    members = stored(nodes.join(buckets, "key").select("key", "node", "centre"), "members")
+    # An id with several texts may meet itself in a bucket: one row of each suffices.
+    members = stored(nodes.join(buckets, "key").select("key", "node", "centre").distinct(), "members")
     candidates = members.select("node").distinct()
+    # One set per id and text, named by 128 bits, however often the row is repeated.
     sets = stored(source.join(candidates, source["doc"] == candidates["node"], "left_semi")
-                        .mapInArrow(_sets(k, bands * rows), "node long, sig binary, shingles binary, n int, bits array<long>"), "sets")
+                        .withColumns({f"h{i}": F.xxhash64(F.lit(i), "text") for i in (1, 2)})
+                        .dropDuplicates(["doc", "h1", "h2"]).select("doc", "text").mapInArrow(_sets(k, bands * rows), "node long, sig binary, shingles binary, n int, bits array<long>"), "sets")
 
     star = members.where(F.col("node") != F.col("centre")).select(
         F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
@@ -243,28 +257,30 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are documents of their own, told apart by 128-bit hashes of their texts. Rows with a null id cannot
     be told apart by it and all stay.
     """
-    one, two = (F.xxhash64(F.lit(i), F.col(text_col).isNull(), F.col(text_col)) for i in (1, 2))
-    marked = docs.withColumn("_one", one).withColumn("_two", two)
-    marks = marked.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id")).agg(
-        *[f(c).alias(f"{f.__name__}{c}") for c in ("_one", "_two") for f in (F.min, F.max)])
-    mixed = stored(marks.where("min_one <> max_one OR min_two <> max_two").select("_id"), "mixed")
+    one, two, own_id, number, doc, kept_ = free_names(docs, "one", "two", "id", "number", "doc", "kept")
+    marked = docs.withColumns({n: F.xxhash64(F.lit(i), F.col(text_col).isNull(), F.col(text_col))
+                               for i, n in ((1, one), (2, two))})
+    ids = F.col(id_col).cast("long")
+    marks = marked.where(F.col(id_col).isNotNull()).groupBy(ids.alias(own_id)).agg(
+        *[f(c).alias(f"{f.__name__}_{i}") for i, c in ((1, one), (2, two)) for f in (F.min, F.max)])
+    mixed = stored(marks.where("min_1 <> max_1 OR min_2 <> max_2").select(own_id), "mixed")
     rest = docs.where(F.col(id_col).isNull())
     if mixed.isEmpty():
-        kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-        return docs.join(kept, docs[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col]).union(rest)
+        kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col("doc_id").alias(kept_)).distinct()
+        return docs.join(kept, docs[id_col] == kept[kept_], "left_semi").dropDuplicates([id_col]).union(rest)
     # Texts of one id get numbers above all ids, in the order of id and hash.
-    own = marked.select(F.col(id_col).cast("long").alias("_id"), "_one", "_two").join(mixed, "_id").distinct()
-    most = docs.agg(F.max(F.col(id_col).cast("long"))).scalar()
-    own = stored(own.orderBy("_id", "_one", "_two").withColumn("_number", most + 1 + F.monotonically_increasing_id()), "texts")
-    named = own.select(F.col("_id").alias("_id2"), F.col("_one").alias("_one2"), F.col("_two").alias("_two2"), "_number")
-    numbered = marked.join(named, (F.col(id_col).cast("long") == F.col("_id2")) & (F.col("_one") == F.col("_one2"))
-                           & (F.col("_two") == F.col("_two2")), "left").withColumn(
-        "_doc", F.coalesce("_number", F.col(id_col).cast("long")))
-    found = near_duplicates(numbered, "_doc", text_col, **how).where("doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_number"), "component_id").distinct().join(own, "_number", "left")
-    first = F.min(F.struct(F.coalesce("_id", "_number").alias("id"), "_one", "_two", "_number"))
-    kept = found.groupBy("component_id").agg(first.alias("first")).select(F.col("first._number").alias("_kept"))
-    stays = numbered.join(kept, numbered["_doc"] == kept["_kept"], "left_semi").dropDuplicates(["_doc"])
+    own = marked.select(ids.alias(own_id), one, two).join(mixed, own_id).distinct()
+    most = docs.agg(F.max(ids)).scalar()
+    own = stored(own.orderBy(own_id, one, two).withColumn(number, most + 1 + F.monotonically_increasing_id()), "texts")
+    named = own.toDF("id_of", "one_of", "two_of", "number_of")
+    numbered = marked.join(named, (marked[id_col].cast("long") == named["id_of"]) & (marked[one] == named["one_of"])
+                           & (marked[two] == named["two_of"]), "left").select(
+        marked["*"], F.coalesce(named["number_of"], marked[id_col].cast("long")).alias(doc))
+    found = near_duplicates(numbered, doc, text_col, **how).where("doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("number_of"), "component_id").distinct().join(named, "number_of", "left")
+    first = F.min(F.struct(F.coalesce("id_of", "number_of").alias("id"), "one_of", "two_of", "number_of"))
+    kept = found.groupBy("component_id").agg(first.alias("first")).select(F.col("first.number_of").alias(kept_))
+    stays = numbered.join(kept, numbered[doc] == kept[kept_], "left_semi").dropDuplicates([doc])
     return stays.select(*docs.columns).union(rest)
 
 

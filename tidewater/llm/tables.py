@@ -33,3 +33,14 @@ def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII strings take the fast built-in ``lower``."""
     return (F.when(F.length(c) == F.octet_length(c), F.lower(c))
              .otherwise(F.translate(c, UPPER, UPPER.lower())))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before them as it takes to be none of ``df``'s columns."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
