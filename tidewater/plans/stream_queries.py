@@ -294,15 +294,21 @@ SELECT count(*)::BIGINT AS n_lines, sum(length(line))::BIGINT AS total_len
 FROM (SELECT unnest(string_split_regex(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n')) AS line FROM documents)
 """)
 def stream_lines(spark, sf_dir):
+    """Lines of an append-only topic, admitted in batches of a bounded number of messages."""
     docs = sources.table(spark, sf_dir, "documents").select("text")
-    topic = scratch_path(spark, "lines_topic")
-    sources.lines_of(docs, "text").write.text(topic)
-    passed = S.string_stream(spark, topic=topic)
+    topic, positions = scratch_path(spark, "lines_topic"), scratch_path(spark, "lines_positions")
+    lines = sources.lines_of(docs, "text")
+    lines.write.text(topic)
+    most = -(-spark.read.text(topic).count() // STEPS)
     out, ckpt = scratch_path(spark, "lines_out"), scratch_path(spark, "ckpt")
-    q = (passed.writeStream.format("text").option("path", out).option("checkpointLocation", ckpt)
-               .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    back = spark.read.text(out)
+    passed = S.log_stream(spark, topic, positions, max(most, 1)).withColumn("value", F.col("value").cast("string"))
+    q = (passed.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+               .outputMode("append").trigger(**jobs.AT_ONCE).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    back = spark.read.schema(passed.schema).parquet(out)
     return back.agg(F.count(F.lit(1)).alias("n_lines"),
                     F.sum(F.length("value")).cast("bigint").alias("total_len"))
 

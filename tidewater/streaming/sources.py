@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import message_log
+
 
 def table_files(sf_dir: str, name: str) -> str:
     """Path pattern for one parquet table (a file or a directory of files).
@@ -53,3 +55,27 @@ def message_stream(spark: SparkSession, path: str | None = None, max_files_per_t
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = r.load(path) if path else r.load()
     return rows.select(F.col(ts).cast("timestamp").alias("ts"), F.col(payload).cast("binary").alias("payload"))
+
+
+def log_stream(spark: SparkSession, path: str, positions: str | None = None, max_messages: int = 0,
+               split_bytes: int = 64 << 20) -> DataFrame:
+    """Messages of append-only files with their offsets: (shard, segment, position, value bytes).
+
+    ``max_messages`` bounds a batch and needs ``positions``, a file of the query's own (see
+    :mod:`~tidewater.streaming.message_log`).
+    """
+    message_log.register(spark)
+    r = spark.readStream.format(message_log.NAME).option("splitBytes", split_bytes).option("maxMessages", max_messages)
+    return (r.option("positions", positions) if positions else r).load(path)
+
+
+def log_messages(log: DataFrame) -> DataFrame:
+    """Lines ``{"ts": <event time>, "payload": <text>, "attributes": {name: text}}`` of :func:`log_stream` as
+    (shard, segment, position, ts, payload bytes, attributes), the attributes apart from the payload.
+
+    A line that is no such object has null ts, payload and attributes; its offset still names it.
+    """
+    m = F.from_json(F.col("value").cast("string"), "ts timestamp, payload string, attributes map<string,string>")
+    return log.withColumn("_m", m).select("shard", "segment", "position", F.col("_m.ts").alias("ts"),
+                                          F.col("_m.payload").cast("binary").alias("payload"),
+                                          F.col("_m.attributes").alias("attributes"))
