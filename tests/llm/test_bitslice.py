@@ -56,3 +56,13 @@ def test_empty_and_few(spark):
     assert B.top_k(df, df).collect() == []
     df = vectors_of(spark, [(0, [1.0], 0), (None, [1.0], 0), (3, [2.0], 0)])
     assert [tuple(r) for r in B.top_k(df, df.where("vec_id = 0")).collect()] == [(0, 1, 3, 256 * 512)]
+
+
+def test_tasks_of_many_cells(spark, same_as_sql, monkeypatch):
+    """More cells than tasks, two vector lengths, groups that hold blocks of one length only."""
+    monkeypatch.setattr(B, "MOST_TASKS", 3)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=4 if i % 3 else 2)], 0) for i in range(700)]
+    df = vectors_of(spark, rows)
+    got = B.top_k(df, df.where("vec_id % 50 = 0"), segment_rows=40, query_rows=2)
+    same_as_sql(got, B.TOPK_SQL, embeddings=df)

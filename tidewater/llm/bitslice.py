@@ -11,9 +11,10 @@ sums are again bit slices; walking them from the most significant one down
 selects the rows that can be among the top k given the bound on what quantising
 cut off. These boundary rows are scored exactly from their stored integers.
 
-Only blocks travel: queries are dealt into blocks, every segment meets every
-query block in an equi-join on the block number, and each meeting returns k
-rows per query.
+Only blocks travel: queries are dealt into blocks and blocks into groups of
+about as many rows as a segment. A *cell* is a segment and a group: the segment travels
+once to each of its cells, followed by the group's blocks, so its slices are built
+once a cell; every block returns k rows per query.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from .tables import python_ready, stored
 
 SEGMENT_ROWS = 1 << 15
 QUERY_ROWS = 256
+#: Tasks at most; a task takes its cells one after the other.
+MOST_TASKS = 50_000
 #: Leading bits kept of every value, and of every query component.
 VALUE_BITS, WEIGHT_BITS = 6, 12
 
@@ -185,22 +188,21 @@ def unpacked(data: bytes, width: int) -> np.ndarray:
 
 
 def _meet(k: int):
+    """Rows come sorted by cell, the segment (block -1) before its query blocks."""
     def run(batches):
         held, segment = None, None
         for batch in batches:
             for row in batch.to_pylist():
-                width = row["width"]
-                if held != row["segment"]:
-                    ids = np.frombuffer(row["ids"], dtype=np.int64)
-                    segment = Segment(ids, unpacked(row["vectors"], width))
-                    held = row["segment"]
-                queries = np.frombuffer(row["query_ids"], dtype=np.int64)
-                weights = unpacked(row["queries"], width)
-                out = [(q, *segment.top(w, q, k)) for q, w in zip(queries, weights)]
-                yield pa.record_batch([
-                    pa.array(np.repeat(queries, [len(x[1]) for x in out])),
-                    pa.array(np.concatenate([x[1] for x in out])), pa.array(np.concatenate([x[2] for x in out]))],
-                    names=["query_id", "vec_id", "score"])
+                ids = np.frombuffer(row["ids"], dtype=np.int64)
+                vectors = unpacked(row["vectors"], row["width"])
+                if row["block"] < 0:
+                    held, segment = row["cell"], Segment(ids, vectors)
+                elif held == row["cell"]:
+                    out = [segment.top(v, q, k) for q, v in zip(ids, vectors)]
+                    yield pa.record_batch([
+                        pa.array(np.repeat(ids, [len(x[0]) for x in out])),
+                        pa.array(np.concatenate([x[0] for x in out])), pa.array(np.concatenate([x[1] for x in out]))],
+                        names=["query_id", "vec_id", "score"])
     return run
 
 
@@ -258,19 +260,31 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     def usable(df):
         q = df.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col)).alias("v"))
         return q.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).distinct()
-    packed = stored(blocks(usable(queries), query_rows), "queries")
-    packed = stored(packed.select("width", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
-                                  F.monotonically_increasing_id().alias("block")), "queries")
-    index = stored(blocks(usable(vectors), segment_rows), "segments")
-    index = index.select("width", "ids", "vectors", F.monotonically_increasing_id().alias("segment"))
-    # Every segment is sent to every block of its width: the pairs of blocks, not of rows.
-    names = packed.groupBy("width").agg(F.collect_list("block").alias("blocks"))
-    met = (index.join(names, "width").select("width", "ids", "vectors", "segment", F.explode("blocks").alias("block"))
-                .join(packed.drop("width"), "block"))
-    parts = max(1, packed.count() * index.count())
-    found = (met.repartition(parts, "block", "segment")
-                .select("segment", "width", "ids", "vectors", "query_ids", "queries")
-                .mapInArrow(_meet(k), "query_id long, vec_id long, score long"))
+    def numbered(df, most, name):
+        """Stored blocks with a gapless number; only the blocks' names go through the numbering window."""
+        kept = stored(blocks(usable(df), most).withColumn("name", F.monotonically_increasing_id()), name)
+        number = F.row_number().over(Window.orderBy("width", "name")) - 1
+        numbers = stored(kept.select("width", "name").select("name", number.cast("long").alias("number")), f"{name}_numbers")
+        return kept.join(numbers, "name").drop("name"), numbers.count()
+    asked, n_blocks = numbered(queries, query_rows, "queries")
+    index, n_segments = numbered(vectors, segment_rows, "segments")
+    if not n_blocks or not n_segments:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    # As many groups as make a group's queries a segment's size, or as give every core a cell.
+    cores = spark.sparkContext.defaultParallelism
+    groups = min(n_blocks, max(-(-n_blocks * query_rows // segment_rows), -(-2 * cores // n_segments)))
+
+    def cell(segment, group):
+        return segment * F.lit(groups) + group
+    # Segments are numbered by width, so those of a width are a run of numbers: a row per width.
+    runs = index.groupBy("width").agg(F.min("number").alias("low"), F.max("number").alias("high"))
+    places = asked.select("width", (F.col("number") % groups).alias("group")).distinct()
+    sent = index.join(places, "width").select(
+        cell(F.col("number"), F.col("group")).alias("cell"), F.lit(-1).cast("long").alias("block"), "width", "ids", "vectors")
+    put = asked.join(runs, "width").withColumn("segment", F.explode(F.sequence("low", "high"))).select(
+        cell(F.col("segment"), F.col("number") % groups).alias("cell"), F.col("number").alias("block"), "width", "ids", "vectors")
+    found = (sent.unionByName(put).repartitionById(min(n_segments * groups, MOST_TASKS), (F.col("cell") % MOST_TASKS).cast("int"))
+                 .sortWithinPartitions("cell", "block").mapInArrow(_meet(k), "query_id long, vec_id long, score long"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
