@@ -169,3 +169,44 @@ def test_lead_of_a_time_equals_lead_of_the_value(spark):
     assert sorted((r.id, r.nxt or 0) for r in by_value.collect()) == sorted((r.id, r.nxt or 0) for r in by_time.collect())
     plan = by_time._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def _next_ids(rows):
+    pdf = pd.DataFrame(rows, columns=["k", "ts", "id", "v"]).sort_values(["k", "ts", "id"])
+    pdf["nxt"] = pdf.groupby("k")["id"].shift(-1)
+    return {int(r.id): (None if pd.isna(r.nxt) else int(r.nxt)) for r in pdf.itertuples()}
+
+
+def _ranged_sessions(spark, rows, partitions):
+    s = ordered.sessionize(_frame(spark, rows), "k", "ts", "id", GAP_MS, ["id", "v"], by_range=True, partitions=partitions)
+    return sorted((r.k, pd.Timestamp(r.session_start), pd.Timestamp(r.last_ts), r.n_events, r.latest.id) for r in s.collect())
+
+
+def test_ranges_give_the_same_lead_and_sessions(spark):
+    rows = _rows(400, ["a", "b", "c"], 24 * 60, seed=13)
+    for n in (1, 5, 40):
+        got = ordered.lead_within(_frame(spark, rows), "k", "ts", "id", "id", "nxt", by_range=True, partitions=n)
+        assert {r.id: r.nxt for r in got.collect()} == _next_ids(rows)
+        assert _ranged_sessions(spark, rows, n) == _brute_sessions(rows)
+
+
+def test_a_burst_at_one_instant_is_split(spark):
+    """All rows but three are one key's at one instant: no cell holds more than a few times its part."""
+    rows = [("hot", BASE, i, float(i)) for i in range(4000)]
+    rows += [("cold", BASE, 5000, 0.0), ("hot", BASE + dt.timedelta(minutes=59), 4000, 0.0),
+             ("hot", BASE + dt.timedelta(minutes=119), 4001, 0.0)]
+    random.Random(2).shuffle(rows)
+    cells = ordered.range_cells(_frame(spark, rows), "k", "ts", "id", partitions=8)
+    sizes = [r["count"] for r in cells.groupBy(ordered._BKT).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 3 * len(rows) / 8
+    got = ordered.lead_within(_frame(spark, rows), "k", "ts", "id", "id", "nxt", by_range=True, partitions=8)
+    assert {r.id: r.nxt for r in got.collect()} == _next_ids(rows)
+    assert _ranged_sessions(spark, rows, 8) == _brute_sessions(rows)
+
+
+def test_ranges_of_nothing_and_of_nulls(spark):
+    assert _ranged_sessions(spark, [], 3) == []
+    rows = [("a", None, 1, 0.0), ("a", BASE, 2, 0.0), (None, BASE, 3, 0.0), (None, BASE, 4, 0.0)]
+    got = ordered.lead_within(_frame(spark, rows), "k", "ts", "id", "id", "nxt", by_range=True, partitions=4)
+    assert {r.id: r.nxt for r in got.collect()} == {1: None, 2: None, 3: 4, 4: None}
+    assert [x[0] for x in _ranged_sessions(spark, [r for r in rows if r[0]], 4)] == ["a"]

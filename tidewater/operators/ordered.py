@@ -14,6 +14,11 @@ skew: the aggregate and the rows. No join of the data with itself, no Python.
 
 The windows over the cells of a key see one row per cell (for sessions, per local
 session): at most the key's time span divided by the slice (or the gap).
+
+With ``by_range`` the cells are range partitions of (key, ts, tiebreak) instead (:func:`range_cells`): no slice width, and
+a burst of one key at one instant is split as well. A cell then holds about rows / partitions whatever the keys and
+times are, and at most partitions - 1 (key, cell) pairs have a successor. It costs a shuffle, Spark's sampling pass and
+a written table more, and a job when it is called.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 # Width of a cell. Lead is used on keys of few values (event names, types), which are
 # hot by nature; sessions on many keys (rides, users), where a wider cell keeps
 # the aggregate small against the data.
@@ -41,15 +48,32 @@ def time_bucket(ts, bucket_ms: int = DEFAULT_BUCKET_MS) -> Column:
     return F.floor(F.unix_millis(_c(ts).cast("timestamp")) / F.lit(bucket_ms)).cast("bigint")
 
 
+def range_cells(df: DataFrame, *order, partitions: int | None = None) -> DataFrame:
+    """``df`` with the number of its range partition by ``order`` as its cell, written once to the shared folder.
+
+    The bounds come from Spark's sample of the data, which another run of the same plan may draw differently: the
+    table fixes them for all that read the cells. Equal rows in ``order`` stay in one cell, so end it by a unique column.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "range_cells")
+    placed = df.repartitionByRange(n, *order).withColumn(_BKT, F.spark_partition_id().cast("bigint"))
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
 def lead_within(df: DataFrame, key: str, ts: str, tiebreak: str, value: str | None, out: str,
-                bucket_ms: int = DEFAULT_BUCKET_MS, of_time: Callable[[Column], Column] | None = None) -> DataFrame:
+                bucket_ms: int = DEFAULT_BUCKET_MS, of_time: Callable[[Column], Column] | None = None,
+                by_range: bool = False, partitions: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the next row of the same ``key`` by (ts, tiebreak).
 
     The last row of a key gets null. Rows with a null ``ts`` are not ordered and
     get null too. Where the value is a function of ``ts``, give ``of_time`` instead of ``value``:
     a cell's first value then needs no more than its smallest time (a hash aggregate).
+    ``by_range`` takes range partitions (``partitions`` of them) as cells instead of slices of time.
     """
-    base = df.withColumn(_BKT, time_bucket(ts, bucket_ms)).withColumn(_SENT, F.lit(False))
+    cut = range_cells(df, key, ts, tiebreak, partitions=partitions) if by_range else df.withColumn(_BKT, time_bucket(ts, bucket_ms))
+    base = cut.withColumn(_SENT, F.lit(False))
     timed = base.where(F.col(ts).isNotNull()).groupBy(key, _BKT)
     cells = Window.partitionBy(key).orderBy(_BKT)
     if of_time is None:
@@ -68,7 +92,8 @@ def lead_within(df: DataFrame, key: str, ts: str, tiebreak: str, value: str | No
 
 
 def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_ms: int,
-               point: Sequence[str], bucket_ms: int | None = None) -> DataFrame:
+               point: Sequence[str], bucket_ms: int | None = None, by_range: bool = False,
+               partitions: int | None = None) -> DataFrame:
     """Half-open gap sessions per key, one row per session.
 
     A new session starts when ``ts - previous ts >= gap`` (two events exactly one
@@ -76,11 +101,15 @@ def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_ms: int,
     ``session_end`` (= last_ts + gap), ``n_events`` and ``latest`` = struct of
     ``point`` columns of the last event by (ts, tiebreak); on equal ts the
     earlier tiebreak wins, so equal-time points keep the first one.
+    ``by_range`` takes range partitions (``partitions`` of them) as cells instead of slices of time.
     """
     gap_us = gap_ms * 1000
     rows = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
         F.col(key), F.col(ts), F.col(tiebreak), *[F.col(p) for p in point if p not in (key, ts, tiebreak)])
-    base = rows.withColumn(_BKT, time_bucket(ts, bucket_ms or SESSION_BUCKET_MS)).withColumn(_SENT, F.lit(False))
+    # Ranges run the way the cells are ordered below, so that a session's last cell holds its latest point.
+    cut = (range_cells(rows, F.col(key), F.col(ts), F.col(tiebreak).desc(), partitions=partitions) if by_range
+           else rows.withColumn(_BKT, time_bucket(ts, bucket_ms or SESSION_BUCKET_MS)))
+    base = cut.withColumn(_SENT, F.lit(False))
     # Sentinels: the last ts of the previous non-empty cell of the key.
     cells = Window.partitionBy(key).orderBy(_BKT)
     prev = (base.groupBy(key, _BKT).agg(F.max(ts).alias("__tail"))

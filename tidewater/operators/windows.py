@@ -91,6 +91,7 @@ def latest_point(df: DataFrame, key: str, ts: str, tiebreak: str, point: Sequenc
 
 
 def sessions_latest(df: DataFrame, key: str, ts: str, tiebreak: str, point: Sequence[str],
-                    gap_minutes: int = SESSION_GAP_MINUTES, bucket_ms: int | None = None) -> DataFrame:
+                    gap_minutes: int = SESSION_GAP_MINUTES, bucket_ms: int | None = None,
+                    by_range: bool = False) -> DataFrame:
     """Per key, half-open gap sessions with their latest point (skew-safe)."""
-    return ordered.sessionize(df, key, ts, tiebreak, gap_minutes * 60_000, point, bucket_ms)
+    return ordered.sessionize(df, key, ts, tiebreak, gap_minutes * 60_000, point, bucket_ms, by_range)

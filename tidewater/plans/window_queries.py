@@ -51,7 +51,7 @@ def latest_point_batch(spark, sf_dir):
                          "value", "n_points")
 
 
-@query("session_latest", "STR3 AGG4", sql=r"""
+_SESSIONS_SQL = r"""
 WITH e AS (
   SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts FROM events
 ), f AS (
@@ -68,10 +68,11 @@ SELECT user_id, (epoch_us(s_start) // 1000) AS session_start_ms, (epoch_us(ts) /
        (epoch_us(ts) // 1000) + 3600000 AS session_end_ms, n_events::BIGINT AS n_events,
        event_id AS latest_event_id, value AS latest_value
 FROM g WHERE rn = 1
-""")
-def session_latest(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    s = Wn.sessions_latest(ev, "user_id", "ts", "event_id", ["event_id", "value"])
+"""
+
+
+def _sessions(ev, by_range):
+    s = Wn.sessions_latest(ev, "user_id", "ts", "event_id", ["event_id", "value"], by_range=by_range)
     return s.select("user_id", F.unix_millis("session_start").alias("session_start_ms"),
                     F.unix_millis("last_ts").alias("last_ms"),
                     F.unix_millis("session_end").alias("session_end_ms"),
@@ -80,6 +81,19 @@ def session_latest(spark, sf_dir):
                     F.col("latest.value").alias("latest_value"))
 
 
+@query("session_latest", "STR3 AGG4", sql=_SESSIONS_SQL)
+def session_latest(spark, sf_dir):
+    return _sessions(_events(spark, sf_dir), by_range=False)
+
+
+@query("session_bursts", "STR3 AGG4 SRT1", sql=_SESSIONS_SQL.replace("FROM events", """FROM (
+  SELECT event_type AS user_id, date_trunc('day', ts) AS ts, event_id, value FROM events)"""))
+def session_bursts(spark, sf_dir):
+    """Sessions of few keys whose events come in bursts at one instant, over range partitions."""
+    ev = _events(spark, sf_dir).select(F.col("event_type").alias("user_id"), F.date_trunc("day", "ts").alias("ts"), "event_id", "value")
+    return _sessions(ev, by_range=True)
+
+
 @query("lead_end", "WIN1 SRT1", sql=r"""
 SELECT event_id, event_type, (epoch_us(ts) // 1000) AS ts_ms,
        (lead(epoch_us(ts) // 1000) OVER (PARTITION BY event_type ORDER BY ts, event_id))::DOUBLE AS ts_end_ms
@@ -94,6 +108,17 @@ def lead_end(spark, sf_dir):
                   .select("event_id", "event_type", "ts_ms", F.col("ts_end_ms").cast("double").alias("ts_end_ms"))
 
 
+@query("lead_bursts", "WIN1 SRT1", sql=r"""
+SELECT event_id, event_type, (lead(event_id) OVER (PARTITION BY event_type ORDER BY date_trunc('day', ts), event_id))::DOUBLE AS next_id
+FROM events
+""")
+def lead_bursts(spark, sf_dir):
+    """The next event of a type where all of a day's events are at one instant, over range partitions."""
+    ev = _events(spark, sf_dir).select("event_id", "event_type", F.date_trunc("day", "ts").alias("ts"))
+    led = ordered.lead_within(ev, "event_type", "ts", "event_id", "event_id", "next_id", by_range=True)
+    return led.select("event_id", "event_type", F.col("next_id").cast("double").alias("next_id"))
+
+
 @query("largest_events", "AGG4 UDF3", sql=r"""
 WITH r AS (SELECT event_type, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS place
            FROM events WHERE value IS NOT NULL)
