@@ -99,3 +99,15 @@ def test_event_time_assignment(spark):
     assert h1 == h2 and len(set(h1)) > 150
     d = assign_event_time(df, random_event_time()).agg(F.count("ts").alias("n")).first()
     assert d.n == 200
+
+
+def test_digest_event_time(spark):
+    import hashlib
+
+    from tidewater.functions.time import digest_event_time
+    lo, hi = 1_000_000, 8_000_000
+    rows = [("a", 1), (None, 2), ("", None), (None, None)]
+    df = spark.createDataFrame(rows, "k string, n int").select("k", "n", F.unix_millis(digest_event_time(lo, hi, "k", "n")).alias("ms"))
+    for r in df.collect():
+        text = f"{r.k or ''}\x1f{'' if r.n is None else r.n}"
+        assert r.ms == lo + int(hashlib.md5(text.encode()).hexdigest()[:13], 16) % (hi - lo)

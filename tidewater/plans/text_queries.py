@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks, sources
 from ..functions.constants import WORD_WINDOW_MINUTES
-from ..functions.time import hashed_event_time
+from ..functions.time import digest_event_time, hashed_event_time
 from ..operators import words as W
 from ..session import ensure_utc, scratch_path
 from .registry import query
@@ -164,3 +164,15 @@ def hashed_times(spark, sf_dir):
     inside = (ms >= low) & (ms < high) & (ms == F.unix_millis(hashed_event_time(low, high, F.col("doc_id"))))
     return docs.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"),
                     F.count(F.when(inside, 1)).alias("inside"))
+
+
+@query("digest_times", "PRJ14 STR1", sql=f"""
+SELECT doc_id, {WINDOWED_BASE_MS} + ('0x' || left(md5(doc_id::VARCHAR || chr(31) || coalesce(lang, '')), 13))::BIGINT % {WINDOWED_SPAN_MS} AS ts_ms
+FROM documents
+""")
+def digest_times(spark, sf_dir):
+    """The event time that every document draws, value by value."""
+    ensure_utc(spark)
+    docs = _documents(spark, sf_dir, "doc_id", "lang")
+    drawn = digest_event_time(WINDOWED_BASE_MS, WINDOWED_BASE_MS + WINDOWED_SPAN_MS, "doc_id", "lang")
+    return docs.select("doc_id", F.unix_millis(drawn).alias("ts_ms"))
