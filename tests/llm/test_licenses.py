@@ -106,3 +106,15 @@ def test_two_wrapped_licences_and_words_far_apart(docs_of, scanner):
     apart = "\n".join(w + " and so it goes on" * 10 for w in words)
     rows = sorted(L.license_report(docs_of([(1, MIT + "\n\n" + MPL), (2, apart), (3, "\n\n".join(words))]), scanner).collect())
     assert [(r.families, r.license) for r in rows] == [(["mit", "mpl"], "mit"), ([], "unknown"), ([], "unknown")]
+
+
+def test_training_learns_from_every_row(spark, docs_of, scanner):
+    """Look-alikes in rows outside the 2,000 of 4,000 that a sample by id hash once took."""
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    ids = {r.id for r in spark.range(4000).where(share * 4000 >= 2000).limit(40).collect()}
+    like = "released under the mit bridge"
+    grams = spark.createDataFrame([(1, like)], "k long, t string").select("k", L.grams_of(L.words_of(F.col("t"))).alias("grams"))
+    taught = L.train(docs_of([(i, like if i in ids else "nothing to be seen here") for i in range(4000)]))
+    mit = scanner.families.index("mit")
+    plain, odds = (L.probabilities(grams, s, ["k"]).first().p[mit] for s in (scanner, taught))
+    assert odds < plain / 2

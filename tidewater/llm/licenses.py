@@ -4,10 +4,10 @@ A paragraph is a line of a text, or a wrapped one: consecutive lines with words
 together hold what no line holds alone. Its features are the 1- and 2-grams of its
 lower-cased words, each counted once. A sparse (elastic-net) multinomial logistic
 regression tells the licence families and the unknown class apart. Training data: passages of
-the families' templates, varied by cutting, against ordinary paragraphs of the corpus (a
-bounded sample of rows). The unknown class is calibrated on held-out ordinary
-paragraphs: a family is predicted only where its probability lies above all but a
-wanted share of theirs. A prediction counts if the template confirms it: enough of
+the families' templates, varied by cutting, against all ordinary paragraphs of the corpus; of
+these only the template features are kept, and equal ones are fitted once with their number as weight. The unknown class is
+calibrated on all of them, each scored by a model that was fitted without it: a family is predicted only where its
+probability lies above all but a wanted share of theirs. A prediction counts if the template confirms it: enough of
 a template's words must be in the paragraph.
 
 Scoring joins a paragraph's features with the table of weights, whose size is that of the
@@ -22,8 +22,9 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -72,9 +73,9 @@ TEMPLATES = {
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
 }
 UNKNOWN = "unknown"
-#: Ordinary paragraphs: rows of the corpus they are taken from, as an expected number, for training and calibration.
-ORDINARY_ROWS = 2000
-#: Share of held-out ordinary paragraphs that may lie above a family's threshold.
+#: Weight of all ordinary paragraphs in the regression, as a multiple of that of all passages of templates.
+ORDINARY_WEIGHT = 10.0
+#: Share of ordinary paragraphs that may lie above a family's threshold.
 FALSE_ALARMS = 0.001
 #: Share of a template's words that a paragraph must contain to be confirmed.
 CONFIRM = 0.75
@@ -127,52 +128,59 @@ def passages(spark: SparkSession) -> DataFrame:
     return cut.where(left >= 3).select("family", F.slice("words", F.col("head") + 1, left).alias("words"))
 
 
-def ordinary(docs: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
-    """(half, words): paragraphs of a sample of about ``rows`` rows by id hash; half 0 trains, half 1 calibrates.
+def ordinary(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(words): the paragraphs of all rows that have at least three words.
 
     Paragraphs that name a licence are left out of it: they are what is looked for.
     """
-    total = docs.agg(F.count(F.lit(1))).scalar()
-    share = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    some = docs.where(F.col(id_col).isNotNull()).where(share * total < rows)
-    lines = paragraphs(some, id_col, text_col).withColumn("words", words_of(F.col("paragraph")))
+    lines = paragraphs(docs, id_col, text_col).select(words_of(F.col("paragraph")).alias("words"))
     named = F.exists("words", lambda w: w.rlike("licen[cs]|^copyright$|^redistribution|^permission$"))
-    return lines.where((F.size("words") >= 3) & ~named).select(
-        F.pmod(F.xxhash64("doc", "line"), F.lit(2)).cast("int").alias("half"), "words")
+    return lines.where((F.size("words") >= 3) & ~named)
 
 
-def _vectors(grams: Column, features: list[str]) -> Column:
-    return array_to_vector(F.transform(
-        F.array(*[F.lit(f) for f in features]), lambda f: F.array_contains(grams, f).cast("double")))
+def _fit(examples: DataFrame, passages: int) -> LogisticRegressionModel:
+    """The regression on rows (ordinary, n, label, features); ``n`` paragraphs of the corpus count ``ORDINARY_WEIGHT`` in all."""
+    total = examples.where("ordinary").agg(F.sum("n")).scalar()
+    weight = F.when(F.col("ordinary"), F.col("n") * (ORDINARY_WEIGHT * passages) / total).otherwise(1.0)
+    return LogisticRegression(family="multinomial", regParam=0.001, elasticNetParam=0.5, maxIter=25, weightCol="weight").fit(
+        examples.withColumn("weight", weight))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ORDINARY_ROWS,
-          false_alarms: float = FALSE_ALARMS) -> Scanner:
-    """Fit the regression and calibrate the families' thresholds.
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_alarms: float = FALSE_ALARMS) -> Scanner:
+    """Fit the regression and calibrate the families' thresholds, both on all ordinary paragraphs of ``docs``.
 
     Ordinary paragraphs without any template feature say nothing about weights and are not
-    fitted, but count in the calibration. An empty corpus trains on templates alone.
+    fitted, but count in the calibration. Paragraphs of equal features are in one half, and each half is scored by a
+    model of the other one. An empty corpus trains on templates alone.
     """
     spark = docs.sparkSession
     families = sorted(TEMPLATES)
-    known = passages(spark).withColumn("grams", grams_of(F.col("words")))
+    unknown = float(len(families))
+    # The templates' passages are few: one partition, so that an iteration has hardly more tasks than the corpus needs.
+    known = stored(passages(spark).withColumn("grams", grams_of(F.col("words"))).coalesce(1), "passages")
     features = sorted(r["g"] for r in known.select(F.explode("grams").alias("g")).distinct().collect())
-    other = stored(ordinary(docs, id_col, text_col, rows).withColumn("grams", grams_of(F.col("words"))), "ordinary")
-    near = other.where((F.col("half") == 0) & F.arrays_overlap("grams", F.array(*map(F.lit, features))))
+    vectors = CountVectorizerModel.from_vocabulary(features, inputCol="grams", outputCol="features", minTF=1.0, binary=True)
+    found = F.array_sort(F.filter(grams_of(F.col("words")), lambda g: g.isin(features)))
+    other = stored(ordinary(docs, id_col, text_col).select(found.alias("grams")), "ordinary").withColumn(
+        "half", F.pmod(F.xxhash64("grams"), F.lit(2)))
+    near = other.where(F.size("grams") > 0).groupBy("half", "grams").agg(F.count(F.lit(1)).alias("n"))
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
-    examples = known.select(number.cast("double").alias("label"), "grams").union(
-        near.select(F.lit(float(len(families))).alias("label"), "grams")).union(
-        known.limit(1).select(F.lit(float(len(families))).alias("label"), F.array(F.lit("")).alias("grams")))
-    vectors = stored(examples.select("label", _vectors(F.col("grams"), features).alias("features")).coalesce(1), "examples")
-    fitted = LogisticRegression(family="multinomial", regParam=0.001, elasticNetParam=0.5, maxIter=25).fit(vectors)
+    one, none = F.lit(1).cast("long").alias("n"), F.lit(-1).cast("long").alias("half")
+    examples = near.select("half", F.lit(True).alias("ordinary"), "n", F.lit(unknown).alias("label"), "grams").union(
+        known.select(none, F.lit(False), one, number.cast("double"), "grams")).union(
+        known.limit(1).select(none, F.lit(False), one, F.lit(unknown), F.array(F.lit(""))))
+    examples = vectors.transform(stored(examples, "examples"))
+    templates = known.count()
+    scored = [_fit(examples.where(F.col("half") != h), templates).transform(vectors.transform(other.where(F.col("half") == h)))
+              .select(vector_to_array("probability").alias("p")) for h in (0, 1)]
+    tops = scored[0].union(scored[1]).agg(*[
+        F.percentile_approx(F.get("p", F.lit(i)), 1 - false_alarms, 100_000) for i in range(len(families))]).first()
+    fitted = _fit(examples, templates)
     matrix = fitted.coefficientMatrix.toArray()
     weights = {f: [float(x) for x in matrix[:, i]] for i, f in enumerate(features) if abs(matrix[:, i]).max() > 1e-6}
-    scanner = Scanner(families, weights, [float(x) for x in fitted.interceptVector], [0.5] * len(families))
-    scored = probabilities(other.where("half = 1").withColumn("line", F.monotonically_increasing_id()), scanner, ["line"])
-    tops = scored.agg(*[F.percentile_approx(F.get("p", F.lit(i)), 1 - false_alarms, 100_000) for i in range(len(families))]).first()
     # Above the wanted share of ordinary paragraphs, and never below even odds.
-    scanner.thresholds = [max(0.5, t if t is not None else 0.0) for t in tops]
-    return scanner
+    thresholds = [max(0.5, t if t is not None else 0.0) for t in tops]
+    return Scanner(families, weights, [float(x) for x in fitted.interceptVector], thresholds)
 
 
 def probabilities(lines: DataFrame, scanner: Scanner, keys: list[str]) -> DataFrame:
