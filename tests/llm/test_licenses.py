@@ -118,3 +118,23 @@ def test_training_learns_from_every_row(spark, docs_of, scanner):
     mit = scanner.families.index("mit")
     plain, odds = (L.probabilities(grams, s, ["k"]).first().p[mit] for s in (scanner, taught))
     assert odds < plain / 2
+
+
+def test_words_are_extracted_once(docs_of):
+    plan = L.ordinary(docs_of(TEXTS), "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
+
+
+def test_known_grams_equal_the_plain_ones(spark):
+    features = ["a", "a b", "b", "c", "c a", "é"]
+    words = [[], ["a"], ["b", "a"], ["a", "b", "x", "a", "b"], ["c", "x", "a"], ["a", "c", "a", "c"], ["É", "é", "A"], ["b", "c", "a", "b"]]
+    lines = spark.createDataFrame([(w,) for w in words], "words array<string>").coalesce(1)
+    plain = [sorted({*w, *map(" ".join, zip(w, w[1:]))} & set(features)) for w in words]
+    assert [r.grams for r in L.known_grams(lines, features).collect()] == plain
+
+
+def test_ordinary_paragraphs_and_their_words(docs_of):
+    docs = docs_of([(1, "One two  THREE\nfour five\n \nthe licence of it\na copyright b\na copyrights b\nno permission given\nper redistribution3 b"),
+                    (None, "ÀB cc-d 4.0"), (2, None), (3, "un-licensed or not\npre.redistribution is it\nx redistribution-free y")])
+    rows = sorted(r.words for r in L.ordinary(docs, "doc_id", "text").collect())
+    assert rows == [["a", "copyrights", "b"], ["one", "two", "three"], ["pre.redistribution", "is", "it"], ["Àb", "cc-d", "4.0"]]

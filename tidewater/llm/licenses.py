@@ -133,11 +133,24 @@ def ordinary(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Paragraphs that name a licence are left out of it: they are what is looked for.
     """
-    lines = paragraphs(docs, id_col, text_col).select(words_of(F.col("paragraph")).alias("words"))
+    # Exploded, so that the filters below and later steps take the words as they are instead of extracting them again.
+    lines = paragraphs(docs, id_col, text_col).select(F.explode(F.array(words_of(F.col("paragraph")))).alias("words"))
     named = F.exists("words", lambda w: w.rlike("licen[cs]|^copyright$|^redistribution|^permission$"))
     return lines.where((F.size("words") >= 3) & ~named)
 
 
+def known_grams(lines: DataFrame, features: list[str]) -> DataFrame:
+    """(grams): of each row of ``words`` those of its distinct 1- and 2-grams that are in ``features``, sorted.
+
+    ``features`` hold both words of each 2-gram, so pairs are made only of words that are features themselves.
+    """
+    single = [f for f in features if " " not in f]
+    kept = lines.select(F.transform("words", lambda w: F.when(w.isin(single), w)).alias("kept"))
+    pairs = F.zip_with("kept", F.slice("kept", 2, F.size("kept")), lambda a, b: F.concat(a, F.lit(" "), b))
+    found = F.filter(F.concat("kept", pairs), lambda g: g.isin(features))
+    return kept.select(F.array_sort(F.array_distinct(found)).alias("grams"))
+
+
 def _fit(examples: DataFrame, passages: int) -> LogisticRegressionModel:
     """The regression on rows (ordinary, n, label, features); ``n`` paragraphs of the corpus count ``ORDINARY_WEIGHT`` in all."""
     total = examples.where("ordinary").agg(F.sum("n")).scalar()
@@ -160,8 +173,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false
     known = stored(passages(spark).withColumn("grams", grams_of(F.col("words"))).coalesce(1), "passages")
     features = sorted(r["g"] for r in known.select(F.explode("grams").alias("g")).distinct().collect())
     vectors = CountVectorizerModel.from_vocabulary(features, inputCol="grams", outputCol="features", minTF=1.0, binary=True)
-    found = F.array_sort(F.filter(grams_of(F.col("words")), lambda g: g.isin(features)))
-    other = stored(ordinary(docs, id_col, text_col).select(found.alias("grams")), "ordinary").withColumn(
+    other = stored(known_grams(ordinary(docs, id_col, text_col), features), "ordinary").withColumn(
         "half", F.pmod(F.xxhash64("grams"), F.lit(2)))
     near = other.where(F.size("grams") > 0).groupBy("half", "grams").agg(F.count(F.lit(1)).alias("n"))
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
@@ -222,8 +234,8 @@ def scan(docs: DataFrame, scanner: Scanner, id_col: str = "doc_id", text_col: st
     texts = [t for ts in templates.values() for t in ts]
     telling = F.array(*map(F.lit, telling_words(texts, confirm)))
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
-    rows = docs.select(F.col(id_col).alias("doc"), lines.alias("lines")).withColumn("words", F.transform("lines", words_of))
-    rows = stored(rows.where(F.exists("words", lambda w: F.arrays_overlap(w, telling)))
+    rows = docs.where(F.arrays_overlap(words_of(F.col(text_col)), telling)).select(F.col(id_col).alias("doc"), lines.alias("lines"))
+    rows = stored(rows.withColumn("words", F.transform("lines", words_of))
                       .withColumn("row", F.monotonically_increasing_id()), "rows")
     single = (rows.select("row", "lines", F.posexplode("words").alias("line", "words"))
                   .where(F.arrays_overlap("words", telling))
